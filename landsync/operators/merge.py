@@ -252,3 +252,14 @@ def align(batch: DataFrame, schema: T.StructType) -> DataFrame:
 def without_enrichment(batch: DataFrame) -> DataFrame:
     """A facility batch that cannot touch any looked-up column."""
     return batch.drop(*[c for c in ENRICHMENT_COLUMNS if c in batch.columns])
+
+
+def direct_upsert_plans(existing: DataFrame, plans: DataFrame,
+                        run_ts: Column | None = None) -> DataFrame:
+    """Upsert plans without comparing. ``updated_at`` becomes the run time, and so
+    does ``created_at`` unless the batch brings its own."""
+    now = _now(run_ts)
+    stamped = plans.withColumn("updated_at", now)
+    if "created_at" not in plans.columns:
+        stamped = stamped.withColumn("created_at", now)
+    return upsert(existing, stamped)
