@@ -18,7 +18,10 @@ NBSP = " "
 # --- bindings ---------------------------------------------------------------
 def sheet(spark: SparkSession, sf: str) -> DataFrame:
     """``part`` as raw sheet rows."""
-    p = table(spark, sf, "part")
+    return sheet_of(table(spark, sf, "part"))
+
+
+def sheet_of(p: DataFrame) -> DataFrame:
     return p.select(
         F.col("p_partkey").alias("seq"),
         F.concat(F.lit(" "), "p_name",
@@ -66,7 +69,7 @@ def results(spark: SparkSession, sf: str) -> DataFrame:
 def results_of(e: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     return e.select(
-        F.col("event_id").alias("seq"), F.col("ts"),
+        F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"),
         F.col("user_id").cast("string").alias("clinic_id"),
         (kind != "error").alias("scrape_success"),
         F.when(kind != "signup", F.col("value")).alias("latitude"),

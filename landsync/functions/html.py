@@ -22,6 +22,9 @@ _ATTR = re.compile(r"\[(?P<name>[\w-]+)(?:(?P<op>[*^$]?=)'(?P<value>[^']*)')?\]"
 # Where a block of unknown extent ends at the latest.
 _BLOCK_END = r"(?i)</(?:main|section)\s*>|<footer\b"
 _LEAF_TAGS = {"a", "article", "main"}
+# A paragraph may be left open; the next block ends it.
+_PARAGRAPH_END = (r"(?=</?(?:p|div|ul|ol|h[1-6]|table|section|article|main|footer|header|nav|form)\b"
+                  r"|</body|\z)")
 
 
 @dataclass(frozen=True)
@@ -60,7 +63,9 @@ def selector(css: str) -> Selector:
     """Compile ``target`` or ``scope target``."""
     *outer, target = css.split()
     opening, tag = _opening(target)
-    if tag:
+    if tag == "p":
+        element, group = rf"(?s){opening}[^>]*>(.*?){_PARAGRAPH_END}", 2
+    elif tag:
         element, group = rf"(?s){opening}[^>]*>(.*?)</{tag}\s*>", 2
     else:
         element, group = rf"(?s){opening}[^>]*>(.*?)</\1\s*>", 2

@@ -189,6 +189,12 @@ def eligible_age(text: Column | str = "text", provider: Column | str = "provider
     return per_provider(provider, lambda key: utrim(first_of(text, table[key])), list(table))
 
 
+def _anchor_test(kind: str, part: str) -> Callable[[Column], Column]:
+    if kind == "href":
+        return lambda a: F.contains(a["href"], F.lit(part))
+    return lambda a: F.contains(F.lower(a["text"]), F.lit(part.lower()))
+
+
 def brochure_link(html: Column | str = "html", provider: Column | str = "provider_key",
                   table: dict[str, list[tuple[str, str]]] | None = None,
                   base: Column | None = None,
@@ -211,11 +217,7 @@ def brochure_link(html: Column | str = "html", provider: Column | str = "provide
         root = F.lit(bases.get(key, "")) if base is None else base
         picks = []
         for kind, part in table[key]:
-            if kind == "href":
-                hits = F.filter(links, lambda a, p=part: F.contains(a["href"], F.lit(p)))
-            else:
-                hits = F.filter(links, lambda a, p=part: F.contains(
-                    F.lower(a["text"]), F.lit(p.lower())))
+            hits = F.filter(links, _anchor_test(kind, part))
             href = blank_to_null(F.get(hits, F.lit(0))["href"])
             if key not in any_link:
                 href = F.when(F.contains(F.lower(href), F.lit(extension)), href)
