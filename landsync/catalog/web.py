@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from landsync.catalog.registry import (query, sql_quote, sql_squeeze, sql_text_of, sql_trim,
                                        sql_unescape, table)
-from landsync.functions.html import body_text
+from landsync.functions.html import anchors, body_text
 from landsync.operators import extract, filters, inference, records
 from landsync.operators.dedup import first_links, unique_names
 from landsync.rules import LinkRule
@@ -182,9 +182,10 @@ def txt18_brochure_link(spark: SparkSession, sf: str) -> DataFrame:
     """First link of the best rule; a letter stands in for the file extension,
     which no page has."""
     rules_ = {"k": [("text", "Tion"), ("href", "/de"), ("href", "/")]}
-    link = extract.brochure_link(table=rules_, base=F.lit("https://h"), any_link=[],
-                                 page_patterns={}, extension="e")
-    return pages(spark, sf).select("page_id", link.alias("link"))
+    link = extract.brochure_link(table=rules_, base=F.lit("https://h"), links=F.col("links"),
+                                 any_link=[], page_patterns={}, extension="e")
+    found = pages(spark, sf).select("page_id", "provider_key", anchors("html").alias("links"))
+    return found.select("page_id", link.alias("link"))
 
 
 @query(rf"""

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from landsync.functions.text import blank_to_null, col, squeeze, utrim
+from landsync.functions.text import col, only_if, squeeze, utrim
 
 _SIMPLE = re.compile(r"(?P<tag>\w+)?(?:\.(?P<cls>[\w-]+))?(?P<attrs>(?:\[[^\]]+\])*)$")
 _ATTR = re.compile(r"\[(?P<name>[\w-]+)(?:(?P<op>[*^$]?=)'(?P<value>[^']*)')?\]")
@@ -128,7 +128,7 @@ def first_text(html: Column | str, css: str) -> Column:
         raw = F.regexp_extract(col(html), sel.element, sel.element_group)
     else:
         raw = F.get(_all_in_scope(col(html), sel, sel.element, sel.element_group), F.lit(0))
-    return blank_to_null(text_of(raw))
+    return only_if(text_of(raw), lambda t: t != "")
 
 
 def all_hrefs(html: Column | str, css: str) -> Column:

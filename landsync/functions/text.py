@@ -29,6 +29,12 @@ def squeeze(c: Column | str) -> Column:
     return utrim(F.regexp_replace(col(c), rf"(?U){_BLANK}+", " "))
 
 
+def only_if(c: Column, test) -> Column:
+    """``c`` where ``test(c)`` holds, else null, computing ``c`` once. Meant for
+    values that are costly to compute, such as a search through a whole page."""
+    return F.get(F.filter(F.array(c), test), F.lit(0))
+
+
 def blank_to_null(c: Column | str) -> Column:
     return F.nullif(col(c), F.lit(""))
 
@@ -148,7 +154,8 @@ def pick_phone(attribute: Column | str, label: Column | str,
 
     return F.coalesce(
         clean_phone(attribute),
-        clean_phone(first_match(label, r"(?U)[\d\s+\-()]{8,}", 0)),
+        first_clean(F.array(F.regexp_extract(col(label), r"(?U)[\d\s+\-()]{8,}", 0)),
+                    lambda t: t != ""),
         first_clean(col(tooltips), lambda t: t.rlike(r"(?U)\d{2,}")),
         first_clean(col(panel), lambda t: utrim(t).rlike(r"(?U)^[\d\s+\-()]{8,}$")),
     )
@@ -166,7 +173,8 @@ def pick_hours(groups: Column | str, label: Column | str) -> Column:
     lists = F.filter(F.transform(col(groups), usable), lambda a: F.size(a) > 0)
     text = F.coalesce(F.get(lists, F.lit(0)),
                       F.when(F.length(col(label)) > 10, F.array(col(label))))
-    return F.when(text.isNotNull(), F.struct(text.alias("weekday_text")))
+    found = F.filter(F.array(text), lambda t: t.isNotNull())
+    return F.get(F.transform(found, lambda t: F.struct(t.alias("weekday_text"))), F.lit(0))
 
 
 def pick_services(groups: Column | str, limit: int = 10) -> Column:
@@ -185,7 +193,7 @@ def pick_specialties(categories: Column | str, limit: int = 5) -> Column:
     """The first category text below 100 characters, as an array."""
     good = F.filter(F.transform(col(categories), utrim),
                     lambda t: (F.length(t) > 0) & (F.length(t) < 100))
-    return F.when(F.size(good) > 0, F.slice(good, 1, min(1, limit)))
+    return only_if(F.slice(good, 1, min(1, limit)), lambda a: F.size(a) > 0)
 
 
 def is_open_24_hours(name: Column | str) -> Column:

@@ -92,7 +92,7 @@ def global_position(df: DataFrame, seq: str, block: int = 1_000_000,
     at most that many rows), counted per block, and the running total of the
     counts is joined back. Only the block counts meet in one task.
     """
-    tagged = df.withColumn("_block", F.floor(F.col(seq) / F.lit(block)))
+    tagged = df.withColumn("_block", F.expr(f"`{seq}` div {int(block)}"))
     counts = tagged.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

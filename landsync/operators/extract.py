@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from landsync import rules
 from landsync.functions.html import (absolute, all_hrefs, all_texts, anchors, body_text,
                                      first_text)
-from landsync.functions.text import (blank_to_null, col, contains_any, first_match, first_of,
+from landsync.functions.text import (blank_to_null, col, contains_any, first_of, only_if,
                                      squeeze, utrim)
 from landsync.operators.filters import is_plan_name, link_allowed
 
@@ -78,8 +78,8 @@ def page_title(html: Column | str = "html", provider: Column | str = "provider_k
     table = rules.TITLE_SELECTORS if selectors is None else selectors
 
     def chosen(key: str) -> Column:
-        texts = [first_text(html, css) for css in table[key]]
-        return F.coalesce(*[F.when(is_plan_name(t), t) for t in texts])
+        texts = F.array(*[first_text(html, css) for css in table[key]])
+        return F.get(F.filter(texts, is_plan_name), F.lit(0))
 
     plain = F.coalesce(*[first_text(html, css) for css in rules.DEFAULT_TITLE_SELECTORS])
     title = per_provider(provider, chosen, list(table), plain)
@@ -102,7 +102,7 @@ def plan_title(html: Column | str = "html", url: Column | str = "url",
                provider: Column | str = "provider_key") -> Column:
     """Valid page title, or for some providers the URL name, else null."""
     title = page_title(html, provider)
-    return F.coalesce(F.when(is_plan_name(title), title),
+    return F.coalesce(only_if(title, is_plan_name),
                       F.when(col(provider).isin(rules.URL_TITLES), slug_name(url)))
 
 
@@ -197,7 +197,7 @@ def _anchor_test(kind: str, part: str) -> Callable[[Column], Column]:
 
 def brochure_link(html: Column | str = "html", provider: Column | str = "provider_key",
                   table: dict[str, list[tuple[str, str]]] | None = None,
-                  base: Column | None = None,
+                  base: Column | None = None, links: Column | None = None,
                   any_link: list[str] | None = None,
                   page_patterns: dict[str, list[str]] | None = None,
                   extension: str = ".pdf") -> Column:
@@ -205,13 +205,14 @@ def brochure_link(html: Column | str = "html", provider: Column | str = "provide
 
     Rules are tried in order; of each only the first anchor counts, and unless
     the provider takes any link it must hold the extension. Some providers have
-    page patterns as a last resort.
+    page patterns as a last resort. Pass ``links`` (a column of ``anchors(html)``)
+    to find the anchors of a page once for all rules.
     """
     table = rules.BROCHURE_RULES if table is None else table
     any_link = rules.BROCHURE_ANY_LINK if any_link is None else any_link
     page_patterns = rules.BROCHURE_PAGE_PATTERNS if page_patterns is None else page_patterns
     bases = {p[0]: p[2] for p in rules.PROVIDERS}
-    links = anchors(html)
+    links = anchors(html) if links is None else links
 
     def chosen(key: str) -> Column:
         root = F.lit(bases.get(key, "")) if base is None else base
@@ -242,7 +243,8 @@ def description(html: Column | str = "html", provider: Column | str = "provider_
     def chosen(key: str) -> Column:
         texts = [first_text(html, css) for css in table[key]]
         if key in minimum:
-            return F.coalesce(*[F.when(F.length(t) > minimum[key], t) for t in texts], texts[-1])
+            long = F.filter(F.array(*texts), lambda t: F.length(t) > minimum[key])
+            return F.coalesce(F.get(long, F.lit(0)), texts[-1])
         return F.coalesce(*texts)
 
     return per_provider(provider, chosen, list(table))
@@ -254,14 +256,14 @@ def benefits(html: Column | str = "html") -> Column:
 
 def product_page_facts(pages: DataFrame) -> DataFrame:
     """Everything the detailed path reads from a product page, without the HTML."""
-    read = pages.withColumns({
+    read = pages.withColumn("_links", anchors("html")).withColumns({
         "plan_name": plan_title(),
         "description": description(),
         "benefits": benefits(),
         "page_text": body_text("html"),
-        "brochure_url": brochure_link(),
+        "brochure_url": brochure_link(links=F.col("_links")),
     })
     aged = with_page_facts(read.withColumn("eligible_age", eligible_age("page_text")))
-    return aged.drop("html")
+    return aged.drop("html", "_links")
 
 

@@ -102,7 +102,7 @@ def batch_accounting(records: DataFrame, seq: str = "seq", batch_size: int = 500
     """
     bad = F.lit(False) if failed is None else F.coalesce(failed, F.lit(False))
     placed = global_position(records.withColumn("_bad", bad), seq)
-    batch = F.floor(F.col("position") / F.lit(batch_size)) + 1
+    batch = F.expr(f"position div {int(batch_size)}") + 1
     per = placed.groupBy(batch.alias("batch")).agg(
         F.count(F.lit(1)).alias("records"), F.max("_bad").alias("_bad"))
     return per.select(
