@@ -9,7 +9,8 @@ from landsync import schemas
 from landsync.operators.dedup import unique_facilities, with_id
 from landsync.operators.merge import align, upsert
 from landsync.operators.records import facility_records, rename_sheet
-from landsync.sources.store import read_snapshot, write_snapshot
+from landsync.sources.store import (PREFIX, read_snapshot, replace_partitions, touched,
+                                    with_prefix, write_snapshot)
 
 
 def facility_batch(rows: DataFrame, run_ts: Column | None = None,
@@ -31,3 +32,14 @@ def sync_facilities(sheet: DataFrame, root: str, run_ts: Column | None = None,
         "rows": F.count(F.lit(1)),
         "pending": F.sum(F.when(waiting, 1).otherwise(0)),
     })
+
+
+def sync_facilities_in_place(sheet: DataFrame, path: str, run_ts: Column | None = None,
+                             protect_enrichment: bool = False, digits: int = 2) -> None:
+    """As above for a table kept in id-prefix folders: reads and writes only the
+    folders the batch falls into. For small batches into a large table."""
+    spark = sheet.sparkSession
+    batch = facility_batch(rename_sheet(sheet), run_ts, protect_enrichment)
+    part = touched(spark.read.parquet(path), batch, digits).drop(PREFIX)
+    stored = align(part, schemas.FACILITY)
+    replace_partitions(with_prefix(upsert(stored, batch), digits), path)

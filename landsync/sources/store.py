@@ -60,9 +60,10 @@ def write_snapshot(df: DataFrame, root: str, partition_by: list[str] | None = No
         watch = Observation("snapshot")
         df = df.observe(watch, *[v.alias(k) for k, v in observe.items()])
     # A leftover of a failed attempt at this number is overwritten.
-    writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = _per_folder(df, partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    else:
+        writer = df.write.mode("overwrite")
     writer.parquet(f"{root}/v={number}")
     return dict(watch.get) if watch else {}
 
@@ -93,6 +94,13 @@ def touched(table: DataFrame, batch: DataFrame, length: int = 2) -> DataFrame:
     return table.filter(F.col(PREFIX).isin(hit)) if hit else table.filter(F.lit(False))
 
 
+def _per_folder(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Gather the rows of a folder, so that tasks do not each write a small file
+    into every folder; adaptive execution splits folders that are too large for
+    one task."""
+    return df.hint("rebalance", *columns)
+
+
 def replace_partitions(df: DataFrame, path: str) -> None:
     """Overwrite only the id-prefix partitions that ``df`` holds.
 
@@ -100,7 +108,7 @@ def replace_partitions(df: DataFrame, path: str) -> None:
     ``path``. The final renames are not one atomic step; readers that must never
     see a mix use ``write_snapshot``.
     """
-    (df.repartition(PREFIX).write.mode("overwrite")
+    (_per_folder(df, [PREFIX]).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(PREFIX).parquet(path))
 
 
