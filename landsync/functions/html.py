@@ -83,8 +83,7 @@ def _all_in_scope(html: Column, sel: Selector, pattern: str, group: int) -> Colu
 
     if sel.scope is None:
         return find(html)
-    pieces = F.split(html, sel.scope, -1)
-    inner = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+    inner = F.filter(F.split(html, sel.scope, -1), lambda _, i: i > 0)
     return F.flatten(F.transform(
         inner, lambda p: find(F.get(F.split(p, sel.scope_end, 2), F.lit(0)))))
 

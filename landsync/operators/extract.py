@@ -45,10 +45,19 @@ def _numbered(texts: Column, strategy: int, rank: int) -> Column:
         i.cast("int").alias("pos"), t.alias("name")))
 
 
+def spread(df: DataFrame, found: Column, keep: list[str | Column],
+           name: str = "_one") -> DataFrame:
+    """One row per element of ``found``.
+
+    The outer form is used because for the plain one Spark adds tests of the array
+    to the scan, which would search every page again for each test.
+    """
+    rows = df.select(*keep, F.explode_outer(found).alias(name))
+    return rows.filter(F.col(name).isNotNull())
+
+
 def _candidates(pages: DataFrame, found: Column) -> DataFrame:
-    narrow = pages.select("provider_key", "url", found.alias("_found"))
-    return (narrow.select("provider_key", "url", F.explode("_found").alias("_one"))
-            .select("provider_key", "url", "_one.*"))
+    return spread(pages, found, ["provider_key", "url"]).select("provider_key", "url", "_one.*")
 
 
 def heading_candidates(pages: DataFrame,
@@ -107,10 +116,14 @@ def plan_title(html: Column | str = "html", url: Column | str = "url",
 
 
 def title_candidates(pages: DataFrame, order: str = "link_rank") -> DataFrame:
-    """The ``h1`` of visited product pages: strategy 2, ranked by link."""
-    return pages.select("provider_key", "url", F.lit(2).alias("strategy"),
-                        F.col(order).cast("int").alias("rank"), F.lit(0).alias("pos"),
-                        first_text("html", "h1").alias("name")).filter("name is not null")
+    """The ``h1`` of visited product pages: strategy 2, ranked by link.
+
+    The title comes out of a generator, so that later filters on the name do not
+    search the page again.
+    """
+    keep = ["provider_key", "url", F.lit(2).alias("strategy"),
+            F.col(order).cast("int").alias("rank"), F.lit(0).alias("pos")]
+    return spread(pages, F.array(first_text("html", "h1")), keep, "name")
 
 
 def _rule_links(rule: rules.LinkRule, rank: int, base: Column) -> Column:
@@ -139,10 +152,9 @@ def product_links(pages: DataFrame, table: dict[str, list[rules.LinkRule]] | Non
                             list(table))
     found = per_provider("provider_key", lambda key: F.concat(
         *[_rule_links(rule, rank, base) for rank, rule in enumerate(table[key])]), list(table))
-    narrow = pages.select("provider_key", F.col("url").alias("page_url"), found.alias("_found"))
-    return (narrow.select("provider_key", "page_url", F.explode("_found").alias("_one"))
-            .select("provider_key", "page_url", "_one.rank", "_one.pos",
-                    F.col("_one.link").alias("url")))
+    rows = spread(pages, found, ["provider_key", F.col("url").alias("page_url")])
+    return rows.select("provider_key", "page_url", "_one.rank", "_one.pos",
+                       F.col("_one.link").alias("url"))
 
 
 def listing_links(pages: DataFrame) -> DataFrame:
@@ -255,15 +267,19 @@ def benefits(html: Column | str = "html") -> Column:
 
 
 def product_page_facts(pages: DataFrame) -> DataFrame:
-    """Everything the detailed path reads from a product page, without the HTML."""
-    read = pages.withColumn("_links", anchors("html")).withColumns({
-        "plan_name": plan_title(),
+    """Everything the detailed path reads from product pages that carry a plan
+    name, without the HTML. The page text stays only where there is no brochure
+    link, as nothing else needs it."""
+    named = spread(pages.withColumn("_links", anchors("html")), F.array(plan_title()),
+                   ["*"], "plan_name")
+    read = named.withColumns({
         "description": description(),
         "benefits": benefits(),
         "page_text": body_text("html"),
         "brochure_url": brochure_link(links=F.col("_links")),
     })
     aged = with_page_facts(read.withColumn("eligible_age", eligible_age("page_text")))
-    return aged.drop("html", "_links")
+    return aged.drop("html", "_links").withColumn(
+        "page_text", F.when(F.col("brochure_url").isNull(), F.col("page_text")))
 
 

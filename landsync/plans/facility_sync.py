@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landsync import schemas
-from landsync.operators.dedup import unique_facilities, with_id
+from landsync.operators.dedup import unique_facilities
 from landsync.operators.merge import align, upsert
 from landsync.operators.records import facility_records, rename_sheet
 from landsync.sources.store import (PREFIX, read_snapshot, replace_partitions, touched,
@@ -15,9 +15,11 @@ from landsync.sources.store import (PREFIX, read_snapshot, replace_partitions, t
 
 def facility_batch(rows: DataFrame, run_ts: Column | None = None,
                    protect_enrichment: bool = False) -> DataFrame:
-    """Renamed rows (with ``seq``) to unique facility records."""
-    records = facility_records(rows, run_ts, protect_enrichment)
-    return unique_facilities(with_id(records)).drop("seq")
+    """Renamed rows (with ``seq``) to unique facility records. Rows that cannot have
+    an id go first, which spares computing the id twice."""
+    whole = rows.filter(F.col("name").isNotNull() & F.col("address").isNotNull())
+    records = facility_records(whole, run_ts, protect_enrichment)
+    return unique_facilities(records).drop("seq")
 
 
 def sync_facilities(sheet: DataFrame, root: str, run_ts: Column | None = None,

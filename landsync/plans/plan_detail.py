@@ -21,7 +21,7 @@ def detail_links(listing_pages: DataFrame) -> DataFrame:
 def named_pages(product_pages: DataFrame) -> DataFrame:
     """Facts of product pages that carry a plan name. ``product_pages`` has
     ``link_rank``."""
-    return product_page_facts(product_pages).filter(F.col("plan_name").isNotNull())
+    return product_page_facts(product_pages)
 
 
 def classification_prompts(named: DataFrame) -> DataFrame:
