@@ -18,6 +18,7 @@ from landsync.functions.html import (absolute, all_hrefs, all_texts, anchors, bo
 from landsync.functions.text import (blank_to_null, col, contains_any, first_of, only_if,
                                      squeeze, utrim)
 from landsync.operators.filters import is_plan_name, link_allowed
+from landsync.operators.merge import small_side
 
 
 def per_provider(provider: Column | str, make: Callable[[str], Column],
@@ -162,6 +163,16 @@ def listing_links(pages: DataFrame) -> DataFrame:
     return product_links(pages, {p[0]: rules.LISTING_LINK_RULES for p in rules.PROVIDERS})
 
 
+def landed_products(links: DataFrame, pages: DataFrame) -> DataFrame:
+    """The landed pages of a set of links, with ``link_rank``.
+
+    ``links`` is capped per provider and so small; it is broadcast after a check
+    of its size, which keeps the HTML out of the shuffle.
+    """
+    wanted = links.select("provider_key", "url", "link_rank")
+    return pages.select("url", "html").join(small_side(wanted), "url")
+
+
 def coverage_flags(text: Column | str,
                    words: dict[str, list[str]] | None = None) -> dict[str, Column]:
     """Coverage columns from text: true where a word of the group occurs, else null.

@@ -12,6 +12,7 @@ from landsync import schemas
 from landsync.functions.text import (blank_to_null, col, deterministic_id, is_open_24_hours,
                                      parse_int, parse_money, parse_percentage, truthy,
                                      truthy_coalesce)
+from landsync.operators.merge import small_side
 
 # Raw sheet column -> facility column.
 SHEET_TO_FACILITY = {
@@ -103,6 +104,8 @@ def flatten_places(df: DataFrame, search: str = "search_json",
               .withColumn("_details", parse_details(details)["result"])
     has_place = truthy(hit["place_id"], "string")
     opening = F.col("_details.opening_hours")
+    has_hours = (opening["weekday_text"].isNotNull() | opening["periods"].isNotNull()
+                 | opening["open_now"].isNotNull())
     hours = F.struct(
         F.coalesce(opening["weekday_text"], F.array().cast("array<string>")).alias("weekday_text"),
         F.coalesce(opening["periods"], F.parse_json(F.lit("[]"))).alias("periods"))
@@ -113,7 +116,7 @@ def flatten_places(df: DataFrame, search: str = "search_json",
         "longitude": hit["geometry"]["location"]["lng"],
         "phone": F.when(has_place, phone),
         "website": F.when(has_place, F.col("_details.website")),
-        "operating_hours": F.when(has_place & opening.isNotNull(), hours),
+        "operating_hours": F.when(has_place & has_hours, hours),
         "google_place_id": blank_to_null(hit["place_id"]),
         "google_rating": hit["rating"],
         "google_reviews_count": hit["user_ratings_total"],
@@ -132,20 +135,20 @@ def plan_records(raw: DataFrame, providers: DataFrame,
 
     def fact(name: str, kind: str = "string", default: str | None = None) -> Column:
         if name in kinds:
-            return F.col(f"raw.{name}").cast(kind)
+            return F.col(f"raw.{name}").try_cast(kind)
         return F.lit(default).cast(kind)
 
     def number(name: str, parse, kind: str) -> Column:
         if name not in kinds:
             return F.lit(None).cast(kind)
         value = F.col(f"raw.{name}")
-        return parse(value) if kinds[name] == "string" else value.cast(kind)
+        return parse(value) if kinds[name] == "string" else value.try_cast(kind)
 
     dim = providers.select("provider_key", F.col("name").alias("_name"),
                            F.col("contact_phone").alias("_phone"),
                            F.col("website").alias("_site")).alias("dim")
     joined = raw.alias("raw").join(
-        dim, F.col("raw.provider_key") == F.col("dim.provider_key"), "left")
+        small_side(dim), F.col("raw.provider_key") == F.col("dim.provider_key"), "left")
     provider_name = F.coalesce(F.col("_name"), F.col("raw.provider_key"))
     plan_name = fact("plan_name", default=DEFAULT_PLAN_NAME)
     out = {

@@ -28,13 +28,15 @@ def lookup_results(pages: DataFrame) -> DataFrame:
     """
     blocked = F.coalesce(blocked_page("html"), F.lit(False))
     point = coordinates("url")
-    ratings = F.transform("rating_texts", parse_rating)
+    ratings = F.transform(F.filter("rating_texts", lambda t: t != ""), parse_rating)
     usable = F.filter(ratings, lambda r: r.isNotNull() & (r != 0))
     facts = {
         "latitude": point["latitude"],
         "longitude": point["longitude"],
         "google_place_id": place_id("url"),
-        "google_rating": F.get(usable, F.lit(0)),
+        # Without a usable rating the last one read stands, be it 0 or nothing.
+        "google_rating": F.coalesce(F.get(usable, F.lit(0)),
+                                    F.try_element_at(ratings, F.lit(-1))),
         "phone": pick_phone("phone_attribute", "phone_label", "phone_tooltips", "panel_texts"),
         "operating_hours": pick_hours("hours_groups", "hours_label"),
         "services": pick_services("service_groups"),

@@ -10,6 +10,7 @@ from landsync.operators.dedup import first_links, keep_first
 from landsync.operators.extract import product_links, product_page_facts
 from landsync.operators.filters import is_medical
 from landsync.operators.inference import analysis_input, class_prompts, prompts
+from landsync.operators.merge import small_side
 from landsync.operators.records import merge_facts, plan_records
 
 
@@ -43,7 +44,7 @@ def analysis_prompts(accepted: DataFrame, brochures: DataFrame,
                      providers: DataFrame) -> DataFrame:
     """Prompts for accepted pages with something to analyse."""
     named = accepted.join(
-        providers.select("provider_key", F.col("name").alias("provider_name")),
+        small_side(providers.select("provider_key", F.col("name").alias("provider_name"))),
         "provider_key", "left")
     return prompts(analysis_input(named, brochures)).select("provider_key", "url", "prompt")
 

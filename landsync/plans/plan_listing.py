@@ -10,6 +10,7 @@ from landsync.operators.dedup import first_links, unique_names
 from landsync.operators.extract import (body_candidates, heading_candidates, listing_links,
                                         title_candidates, with_page_facts)
 from landsync.operators.filters import false_name, is_plan_name
+from landsync.operators.merge import small_side
 from landsync.operators.records import DEFAULT_COVERAGE, DEFAULT_PLAN_TYPE, plan_records
 
 
@@ -42,9 +43,13 @@ def listing_plans(listing_pages: DataFrame, product_pages: DataFrame,
         facts.alias("f"),
         (F.col("n.strategy") == 2) & (F.col("n.url") == F.col("f.url"))
         & (F.col("n.provider_key") == F.col("f.provider_key")), "left")
+    # A name from the listing leads to the listing, one from a product page to that.
+    site = providers.select(F.col("provider_key").alias("_key"), "products_url")
+    joined = joined.join(small_side(site), F.col("n.provider_key") == F.col("_key"), "left")
+    website = F.when(F.col("n.strategy") == 2, F.col("n.url")).otherwise(F.col("products_url"))
     raw = joined.select(
         "n.provider_key", "n.strategy", "n.rank", "n.pos",
         F.col("n.name").alias("plan_name"), F.lit(DEFAULT_PLAN_TYPE).alias("plan_type"),
-        F.lit(DEFAULT_COVERAGE).alias("coverage_type"), F.col("n.url").alias("website"),
+        F.lit(DEFAULT_COVERAGE).alias("coverage_type"), website.alias("website"),
         *[F.col(f"f.{c}") for c in (*schemas.COVERAGE_FIELDS, *schemas.LIMIT_FIELDS)])
     return plan_records(raw, providers, keep=("strategy", "rank", "pos"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # --- Fixed values: provider dimension -------------------------------------
 PROVIDERS = [
@@ -32,8 +33,7 @@ PROVIDERS = [
      "https://www.etiqa.com.my/health",
      "1300-13-8888", "https://www.etiqa.com.my"),
 ]
-PROVIDER_SCHEMA = ("provider_key string, name string, base_url string, products_url string, "
-                   "contact_phone string, website string")
+PROVIDER_COLUMNS = ["provider_key", "name", "base_url", "products_url", "contact_phone", "website"]
 
 # Order in which providers are visited on the detailed path.
 DETAIL_ORDER = ["AIA", "Allianz", "GreatEastern", "Etiqa", "Prudential"]
@@ -319,5 +319,10 @@ MEDICAL_NAMES = ["Medical", "MediCard", "MediValue", "Health Direct"]
 
 
 def provider_table(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
-    """The provider dimension as a DataFrame; ``rows`` replaces the built-in set."""
-    return spark.createDataFrame(PROVIDERS if rows is None else rows, PROVIDER_SCHEMA)
+    """The provider dimension as a DataFrame; ``rows`` replaces the built-in set.
+
+    Built from literals, so that Spark knows its size and broadcasts it.
+    """
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(PROVIDER_COLUMNS, row)])
+               for row in (PROVIDERS if rows is None else rows)]
+    return spark.range(1).select(F.inline(F.array(*structs)))

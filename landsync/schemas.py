@@ -110,4 +110,5 @@ PLACE_SEARCH = T.StructType([T.StructField("results", T.ArrayType(T.StructType([
 
 PLACE_DETAILS = T.StructType([T.StructField("result", T.StructType(
     _fields(["formatted_phone_number", "international_phone_number", "website"], T.StringType())
-    + _fields(["opening_hours"], HOURS)))])
+    + _fields(["opening_hours"], T.StructType(
+        [*HOURS.fields, T.StructField("open_now", T.BooleanType())]))))])

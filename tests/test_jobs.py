@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from landsync import rules, schemas
 from landsync.operators import inference
+from landsync.operators.extract import landed_products
 from landsync.operators.stats import sync_report
 from landsync.plans import (enrichment, facility_sync, plan_detail, plan_listing, plan_sync)
 from landsync.sources import store
@@ -131,6 +132,16 @@ def test_links(spark):
         "/en/our-products/life-protection/a-life.html?x=1", "/p/health-one.html")]
 
 
+def test_landed_products(spark):
+    links = plan_detail.detail_links(listing_pages(spark))
+    pages = spark.createDataFrame([
+        ("https://www.prudential.com.my/products-riders/prumillion-med/", "<h1>a</h1>"),
+        ("https://www.prudential.com.my/elsewhere", "<h1>b</h1>")], "url string, html string")
+    got = landed_products(links, pages).collect()
+    assert [(r.provider_key, r.link_rank, r.html) for r in got] == [
+        ("Prudential", 1, "<h1>a</h1>")]
+
+
 def test_fast_path(spark, tmp_path):
     products = spark.createDataFrame([
         ("AIA", "https://www.aia.com.my/p/1", 1,
