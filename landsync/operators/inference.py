@@ -113,10 +113,13 @@ def analysis_input(page_facts: DataFrame, brochures: DataFrame) -> DataFrame:
 
     ``brochures`` has ``brochure_url`` and ``text``.
     """
-    joined = page_facts.join(
-        brochures.select("brochure_url", F.col("text").alias("_brochure")),
-        "brochure_url", "left")
+    # Pages without a link get a key of their own, or they would all meet in one task.
+    key = F.coalesce(F.col("brochure_url"), F.concat(F.lit("none:"), F.col("url")))
+    landed = brochures.select(F.col("brochure_url").alias("_link"), F.col("text").alias("_brochure"))
+    keyed = page_facts.withColumn("_key", key)
+    joined = keyed.join(landed, F.col("_key") == F.col("_link"), "left")
     own = F.when(F.col("brochure_url").isNull() & (F.length("page_text") > 500),
                  F.col("page_text"))
     text = F.when(F.col("brochure_url").isNotNull(), blank_to_null(F.col("_brochure")))
-    return joined.withColumn("text", F.coalesce(text, own)).drop("_brochure")
+    return (joined.withColumn("text", F.coalesce(text, own))
+            .drop("_brochure", "_link", "_key"))

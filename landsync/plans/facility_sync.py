@@ -23,14 +23,15 @@ def facility_batch(rows: DataFrame, run_ts: Column | None = None,
 
 
 def sync_facilities(sheet: DataFrame, root: str, run_ts: Column | None = None,
-                    protect_enrichment: bool = False) -> dict[str, int]:
+                    protect_enrichment: bool = False,
+                    buckets: int | None = None) -> dict[str, int]:
     """Upsert a raw sheet into the stored facility table; returns the counts
-    ``rows`` and ``pending`` of the new version."""
+    ``rows`` and ``pending`` of the new version. See the store for ``buckets``."""
     spark = sheet.sparkSession
     batch = facility_batch(rename_sheet(sheet), run_ts, protect_enrichment)
-    stored = align(read_snapshot(spark, root, schemas.FACILITY), schemas.FACILITY)
+    stored = align(read_snapshot(spark, root, schemas.FACILITY, buckets), schemas.FACILITY)
     waiting = F.col("latitude").isNull() & F.col("is_active")
-    return write_snapshot(upsert(stored, batch), root, observe={
+    return write_snapshot(upsert(stored, batch), root, buckets=buckets, observe={
         "rows": F.count(F.lit(1)),
         "pending": F.sum(F.when(waiting, 1).otherwise(0)),
     })

@@ -21,21 +21,22 @@ def union_providers(parts: list[DataFrame]) -> DataFrame:
 
 def sync_stored_plans(plans: DataFrame, root: str, order: tuple[str, ...],
                       run_ts: Column | None = None, null_policy: str = "overwrite",
-                      reactivate: bool = False) -> dict[str, int]:
+                      reactivate: bool = False,
+                      buckets: int | None = None) -> dict[str, int]:
     """Diff scraped plans with the stored table and write its next version.
 
-    The statistics are taken while the version is written.
+    The statistics are taken while the version is written. See the store for
+    ``buckets``.
     """
     spark = plans.sparkSession
-    stored = read_snapshot(spark, root, schemas.PLAN)
-    stored = align(stored, schemas.PLAN)
+    stored = align(read_snapshot(spark, root, schemas.PLAN, buckets), schemas.PLAN)
     incoming = unique_plans(plans, order)
     nexts = sync_plans(stored, incoming, run_ts, null_policy, reactivate)
 
     def hits(status: str) -> Column:
         return F.sum(F.when(F.col("sync_status") == status, 1).otherwise(0))
 
-    counts = write_snapshot(nexts, root, observe={
+    counts = write_snapshot(nexts, root, buckets=buckets, observe={
         "new": hits("new"), "updated": hits("updated"), "unchanged": hits("unchanged"),
         "errors": hits("conflict")})
     counts = {k: v or 0 for k, v in counts.items()}

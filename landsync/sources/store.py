@@ -4,6 +4,11 @@ A Parquet table cannot be replaced while it is read, so every write goes to a
 new folder ``v=N``. A version counts once Spark has put ``_SUCCESS`` into it,
 so a lost executor or a failed job leaves the old version in force.
 
+Given a number of ``buckets``, a snapshot is clustered by ``id``: the join of the
+next run then reads the stored side without a shuffle, and its result is written
+as it lies. With as many buckets as shuffle partitions the input is shuffled once,
+for its de-duplication.
+
 For a large table with a small batch, partition the table by a prefix of its id
 and use ``replace_partitions``: only partitions the batch falls into are read
 and written.
@@ -11,6 +16,8 @@ and written.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,33 +45,61 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(found)
 
 
-def read_snapshot(spark: SparkSession, root: str, schema=None) -> DataFrame:
-    """The newest complete version; an empty table of ``schema`` if there is none."""
+def _bucketed_table(root: str, number: int) -> str:
+    return f"landsync_{hashlib.sha256(root.encode()).hexdigest()[:16]}_v{number}"
+
+
+def _bucketed(spark: SparkSession, root: str, number: int, buckets: int) -> DataFrame:
+    """A version as a table clustered by id; the session's catalog learns of it
+    on first use."""
+    name = _bucketed_table(root, number)
+    if not spark.catalog.tableExists(name):
+        path = f"{root}/v={number}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                            for f in spark.read.parquet(path).schema)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (id) "
+                  f"SORTED BY (id) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def read_snapshot(spark: SparkSession, root: str, schema=None,
+                  buckets: int | None = None) -> DataFrame:
+    """The newest complete version; an empty table of ``schema`` if there is none.
+    ``buckets`` must be the number the version was written with."""
     have = versions(spark, root)
     if not have:
         if schema is None:
             raise FileNotFoundError(f"no complete version under {root}")
         return spark.createDataFrame([], schema)
+    if buckets:
+        return _bucketed(spark, root, have[-1], buckets)
     return spark.read.parquet(f"{root}/v={have[-1]}")
 
 
 def write_snapshot(df: DataFrame, root: str, partition_by: list[str] | None = None,
-                   observe: dict[str, Column] | None = None) -> dict[str, int]:
+                   observe: dict[str, Column] | None = None,
+                   buckets: int | None = None) -> dict[str, int]:
     """Write the next version. ``observe`` names aggregates to take during the
     write, so statistics need no second pass."""
     spark = df.sparkSession
     have = versions(spark, root)
     number = have[-1] + 1 if have else 0
+    path = f"{root}/v={number}"
     watch = None
     if observe:
         watch = Observation("snapshot")
         df = df.observe(watch, *[v.alias(k) for k, v in observe.items()])
     # A leftover of a failed attempt at this number is overwritten.
-    if partition_by:
-        writer = _per_folder(df, partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    if buckets:
+        name = _bucketed_table(root, number)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        (df.write.mode("overwrite").bucketBy(buckets, "id").sortBy("id")
+         .format("parquet").option("path", path).saveAsTable(name))
+    elif partition_by:
+        (_per_folder(df, partition_by).write.mode("overwrite")
+         .partitionBy(*partition_by).parquet(path))
     else:
-        writer = df.write.mode("overwrite")
-    writer.parquet(f"{root}/v={number}")
+        df.write.mode("overwrite").parquet(path)
     return dict(watch.get) if watch else {}
 
 
@@ -72,6 +107,7 @@ def expire(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
     """Delete all but the newest ``keep`` versions; returns the deleted numbers."""
     old = versions(spark, root)[:-keep] if keep > 0 else []
     for number in old:
+        spark.sql(f"DROP TABLE IF EXISTS {_bucketed_table(root, number)}")
         path, fs = _folder(spark, f"{root}/v={number}")
         fs.delete(path, True)
     return old

@@ -18,8 +18,9 @@ from landsync import schemas
 from landsync.operators.dedup import keep_first
 from landsync.operators.merge import align, apply_results, fold_results, upsert
 from landsync.operators.stats import count_if
+from landsync.plans.enrichment import enrich_in_place
 from landsync.plans.facility_sync import facility_batch
-from landsync.sources.store import read_snapshot, write_snapshot
+from landsync.sources.store import expire, read_snapshot, write_snapshot
 
 
 def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str,
@@ -39,14 +40,16 @@ def landed(spark: SparkSession, path: str, schema, fmt: str = "parquet",
 
 
 def stream_facilities(rows: DataFrame, root: str, checkpoint: str,
-                      protect_enrichment: bool = False,
+                      protect_enrichment: bool = False, keep: int = 3,
                       trigger: dict | None = None) -> StreamingQuery:
-    """Upsert facility rows (renamed, with ``seq``) into the stored table."""
+    """Upsert facility rows (renamed, with ``seq``) into the stored table, of which
+    the newest ``keep`` versions stay."""
     def each(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
         stored = align(read_snapshot(spark, root, schemas.FACILITY), schemas.FACILITY)
         records = facility_batch(batch, protect_enrichment=protect_enrichment)
         write_snapshot(upsert(stored, records), root)
+        expire(spark, root, keep)
 
     return _start(rows, each, checkpoint, trigger=trigger)
 
@@ -54,17 +57,25 @@ def stream_facilities(rows: DataFrame, root: str, checkpoint: str,
 def stream_results(results: DataFrame, root: str, checkpoint: str,
                    seq: tuple[str, ...] = ("seq",), time: str | None = None,
                    dedup: str | None = None, delay: str = "2 hours",
+                   in_place: bool = False, keep: int = 3,
                    trigger: dict | None = None) -> StreamingQuery:
     """Apply lookup results to the stored facility table as they arrive.
 
     With ``dedup`` (a result id) and ``time``, replays within ``delay`` are dropped.
+    ``in_place`` is for a table in id-prefix folders: each batch then touches only
+    the folders it falls into; else every batch writes a version of which the
+    newest ``keep`` stay.
     """
     if dedup:
         results = results.withWatermark(time, delay).dropDuplicatesWithinWatermark([dedup])
 
     def each(batch: DataFrame, _batch_id: int) -> None:
+        if in_place:
+            enrich_in_place(batch, root, seq=seq)
+            return
         stored = read_snapshot(batch.sparkSession, root)
         write_snapshot(apply_results(stored, fold_results(batch, seq)), root)
+        expire(batch.sparkSession, root, keep)
 
     return _start(results, each, checkpoint, trigger=trigger)
 

@@ -6,6 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from landsync.operators import merge
+from landsync.operators.dedup import unique_plans
+from landsync.plans import plan_sync
 from landsync.sources import landed, sheet, state, store
 
 HEADER = 'BIL, jenis_fasiliti ,POSKOD,NAMA_PENUH_FASILITI,ALAMAT,Other,poskod'
@@ -157,3 +160,32 @@ def test_state(spark, tmp_path):
     later = spark.createDataFrame([("a", "2025-01-01T08:00:01+08:00")],
                                   "source_id string, modified_time string")
     assert state.changed_sources(later, state.read_state(spark, root)).first().changed
+
+
+def test_buckets_spare_the_shuffle(spark, tmp_path):
+    root = str(tmp_path / "b")
+    plans = spark.range(200).select(
+        F.col("id").alias("seq"), F.md5(F.col("id").cast("string")).alias("id"),
+        F.lit("P").alias("provider_name"), F.col("id").cast("double").alias("annual_limit"),
+        F.lit(True).alias("is_active"))
+    first = plan_sync.sync_stored_plans(plans, root, ("seq",), buckets=4)
+    assert first["new"] == 200
+    more = plans.withColumn("annual_limit", F.col("annual_limit") + (F.col("seq") < 5).cast("int"))
+    second = plan_sync.sync_stored_plans(more, root, ("seq",), buckets=4)
+    assert (second["updated"], second["unchanged"]) == (5, 195)
+    files = [f for f in os.listdir(f"{root}/v=1") if f.endswith(".parquet")]
+    assert len(files) == 4  # one per bucket: the join result is written as it lies
+    stored = store.read_snapshot(spark, root, buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        nexts = merge.sync_plans(stored.drop("sync_status"), unique_plans(more))
+        got = nexts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in got
+    # Another session knows nothing of the table and registers it anew.
+    other = spark.newSession()
+    other.sql(f"DROP TABLE {store._bucketed_table(root, 1)}")
+    again = store.read_snapshot(other, root, buckets=4)
+    assert again.count() == 200 and again.filter("annual_limit = 5").count() == 2
+    assert store.expire(spark, root, keep=1) == [0]

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from landsync.operators.merge import apply_results, fold_results
-from landsync.sources.store import read_snapshot, write_snapshot
+from landsync.sources.store import (read_snapshot, replace_partitions, with_prefix,
+                                    write_snapshot)
 from landsync.streaming import jobs
 
 RESULT = ("seq long, ts timestamp, clinic_id string, scrape_success boolean, latitude double, "
@@ -49,6 +50,17 @@ def test_results_stream(spark, results, tmp_path, parts):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+def test_results_stream_in_place(spark, results, tmp_path):
+    path, inbox = str(tmp_path / "t"), str(tmp_path / "in")
+    replace_partitions(with_prefix(facilities(spark)), path)
+    land(results, inbox, 3)
+    jobs.stream_results(jobs.landed(spark, inbox, results.schema, files_per_batch=1), path,
+                        str(tmp_path / "c"), in_place=True).awaitTermination()
+    want = apply_results(facilities(spark), fold_results(results))
+    got = spark.read.parquet(path).select(*want.columns)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
 def test_restart_and_replay(spark, results, tmp_path):
     root, inbox, mark = (str(tmp_path / n) for n in ("t", "in", "c"))
     write_snapshot(facilities(spark), root)
