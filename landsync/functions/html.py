@@ -22,6 +22,10 @@ _ATTR = re.compile(r"\[(?P<name>[\w-]+)(?:(?P<op>[*^$]?=)'(?P<value>[^']*)')?\]"
 # Where a block of unknown extent ends at the latest.
 _BLOCK_END = r"(?i)</(?:main|section)\s*>|<footer\b"
 _LEAF_TAGS = {"a", "article", "main"}
+# Browsers end these elements at the next one of their kind. Stopping there also
+# keeps a page full of unclosed tags from being scanned to its end for each.
+_ANCHOR_END = r"(?=</a\s*>|<a\b|\z)"
+_HEADING_END = r"(?=</?h[1-6]\b|\z)"
 # A paragraph may be left open; the next block ends it.
 _PARAGRAPH_END = (r"(?=</?(?:p|div|ul|ol|h[1-6]|table|section|article|main|footer|header|nav|form)\b"
                   r"|</body|\z)")
@@ -63,8 +67,10 @@ def selector(css: str) -> Selector:
     """Compile ``target`` or ``scope target``."""
     *outer, target = css.split()
     opening, tag = _opening(target)
-    if tag == "p":
-        element, group = rf"(?s){opening}[^>]*>(.*?){_PARAGRAPH_END}", 2
+    ends = {"p": _PARAGRAPH_END, "a": _ANCHOR_END,
+            **{f"h{i}": _HEADING_END for i in range(1, 7)}}
+    if tag in ends:
+        element, group = rf"(?s){opening}[^>]*>(.*?){ends[tag]}", 2
     elif tag:
         element, group = rf"(?s){opening}[^>]*>(.*?)</{tag}\s*>", 2
     else:
@@ -138,7 +144,7 @@ def all_hrefs(html: Column | str, css: str) -> Column:
 
 def anchors(html: Column | str) -> Column:
     """All anchors of a page as ``array<struct<href, text>>``."""
-    blocks = F.regexp_extract_all(col(html), F.lit(r"(?is)<a\b[^>]*>.*?</a\s*>"), F.lit(0))
+    blocks = F.regexp_extract_all(col(html), F.lit(rf"(?is)<a\b[^>]*>.*?{_ANCHOR_END}"), F.lit(0))
     return F.transform(blocks, lambda b: F.struct(
         F.regexp_extract(b, r"(?is)^<a\b[^>]*?\shref\s*=\s*[\"']([^\"']*)[\"']", 1).alias("href"),
         text_of(b).alias("text")))

@@ -1,6 +1,7 @@
 """Golden values of the column expressions."""
 
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,3 +154,23 @@ def test_hrefs_and_text(spark):
     assert (links[-1].href, links[-1].text) == ("files/b.pdf", "Download Brochure")
     got = values(spark, ["/a", "b", "http://c"], lambda c: H.absolute(c, "https://h"))
     assert got == ["https://h/a", "https://h/b", "http://c"]
+
+
+def test_unclosed_tags(spark):
+    page = "<h2>One<h2>Two</h2><a href='/1'>x<a href='/2'>y</a><p>first<p>second</div>z"
+    assert values(spark, [page], lambda c: H.all_texts(c, "h2")) == [["One", "Two"]]
+    assert values(spark, [page], lambda c: H.all_texts(c, "p")) == [["first", "second"]]
+    links = values(spark, [page], H.anchors)[0]
+    assert [(a.href, a.text) for a in links] == [("/1", "x"), ("/2", "y")]
+
+
+def test_large_page_with_unclosed_tags(spark):
+    """Three megabytes of tags that never close take no time to speak of."""
+    df = spark.range(1).select(F.concat(
+        F.repeat(F.lit("<a href='/x'>t <h2>"), 100_000), F.repeat(F.lit("word "), 200_000))
+        .alias("v"))
+    start = time.time()
+    row = df.select(F.size(H.anchors("v")).alias("a"), F.size(H.all_texts("v", "h2")).alias("h"),
+                    F.length(H.body_text("v")).alias("n")).first()
+    assert row.a == 100_000 and row.h >= 1 and row.n > 1_000_000
+    assert time.time() - start < 60
