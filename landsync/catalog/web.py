@@ -92,8 +92,7 @@ SELECT strategy, rank, pos, url, name FROM (SELECT *, row_number() OVER (
 WHERE rn = 1""")
 def set2_union_strategies(spark: SparkSession, sf: str) -> DataFrame:
     """Names of all strategies, one per name over all pages."""
-    p = pages(spark, sf)
-    found = extract.heading_candidates(p, HEADINGS).unionByName(extract.body_candidates(p, BODY))
+    found = extract.listing_candidates(pages(spark, sf), HEADINGS, BODY)
     return unique_names(found, ("strategy", "rank", "pos", "url")).drop("provider_key")
 
 

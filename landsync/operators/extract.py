@@ -19,6 +19,7 @@ from landsync.functions.text import (blank_to_null, col, contains_any, first_of,
                                      squeeze, utrim)
 from landsync.operators.filters import is_plan_name, link_allowed
 from landsync.operators.merge import small_side
+from landsync.session import settle
 
 
 def per_provider(provider: Column | str, make: Callable[[str], Column],
@@ -61,24 +62,40 @@ def _candidates(pages: DataFrame, found: Column) -> DataFrame:
     return spread(pages, found, ["provider_key", "url"]).select("provider_key", "url", "_one.*")
 
 
+def _headings(table: dict[str, list[str]]) -> Column:
+    return per_provider("provider_key", lambda key: F.concat(
+        *[_numbered(all_texts("html", css), 0, rank) for rank, css in enumerate(table[key])]),
+        list(table))
+
+
+def _body_names(table: dict[str, list[str]]) -> Column:
+    def matches(pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all("html", F.lit(pattern), F.lit(0)), utrim)
+
+    return per_provider("provider_key", lambda key: F.concat(
+        *[_numbered(matches(p), 1, rank) for rank, p in enumerate(table[key])]), list(table))
+
+
 def heading_candidates(pages: DataFrame,
                        selectors: dict[str, list[str]] | None = None) -> DataFrame:
     """Texts of the provider's heading selectors: strategy 0, ranked by selector."""
-    table = rules.HEADING_SELECTORS if selectors is None else selectors
-    found = per_provider("provider_key", lambda key: F.concat(
-        *[_numbered(all_texts("html", css), 0, rank) for rank, css in enumerate(table[key])]),
-        list(table))
-    return _candidates(pages, found)
+    return _candidates(pages, _headings(selectors or rules.HEADING_SELECTORS))
 
 
 def body_candidates(pages: DataFrame,
                     patterns: dict[str, list[str]] | None = None) -> DataFrame:
     """Every match of the provider's name patterns: strategy 1, ranked by pattern."""
-    table = rules.BODY_NAME_PATTERNS if patterns is None else patterns
-    found = per_provider("provider_key", lambda key: F.concat(
-        *[_numbered(F.transform(F.regexp_extract_all("html", F.lit(p), F.lit(0)), utrim), 1, rank)
-          for rank, p in enumerate(table[key])]), list(table))
-    return _candidates(pages, found)
+    return _candidates(pages, _body_names(patterns or rules.BODY_NAME_PATTERNS))
+
+
+def listing_candidates(pages: DataFrame, selectors: dict[str, list[str]] | None = None,
+                       patterns: dict[str, list[str]] | None = None) -> DataFrame:
+    """Both kinds of candidate in one pass over the pages."""
+    none = F.array().cast("array<struct<strategy:int,rank:int,pos:int,name:string>>")
+    both = [F.coalesce(found, none)
+            for found in (_headings(selectors or rules.HEADING_SELECTORS),
+                          _body_names(patterns or rules.BODY_NAME_PATTERNS))]
+    return _candidates(pages, F.concat(*both))
 
 
 def page_title(html: Column | str = "html", provider: Column | str = "provider_key",
@@ -116,15 +133,17 @@ def plan_title(html: Column | str = "html", url: Column | str = "url",
                       F.when(col(provider).isin(rules.URL_TITLES), slug_name(url)))
 
 
-def title_candidates(pages: DataFrame, order: str = "link_rank") -> DataFrame:
-    """The ``h1`` of visited product pages: strategy 2, ranked by link.
-
-    The title comes out of a generator, so that later filters on the name do not
-    search the page again.
-    """
+def title_candidates(pages: DataFrame, order: str = "link_rank",
+                     facts: bool = False) -> DataFrame:
+    """Valid plan names among the ``h1`` of visited product pages: strategy 2,
+    ranked by link; with ``facts`` also the coverage and limits of the page."""
     keep = ["provider_key", "url", F.lit(2).alias("strategy"),
             F.col(order).cast("int").alias("rank"), F.lit(0).alias("pos")]
-    return spread(pages, F.array(first_text("html", "h1")), keep, "name")
+    if facts:
+        keep.append(F.col("html"))
+    named = (spread(pages, F.array(first_text("html", "h1")), keep, "name")
+             .filter(is_plan_name("name")))
+    return with_page_facts(named).drop("html") if facts else named
 
 
 def _rule_links(rule: rules.LinkRule, rank: int, base: Column) -> Column:
@@ -166,10 +185,10 @@ def listing_links(pages: DataFrame) -> DataFrame:
 def landed_products(links: DataFrame, pages: DataFrame) -> DataFrame:
     """The landed pages of a set of links, with ``link_rank``.
 
-    ``links`` is capped per provider and so small; it is broadcast after a check
-    of its size, which keeps the HTML out of the shuffle.
+    ``links`` is capped per provider and so small; it is computed once and broadcast
+    after a check of its size, which keeps the HTML out of the shuffle.
     """
-    wanted = links.select("provider_key", "url", "link_rank")
+    wanted = settle(links.select("provider_key", "url", "link_rank"))
     return pages.select("url", "html").join(small_side(wanted), "url")
 
 

@@ -30,7 +30,7 @@ def _fill(df: DataFrame, like: T.StructType) -> list[Column]:
 
 def upsert(target: DataFrame, batch: DataFrame, key: str = "id") -> DataFrame:
     """Insert new keys; for known keys overwrite the columns the batch has (its
-    nulls too) and keep the others."""
+    nulls too) and keep the others. Columns unknown to the target are left out."""
     old, new = target.alias("old"), batch.withColumn("_in", F.lit(True)).alias("new")
     joined = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
     here = F.col("new._in").isNotNull()
@@ -150,7 +150,7 @@ def missing_plans(existing: DataFrame, active: DataFrame,
 
     ``active`` has ``provider_name`` and ``id``. Only providers in ``providers``
     (default: those in ``active``) are looked at; naming one with no active id
-    gives all its plans.
+    gives all its plans. Pass ``providers`` where ``active`` is costly to compute.
     """
     scope = (active if providers is None else providers).select("provider_name").distinct()
     return (existing.filter(F.col("is_active"))

@@ -1,4 +1,8 @@
-"""Detailed plan path: product pages, brochures and model replies to plans."""
+"""Detailed plan path: product pages, brochures and model replies to plans.
+
+The steps wait for replies in between. Write ``named_pages`` and
+``accepted_pages`` out as tables, so that no page is read twice.
+"""
 
 from __future__ import annotations
 

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from landsync import rules, schemas
 from landsync.operators.dedup import first_links, unique_names
-from landsync.operators.extract import (body_candidates, heading_candidates, listing_links,
-                                        title_candidates, with_page_facts)
+from landsync.operators.extract import listing_candidates, listing_links, title_candidates
 from landsync.operators.filters import false_name, is_plan_name
 from landsync.operators.merge import small_side
 from landsync.operators.records import DEFAULT_COVERAGE, DEFAULT_PLAN_TYPE, plan_records
@@ -21,35 +20,30 @@ def visited_links(listing_pages: DataFrame) -> DataFrame:
 
 
 def name_candidates(listing_pages: DataFrame, product_pages: DataFrame) -> DataFrame:
-    """Valid names of all three strategies, false hits in running text removed."""
-    body = body_candidates(listing_pages)
-    body = body.filter(~false_name("provider_key", "name"))
-    found = (heading_candidates(listing_pages).unionByName(body)
-             .unionByName(title_candidates(product_pages)))
-    return found.filter(is_plan_name("name"))
+    """Valid names of all three strategies, false hits in running text removed.
+    Names from product pages bring the facts of their page along."""
+    listed = listing_candidates(listing_pages)
+    false_hit = (F.col("strategy") == 1) & false_name("provider_key", "name")
+    good = listed.filter(~false_hit & is_plan_name("name"))
+    return good.unionByName(title_candidates(product_pages, facts=True),
+                            allowMissingColumns=True)
 
 
 def listing_plans(listing_pages: DataFrame, product_pages: DataFrame,
                   providers: DataFrame) -> DataFrame:
     """Normalised plans of the fast path, with ``seq`` columns strategy, rank, pos.
 
-    ``product_pages`` carries ``link_rank``; its facts join only names that came
-    from product pages.
+    ``product_pages`` carries ``link_rank`` (see ``landed_products``). Every page is
+    read once; only names and facts are shuffled.
     """
-    names = unique_names(name_candidates(listing_pages, product_pages))
-    facts = with_page_facts(product_pages).select(
-        "provider_key", F.col("url"), *schemas.COVERAGE_FIELDS, *schemas.LIMIT_FIELDS)
-    joined = names.alias("n").join(
-        facts.alias("f"),
-        (F.col("n.strategy") == 2) & (F.col("n.url") == F.col("f.url"))
-        & (F.col("n.provider_key") == F.col("f.provider_key")), "left")
+    names = unique_names(name_candidates(listing_pages, product_pages)).alias("n")
     # A name from the listing leads to the listing, one from a product page to that.
     site = providers.select(F.col("provider_key").alias("_key"), "products_url")
-    joined = joined.join(small_side(site), F.col("n.provider_key") == F.col("_key"), "left")
-    website = F.when(F.col("n.strategy") == 2, F.col("n.url")).otherwise(F.col("products_url"))
+    joined = names.join(small_side(site), F.col("n.provider_key") == F.col("_key"), "left")
+    website = F.when(F.col("strategy") == 2, F.col("url")).otherwise(F.col("products_url"))
     raw = joined.select(
-        "n.provider_key", "n.strategy", "n.rank", "n.pos",
-        F.col("n.name").alias("plan_name"), F.lit(DEFAULT_PLAN_TYPE).alias("plan_type"),
+        "provider_key", "strategy", "rank", "pos",
+        F.col("name").alias("plan_name"), F.lit(DEFAULT_PLAN_TYPE).alias("plan_type"),
         F.lit(DEFAULT_COVERAGE).alias("coverage_type"), website.alias("website"),
-        *[F.col(f"f.{c}") for c in (*schemas.COVERAGE_FIELDS, *schemas.LIMIT_FIELDS)])
+        *schemas.COVERAGE_FIELDS, *schemas.LIMIT_FIELDS)
     return plan_records(raw, providers, keep=("strategy", "rank", "pos"))

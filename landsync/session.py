@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "landsync", master: str | None = None,
@@ -47,3 +47,12 @@ def shared_dir(spark: SparkSession) -> str:
     if app not in _LOCAL_DIRS:
         _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="landsync-")
     return _LOCAL_DIRS[app]
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a table once and go on from a reliable checkpoint in the shared
+    folder, for results that are costly to get and used more than once."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()

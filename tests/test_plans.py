@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from landsync.catalog import facility, plan
 from landsync.operators import dedup, extract, filters, merge, records
+from landsync.plans import plan_detail, plan_listing
 from landsync import rules
 
 SF = "/root/testdata/sf0.001"
@@ -73,15 +74,27 @@ def test_provider_dimension_is_broadcast(spark):
         assert "BroadcastHashJoin" in text(records.plan_records(raw, dim))
 
 
+def shuffled_columns(spark, df):
+    """Names of all columns that pass an exchange."""
+    shown = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    inputs = re.findall(r"\) (?:Broadcast)?Exchange\s*\nInput \[\d+\]: \[(.*?)\]", shown)
+    assert inputs
+    return {c.split("#")[0].strip() for line in inputs for c in line.split(",")}
+
+
 def test_no_html_in_a_shuffle(spark):
-    pages = spark.read.parquet(f"{SF}/pages.parquet").withColumn("provider_key", F.lit("AIA"))
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select(
+        "url", "html", F.lit("AIA").alias("provider_key"), F.lit(1).alias("link_rank"))
+    providers = rules.provider_table(spark)
     links = dedup.first_links(extract.product_links(pages), rules.DETAIL_LINK_CAPS)
-    # Below the first exchange from the scan only narrow columns go up.
-    for line in text(links).splitlines():
-        if "Exchange" in line or "Sort [" in line:
-            assert "html" not in line
-    got = text(extract.heading_candidates(pages))
-    assert "Exchange" not in got
+    assert "html" not in shuffled_columns(spark, links)
+    assert "html" not in shuffled_columns(spark, extract.landed_products(links, pages))
+    fast = plan_listing.listing_plans(pages, pages, providers)
+    assert "html" not in shuffled_columns(spark, fast)
+    named = plan_detail.named_pages(pages)
+    assert "Exchange" not in text(named)
+    replies = spark.createDataFrame([], "url string, reply string")
+    assert "html" not in shuffled_columns(spark, plan_detail.accepted_pages(named, replies))
 
 
 def test_small_side_checks_size(spark):
