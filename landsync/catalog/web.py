@@ -131,7 +131,7 @@ SELECT url AS page_url, 0 AS rank, CAST(i AS INTEGER) AS pos, 'https://h' || m A
 UNION ALL SELECT url, 1, CAST(i AS INTEGER), 'https://h' || m
   FROM ({sql_numbered('pages', r'href="(/[A-Z][^"]*)"', 1)}) WHERE NOT contains(m, '?')
 UNION ALL SELECT url, 2, CAST(i AS INTEGER), 'https://h' || m
-  FROM ({sql_numbered('pages', r'(?i)<a\b[^>]*?\shref="([^"]*the[^"]*)"', 1)})
+  FROM ({sql_numbered('pages', r'(?i:<a\b[^>]*?\shref=)"([^"]*the[^"]*)"', 1)})
   WHERE contains(lower(m), 'h')"""
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,65 +34,79 @@ _PARAGRAPH_END = (r"(?=</?(?:p|div|ul|ol|h[1-6]|table|section|article|main|foote
 
 @dataclass(frozen=True)
 class Selector:
-    """Regex form of one selector; ``scope`` is None for a bare target."""
+    """Regex form of one selector; ``scope`` is None for a bare target.
+
+    ``needs`` are texts that a page must hold for the selector to find anything;
+    looking for them first is much cheaper than the search.
+    """
 
     scope: str | None
     scope_end: str | None
     element: str
-    element_group: int
     href: str
+    needs: tuple[str, ...]
 
 
 def _attr_test(name: str, op: str | None, value: str | None) -> str:
     if op is None:
-        return rf"(?=[^>]*\s{name}\b)"
+        return rf"(?=[^>]*\s(?i:{name})\b)"
     value = rf"\Q{value}\E"
     body = {"*=": rf"[^\"']*{value}", "^=": value, "$=": rf"[^\"']*{value}[\"']",
             "=": rf"{value}[\"']"}[op]
-    return rf"(?=[^>]*\s{name}\s*=\s*[\"']{body})"
+    return rf"(?=[^>]*\s(?i:{name})\s*=\s*[\"']{body})"
 
 
-def _opening(simple: str) -> tuple[str, str | None]:
+def _opening(simple: str) -> tuple[str, str | None, list[str]]:
+    """Pattern of an opening tag (group 1 is its name), the tag and the texts it
+    needs. Tag and attribute names ignore case, classes and values do not."""
     found = _SIMPLE.match(simple)
     if not found:
         raise ValueError(f"unsupported selector part: {simple}")
     tag, cls = found["tag"], found["cls"]
-    tests = "".join(_attr_test(a["name"], a["op"], a["value"])
-                    for a in _ATTR.finditer(found["attrs"]))
+    attrs = list(_ATTR.finditer(found["attrs"]))
+    tests = "".join(_attr_test(a["name"], a["op"], a["value"]) for a in attrs)
+    needs = [a["value"] for a in attrs if a["value"]]
     if cls:
-        tests += rf"(?=[^>]*\sclass\s*=\s*[\"'][^\"']*(?<![\w-]){cls}(?![\w-]))"
-    return rf"(?i)<({tag or '[a-z][a-z0-9]*'})\b{tests}", tag
+        tests += rf"(?=[^>]*\s(?i:class)\s*=\s*[\"'][^\"']*(?<![\w-]){cls}(?![\w-]))"
+        needs.append(cls)
+    return rf"<((?i:{tag or '[a-z][a-z0-9]*'}))\b{tests}", tag, needs
 
 
 def selector(css: str) -> Selector:
     """Compile ``target`` or ``scope target``."""
     *outer, target = css.split()
-    opening, tag = _opening(target)
+    opening, tag, needs = _opening(target)
     ends = {"p": _PARAGRAPH_END, "a": _ANCHOR_END,
             **{f"h{i}": _HEADING_END for i in range(1, 7)}}
-    if tag in ends:
-        element, group = rf"(?s){opening}[^>]*>(.*?){ends[tag]}", 2
-    elif tag:
-        element, group = rf"(?s){opening}[^>]*>(.*?)</{tag}\s*>", 2
-    else:
-        element, group = rf"(?s){opening}[^>]*>(.*?)</\1\s*>", 2
+    end = ends.get(tag, r"</(?i:\1)\s*>")
+    element = rf"(?s){opening}[^>]*>(.*?){end}"
     scope = scope_end = None
     if outer:
-        scope, scope_tag = _opening(outer[-1])
+        scope, scope_tag, scope_needs = _opening(outer[-1])
+        needs = scope_needs + needs
         scope_end = rf"(?i)</{scope_tag}\s*>" if scope_tag in _LEAF_TAGS else _BLOCK_END
-    href = rf"{opening}[^>]*?\shref\s*=\s*[\"']([^\"']*)[\"']"
-    return Selector(scope, scope_end, element, group, href)
+    href = rf"{opening}[^>]*?\s(?i:href)\s*=\s*[\"']([^\"']*)[\"']"
+    return Selector(scope, scope_end, element, href, tuple(needs))
+
 
+def _holds(html: Column, sel: Selector) -> Column:
+    return reduce(lambda a, b: a & b, [F.contains(html, F.lit(n)) for n in sel.needs],
+                  F.lit(True))
 
-def _all_in_scope(html: Column, sel: Selector, pattern: str, group: int) -> Column:
+
+def _all_in_scope(html: Column, sel: Selector, pattern: str) -> Column:
     def find(part: Column) -> Column:
-        return F.regexp_extract_all(part, F.lit(pattern), F.lit(group))
+        return F.regexp_extract_all(part, F.lit(pattern), F.lit(2))
 
     if sel.scope is None:
-        return find(html)
-    inner = F.filter(F.split(html, sel.scope, -1), lambda _, i: i > 0)
-    return F.flatten(F.transform(
-        inner, lambda p: find(F.get(F.split(p, sel.scope_end, 2), F.lit(0)))))
+        found = find(html)
+    else:
+        inner = F.filter(F.split(html, sel.scope, -1), lambda _, i: i > 0)
+        found = F.flatten(F.transform(
+            inner, lambda p: find(F.get(F.split(p, sel.scope_end, 2), F.lit(0)))))
+    if not sel.needs:
+        return found
+    return F.when(_holds(html, sel), found).otherwise(F.array().cast("array<string>"))
 
 
 def unescape(c: Column | str) -> Column:
@@ -122,7 +137,7 @@ def body_text(html: Column | str) -> Column:
 def all_texts(html: Column | str, css: str) -> Column:
     """Non-empty texts of every element a selector finds, in page order."""
     sel = selector(css)
-    found = _all_in_scope(col(html), sel, sel.element, sel.element_group)
+    found = _all_in_scope(col(html), sel, sel.element)
     return F.filter(F.transform(found, text_of), lambda t: F.length(t) > 0)
 
 
@@ -130,16 +145,16 @@ def first_text(html: Column | str, css: str) -> Column:
     """Text of the first element a selector finds, null where it is empty."""
     sel = selector(css)
     if sel.scope is None:
-        raw = F.regexp_extract(col(html), sel.element, sel.element_group)
+        raw = F.when(_holds(col(html), sel), F.regexp_extract(col(html), sel.element, 2))
     else:
-        raw = F.get(_all_in_scope(col(html), sel, sel.element, sel.element_group), F.lit(0))
+        raw = F.get(_all_in_scope(col(html), sel, sel.element), F.lit(0))
     return only_if(text_of(raw), lambda t: t != "")
 
 
 def all_hrefs(html: Column | str, css: str) -> Column:
     """``href`` values of every anchor a selector finds, in page order."""
     sel = selector(css)
-    return F.filter(_all_in_scope(col(html), sel, sel.href, 2), lambda h: F.length(h) > 0)
+    return F.filter(_all_in_scope(col(html), sel, sel.href), lambda h: F.length(h) > 0)
 
 
 def anchors(html: Column | str) -> Column:
