@@ -94,21 +94,34 @@ def _holds(html: Column, sel: Selector) -> Column:
                   F.lit(True))
 
 
+def _pieces(html: Column, sel: Selector) -> Column:
+    """The parts of a page inside the scope, one per opening tag of it."""
+    inner = F.filter(F.split(html, sel.scope, -1), lambda _, i: i > 0)
+    return F.transform(inner, lambda p: F.get(F.split(p, sel.scope_end, 2), F.lit(0)))
+
+
 def _all_in_scope(html: Column, sel: Selector, pattern: str) -> Column:
     def find(part: Column) -> Column:
         return F.regexp_extract_all(part, F.lit(pattern), F.lit(2))
 
-    if sel.scope is None:
-        found = find(html)
-    else:
-        inner = F.filter(F.split(html, sel.scope, -1), lambda _, i: i > 0)
-        found = F.flatten(F.transform(
-            inner, lambda p: find(F.get(F.split(p, sel.scope_end, 2), F.lit(0)))))
+    found = (find(html) if sel.scope is None
+             else F.flatten(F.transform(_pieces(html, sel), find)))
     if not sel.needs:
         return found
     return F.when(_holds(html, sel), found).otherwise(F.array().cast("array<string>"))
 
 
+def _first_in_scope(html: Column, sel: Selector) -> Column:
+    """Inner HTML of the first element, looking no further than needed."""
+    if sel.scope is None:
+        found = F.regexp_extract(html, sel.element, 2)
+    else:
+        whole = F.transform(_pieces(html, sel), lambda p: F.regexp_extract(p, sel.element, 0))
+        hit = F.get(F.filter(whole, lambda e: e != ""), F.lit(0))
+        found = F.regexp_extract(hit, sel.element, 2)
+    return F.when(_holds(html, sel), found)
+
+
 def unescape(c: Column | str) -> Column:
     """Resolve the entities that matter in names and running text."""
     out = col(c)
@@ -143,11 +156,7 @@ def all_texts(html: Column | str, css: str) -> Column:
 
 def first_text(html: Column | str, css: str) -> Column:
     """Text of the first element a selector finds, null where it is empty."""
-    sel = selector(css)
-    if sel.scope is None:
-        raw = F.when(_holds(col(html), sel), F.regexp_extract(col(html), sel.element, 2))
-    else:
-        raw = F.get(_all_in_scope(col(html), sel, sel.element), F.lit(0))
+    raw = _first_in_scope(col(html), selector(css))
     return only_if(text_of(raw), lambda t: t != "")
 
 

@@ -202,3 +202,11 @@ def test_numbers_agree_with_python(spark):
     differ = [(t, g, w) for t, g, w in zip(texts, got, want) if repr(g) != repr(w)]
     # A sign on nan has no effect, but Spark reads no sign there.
     assert [d for d in differ if "nan" not in d[0]] == []
+
+
+def test_first_text(spark):
+    page = ("<article><h1>T</h1></article><article><p></p><p>second</p></article>"
+            "<div class='Lead'>no</div><DIV CLASS='lead x'>yes</DIV>")
+    for css, want in (("article p", None), ("article h1", "T"), (".lead", "yes"),
+                      ("h1", "T"), ("main p", None)):
+        assert values(spark, [page, None], lambda c: H.first_text(c, css)) == [want, None]
