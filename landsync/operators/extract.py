@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from landsync import rules
 from landsync.functions.html import (absolute, all_hrefs, all_texts, anchors, body_text,
                                      first_text)
-from landsync.functions.text import (blank_to_null, col, contains_any, first_of, only_if,
-                                     squeeze, utrim)
+from landsync.functions.text import (blank_to_null, col, contains_any, first_of, literal_pattern,
+                                     only_if, squeeze, utrim)
 from landsync.operators.filters import is_plan_name, link_allowed
 from landsync.operators.merge import small_side
 from landsync.session import settle
@@ -192,13 +192,19 @@ def landed_products(links: DataFrame, pages: DataFrame) -> DataFrame:
     return pages.select("url", "html").join(small_side(wanted), "url")
 
 
-def coverage_flags(text: Column | str,
-                   words: dict[str, list[str]] | None = None) -> dict[str, Column]:
+def coverage_flags(text: Column | str, words: dict[str, list[str]] | None = None,
+                   whole_words: bool = False) -> dict[str, Column]:
     """Coverage columns from text: true where a word of the group occurs, else null.
 
     Outpatient is false where only another word of its group occurs and the text
-    says something is not covered. Pass lower-cased text.
+    says something is not covered. Pass lower-cased text. A word counts wherever it
+    stands, so "eye" occurs in "eyelet"; ``whole_words`` asks for word borders.
     """
+    def named(group: list[str]) -> Column:
+        if whole_words:
+            return low.rlike(rf"(?U)\b(?:{literal_pattern(group)})\b")
+        return contains_any(low, group)
+
     words = rules.COVERAGE_WORDS if words is None else words
     low = col(text)
     out = {}
@@ -207,7 +213,7 @@ def coverage_flags(text: Column | str,
         if name == "outpatient_covered":
             value = (~F.contains(low, F.lit("not covered"))
                      | F.contains(low, F.lit("outpatient")))
-        out[name] = F.when(contains_any(low, group), value)
+        out[name] = F.when(named(group), value)
     return out
 
 

@@ -118,15 +118,16 @@ def with_prefix(df: DataFrame, length: int = 2) -> DataFrame:
     return df.withColumn(PREFIX, F.substring("id", 1, length))
 
 
-def touched(table: DataFrame, batch: DataFrame, length: int = 2) -> DataFrame:
-    """The partitions of ``table`` a batch falls into.
+def touched(table: DataFrame, batch: DataFrame, length: int = 2, most: int = 4096) -> DataFrame:
+    """The folders of ``table`` a batch falls into.
 
-    There are at most 16 ** length prefixes, so the list is bounded whatever the
-    batch holds, and as literals it prunes the folders that are listed.
+    As literals the prefixes prune the folders that are read. The list is cut off
+    at ``most``; a batch that hits more gets the whole table, which is as right.
     """
-    if length > 3:
-        raise ValueError("use a prefix of at most 3 digits (4,096 partitions)")
-    hit = [r[0] for r in batch.select(F.substring("id", 1, length)).distinct().collect()]
+    prefixes = batch.select(F.substring("id", 1, length)).distinct()
+    hit = [r[0] for r in prefixes.limit(most + 1).collect()]
+    if len(hit) > most:
+        return table
     return table.filter(F.col(PREFIX).isin(hit)) if hit else table.filter(F.lit(False))
 
 

@@ -71,7 +71,9 @@ def stream_results(results: DataFrame, root: str, checkpoint: str,
 
     def each(batch: DataFrame, _batch_id: int) -> None:
         if in_place:
+            batch.persist()  # used twice: to find the folders and to fill them
             enrich_in_place(batch, root, seq=seq)
+            batch.unpersist()
             return
         stored = read_snapshot(batch.sparkSession, root)
         write_snapshot(apply_results(stored, fold_results(batch, seq)), root)

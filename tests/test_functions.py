@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from landsync.functions import html as H
 from landsync.functions import text as X
+from landsync.operators.extract import coverage_flags, eligible_age, limit_texts
 from landsync.operators.filters import is_medical, is_medical_by_name, is_plan_name
 
 
@@ -210,3 +211,30 @@ def test_first_text(spark):
     for css, want in (("article p", None), ("article h1", "T"), (".lead", "yes"),
                       ("h1", "T"), ("main p", None)):
         assert values(spark, [page, None], lambda c: H.first_text(c, css)) == [want, None]
+
+
+def test_coverage(spark):
+    texts = ["outpatient not covered", "clinic visit not covered", "none", "eyelets", "an eye."]
+
+    def flag(name, **options):
+        return values(spark, texts, lambda c: coverage_flags(c, **options)[name])
+
+    assert flag("outpatient_covered") == [True, False, None, None, None]
+    assert flag("optical_covered") == [None, None, None, True, True]
+    assert flag("optical_covered", whole_words=True) == [None, None, None, None, True]
+
+
+def test_limits_and_ages(spark):
+    got = values(spark, ["annual limit: rm 1.5 million", "yearly limit: 5 annual limit: 7",
+                         "per year\u00a0rm 9,000", "nothing"],
+                 lambda c: limit_texts(c)["annual_limit"])
+    assert got == ["1.5 million", "7", "9,000", None]
+    rooms = values(spark, ["room & board: rm 250", "room board 9", "daily room: 80."],
+                   lambda c: limit_texts(c)["room_board_limit"])
+    assert rooms == ["250", "9", "80."]
+    df = spark.createDataFrame([
+        ("AIA", "Entry Age: 1\nEligible age: 15 days - 70 years \n"),
+        ("AIA", "from 15 days – 70 years old"), ("Etiqa", "Age: 18 to 60. More"),
+        ("Allianz", "no"), ("Else", "Entry age: 5")], "provider_key string, text string")
+    got = [r.a for r in df.select(eligible_age().alias("a")).collect()]
+    assert got == ["15 days - 70 years", "15 days – 70 years old", "18 to 60", None, None]

@@ -134,6 +134,7 @@ def test_partition_overwrite(spark, tmp_path):
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [id_prefix" in plan.replace("isnotnull(", "").replace(
         "PartitionFilters: [(id_prefix", "PartitionFilters: [id_prefix")
+    assert store.touched(spark.read.parquet(path), base, most=10).count() == 2000
     merged = (part.drop(store.PREFIX).alias("o").join(batch.alias("n"), "id", "left")
               .select("id", F.coalesce("n.v", "o.v").alias("v")))
     store.replace_partitions(store.with_prefix(merged), path)
