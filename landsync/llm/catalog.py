@@ -1,4 +1,4 @@
 """All queries of the subpackage, collected from the modules that register them."""
 
 from landsync.llm.registry import ORACLES, QUERIES  # noqa: F401
-from landsync.llm import decontaminate, language, packing, simhash, substring, url_rules  # noqa: F401  (these register their queries)
+from landsync.llm import decontaminate, language, packing, quality, simhash, substring, url_rules  # noqa: F401  (these register their queries)
