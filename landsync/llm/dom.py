@@ -164,16 +164,24 @@ class Page:
             link_before, link_after], axis=1)
 
     def decode(self, log_odds: np.ndarray) -> list[str]:
-        """The blocks of the best choice in which nothing is kept below what is dropped. Choices are
-        compared by the sum of their log-probabilities over all nodes."""
-        n = len(self.tag)
-        keep, drop = -np.logaddexp(0, -log_odds), -np.logaddexp(0, log_odds)
-        best, gone = keep.copy(), drop.copy()
-        for k in range(n - 1, 0, -1):
-            best[self.parent[k]] += max(best[k], gone[k])
-            gone[self.parent[k]] += gone[k]
-        kept = np.zeros(n, bool)
-        kept[0] = True  # the root is no choice
+        """The blocks of the best choice in which nothing is kept below what is dropped, and what is
+        kept holds a block that is. Choices are compared by the sum of their log-probabilities."""
+        n, parent = len(self.tag), self.parent
+        best, gone = (-np.logaddexp(0, -log_odds)).tolist(), (-np.logaddexp(0, log_odds)).tolist()
+        gain = [float("-inf")] * n  # the most that keeping rather than dropping a child brings
+        nearest = [-1] * n
+        for k in range(n - 1, -1, -1):
+            if self.tag[k] != "#text":
+                best[k] += min(gain[k], 0.0)  # if no child is worth it, the least bad one is kept
+            p = parent[k]
+            if p >= 0:
+                more = best[k] - gone[k]
+                best[p] += max(best[k], gone[k])
+                gone[p] += gone[k]
+                if more >= gain[p]:
+                    gain[p], nearest[p] = more, k
+        kept = [False] * n
+        kept[0] = n > 1 and best[0] >= gone[0]
         for k in range(1, n):
-            kept[k] = kept[self.parent[k]] and best[k] >= gone[k]
+            kept[k] = kept[parent[k]] and (best[k] >= gone[k] or nearest[parent[k]] == k and gain[parent[k]] < 0)
         return [t for k, t in zip(kept, self.text) if k and t]

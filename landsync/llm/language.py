@@ -92,7 +92,7 @@ class Classifier:
         name, margin = self.quick.smallest(data)
         if margin < SURE_MARGIN:
             name, margin = self.fine.smallest(data)
-        return name, margin / (margin + 0.02), margin >= MIN_MARGIN
+        return name, 1.02 * margin / (margin + 0.02), margin >= MIN_MARGIN
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text") -> DataFrame:
