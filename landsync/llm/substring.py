@@ -25,7 +25,7 @@ counts as later than it. Rows that repeat an id don't remove from each other.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,17 +42,19 @@ from landsync.llm.suffixes import least_owner
 
 DEPTH, GRAM = 50, 24
 #: Bytes of text of a block, of what is hashed at a time, and of keys (one in 14 bytes) of a bucket.
-BLOCK, STEP, BUCKET_TEXT = 16 << 20, 1 << 20, 24 << 20
+BLOCK, STEP, BUCKET_TEXT = 8 << 20, 1 << 17, 24 << 20
 #: Windows of a context at most; blocks from which on a key's windows go one by one.
 LONGEST, HOT_BLOCKS = 64, 64
 
+ADDED = ("kept", "n_bytes", "n_removed", "n_spans")
+
 _RNG = np.random.default_rng(50)
 _BYTE = _RNG.integers(1 << 63, size=256, dtype=np.uint64)
 _ODD = _RNG.integers(1 << 63, size=6, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _least_hashes(data: np.ndarray) -> np.ndarray:
-    """By window of DEPTH bytes: the least hash of its GRAM-byte strings."""
+def _hashes(data: np.ndarray) -> np.ndarray:
+    """The hash of the GRAM bytes at each place."""
     h = _BYTE[data]
     h = h[:-1] * _ODD[0] + h[1:]
     h = h[:-2] * _ODD[1] + h[2:]
@@ -61,6 +63,12 @@ def _least_hashes(data: np.ndarray) -> np.ndarray:
     h = h[:-8] * _ODD[4] + h8[16:]
     h = (h ^ (h >> np.uint64(32))) * _ODD[5]
     h ^= h >> np.uint64(29)
+    return h
+
+
+def _least_hashes(data: np.ndarray) -> np.ndarray:
+    """By window of DEPTH bytes: the least hash of its GRAM-byte strings."""
+    h = _hashes(data)
     for step in (1, 2, 4, 8):
         h = np.minimum(h[:-step], h[step:])
     span = DEPTH - GRAM + 1 - 16
@@ -72,14 +80,17 @@ def _runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     if len(data) < DEPTH:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     h = _least_hashes(data)
-    place = np.arange(len(h))
-    doc = np.searchsorted(ends, place, side="right")
-    fits = place + DEPTH <= ends[doc]
+    # a window fits if none of the places after its first one, to its last, begins a document
+    fits = np.ones(len(h), bool)
+    for e in ends[:-1]:
+        fits[max(0, e - DEPTH + 1):e] = False
     new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (fits[1:] != fits[:-1])
-    begin = np.flatnonzero(new)
-    begin = begin[fits[begin]]
-    stop = np.flatnonzero(np.append(new[1:], True) & fits) + 1
+    new[1:] = (h[1:] != h[:-1]) | (fits[1:] != fits[:-1])
+    new[ends[ends < len(h)]] = True
+    begin = np.flatnonzero(new & fits)
+    last = np.ones(len(h), bool)
+    last[:-1] = new[1:]
+    stop = np.flatnonzero(last & fits) + 1
     parts = -(-(stop - begin) // LONGEST)  # periodic text makes long runs
     of = np.repeat(np.arange(len(begin)), parts)
     nth = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -87,8 +98,8 @@ def _runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return begin, np.minimum(stop[of] - begin, LONGEST), h[begin]
 
 
-def _steps(docs: list[tuple[int, bytes]]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-    """Documents joined to pieces of about STEP bytes: (their indexes, bytes, ends)."""
+def _steps(docs: list[tuple[int, bytes]]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Documents joined to pieces of about STEP bytes: (index of the first, bytes, ends)."""
     at = 0
     while at < len(docs):
         size, hi = 0, at
@@ -96,16 +107,10 @@ def _steps(docs: list[tuple[int, bytes]]) -> Iterator[tuple[list[int], np.ndarra
             size += len(docs[hi][1])
             hi += 1
         part = docs[at:hi]
-        yield (list(range(at, hi)), np.frombuffer(b"".join(d for _, d in part), np.uint8),
-               np.cumsum([len(d) for _, d in part]))
+        yield (at, np.frombuffer(b"".join(d for _, d in part), np.uint8), np.cumsum([len(d) for _, d in part]))
         at = hi
 
 
-def _key(h: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket in the high half, 32 bits of the hash in the low one."""
-    return ((h >> np.uint64(33)) % np.uint64(buckets) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
-
-
 def _packed(a: np.ndarray) -> bytes:
     return zstandard.compress(a.tobytes(), 1)
 
@@ -114,217 +119,248 @@ def _unpacked(b: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(b), kind)
 
 
+def _table(rows: list[tuple], names: str, *kinds: pa.DataType) -> pa.Table:
+    columns = list(zip(*rows)) or [[]] * len(kinds)
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names.split())
+
+
+_ABOUT = "block bucket doc flags owners"
+
+
+def _about(part: pa.Table, flags: list | None, owners: list | None) -> pa.Table:
+    """Rows that go back to the blocks: what is known of a bucket."""
+    blank = [None] * len(part)
+    return pa.Table.from_arrays([
+        part.column("block"), part.column("bucket"), pa.array(blank, pa.int64()), pa.array(flags or blank, pa.binary()),
+        pa.array(owners or blank, pa.binary())], _ABOUT.split())
+
+
 class Block:
-    """The documents of a block, and the same lists each time it is looked at."""
+    """The first copies among a block's documents, their runs and keys, in an order that is the same each time."""
 
-    def __init__(self, left: pa.Table, text: str, key: str) -> None:
+    def __init__(self, left: pa.Table, right: pa.Table, text: str, key: str, buckets: int) -> None:
+        self.buckets = buckets
         self.ids = left.column(key).to_pylist()
         self.texts = [(t or "").encode("utf-8", "replace") for t in left.column(text).to_pylist()]
-
-    def first_copies(self, right: pa.Table) -> list[tuple[int, bytes]]:
         rows = right.filter(pc.equal(right.column("bucket"), -1)) if len(right) else right
         firsts = set(rows.column("doc").to_pylist())
-        return sorted((i, t) for i, t in zip(self.ids, self.texts) if i in firsts and i is not None)
-
-    @staticmethod
-    def keys(docs: list[tuple[int, bytes]], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """The block's keys in order, and whether two of its documents have them."""
+        self.docs = sorted((i, t) for i, t in zip(self.ids, self.texts) if i in firsts and i is not None)
+        #: Of each run: its document, its place there, its windows, its hash and its key.
         found = []
-        for of, data, ends in _steps(docs):
-            begin, _, h = _runs(data, ends)
+        for first, data, ends in _steps(self.docs):
+            begin, windows, h = _runs(data, ends)
             doc = np.searchsorted(ends, begin, side="right")
-            k = _key(h, buckets)
-            order = np.lexsort((doc, k))
-            k, doc = k[order], doc[order]
-            once = np.ones(len(k), bool)
-            once[1:] = (k[1:] != k[:-1]) | (doc[1:] != doc[:-1])
-            found.append(k[once])
-        every, counts = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-        return every, counts > 1
-
-    @staticmethod
-    def contexts(docs: list[tuple[int, bytes]], right: pa.Table, buckets: int) -> Iterator[tuple]:
-        """(document's index, place, windows, bucket's hash, bytes) of each run that other texts share."""
-        every, _ = Block.keys(docs, buckets)
-        shared, hot = np.zeros(len(every), bool), np.zeros(len(every), bool)
-        bounds = np.searchsorted(every, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+            found.append((doc + first, begin - np.append(0, ends)[doc], windows, h))
+        whole = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)]
+        self.doc, self.place, self.windows, self.hash = whole
+        # the bucket in the high half, 32 bits of the hash in the low one
+        self.key = ((self.hash >> np.uint64(33)) % np.uint64(buckets) << np.uint64(32)) | (self.hash & np.uint64(0xFFFFFFFF))
+        order = np.argsort(self.key, kind="stable")  # documents stay in order
+        k, doc = self.key[order], self.doc[order]
+        new = np.ones(len(k), bool)
+        new[1:] = k[1:] != k[:-1]
+        self.keys = k[new]
+        self.group = np.empty(len(k), np.int64)  # of each run: the number of its key
+        self.group[order] = np.cumsum(new) - 1
+        starts = np.flatnonzero(new)
+        #: Whether two of the block's documents have the key.
+        self.twice = doc[starts] != doc[np.append(starts[1:], len(k)) - 1] if len(k) else np.zeros(0, bool)
+
+    def bounds(self) -> np.ndarray:
+        return np.searchsorted(self.keys, np.arange(self.buckets + 1, dtype=np.uint64) << np.uint64(32))
+
+    def contexts(self, right: pa.Table) -> Iterator[tuple[int, int, int, bytes]]:
+        """(document, place, bucket's hash, bytes) of each run that other texts share."""
+        shared, hot, bounds = np.zeros(len(self.keys), bool), np.zeros(len(self.keys), bool), self.bounds()
         for b, flags in zip(right.column("bucket").to_pylist(), right.column("flags").to_pylist()):
-            if b >= 0 and flags is not None:
+            if flags is not None:
                 lo, hi = bounds[b], bounds[b + 1]
-                both = np.unpackbits(_unpacked(flags, np.uint8), count=2 * (hi - lo)).astype(bool)
+                both = np.unpackbits(_unpacked(flags, np.uint8), count=2 * int(hi - lo)).astype(bool)
                 shared[lo:hi], hot[lo:hi] = both[:hi - lo], both[hi - lo:]
-        for of, data, ends in _steps(docs):
-            begin, windows, h = _runs(data, ends)
-            k = np.searchsorted(every, _key(h, buckets))
-            take = np.flatnonzero(shared[k])
-            doc = np.searchsorted(ends, begin[take], side="right")
-            whole = data.tobytes()
-            starts = np.append(0, ends)
-            for d, s, n, x, one in zip(doc.tolist(), begin[take].tolist(), windows[take].tolist(),
-                                       h[take].tolist(), hot[k[take]].tolist()):
-                if not one:
-                    yield of[d], s - int(starts[d]), n, x, whole[s:s + n + DEPTH - 1]
-                    continue
-                for p in range(s, s + n):
-                    window = whole[p:p + DEPTH]
-                    yield of[d], p - int(starts[d]), 1, xxhash.xxh64_intdigest(window), window
+        take = np.flatnonzero(shared[self.group])
+        ends = (self.place[take] + self.windows[take] + DEPTH - 1).tolist()
+        texts = [t for _, t in self.docs]
+        for d, s, e, h, one in zip(self.doc[take].tolist(), self.place[take].tolist(), ends, self.hash[take].tolist(),
+                                   hot[self.group[take]].tolist()):
+            if not one:
+                yield d, s, h, texts[d][s:e]
+                continue
+            for p in range(s, e - DEPTH + 1):
+                window = texts[d][p:p + DEPTH]
+                yield d, p, xxhash.xxh64_intdigest(window), window
+
+    def distinct(self, contexts: Iterable[tuple[int, int, int, bytes]]) -> dict[tuple[int, bytes], int]:
+        """The least id by (hash, bytes), in the order of first places. Documents come by rising id."""
+        least: dict[tuple[int, bytes], int] = {}
+        for d, _, h, c in contexts:
+            if (h, c) not in least:
+                least[h, c] = self.docs[d][0]
+        return least
+
+    def bucket(self, h: int) -> int:
+        return (h >> 33) % self.buckets
+
+
+def send_keys(left: pa.Table, right: pa.Table, text: str, key: str, buckets: int) -> pa.Table:
+    """A block's keys, bucket by bucket."""
+    rows = []
+    if len(left):
+        block, name = Block(left, right, text, key, buckets), left.column("__block")[0].as_py()
+        bounds = block.bounds()
+        for b in range(buckets):
+            lo, hi = bounds[b], bounds[b + 1]
+            if lo < hi:
+                low = block.keys[lo:hi].astype(np.uint32)
+                rows.append((name, b, _packed(np.diff(low, prepend=np.uint32(0))), _packed(np.packbits(block.twice[lo:hi]))))
+    return _table(rows, "block bucket keys twice", pa.int32(), pa.int32(), pa.binary(), pa.binary())
+
+
+def compare_keys(part: pa.Table) -> pa.Table:
+    """For each block, which of its keys of this bucket other texts have, and which very many have."""
+    lists = [np.cumsum(_unpacked(k, np.uint32), dtype=np.uint32) for k in part.column("keys").to_pylist()]
+    twice = [np.unpackbits(_unpacked(t, np.uint8), count=len(k)).astype(bool)
+             for t, k in zip(part.column("twice").to_pylist(), lists)]
+    every, inverse, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    shared = counts > 1
+    shared |= np.bincount(inverse, weights=np.concatenate(twice), minlength=len(every)) > 0
+    hot, flags, at = counts >= HOT_BLOCKS, [], 0
+    for k in lists:
+        own = inverse[at:at + len(k)]
+        flags.append(_packed(np.packbits(np.concatenate([shared[own], hot[own]]))))
+        at += len(k)
+    return _about(part, flags, None)
+
+
+def send_contexts(left: pa.Table, right: pa.Table, text: str, key: str, buckets: int) -> pa.Table:
+    """A block's distinct contexts, bucket by bucket, with the least id that has each."""
+    by: dict[int, list[tuple]] = defaultdict(list)
+    name = left.column("__block")[0].as_py() if len(left) else -1
+    if len(left) and len(right):
+        block = Block(left, right, text, key, buckets)
+        for (h, c), i in block.distinct(block.contexts(right)).items():
+            by[block.bucket(h)].append((h, i, c))
+    rows = [(name, b, np.array([h for h, _, _ in x], np.uint64).tobytes(),
+             np.array([len(c) for _, _, c in x], np.int32).tobytes(), np.array([i for _, i, _ in x], np.int64).tobytes(),
+             b"".join(c for _, _, c in x)) for b, x in by.items()]
+    return _table(rows, "block bucket hashes lengths ids bytes", pa.int32(), pa.int32(), *[pa.binary()] * 4)
+
+
+def _anchors(contexts: list[bytes], hashes: np.ndarray) -> np.ndarray:
+    """Where in each context its bucket's hash first stands; 0 where it is of a single window."""
+    out = np.zeros(len(contexts), np.int64)
+    sizes = np.array([len(c) for c in contexts])
+    for lo in range(0, len(contexts), 10_000):
+        ends = np.cumsum(sizes[lo:lo + 10_000])
+        h = _hashes(np.frombuffer(b"".join(contexts[lo:lo + 10_000]), np.uint8))
+        of = np.searchsorted(ends, np.arange(len(h)), side="right")
+        places = np.flatnonzero(h == hashes[lo + of])
+        which, first = np.unique(of[places], return_index=True)
+        out[lo + which] = places[first] - np.append(0, ends)[which]
+    return out
+
+
+def sort_bucket(part: pa.Table) -> pa.Table:
+    """For each block and window of its contexts in this bucket, the least id with the same bytes."""
+    index: dict[tuple[int, bytes], int] = {}
+    owner: list[int] = []
+    places: list[np.ndarray] = []
+    for hashes, lengths, ids, data in zip(*(part.column(c).to_pylist() for c in ("hashes", "lengths", "ids", "bytes"))):
+        at, own = 0, []
+        for h, n, i in zip(np.frombuffer(hashes, np.uint64).tolist(), np.frombuffer(lengths, np.int32).tolist(),
+                           np.frombuffer(ids, np.int64).tolist()):
+            k = index.setdefault((h, data[at:at + n]), len(owner))
+            at += n
+            if k == len(owner):
+                owner.append(i)
+            elif i < owner[k]:
+                owner[k] = i
+            own.append(k)
+        places.append(np.array(own))
+    contexts = [c for _, c in index]
+    hashes = np.array([h for h, _ in index], np.uint64)
+    least = least_owner(contexts, _anchors(contexts, hashes), hashes, np.array(owner), DEPTH)
+    windows = np.array([len(c) - DEPTH + 1 for c in contexts])
+    ends = np.cumsum(windows)
+    owners = []
+    for own in places:
+        n = windows[own]
+        take = np.repeat(ends[own] - n - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        owners.append(_packed(least[take]))
+    return _about(part, None, owners)
+
+
+def remove(left: pa.Table, right: pa.Table, text: str, key: str, buckets: int, whole_characters: bool) -> pa.Table:
+    """The block's rows with what is left of their texts."""
+    block = Block(left, right, text, key, buckets)
+    lists = {b: _unpacked(o, np.int64) for b, o in zip(*(right.column(c).to_pylist() for c in ("bucket", "owners")))
+             if o is not None}
+    cover = {k: np.zeros(len(t) + 1, np.int32) for k, (_, t) in enumerate(block.docs)}
+    if lists:
+        found = list(block.contexts(right))
+        by: dict[int, list[tuple[int, bytes]]] = defaultdict(list)
+        for h, c in block.distinct(found):
+            by[block.bucket(h)].append((h, c))
+        where: dict[tuple[int, bytes], tuple[int, int, np.ndarray, int]] = {}
+        for b, contexts in by.items():
+            sizes = np.array([len(c) - DEPTH + 1 for _, c in contexts])
+            starts = np.cumsum(sizes) - sizes
+            low, high = np.minimum.reduceat(lists[b], starts), np.maximum.reduceat(lists[b], starts)
+            for x, a, z, s in zip(contexts, low.tolist(), high.tolist(), starts.tolist()):
+                where[x] = a, z, lists[b], s
+        for d, place, h, c in found:
+            (low, high, least, s), own = where[h, c], block.docs[d][0]
+            if high < own:  # all windows are later copies
+                cover[d][place] += 1
+                cover[d][place + len(c)] -= 1
+            elif low < own:
+                for p in np.flatnonzero(least[s:s + len(c) - DEPTH + 1] < own).tolist():
+                    cover[d][place + p] += 1
+                    cover[d][place + p + DEPTH] -= 1
+    covers = {doc: np.cumsum(cover[k][:-1]) > 0 for k, doc in enumerate(block.docs)}
+    kept, removed, spans = [], [], []
+    for i, t in zip(block.ids, block.texts):
+        gone = covers.get((i, t))
+        if gone is None:  # a copy of an earlier text, too short to hold a window, or without an id
+            gone = np.full(len(t), len(t) >= DEPTH and i is not None)
+        if whole_characters and gone.any():
+            lead = np.flatnonzero((np.frombuffer(t, np.uint8) & 0xC0) != 0x80)
+            gone = np.repeat(np.logical_and.reduceat(gone, lead), np.diff(np.append(lead, len(t))))
+        kept.append(np.frombuffer(t, np.uint8)[~gone].tobytes() if gone.any() else t)
+        removed.append(int(gone.sum()))
+        spans.append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
+    out = left.drop_columns(["__block"])
+    for name, column in zip(ADDED, (pa.array(kept, pa.binary()), pa.array([len(t) for t in block.texts], pa.int64()),
+                                    pa.array(removed, pa.int64()), pa.array(spans, pa.int64()))):
+        out = out.append_column(name, column)
+    return out
 
 
 def sweep(docs: DataFrame, text: str = "text", key: str = "doc_id", whole_characters: bool = False) -> DataFrame:
     """``docs`` with ``kept`` (what is left, as bytes), n_bytes, n_removed and n_spans; columns of
     these names are replaced. With ``whole_characters`` a character goes only if all its bytes do."""
-    added = ["kept", "n_bytes", "n_removed", "n_spans"]
-    docs = docs.drop(*added)
+    docs = docs.drop(*ADDED)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     blocks, buckets = max(1, -(-size // BLOCK)), max(1, -(-size // BUCKET_TEXT))
-    block = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-    dealt = docs.withColumn("__block", block)
-    of_block = dealt.groupBy("__block")
-    parts = "block int, bucket int, doc long, flags binary, owners binary"
-    blank = [F.lit(None).cast("long").alias("doc"), F.lit(None).cast("binary").alias("flags"),
-             F.lit(None).cast("binary").alias("owners")]
-
+    of = {"text": text, "key": key, "buckets": buckets}
+    of_block = docs.withColumn("__block", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")).groupBy("__block")
+    about = "block int, bucket int, doc long, flags binary, owners binary"
     firsts = (docs.where(F.col(key).isNotNull() & (F.octet_length(text) >= DEPTH))
               .groupBy(F.sha2(F.col(text).cast("binary"), 256).alias("digest"))
               .agg(F.min(key).cast("long").alias("doc"))
-              .select(F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int").alias("block"),
-                      F.lit(-1).alias("bucket"), "doc", *blank[1:]))
-
-    def send_keys(left: pa.Table, right: pa.Table) -> pa.Table:
-        every, twice = Block.keys(Block(left, text, key).first_copies(right), buckets) if len(left) else (
-            np.zeros(0, np.uint64), np.zeros(0, bool))
-        name = left.column("__block")[0].as_py() if len(left) else -1
-        bounds = np.searchsorted(every, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
-        rows = []
-        for b in range(buckets):
-            lo, hi = bounds[b], bounds[b + 1]
-            if lo < hi:
-                low = every[lo:hi].astype(np.uint32)
-                rows.append((name, b, _packed(np.diff(low, prepend=np.uint32(0))), _packed(np.packbits(twice[lo:hi]))))
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(
-            list(zip(*rows)) or [[]] * 4, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
-            ["block", "bucket", "keys", "twice"])
-
-    def compare_keys(part: pa.Table) -> pa.Table:
-        lists = [np.cumsum(_unpacked(k, np.uint32), dtype=np.uint32) for k in part.column("keys").to_pylist()]
-        twice = [np.unpackbits(_unpacked(t, np.uint8), count=len(k)).astype(bool)
-                 for t, k in zip(part.column("twice").to_pylist(), lists)]
-        every, inverse, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
-        shared = counts > 1
-        shared |= np.bincount(inverse, weights=np.concatenate(twice), minlength=len(every)) > 0
-        hot, flags, at = counts >= HOT_BLOCKS, [], 0
-        for k in lists:
-            own = inverse[at:at + len(k)]
-            flags.append(_packed(np.packbits(np.concatenate([shared[own], hot[own]]))))
-            at += len(k)
-        return pa.Table.from_arrays([part.column("block"), part.column("bucket"), pa.nulls(len(part), pa.int64()),
-                                     pa.array(flags, pa.binary()), pa.nulls(len(part), pa.binary())],
-                                    ["block", "bucket", "doc", "flags", "owners"])
-
+              .select(F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int").alias("block"), F.lit(-1).alias("bucket"),
+                      "doc", F.lit(None).cast("binary").alias("flags"), F.lit(None).cast("binary").alias("owners")))
     flags = (of_block.cogroup(firsts.groupBy("block"))
-             .applyInArrow(send_keys, "block int, bucket int, keys binary, twice binary")
-             .groupBy("bucket").applyInArrow(compare_keys, parts))
+             .applyInArrow(lambda a, b: send_keys(a, b, **of), "block int, bucket int, keys binary, twice binary")
+             .groupBy("bucket").applyInArrow(compare_keys, about))
     known = firsts.union(flags)
-
-    def distinct_contexts(docs_: list[tuple[int, bytes]], right: pa.Table) -> Iterator[tuple]:
-        """Of each context in the order of its first place: (bucket, hash, windows, least id, bytes)."""
-        least: dict[tuple[int, bytes], int] = {}
-        for d, _, _, h, c in Block.contexts(docs_, right, buckets):
-            i = docs_[d][0]
-            if (old := least.get((h, c))) is None or i < old:
-                least[h, c] = i
-        for (h, c), i in least.items():
-            yield (h >> 33) % buckets, h, len(c) - DEPTH + 1, i, c
-
-    def send_contexts(left: pa.Table, right: pa.Table) -> pa.Table:
-        by: dict[int, list[tuple]] = defaultdict(list)
-        if len(left) and len(right):
-            for b, *rest in distinct_contexts(Block(left, text, key).first_copies(right), right):
-                by[b].append(rest)
-        name = left.column("__block")[0].as_py() if len(left) else -1
-        rows = [(name, b, np.array([r[0] for r in x], np.uint64).tobytes(),
-                 np.array([r[1] for r in x], np.int64).tobytes(), np.array([r[2] for r in x], np.int64).tobytes(),
-                 b"".join(r[3] for r in x)) for b, x in by.items()]
-        kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 6, kinds)],
-                                    ["block", "bucket", "hashes", "windows", "ids", "bytes"])
-
-    def sort_bucket(part: pa.Table) -> pa.Table:
-        index: dict[tuple[int, bytes], int] = {}
-        owner: list[int] = []
-        places: list[np.ndarray] = []
-        for hashes, windows, ids, data in zip(*(part.column(c).to_pylist() for c in (
-                "hashes", "windows", "ids", "bytes"))):
-            at, own = 0, []
-            for h, n, i in zip(np.frombuffer(hashes, np.uint64).tolist(), np.frombuffer(windows, np.int64).tolist(),
-                               np.frombuffer(ids, np.int64).tolist()):
-                c = (h, data[at:at + n + DEPTH - 1])
-                at += n + DEPTH - 1
-                k = index.setdefault(c, len(owner))
-                if k == len(owner):
-                    owner.append(i)
-                elif i < owner[k]:
-                    owner[k] = i
-                own.append(k)
-            places.append(np.array(own))
-        contexts = [c for _, c in index]
-        windows = np.array([len(c) - DEPTH + 1 for c in contexts])
-        least = least_owner(contexts, np.array([h for h, _ in index], np.uint64), windows, np.array(owner), DEPTH)
-        ends = np.cumsum(windows)
-        owners = []
-        for own in places:
-            n = windows[own]
-            take = np.repeat(ends[own] - n - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            owners.append(_packed(least[take]))
-        return pa.Table.from_arrays([part.column("block"), part.column("bucket"), pa.nulls(len(part), pa.int64()),
-                                     pa.nulls(len(part), pa.binary()), pa.array(owners, pa.binary())],
-                                    ["block", "bucket", "doc", "flags", "owners"])
-
     owners = (of_block.cogroup(known.groupBy("block"))
-              .applyInArrow(send_contexts, "block int, bucket int, hashes binary, windows binary, ids binary, bytes binary")
-              .groupBy("bucket").applyInArrow(sort_bucket, parts))
-
-    def remove(left: pa.Table, right: pa.Table) -> pa.Table:
-        own = Block(left, text, key)
-        firsts_ = own.first_copies(right)
-        flagged = right.filter(pc.is_null(right.column("owners"))) if len(right) else right
-        lists = {b: _unpacked(o, np.int64) for b, o in zip(*(right.column(c).to_pylist() for c in (
-            "bucket", "owners"))) if o is not None}
-        at: dict[int, int] = defaultdict(int)
-        where: dict[tuple[int, bytes], np.ndarray] = {}
-        cover = {k: np.zeros(len(t) + 1, np.int32) for k, (_, t) in enumerate(firsts_)}
-        if lists:
-            for b, h, n, _, c in distinct_contexts(firsts_, flagged):
-                where[h, c] = lists[b][at[b]:at[b] + n]
-                at[b] += n
-            for d, place, n, h, c in Block.contexts(firsts_, flagged, buckets):
-                late = np.flatnonzero(where[h, c] < firsts_[d][0])
-                if len(late):
-                    np.add.at(cover[d], place + late, 1)
-                    np.subtract.at(cover[d], place + late + DEPTH, 1)
-        covers: dict[tuple[int, bytes], np.ndarray] = {}
-        for k, (i, t) in enumerate(firsts_):
-            covers[i, t] = np.cumsum(cover[k][:-1]) > 0
-        kept, removed, spans = [], [], []
-        for i, t in zip(own.ids, own.texts):
-            gone = covers.get((i, t))
-            if gone is None:  # a copy of an earlier text, too short to hold a window, or without an id
-                gone = np.full(len(t), len(t) >= DEPTH and i is not None)
-            if whole_characters and gone.any():
-                lead = np.flatnonzero((np.frombuffer(t, np.uint8) & 0xC0) != 0x80)
-                gone = np.repeat(np.logical_and.reduceat(gone, lead), np.diff(np.append(lead, len(t))))
-            kept.append(np.frombuffer(t, np.uint8)[~gone].tobytes())
-            removed.append(int(gone.sum()))
-            spans.append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
-        out = left.drop_columns(["__block"])
-        for name, column in zip(added, (pa.array(kept, pa.binary()), pa.array([len(t) for t in own.texts], pa.int64()),
-                                        pa.array(removed, pa.int64()), pa.array(spans, pa.int64()))):
-            out = out.append_column(name, column)
-        return out
-
+              .applyInArrow(lambda a, b: send_contexts(a, b, **of),
+                            "block int, bucket int, hashes binary, lengths binary, ids binary, bytes binary")
+              .groupBy("bucket").applyInArrow(sort_bucket, about))
     schema = T.StructType([*docs.schema.fields, T.StructField("kept", T.BinaryType()),
-                           *(T.StructField(n, T.LongType()) for n in added[1:])])
-    return of_block.cogroup(known.union(owners).groupBy("block")).applyInArrow(remove, schema)
+                           *(T.StructField(n, T.LongType()) for n in ADDED[1:])])
+    return of_block.cogroup(known.union(owners).groupBy("block")).applyInArrow(
+        lambda a, b: remove(a, b, **of, whole_characters=whole_characters), schema)
 
 
 @query()
