@@ -33,15 +33,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landsync.llm.common import id_remainder, settled, table
+from landsync.llm.common import hashed_sample, id_remainder, settled, table
 from landsync.llm.registry import query
 
 #: Stands for the end of a text; white space can't be a word.
 END = b"\n"
 FREQUENT, SYMBOLS, CLASSES, ENDING = 200_000, 1_000, 64, 2
 WIDTH, CONTEXT = 24, 2
-#: Noise symbols to a batch, tokens of a batch, and texts of the first sample.
-NOISE, BATCH, SAMPLE = 64, 4_096, 3_000
+#: Noise symbols to a batch, tokens of a batch, texts of the first sample and characters of one.
+NOISE, BATCH, SAMPLE, SAMPLE_CHARS = 64, 4_096, 3_000, 10_000
 #: Step sizes of the first sample and of all texts, and passes over the first sample.
 FIRST_RATE, RATE, FIRST_PASSES = 0.05, 0.03, 2
 #: Tokens that are scored at once, and contexts multiplied at once.
@@ -113,8 +113,17 @@ class Words:
 def gather(counts: DataFrame) -> Words:
     """From the stored count table: totals, sums by class, and the bounded list of frequent words."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(FREQUENT).collect()
-    ranked = [END, *(w for w in (bytes(r["token"]) for r in top) if w != END)][:FREQUENT]
+    # few bins tell from which count on words are few enough; only these are collected
+    bins = counts.groupBy(F.floor(F.log2("c") * 64).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least, seen = 1 << 30, 0
+    for r in sorted(bins, key=lambda r: -r["bin"]):
+        seen += r["n"]
+        if seen > FREQUENT:
+            break
+        least = r["bin"]
+    top = counts.where(F.floor(F.log2("c") * 64) >= least).collect()
+    top.sort(key=lambda r: (-r["c"], bytes(r["token"])))
+    ranked = [END, *(w for w in (bytes(r["token"]) for r in top) if w != END)]
     by = {bytes(r["token"]): r["c"] for r in top}
     count = np.array([by.get(w, 0) for w in ranked], np.int64)
     symbols = min(SYMBOLS, len(ranked))
@@ -228,13 +237,14 @@ def _slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def train(texts: DataFrame, words: Words) -> Model:
-    """First on a sample of texts, by hashed text; then on all, in every task, averaged."""
+    """First on a bounded sample of distinct texts; then on all, in every task, averaged."""
     spark = texts.sparkSession
     prior = np.bincount(words.symbol, words.count, words.size)
     classes = 10 ** words.log_class - 1
     prior[words.symbols:] = np.maximum(prior[words.symbols:], classes)
     model = Model(prior)
-    first = [r[0] for r in texts.orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()]
+    sample = hashed_sample(texts.select(F.substring("text", 1, SAMPLE_CHARS).alias("text")), int(words.count[0]), SAMPLE, "text")
+    first = sorted(r[0] for r in sample.where(F.col("text").isNotNull()).distinct().limit(2 * SAMPLE).collect())
     _, symbol, ends, _ = words.read(first)
     rng = np.random.default_rng(5)
     for _ in range(FIRST_PASSES if first else 0):

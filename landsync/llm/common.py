@@ -56,3 +56,11 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The table with a broadcast hint if it was counted and is within the bound,
     else as it is, so that the join shuffles. For stored tables of short rows."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def hashed_sample(df: DataFrame, of: int, rows: int, *columns: str) -> DataFrame:
+    """About ``rows`` of the ``of`` rows, chosen by a hash of the columns: filtered where they
+    lie, so that no task and no driver sees more."""
+    scale = 1 << 30
+    share = scale if of <= rows else -(-rows * scale // of)
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), *columns), F.lit(scale)) < share)

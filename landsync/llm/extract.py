@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landsync.llm.common import table
+from landsync.llm.common import hashed_sample, table
 from landsync.llm.dom import Page
 from landsync.llm.layouts import MARK, Layout
 from landsync.llm.registry import query
@@ -113,10 +113,10 @@ def train(sources: list[str]) -> Model:
 
 
 def learn(pages: DataFrame, source: str = "html", key: str = "page_id") -> Model:
-    """A model from the pages whose hashed id is smallest."""
-    rows = (pages.where(F.col(source).isNotNull()).orderBy(F.xxhash64(F.col(key).cast("string")), key).limit(PAGES)
-            .select(F.substring(source, 1, PAGE_CHARS)).collect())
-    return train([r[0] for r in rows])
+    """A model from a bounded number of pages, chosen by hashed id."""
+    rows = (hashed_sample(pages, pages.count(), PAGES, key).where(F.col(source).isNotNull())
+            .select(F.xxhash64(F.col(source)), F.substring(source, 1, PAGE_CHARS)).limit(2 * PAGES).collect())
+    return train([h for _, h in sorted(tuple(r) for r in rows)])
 
 
 def main_text(pages: DataFrame, model: Model, source: str = "html") -> DataFrame:

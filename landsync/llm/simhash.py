@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from landsync.llm.common import settled, table
+from landsync.llm.common import hashed_sample, settled, table
 from landsync.llm.components import components
 from landsync.llm.registry import query
 
@@ -153,8 +153,8 @@ def near_links(classes: DataFrame, n: int, bits: int = BITS) -> DataFrame:
     """(a, b) links between the distinct fingerprints ``fp``, enough to connect all within ``bits``."""
     shards = min(MAX_SHARDS, max(1, -(-n // SHARD)))
     depth = (shards - 1).bit_length()
-    sample = classes.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLED << depth).toPandas()["fp"]
-    tree = plant(sample.to_numpy(np.int64).view(np.uint64), depth, bits)
+    sample = hashed_sample(classes, n, SAMPLED << depth, "fp").select("fp").toPandas()["fp"]
+    tree = plant(np.sort(sample.to_numpy(np.int64).view(np.uint64)), depth, bits)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

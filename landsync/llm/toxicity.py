@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landsync.llm.common import id_remainder, settled, table
+from landsync.llm.common import hashed_sample, id_remainder, settled, table
 from landsync.llm.registry import query
 
 #: Letters of other scripts by the Latin letter they look like, then digits and signs used for letters (fixed values).
@@ -199,7 +199,7 @@ def learn(labelled: DataFrame, text: str = "text", toxic: str = "toxic", key: st
     bad = {r["entry"]: r["n"] for r in count_entries(rows.where("toxic = 1")).where(F.col("n") >= least).collect()}
     good = {r["entry"]: r["n"] for r in count_entries(rows.where("toxic = 0"), frozenset(bad)).collect()}
     lexicon = Lexicon(tuple(choose(bad, good, n_bad, total - n_bad)), tuple(exceptions))
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FITTED)
+    sample = hashed_sample(rows, total, FITTED, "doc_id")
     seen = strengths(sample, lexicon, "text", "toxic").select("toxic", "strength").toPandas()
     slope, offset = fit_logistic(seen["strength"].to_numpy(float), seen["toxic"].to_numpy(float))
     return Lexicon(lexicon.weights, lexicon.exceptions, slope, offset)
