@@ -34,7 +34,7 @@ from landsync.llm.registry import query
 WINDOW, GRID, PARTS, END_ID = 1024, 8, 3, 0
 BINS = WINDOW // GRID
 #: Pieces of a bin that are numbered together, and words whose ids a worker keeps.
-CHUNK, KEPT_WORDS = 2_000_000, 600_000
+CHUNK, KEPT_WORDS = 2_000_000, 300_000
 
 _SPACE_IN_SPACE = re.compile(r"\s ")
 

@@ -42,7 +42,7 @@ from landsync.llm.suffixes import least_owner
 
 DEPTH, GRAM = 50, 24
 #: Bytes of text of a block, of what is hashed at a time, and of keys (one in 14 bytes) of a bucket.
-BLOCK, STEP, BUCKET_TEXT = 8 << 20, 1 << 17, 24 << 20
+BLOCK, STEP, BUCKET_TEXT = 4 << 20, 1 << 17, 12 << 20
 #: Windows of a context at most; blocks from which on a key's windows go one by one.
 LONGEST, HOT_BLOCKS = 64, 64
 
