@@ -312,10 +312,8 @@ def flt9_results_without_id(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "events").select(
         F.when(kind == "view", "").when(kind != "signup", F.col("user_id").cast("string"))
         .alias("clinic_id"))
-    good, bad = filters.split_identified(rows)
-    marked = (good.select(F.lit(1).alias("g"), F.lit(0).alias("b"))
-              .unionByName(bad.select(F.lit(0).alias("g"), F.lit(1).alias("b"))))
-    return marked.agg(F.sum("g").alias("identified"), F.sum("b").alias("failed"))
+    return stats.without_id_report(rows, "clinic_id").select(
+        F.col("kept").alias("identified"), F.col("rejected").alias("failed"))
 
 
 @query(f"""

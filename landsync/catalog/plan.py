@@ -13,12 +13,14 @@ from landsync.sources import state as S
 
 # --- bindings ---------------------------------------------------------------
 def stored(spark: SparkSession, sf: str) -> DataFrame:
-    """The stored plans: orders dated before 2001, values cut to one decimal and
-    lists turned round in the first year; status F is inactive."""
-    o = table(spark, sf, "orders").filter(F.col("o_orderdate") < F.lit("2001-01-01"))
+    """The stored plans, one per order: values cut to one decimal and lists turned round
+    for the early ones; status F is inactive. Each seventh order is stored under an id
+    that today's plans lack, so that plans go and new ones come while all rows count."""
+    o = table(spark, sf, "orders")
     early = F.col("o_orderdate") < F.lit("1996-01-01")
     return o.select(
-        F.col("o_orderkey").cast("string").alias("id"),
+        F.concat(F.when(F.col("o_orderkey") % 7 == 0, "old-").otherwise(""),
+                 F.col("o_orderkey").cast("string")).alias("id"),
         F.col("o_orderpriority").alias("provider_name"),
         F.concat(F.lit("Plan "), F.col("o_custkey").cast("string")).alias("plan_name"),
         (F.floor(F.col("o_totalprice") * 10) / 10).cast("double").alias("annual_limit"),
@@ -31,9 +33,8 @@ def stored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def incoming(spark: SparkSession, sf: str) -> DataFrame:
-    """Today's plans: the oldest orders are gone, those of 2001 are new; one
-    provider gives no limits."""
-    o = table(spark, sf, "orders").filter(F.col("o_orderdate") >= F.lit("1995-07-01"))
+    """Today's plans, one per order; one provider gives no limits."""
+    o = table(spark, sf, "orders")
     return o.select(
         F.col("o_orderkey").alias("seq"), F.col("o_orderkey").cast("string").alias("id"),
         F.col("o_orderpriority").alias("provider_name"),
@@ -42,17 +43,16 @@ def incoming(spark: SparkSession, sf: str) -> DataFrame:
         F.array("o_orderstatus", "o_orderpriority").alias("covered_conditions"))
 
 
-STORED = """SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS provider_name,
+STORED = """SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'old-' ELSE '' END || o_orderkey AS id,
+  o_orderpriority AS provider_name,
   'Plan ' || o_custkey AS plan_name, floor(o_totalprice * 10) / 10 AS annual_limit,
   CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN [o_orderpriority, o_orderstatus]
        ELSE [o_orderstatus, o_orderpriority] END AS covered_conditions,
-  'kept text' AS claim_process, o_orderstatus <> 'F' AS is_active
-FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'"""
+  'kept text' AS claim_process, o_orderstatus <> 'F' AS is_active FROM orders"""
 INCOMING = """SELECT o_orderkey AS seq, CAST(o_orderkey AS VARCHAR) AS id,
   o_orderpriority AS provider_name, 'Plan ' || o_custkey AS plan_name,
   CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS annual_limit,
-  [o_orderstatus, o_orderpriority] AS covered_conditions
-FROM orders WHERE o_orderdate >= TIMESTAMP '1995-07-01'"""
+  [o_orderstatus, o_orderpriority] AS covered_conditions FROM orders"""
 DIFF = f"""SELECT n.id, n.provider_name, CASE
   WHEN o.id IS NULL THEN 'new' WHEN NOT o.is_active THEN 'conflict'
   WHEN n.plan_name <> o.plan_name OR n.covered_conditions <> o.covered_conditions
@@ -234,10 +234,7 @@ def flt8_plans_without_id(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select(
         F.when(F.col("o_orderstatus") == "P", "").when(
             F.col("o_orderstatus") == "O", F.col("o_orderkey").cast("string")).alias("id"))
-    kept = dedup.with_id(o).agg(F.count(F.lit(1)).alias("kept"), F.lit(0).alias("all"))
-    total = o.agg(F.lit(0).alias("kept"), F.count(F.lit(1)).alias("all"))
-    return kept.unionByName(total).agg(
-        F.sum("kept").alias("kept"), (F.sum("all") - F.sum("kept")).alias("rejected"))
+    return stats.without_id_report(o)
 
 
 # --- provider dimension and records -----------------------------------------

@@ -52,7 +52,8 @@ def sql_squeeze(x: str) -> str:
 
 def sql_unescape(x: str) -> str:
     for entity, char in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                         ("&#39;", "''"), ("&apos;", "''"), ("&ndash;", "–"), ("&amp;", "&")]:
+                         ("&#39;", "''"), ("&apos;", "''"), ("&ndash;", "–"),
+                         ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
         x = f"replace({x}, '{entity}', '{char}')"
     return x
 

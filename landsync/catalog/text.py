@@ -162,7 +162,7 @@ top AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS rn FROM
 c AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS rn FROM l
   WHERE length(line) > 0 AND length(line) < 100)
 SELECT d.doc_id, s.services, c.line AS specialty FROM documents d
-LEFT JOIN (SELECT doc_id, string_agg(line, '|' ORDER BY i) AS services FROM top WHERE rn <= 10
+LEFT JOIN (SELECT doc_id, string_agg(line, '|' ORDER BY i) AS services FROM top
   GROUP BY doc_id) s USING (doc_id)
 LEFT JOIN c ON c.doc_id = d.doc_id AND c.rn = 1""")
 def dup5_services(spark: SparkSession, sf: str) -> DataFrame:
@@ -245,9 +245,8 @@ def txt10_coverage_documents(spark: SparkSession, sf: str) -> DataFrame:
 FROM orders""")
 def txt11_limits(spark: SparkSession, sf: str) -> DataFrame:
     low = clauses(spark, sf).withColumn("low", F.lower("text"))
-    found = extract.limit_texts("low")
-    return low.select("o_orderkey", *[v.alias(k) for k, v in found.items()],
-                      X.parse_money(found["lifetime_limit"]).alias("lifetime_amount"))
+    found = low.select("o_orderkey", *[v.alias(k) for k, v in extract.limit_texts("low").items()])
+    return found.withColumn("lifetime_amount", X.parse_money("lifetime_limit"))
 
 
 @query(rf"""SELECT doc_id,
@@ -261,20 +260,19 @@ def txt12_phrase_documents(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", extract.eligible_age("text", patterns=table_).alias("phrase"))
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority
-  WHEN '1-URGENT' THEN '15 days - 70 years old' WHEN '2-HIGH' THEN '15 days - 70 years old'
-  WHEN '3-MEDIUM' THEN '15 days - 70 years old' WHEN '4-NOT SPECIFIED' THEN
-  '15 days - 70 years old' END AS age FROM orders""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN
+  (o_orderkey % 28 + 1) || ' days - ' || (o_orderkey % 40 + 50) || ' years old' END AS age FROM orders""")
 def txt12_eligible_age(spark: SparkSession, sf: str) -> DataFrame:
-    """The clauses under each provider's own age patterns."""
+    """Phrases that vary by row, under each provider's own age patterns."""
     key = F.create_map(*[F.lit(x) for pair in (
         ("1-URGENT", "AIA"), ("2-HIGH", "Allianz"), ("3-MEDIUM", "GreatEastern"),
         ("4-NOT SPECIFIED", "Etiqa"), ("5-LOW", "nobody")) for x in pair])
-    o = table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("k"), F.element_at(key, F.col("o_orderpriority"))
-        .alias("provider_key"))
-    c = clauses(spark, sf).join(o, F.col("o_orderkey") == F.col("k"))
-    return c.select("o_orderkey", extract.eligible_age("text").alias("age"))
+    o, k = table(spark, sf, "orders"), F.col("o_orderkey")
+    phrase = F.concat(F.lit("Entry age: "), (k % 28 + 1).cast("string"), F.lit(" days - "),
+                      (k % 40 + 50).cast("string"), F.lit(" years old\n"))
+    return o.select("o_orderkey", phrase.alias("text"), F.element_at(key, F.col("o_orderpriority"))
+                    .alias("provider_key")).select(
+        "o_orderkey", extract.eligible_age("text").alias("age"))
 
 
 @query("""SELECT doc_id, CASE WHEN contains(lower(text), '24 hour') OR contains(lower(text),
@@ -363,8 +361,7 @@ _CONTEXT = {"plan_name": "'Doc ' || doc_id", "description": "coalesce(CASE WHEN
             "provider_name": "lang"}
 _SQL_PROMPT = " || ".join(
     [sql_quote(inference.PROMPT_HEAD),
-     f"CASE WHEN length(text) > 5000 THEN substr(text, 1, 5000) || "
-     f"{sql_quote(inference.CUT_MARK)} ELSE text END"]
+     "text"]
     + [f"{sql_quote(label)} || {_CONTEXT[name]}" for label, name in inference.PROMPT_CONTEXT])
 
 
@@ -372,18 +369,18 @@ _SQL_PROMPT = " || ".join(
   SELECT doc_id, {_SQL_PROMPT} AS prompt FROM documents
   WHERE length({sql_trim('text')}) >= 100)""")
 def prj10_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    """Prompts over whole documents; the size cap is lowered so that it acts."""
+    """Prompts over whole documents."""
     d = table(spark, sf, "documents").select(
         "doc_id", "text", F.concat(F.lit("Doc "), F.col("doc_id").cast("string")).alias("plan_name"),
         F.when(F.col("lang") != "fr", F.col("source")).alias("description"),
         F.col("lang").alias("provider_name"))
-    out = inference.prompts(d, max_chars=5000)
+    out = inference.prompts(d)
     return out.select("doc_id", F.length("prompt").cast("long").alias("chars"),
                       F.md5("prompt").alias("digest"))
 
 
-@query("""SELECT doc_id, md5(substr(coalesce(CASE WHEN lang <> 'fr' THEN text END, '') || ' '
-  || source, 1, 1000)) AS digest FROM documents""")
+@query("""SELECT doc_id, md5(coalesce(CASE WHEN lang <> 'fr' THEN text END, '') || ' '
+  || source) AS digest FROM documents""")
 def prj11_class_text(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents")
     text = inference.class_text(F.when(F.col("lang") != "fr", F.col("text")), "source")

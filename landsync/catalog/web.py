@@ -159,10 +159,10 @@ WITH firsts AS (SELECT page_url, url, min((rank, pos)) AS place FROM ({_SQL_LINK
   GROUP BY page_url, url),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY page_url ORDER BY place, url) AS link_rank
   FROM firsts)
-SELECT page_url, url, CAST(link_rank AS INTEGER) AS link_rank FROM ranked WHERE link_rank <= 5""")
+SELECT page_url, url, CAST(link_rank AS INTEGER) AS link_rank FROM ranked""")
 def dup4_first_links(spark: SparkSession, sf: str) -> DataFrame:
-    """The first five distinct links of every page."""
-    return (first_links(_links(spark, sf), 5, group="page_url")
+    """The distinct links of every page, by first place."""
+    return (first_links(_links(spark, sf), group="page_url")
             .select("page_url", "url", "link_rank"))
 
 

@@ -3,26 +3,27 @@
 A page row is read once and turned into narrow columns in the same stage; no
 HTML goes through a shuffle. A selector such as ``.product-card h2`` is turned
 into regular expressions: the page is split at each opening tag of the outer
-part, each piece is cut where the outer part must end, and inner tags are
-looked up in the pieces.
+part, each piece is cut where a counter of open tags comes to zero, and inner tags
+are looked up in the pieces. Pass ``markup(html)`` where comments and scripts may
+hold tags; it is worth a column of its own, so that a page is cleaned once.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from landsync.functions.text import col, only_if, squeeze, utrim
+from landsync.functions.text import bind, col, only_if, squeeze, utrim
 
 _SIMPLE = re.compile(r"(?P<tag>\w+)?(?:\.(?P<cls>[\w-]+))?(?P<attrs>(?:\[[^\]]+\])*)$")
 _ATTR = re.compile(r"\[(?P<name>[\w-]+)(?:(?P<op>[*^$]?=)'(?P<value>[^']*)')?\]")
-# Where a block of unknown extent ends at the latest.
-_BLOCK_END = r"(?i)</(?:main|section)\s*>|<footer\b"
-_LEAF_TAGS = {"a", "article", "main"}
 # Browsers end these elements at the next one of their kind. Stopping there also
 # keeps a page full of unclosed tags from being scanned to its end for each.
 _ANCHOR_END = r"(?=</a\s*>|<a\b|\z)"
@@ -31,18 +32,22 @@ _HEADING_END = r"(?=</?h[1-6]\b|\z)"
 _PARAGRAPH_END = (r"(?=</?(?:p|div|ul|ol|h[1-6]|table|section|article|main|footer|header|nav|form)\b"
                   r"|</body|\z)")
 
+# Code points by name, as text that Spark reads once while it plans.
+_ENTITIES = json.dumps(name2codepoint | {"apos": 39})
+
 
 @dataclass(frozen=True)
 class Selector:
     """Regex form of one selector; ``scope`` is None for a bare target.
 
+    ``element`` is None where only counting tags tells where the target ends.
     ``needs`` are texts that a page must hold for the selector to find anything;
     looking for them first is much cheaper than the search.
     """
 
     scope: str | None
-    scope_end: str | None
-    element: str
+    opening: str
+    element: str | None
     href: str
     needs: tuple[str, ...]
 
@@ -51,9 +56,11 @@ def _attr_test(name: str, op: str | None, value: str | None) -> str:
     if op is None:
         return rf"(?=[^>]*\s(?i:{name})\b)"
     value = rf"\Q{value}\E"
-    body = {"*=": rf"[^\"']*{value}", "^=": value, "$=": rf"[^\"']*{value}[\"']",
-            "=": rf"{value}[\"']"}[op]
-    return rf"(?=[^>]*\s(?i:{name})\s*=\s*[\"']{body})"
+    quoted = {"*=": rf"[^\"']*{value}", "^=": value, "$=": rf"[^\"']*{value}[\"']",
+              "=": rf"{value}[\"']"}[op]
+    bare = {"*=": rf"[^\"'\s>]*{value}", "^=": value, "$=": rf"[^\"'\s>]*{value}(?=[\s>])",
+            "=": rf"{value}(?=[\s>])"}[op]
+    return rf"(?=[^>]*\s(?i:{name})\s*=\s*(?:[\"']{quoted}|{bare}))"
 
 
 def _opening(simple: str) -> tuple[str, str | None, list[str]]:
@@ -67,7 +74,8 @@ def _opening(simple: str) -> tuple[str, str | None, list[str]]:
     tests = "".join(_attr_test(a["name"], a["op"], a["value"]) for a in attrs)
     needs = [a["value"] for a in attrs if a["value"]]
     if cls:
-        tests += rf"(?=[^>]*\s(?i:class)\s*=\s*[\"'][^\"']*(?<![\w-]){cls}(?![\w-]))"
+        tests += (rf"(?=[^>]*\s(?i:class)\s*=\s*"
+                  rf"(?:[\"'][^\"']*(?<![\w-]){cls}(?![\w-])|{cls}(?=[\s>])))")
         needs.append(cls)
     return rf"<((?i:{tag or '[a-z][a-z0-9]*'}))\b{tests}", tag, needs
 
@@ -78,15 +86,19 @@ def selector(css: str) -> Selector:
     opening, tag, needs = _opening(target)
     ends = {"p": _PARAGRAPH_END, "a": _ANCHOR_END,
             **{f"h{i}": _HEADING_END for i in range(1, 7)}}
-    end = ends.get(tag, r"</(?i:\1)\s*>")
-    element = rf"(?s){opening}[^>]*>(.*?){end}"
-    scope = scope_end = None
+    element = rf"(?s){opening}[^>]*>(.*?){ends[tag]}" if tag in ends else None
+    scope = None
     if outer:
-        scope, scope_tag, scope_needs = _opening(outer[-1])
+        scope, _, scope_needs = _opening(outer[-1])
         needs = scope_needs + needs
-        scope_end = rf"(?i)</{scope_tag}\s*>" if scope_tag in _LEAF_TAGS else _BLOCK_END
-    href = rf"{opening}[^>]*?\s(?i:href)\s*=\s*[\"']([^\"']*)[\"']"
-    return Selector(scope, scope_end, element, href, tuple(needs))
+    href = rf"{opening}[^>]*?\s(?i:href)\s*=\s*[\"']?((?<=[\"'])[^\"']*|[^\"'\s>]+)"
+    return Selector(scope, opening, element, href, tuple(needs))
+
+
+def markup(html: Column | str) -> Column:
+    """A page without comments, scripts and styles, as selectors see it."""
+    return F.regexp_replace(
+        col(html), r"(?is)<!--.*?(?:-->|\z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\z)", "")
 
 
 def _holds(html: Column, sel: Selector) -> Column:
@@ -94,42 +106,90 @@ def _holds(html: Column, sel: Selector) -> Column:
                   F.lit(True))
 
 
-def _pieces(html: Column, sel: Selector) -> Column:
-    """The parts of a page inside the scope, one per opening tag of it."""
-    inner = F.filter(F.split(html, sel.scope, -1), lambda _, i: i > 0)
-    return F.transform(inner, lambda p: F.get(F.split(p, sel.scope_end, 2), F.lit(0)))
+def _until_closed(inner: Column, tag: Column) -> Column:
+    """What stands before the closing tag that matches; null if there is none. Tags of this
+    name that open on the way must close first."""
+    def cut(parts: Column) -> Column:
+        # Every part but the first begins with a tag of this name.
+        end = F.aggregate(
+            F.slice(parts, 2, F.size(parts)),
+            F.struct(F.lit(1).alias("open"), F.lit(1).alias("parts")),
+            lambda x, part: F.when(x["open"] == 0, x).otherwise(F.struct(
+                F.when(part.startswith("</"), x["open"] - 1).otherwise(x["open"] + 1).alias("open"),
+                F.when(part.startswith("</") & (x["open"] == 1), x["parts"])
+                .otherwise(x["parts"] + 1).alias("parts"))))
+        return bind(end, lambda x: F.when(
+            x["open"] == 0, F.array_join(F.slice(parts, 1, x["parts"]), "")))
+
+    pattern = F.concat(F.lit(r"(?i)(?=</?"), tag, F.lit(r"(?=[\s/>]))"))
+    # A split gives no empty first part, so a blank is put there.
+    return bind(F.split(F.concat(F.lit(" "), inner), pattern), cut)
+
+
+def _elements(html: Column, opening: str, whole: bool) -> Column:
+    """Inner HTML of every element with this opening tag, in page order.
+
+    One that holds another of its kind reaches to its own end if ``whole``, else to
+    where the other begins, so that nothing is found twice. One that is never closed
+    reaches to the next opening, or to the end.
+    """
+    def inner(part: Column) -> Column:
+        return F.regexp_replace(part, r"(?s)^<[^>]*>", "")
+
+    def each(parts: Column) -> Column:
+        def read(part: Column, i: Column) -> Column:
+            tag = F.regexp_extract(part, r"^<([a-zA-Z][a-zA-Z0-9]*)", 1)
+            ends = [_until_closed(inner(part), tag)]
+            if whole:  # looked at only where another one stands inside
+                rest = F.array_join(F.slice(parts, i + 1, F.size(parts)), "")
+                ends.append(_until_closed(inner(rest), tag))
+            return F.coalesce(*ends, inner(part))
+
+        found = F.transform(parts, lambda part, i: F.when(i > 0, read(part, i)))
+        return F.filter(found, lambda x: x.isNotNull())
 
+    return bind(F.split(F.concat(F.lit(" "), html), rf"(?={opening})", -1), each)
 
-def _all_in_scope(html: Column, sel: Selector, pattern: str) -> Column:
-    def find(part: Column) -> Column:
-        return F.regexp_extract_all(part, F.lit(pattern), F.lit(2))
 
+def _in_scope(html: Column, sel: Selector, find: Callable[[Column], Column]) -> Column:
     found = (find(html) if sel.scope is None
-             else F.flatten(F.transform(_pieces(html, sel), find)))
+             else F.flatten(F.transform(_elements(html, sel.scope, False), find)))
     if not sel.needs:
         return found
     return F.when(_holds(html, sel), found).otherwise(F.array().cast("array<string>"))
 
 
-def _first_in_scope(html: Column, sel: Selector) -> Column:
+def _all_inner(html: Column, sel: Selector) -> Column:
+    if sel.element is None:
+        return _in_scope(html, sel, lambda part: _elements(part, sel.opening, True))
+    return _in_scope(html, sel, lambda part: F.regexp_extract_all(part, F.lit(sel.element), F.lit(2)))
+
+
+def _first_inner(html: Column, sel: Selector) -> Column:
     """Inner HTML of the first element, looking no further than needed."""
-    if sel.scope is None:
-        found = F.regexp_extract(html, sel.element, 2)
-    else:
-        whole = F.transform(_pieces(html, sel), lambda p: F.regexp_extract(p, sel.element, 0))
-        hit = F.get(F.filter(whole, lambda e: e != ""), F.lit(0))
-        found = F.regexp_extract(hit, sel.element, 2)
-    return F.when(_holds(html, sel), found)
+    if sel.scope is None and sel.element is not None:
+        return F.when(_holds(html, sel), F.regexp_extract(html, sel.element, 2))
+    return F.get(_all_inner(html, sel), F.lit(0))
 
 
 def unescape(c: Column | str) -> Column:
-    """Resolve the entities that matter in names and running text."""
-    out = col(c)
-    for entity, char in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                         ("&#39;", "'"), ("&apos;", "'"), ("&ndash;", "–"),
-                         ("&amp;", "&")]:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """Resolve character references: numbers, and the names of HTML 4."""
+    def resolve(part: Column, i: Column) -> Column:
+        name = F.regexp_extract(part, r"^(#?\w+);", 1)
+        number = F.when(F.lower(name).startswith("#x"), F.conv(F.substring(name, 3, 8), 16, 10)).when(
+            name.startswith("#"), F.substring(name, 2, 9)).try_cast("int")
+        point = F.coalesce(number, F.element_at(F.from_json(F.lit(_ENTITIES), "map<string,int>"), name))
+        char = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+        rest = F.regexp_replace(part, r"^#?\w+;", "")
+        valid = (point > 0) & (point < 0x110000) & ~point.between(0xD800, 0xDFFF)
+        return F.when(i == 0, part).when(valid, F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+
+    def read(text: Column) -> Column:
+        parts = F.split(text, r"&(?=#\d{1,7};|#[xX][0-9a-fA-F]{1,6};|[a-zA-Z]\w{1,7};)", -1)
+        return F.when(F.contains(text, F.lit("&")),
+                      F.array_join(F.transform(parts, resolve), "")).otherwise(text)
+
+    return bind(col(c), read)
 
 
 def text_of(fragment: Column | str) -> Column:
@@ -149,21 +209,22 @@ def body_text(html: Column | str) -> Column:
 
 def all_texts(html: Column | str, css: str) -> Column:
     """Non-empty texts of every element a selector finds, in page order."""
-    sel = selector(css)
-    found = _all_in_scope(col(html), sel, sel.element)
+    found = _all_inner(col(html), selector(css))
     return F.filter(F.transform(found, text_of), lambda t: F.length(t) > 0)
 
 
 def first_text(html: Column | str, css: str) -> Column:
     """Text of the first element a selector finds, null where it is empty."""
-    raw = _first_in_scope(col(html), selector(css))
+    raw = _first_inner(col(html), selector(css))
     return only_if(text_of(raw), lambda t: t != "")
 
 
 def all_hrefs(html: Column | str, css: str) -> Column:
     """``href`` values of every anchor a selector finds, in page order."""
     sel = selector(css)
-    return F.filter(_all_in_scope(col(html), sel, sel.href), lambda h: F.length(h) > 0)
+    found = _in_scope(col(html), sel,
+                      lambda part: F.regexp_extract_all(part, F.lit(sel.href), F.lit(2)))
+    return F.filter(found, lambda h: F.length(h) > 0)
 
 
 def anchors(html: Column | str) -> Column:

@@ -38,13 +38,18 @@ def only_if(c: Column, test) -> Column:
     return F.get(F.filter(F.array(c), test), F.lit(0))
 
 
+def bind(c: Column, body) -> Column:
+    """``body(c)`` with ``c`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(c), body), F.lit(0))
+
+
 def blank_to_null(c: Column | str) -> Column:
     return F.nullif(col(c), F.lit(""))
 
 
 def first_match(c: Column | str, pattern: str, group: int = 1) -> Column:
-    """First regex match, null (not ``''``) where there is none."""
-    return F.nullif(F.regexp_extract(col(c), pattern, group), F.lit(""))
+    """First regex match, null (not ``''``) where there is none; searched for once."""
+    return only_if(F.regexp_extract(col(c), pattern, group), lambda m: m != "")
 
 
 def first_of(c: Column | str, patterns: list[str], group: int = 1) -> Column:
@@ -61,19 +66,25 @@ def literal_pattern(words: list[str]) -> str:
     return "|".join(rf"\Q{w}\E" for w in words)
 
 
-_DIGITS = r"\d(?:_?\d)*"
-_FLOAT = rf"(?i)^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?$"
+# Possessive and without a repeated group, so that a text of a million digits neither
+# goes back nor goes deep.
+_FLOAT = r"(?i)^[+-]?(?:\d++\.?\d*+|\.\d++)(?:e[+-]?\d++)?$"
 _SPECIAL = r"(?i)^[+-]?(?:nan|inf|infinity)$"
+_LOOSE_UNDERSCORE = r"^_|[^0-9]_|_[^0-9]|_$"
 
 
 def to_double(c: Column | str) -> Column:
-    """Text to double, null unless it is a plain decimal number.
+    """Text to double, null unless it is a plain decimal number; single underscores may
+    stand between digits.
 
     Java also takes ``1d``, ``1f`` and hex floats; those give null here.
     """
-    c = col(c)
-    plain = F.replace(c, F.lit("_"), F.lit(""))
-    return F.when(c.rlike(_FLOAT) | c.rlike(_SPECIAL), plain.try_cast("double"))
+    def read(t: Column) -> Column:
+        plain = F.replace(t, F.lit("_"), F.lit(""))
+        fits = ~(F.contains(t, F.lit("_")) & t.rlike(_LOOSE_UNDERSCORE)) & plain.rlike(_FLOAT)
+        return F.when(fits | t.rlike(_SPECIAL), plain.try_cast("double"))
+
+    return bind(col(c), read)
 
 
 def parse_money(c: Column | str) -> Column:
@@ -82,11 +93,13 @@ def parse_money(c: Column | str) -> Column:
     The letters r and m, ``$``, commas and blanks go wherever they stand, so
     ``RM500/day`` has no value.
     """
-    c = col(c)
-    cleaned = F.regexp_replace(c, r"(?iU)[RM$,\s]", "")
-    digits = F.regexp_replace(cleaned, r"[^0-9.]", "")
-    return (F.when(F.contains(F.lower(c), F.lit("million")), to_double(digits) * F.lit(1e6))
-            .otherwise(to_double(cleaned)))
+    def read(t: Column) -> Column:
+        cleaned = F.regexp_replace(t, r"(?iU)[RM$,\s]", "")
+        return (F.when(F.contains(F.lower(t), F.lit("million")),
+                       to_double(F.regexp_replace(cleaned, r"[^0-9.]", "")) * F.lit(1e6))
+                .otherwise(to_double(cleaned)))
+
+    return bind(col(c), read)
 
 
 def parse_reply_money(c: Column | str) -> Column:
@@ -118,10 +131,13 @@ def coordinates(url: Column | str) -> Column:
     The second pattern is used where the first gives no point on the globe.
     """
     def point(pattern: str) -> Column:
-        lat = first_match(url, pattern, 1).try_cast("double")
-        lng = first_match(url, pattern, 2).try_cast("double")
-        return F.when(lat.between(-90, 90) & lng.between(-180, 180),
-                      F.struct(lat.alias("latitude"), lng.alias("longitude")))
+        def read(text: Column) -> Column:
+            pair = F.struct(F.regexp_extract(text, pattern, 1).try_cast("double").alias("latitude"),
+                            F.regexp_extract(text, pattern, 2).try_cast("double").alias("longitude"))
+            return only_if(pair, lambda p: p["latitude"].between(-90, 90)
+                           & p["longitude"].between(-180, 180))
+
+        return bind(first_match(url, pattern, 0), read)
 
     # The two coordinate notations.
     found = F.coalesce(point(r"@(-?\d+\.?\d*),(-?\d+\.?\d*)"),
@@ -157,6 +173,7 @@ def pick_phone(attribute: Column | str, label: Column | str,
 
     return F.coalesce(
         clean_phone(attribute),
+        # Fixed value: a run that may be a phone number.
         first_clean(F.array(F.regexp_extract(col(label), r"(?U)[\d\s+\-()]{8,}", 0)),
                     lambda t: t != ""),
         first_clean(col(tooltips), lambda t: t.rlike(r"(?U)\d{2,}")),
@@ -180,23 +197,24 @@ def pick_hours(groups: Column | str, label: Column | str) -> Column:
     return F.get(F.transform(found, lambda t: F.struct(t.alias("weekday_text"))), F.lit(0))
 
 
-def pick_services(groups: Column | str, limit: int = 10) -> Column:
-    """First group with a text of 4 to 99 characters: trimmed, distinct in order,
-    at most ``limit`` entries; null where no group has one."""
+def pick_services(groups: Column | str, limit: int | None = None) -> Column:
+    """First group with a text of 4 to 99 characters: trimmed, distinct in order;
+    null where no group has one. ``limit`` keeps the first so many."""
     def usable(lines: Column) -> Column:
         trimmed = F.transform(lines, utrim)
         return F.array_distinct(F.filter(
             trimmed, lambda t: (F.length(t) > 3) & (F.length(t) < 100)))
 
     lists = F.filter(F.transform(col(groups), usable), lambda a: F.size(a) > 0)
-    return F.slice(F.get(lists, F.lit(0)), 1, limit)
+    found = F.get(lists, F.lit(0))
+    return found if limit is None else F.slice(found, 1, limit)
 
 
-def pick_specialties(categories: Column | str, limit: int = 5) -> Column:
+def pick_specialties(categories: Column | str) -> Column:
     """The first category text below 100 characters, as an array."""
     good = F.filter(F.transform(col(categories), utrim),
                     lambda t: (F.length(t) > 0) & (F.length(t) < 100))
-    return only_if(F.slice(good, 1, min(1, limit)), lambda a: F.size(a) > 0)
+    return only_if(F.slice(good, 1, 1), lambda a: F.size(a) > 0)
 
 
 def is_open_24_hours(name: Column | str) -> Column:

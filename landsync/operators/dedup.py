@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landsync.session import settle
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                n: int = 1) -> DataFrame:
@@ -38,34 +40,34 @@ def unique_plans(plans: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame
     return keep_first(with_id(plans), ["id"], list(order))
 
 
-def unique_names(candidates: DataFrame, order: Sequence[str] = ("strategy", "rank", "pos"),
+def unique_names(candidates: DataFrame, order: Sequence[str] = ("strategy", "rank", "pos", "url", "name"),
                  provider: str = "provider_key", name: str = "name") -> DataFrame:
     """One candidate per provider and name, blind to case; the most trusted
-    strategy wins, then the place on the page."""
+    strategy wins, then the place on the page, then page and spelling."""
     keyed = candidates.withColumn("_name", F.lower(F.col(name)))
     return keep_first(keyed, [provider, "_name"], list(order)).drop("_name")
 
 
-def first_links(links: DataFrame, caps: dict[str, int] | int,
+def first_links(links: DataFrame, caps: dict[str, int] | int | None = None,
                 order: Sequence[str] = ("rank", "pos"), group: str = "provider_key",
                 url: str = "url") -> DataFrame:
-    """Distinct links by first place, then at most so many per group.
+    """Distinct links by first place, with ``link_rank`` (1, 2, ...).
 
-    Adds ``link_rank`` (1, 2, ...). A group missing from a ``caps`` table gets
-    the largest cap. The constant bound lets every map task cut its groups early.
+    ``caps`` keeps at most so many per group, for sites that must not be visited
+    often; a group missing from a table of caps keeps all.
     """
     firsts = keep_first(links, [group, url], list(order))
     window = Window.partitionBy(group).orderBy(*order, url)
     ranked = firsts.withColumn("link_rank", F.row_number().over(window))
+    if caps is None:
+        return ranked
     if isinstance(caps, int):
         return ranked.filter(F.col("link_rank") <= caps)
-    top = max(caps.values())
-    limit = F.coalesce(*[F.when(F.col(group) == k, F.lit(v)) for k, v in caps.items()],
-                       F.lit(top))
-    return ranked.filter(F.col("link_rank") <= top).filter(F.col("link_rank") <= limit)
+    capped = [F.when(F.col(group) == k, F.col("link_rank") <= v) for k, v in caps.items()]
+    return ranked.filter(F.coalesce(*capped, F.lit(True)))
 
 
-def work_batch(pending: DataFrame, n: int = 50, key: str = "id") -> DataFrame:
+def work_batch(pending: DataFrame, n: int, key: str = "id") -> DataFrame:
     """The next ``n`` rows of a work queue, lowest key first."""
     return pending.orderBy(key).limit(n)
 
@@ -83,16 +85,19 @@ def duplicate_report(records: DataFrame, key: str = "id") -> DataFrame:
     ).withColumn("removed", F.col("rows_in") - F.col("unique_rows"))
 
 
-def global_position(df: DataFrame, seq: str, block: int = 1_000_000,
+def global_position(df: DataFrame, seq: str, blocks: int | None = None,
                     out: str = "position") -> DataFrame:
-    """Zero-based place of each row in the order of a unique whole-number column,
+    """Zero-based place of each row in the order of a unique column, dense or sparse,
     without sorting the table in one task.
 
-    Rows are cut into blocks of ``block`` consecutive numbers (so a block holds
-    at most that many rows), counted per block, and the running total of the
-    counts is joined back. Only the block counts meet in one task.
+    Rows are dealt to ``blocks`` (default: the shuffle partitions) by ranges of the data
+    itself, counted per block, and the running total of the counts is joined back. Only
+    one count per block meets in one task.
     """
-    tagged = df.withColumn("_block", F.expr(f"`{seq}` div {int(block)}"))
+    spark = df.sparkSession
+    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Stored, because the ranges come from a sample and must be the same for both uses.
+    tagged = settle(df.repartitionByRange(blocks, seq).withColumn("_block", F.spark_partition_id()))
     counts = tagged.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

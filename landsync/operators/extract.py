@@ -14,23 +14,53 @@ from pyspark.sql import functions as F
 
 from landsync import rules
 from landsync.functions.html import (absolute, all_hrefs, all_texts, anchors, body_text,
-                                     first_text)
-from landsync.functions.text import (blank_to_null, col, contains_any, first_of, literal_pattern,
+                                     first_text, markup)
+from landsync.functions.text import (bind, blank_to_null, col, contains_any, first_of, literal_pattern,
                                      only_if, squeeze, utrim)
 from landsync.operators.filters import is_plan_name, link_allowed
-from landsync.operators.merge import small_side
 from landsync.session import settle
 
 
 def per_provider(provider: Column | str, make: Callable[[str], Column],
-                 keys: list[str], otherwise: Column | None = None) -> Column:
-    """One expression per provider, chosen by the row's provider key."""
-    out = F.when(col(provider) == keys[0], make(keys[0]))
-    for key in keys[1:]:
-        out = out.when(col(provider) == key, make(key))
+                 table: dict[str, object], otherwise: Column | None = None) -> Column:
+    """One expression per set of rules, chosen by the row's provider key. ``make`` gets one key of
+    the providers whose entries in ``table`` are equal, so a plan grows with rules, not providers."""
+    alike: list[list[str]] = []
+    for key in table:
+        group = next((g for g in alike if table[g[0]] == table[key]), None)
+        if group is None:
+            alike.append([key])
+        else:
+            group.append(key)
+    out = None
+    for keys in alike:
+        test = col(provider).isin(keys) if len(keys) > 1 else col(provider) == keys[0]
+        out = F.when(test, make(keys[0])) if out is None else out.when(test, make(keys[0]))
+    if out is None:
+        return F.lit(None) if otherwise is None else otherwise
     return out if otherwise is None else out.otherwise(otherwise)
 
 
+def base_of(provider: Column | str, known: Column | None = None) -> Column:
+    """Base URL of a provider: ``known`` where it has a value, else the built-in one; a link that
+    needs one fails the job where there is none."""
+    base = known
+    for p in rules.PROVIDERS:
+        own = F.when(col(provider) == p[0], F.lit(p[2]))
+        base = own if base is None else F.coalesce(base, own)
+    return F.coalesce(base, F.raise_error(F.concat(
+        F.lit("no base URL for provider "), F.coalesce(col(provider).cast("string"), F.lit("null")))))
+
+
+def with_base(rows: DataFrame, providers: DataFrame | None) -> DataFrame:
+    """``rows`` (narrow, without HTML) with ``_base``."""
+    if providers is None:
+        return rows.withColumn("_base", base_of("provider_key"))
+    known = providers.select("provider_key", F.col("base_url").alias("_known"))
+    return (rows.join(known, "provider_key", "left")
+            .withColumn("_base", base_of("provider_key", F.col("_known"))).drop("_known"))
+
+
 def provider_of(url: Column | str, providers: list[tuple] | None = None) -> Column:
     """Provider key of a page by the host of its URL; null for other hosts."""
     host = F.regexp_extract(col(url), r"(?i)^https?://([^/?#]+)", 1)
@@ -62,10 +92,14 @@ def _candidates(pages: DataFrame, found: Column) -> DataFrame:
     return spread(pages, found, ["provider_key", "url"]).select("provider_key", "url", "_one.*")
 
 
-def _headings(table: dict[str, list[str]]) -> Column:
+def _headings(table: dict[str, list[str]], html: str = "_markup") -> Column:
     return per_provider("provider_key", lambda key: F.concat(
-        *[_numbered(all_texts("html", css), 0, rank) for rank, css in enumerate(table[key])]),
-        list(table))
+        *[_numbered(all_texts(html, css), 0, rank) for rank, css in enumerate(table[key])]), table)
+
+
+def cleaned(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``_markup``, the HTML that selectors see, worked out once a page."""
+    return pages.withColumn("_markup", markup("html"))
 
 
 def _body_names(table: dict[str, list[str]]) -> Column:
@@ -73,13 +107,13 @@ def _body_names(table: dict[str, list[str]]) -> Column:
         return F.transform(F.regexp_extract_all("html", F.lit(pattern), F.lit(0)), utrim)
 
     return per_provider("provider_key", lambda key: F.concat(
-        *[_numbered(matches(p), 1, rank) for rank, p in enumerate(table[key])]), list(table))
+        *[_numbered(matches(p), 1, rank) for rank, p in enumerate(table[key])]), table)
 
 
 def heading_candidates(pages: DataFrame,
                        selectors: dict[str, list[str]] | None = None) -> DataFrame:
     """Texts of the provider's heading selectors: strategy 0, ranked by selector."""
-    return _candidates(pages, _headings(selectors or rules.HEADING_SELECTORS))
+    return _candidates(cleaned(pages), _headings(selectors or rules.HEADING_SELECTORS))
 
 
 def body_candidates(pages: DataFrame,
@@ -95,7 +129,7 @@ def listing_candidates(pages: DataFrame, selectors: dict[str, list[str]] | None
     both = [F.coalesce(found, none)
             for found in (_headings(selectors or rules.HEADING_SELECTORS),
                           _body_names(patterns or rules.BODY_NAME_PATTERNS))]
-    return _candidates(pages, F.concat(*both))
+    return _candidates(cleaned(pages), F.concat(*both))
 
 
 def page_title(html: Column | str = "html", provider: Column | str = "provider_key",
@@ -109,7 +143,7 @@ def page_title(html: Column | str = "html", provider: Column | str = "provider_k
         return F.get(F.filter(texts, is_plan_name), F.lit(0))
 
     plain = F.coalesce(*[first_text(html, css) for css in rules.DEFAULT_TITLE_SELECTORS])
-    title = per_provider(provider, chosen, list(table), plain)
+    title = per_provider(provider, chosen, table, plain)
     return F.when(col(provider).isin(rules.BAR_TITLES), first_bar_part(title)).otherwise(title)
 
 
@@ -126,9 +160,10 @@ def slug_name(url: Column | str) -> Column:
 
 
 def plan_title(html: Column | str = "html", url: Column | str = "url",
-               provider: Column | str = "provider_key") -> Column:
+               provider: Column | str = "provider_key",
+               selectors: dict[str, list[str]] | None = None) -> Column:
     """Valid page title, or for some providers the URL name, else null."""
-    title = page_title(html, provider)
+    title = page_title(html, provider, selectors)
     return F.coalesce(only_if(title, is_plan_name),
                       F.when(col(provider).isin(rules.URL_TITLES), slug_name(url)))
 
@@ -141,55 +176,58 @@ def title_candidates(pages: DataFrame, order: str = "link_rank",
             F.col(order).cast("int").alias("rank"), F.lit(0).alias("pos")]
     if facts:
         keep.append(F.col("html"))
-    named = (spread(pages, F.array(first_text("html", "h1")), keep, "name")
+    named = (spread(cleaned(pages), F.array(first_text("_markup", "h1")), keep, "name")
              .filter(is_plan_name("name")))
     return with_page_facts(named).drop("html") if facts else named
 
 
-def _rule_links(rule: rules.LinkRule, rank: int, base: Column) -> Column:
+def _rule_links(rule: rules.LinkRule, rank: int) -> Column:
     found = (F.regexp_extract_all("html", F.lit(rule.pattern), F.lit(1)) if rule.pattern
-             else all_hrefs("html", rule.css))
-    kept = F.transform(found, lambda h, i: F.struct(
-        F.lit(rank).alias("rank"), i.cast("int").alias("pos"), h.alias("link")))
-    kept = F.filter(kept, lambda s: link_allowed(s["link"], rule))
-    if rule.complete == "none":
-        return kept
-    return F.transform(kept, lambda s: F.struct(
-        s["rank"].alias("rank"), s["pos"].alias("pos"),
-        absolute(s["link"], base, rule.complete == "all").alias("link")))
+             else all_hrefs("_markup", rule.css))
+    placed = F.transform(found, lambda h, i: F.struct(
+        F.lit(rank).alias("rank"), i.cast("int").alias("pos"), h.alias("link"),
+        F.lit(rule.complete).alias("complete")))
+    return F.filter(placed, lambda s: link_allowed(s["link"], rule))
 
 
 def product_links(pages: DataFrame, table: dict[str, list[rules.LinkRule]] | None = None,
-                  base: Column | None = None) -> DataFrame:
+                  base: Column | None = None, providers: DataFrame | None = None) -> DataFrame:
     """Allowed product links of listing pages with rule rank and position.
 
-    Duplicates stay in; ``first_links`` removes and caps them.
+    Relative links are completed with ``base``, else with the provider's ``base_url`` in
+    ``providers`` (default: the built-in ones); a provider without any fails the job.
+    Duplicates stay in; ``first_links`` removes them.
     """
     table = rules.DETAIL_LINK_RULES if table is None else table
-    if base is None:
-        base = per_provider("provider_key",
-                            lambda key: F.lit({p[0]: p[2] for p in rules.PROVIDERS}.get(key, "")),
-                            list(table))
     found = per_provider("provider_key", lambda key: F.concat(
-        *[_rule_links(rule, rank, base) for rank, rule in enumerate(table[key])]), list(table))
-    rows = spread(pages, found, ["provider_key", F.col("url").alias("page_url")])
-    return rows.select("provider_key", "page_url", "_one.rank", "_one.pos",
-                       F.col("_one.link").alias("url"))
+        *[_rule_links(rule, rank) for rank, rule in enumerate(table[key])]), table)
+    rows = spread(cleaned(pages), found, ["provider_key", F.col("url").alias("page_url")])
+    narrow = rows.select("provider_key", "page_url", "_one.rank", "_one.pos", "_one.complete", "_one.link")
+    based = with_base(narrow, providers) if base is None else narrow.withColumn("_base", base)
+    link = (F.when(F.col("complete") == "all", absolute(F.col("link"), F.col("_base")))
+            .when(F.col("complete") == "none", F.col("link"))
+            .otherwise(absolute(F.col("link"), F.col("_base"), False)))
+    return based.select("provider_key", "page_url", "rank", "pos", link.alias("url"))
 
 
-def listing_links(pages: DataFrame) -> DataFrame:
+def listing_links(pages: DataFrame, providers: DataFrame | None = None) -> DataFrame:
     """Product links by the rules common to all listing pages."""
-    return product_links(pages, {p[0]: rules.LISTING_LINK_RULES for p in rules.PROVIDERS})
+    found = F.concat(*[_rule_links(rule, rank) for rank, rule in enumerate(rules.LISTING_LINK_RULES)])
+    rows = spread(cleaned(pages), found, ["provider_key", F.col("url").alias("page_url")])
+    based = with_base(rows.select("provider_key", "page_url", "_one.rank", "_one.pos", "_one.link"), providers)
+    return based.select("provider_key", "page_url", "rank", "pos",
+                        absolute(F.col("link"), F.col("_base")).alias("url"))
 
 
-def landed_products(links: DataFrame, pages: DataFrame) -> DataFrame:
+def landed_products(links: DataFrame, pages: DataFrame, most: int = 200_000) -> DataFrame:
     """The landed pages of a set of links, with ``link_rank``.
 
-    ``links`` is capped per provider and so small; it is computed once and broadcast
-    after a check of its size, which keeps the HTML out of the shuffle.
+    The links are stored once and counted; up to ``most`` are broadcast, which keeps the
+    HTML out of the shuffle. More are joined by a shuffle of both sides.
     """
     wanted = settle(links.select("provider_key", "url", "link_rank"))
-    return pages.select("url", "html").join(small_side(wanted), "url")
+    side = F.broadcast(wanted) if wanted.count() <= most else wanted
+    return pages.select("url", "html").join(side, "url")
 
 
 def coverage_flags(text: Column | str, words: dict[str, list[str]] | None = None,
@@ -234,7 +272,7 @@ def eligible_age(text: Column | str = "text", provider: Column | str = "provider
                  patterns: dict[str, list[str]] | None = None) -> Column:
     """The provider's eligible-age phrase, null where none is found."""
     table = rules.AGE_PATTERNS if patterns is None else patterns
-    return per_provider(provider, lambda key: utrim(first_of(text, table[key])), list(table))
+    return per_provider(provider, lambda key: utrim(first_of(text, table[key])), table)
 
 
 def _anchor_test(kind: str, part: str) -> Callable[[Column], Column]:
@@ -243,13 +281,12 @@ def _anchor_test(kind: str, part: str) -> Callable[[Column], Column]:
     return lambda a: F.contains(F.lower(a["text"]), F.lit(part.lower()))
 
 
-def brochure_link(html: Column | str = "html", provider: Column | str = "provider_key",
+def brochure_href(html: Column | str = "html", provider: Column | str = "provider_key",
                   table: dict[str, list[tuple[str, str]]] | None = None,
-                  base: Column | None = None, links: Column | None = None,
-                  any_link: list[str] | None = None,
+                  links: Column | None = None, any_link: list[str] | None = None,
                   page_patterns: dict[str, list[str]] | None = None,
                   extension: str = ".pdf") -> Column:
-    """Absolute brochure link of a page.
+    """Brochure link of a page as it stands there.
 
     Rules are tried in order; of each only the first anchor counts, and unless
     the provider takes any link it must hold the extension. Some providers have
@@ -259,25 +296,32 @@ def brochure_link(html: Column | str = "html", provider: Column | str = "provide
     table = rules.BROCHURE_RULES if table is None else table
     any_link = rules.BROCHURE_ANY_LINK if any_link is None else any_link
     page_patterns = rules.BROCHURE_PAGE_PATTERNS if page_patterns is None else page_patterns
-    bases = {p[0]: p[2] for p in rules.PROVIDERS}
     links = anchors(html) if links is None else links
 
     def chosen(key: str) -> Column:
-        root = F.lit(bases.get(key, "")) if base is None else base
         picks = []
         for kind, part in table[key]:
             hits = F.filter(links, _anchor_test(kind, part))
             href = blank_to_null(F.get(hits, F.lit(0))["href"])
             if key not in any_link:
-                href = F.when(F.contains(F.lower(href), F.lit(extension)), href)
-            picks.append(absolute(href, root))
+                href = only_if(href, lambda h: F.contains(F.lower(h), F.lit(extension)))
+            picks.append(href)
         for pattern in page_patterns.get(key, []):
             found = F.filter(F.regexp_extract_all(col(html), F.lit(pattern), F.lit(1)),
                              lambda h: ~F.contains(F.lower(h), F.lit(rules.BROCHURE_PAGE_SKIP)))
-            picks.append(absolute(F.get(found, F.lit(0)), root))
+            picks.append(F.get(found, F.lit(0)))
         return F.coalesce(*picks)
 
-    return per_provider(provider, chosen, list(table))
+    alike = {k: (v, k in any_link, page_patterns.get(k)) for k, v in table.items()}
+    return per_provider(provider, chosen, alike)
+
+
+def brochure_link(html: Column | str = "html", provider: Column | str = "provider_key",
+                  table: dict[str, list[tuple[str, str]]] | None = None,
+                  base: Column | None = None, **options) -> Column:
+    """Absolute brochure link of a page; a relative one of a provider without base URL fails the job."""
+    return bind(brochure_href(html, provider, table, **options),
+                lambda h: absolute(h, base_of(provider) if base is None else base))
 
 
 def description(html: Column | str = "html", provider: Column | str = "provider_key",
@@ -295,27 +339,30 @@ def description(html: Column | str = "html", provider: Column | str = "provider_
             return F.coalesce(F.get(long, F.lit(0)), texts[-1])
         return F.coalesce(*texts)
 
-    return per_provider(provider, chosen, list(table))
+    return per_provider(provider, chosen, {k: (v, minimum.get(k)) for k, v in table.items()})
 
 
 def benefits(html: Column | str = "html") -> Column:
     return F.coalesce(*[first_text(html, css) for css in rules.BENEFIT_SELECTORS])
 
 
-def product_page_facts(pages: DataFrame) -> DataFrame:
+def product_page_facts(pages: DataFrame, providers: DataFrame | None = None,
+                       table: rules.RuleTable | None = None) -> DataFrame:
     """Everything the detailed path reads from product pages that carry a plan
     name, without the HTML. The page text stays only where there is no brochure
     link, as nothing else needs it."""
-    named = spread(pages.withColumn("_links", anchors("html")), F.array(plan_title()),
-                   ["*"], "plan_name")
+    table = table or rules.RuleTable()
+    prepared = cleaned(pages).withColumn("_links", anchors("_markup"))
+    title = plan_title("_markup", selectors=table.titles)
+    named = spread(prepared, F.array(title), ["*"], "plan_name")
     read = named.withColumns({
-        "description": description(),
-        "benefits": benefits(),
+        "description": description("_markup", selectors=table.descriptions),
+        "benefits": benefits("_markup"),
         "page_text": body_text("html"),
-        "brochure_url": brochure_link(links=F.col("_links")),
+        "brochure_url": brochure_href(table=table.brochures, links=F.col("_links")),
     })
-    aged = with_page_facts(read.withColumn("eligible_age", eligible_age("page_text")))
-    return aged.drop("html", "_links").withColumn(
+    aged = with_page_facts(read.withColumn("eligible_age", eligible_age("page_text", patterns=table.ages)))
+    narrow = aged.drop("html", "_markup", "_links")
+    link = absolute(F.col("brochure_url"), F.col("_base"))
+    return with_base(narrow, providers).withColumn("brochure_url", link).drop("_base").withColumn(
         "page_text", F.when(F.col("brochure_url").isNull(), F.col("page_text")))
-
-

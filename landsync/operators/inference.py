@@ -48,17 +48,21 @@ CLASS_HEAD = ("Is this plan MEDICAL (it pays hospital bills) or CRITICAL_ILLNESS
               "(it pays a lump sum on diagnosis)? Answer with that one word.\nPlan: ")
 
 
-def cut_text(text: Column | str, max_chars: int = MAX_CHARS) -> Column:
-    """The text, or its first characters and the cut mark if it is too long."""
+def cut_text(text: Column | str, max_chars: int | None = None) -> Column:
+    """The text, whole unless ``max_chars`` is given; then a longer one is cut there
+    and gets the cut mark."""
     text = col(text)
+    if max_chars is None:
+        return text
     return F.when(F.length(text) > max_chars,
                   F.concat(F.substring(text, 1, max_chars), F.lit(CUT_MARK))).otherwise(text)
 
 
-def prompts(documents: DataFrame, text: str = "text", max_chars: int = MAX_CHARS,
+def prompts(documents: DataFrame, text: str = "text", max_chars: int | None = None,
             min_chars: int = 100) -> DataFrame:
     """Documents long enough to analyse, with ``prompt``; context columns may be
-    absent or null and then take their default."""
+    absent or null and then take their default. A model with a narrow window may
+    need ``max_chars=MAX_CHARS``."""
     pieces: list[Column] = [F.lit(PROMPT_HEAD), cut_text(text, max_chars)]
     for label, name in PROMPT_CONTEXT:
         default = F.lit(CONTEXT_DEFAULTS[name])
@@ -69,11 +73,12 @@ def prompts(documents: DataFrame, text: str = "text", max_chars: int = MAX_CHARS
 
 
 def class_text(description: Column | str, benefits: Column | str,
-               max_chars: int = CLASS_TEXT_CHARS) -> Column:
-    """Description and benefits joined by a space and cut, for classification."""
+               max_chars: int | None = None) -> Column:
+    """Description and benefits joined by a space, for classification; cut only if
+    ``max_chars`` (such as CLASS_TEXT_CHARS) is given."""
     both = F.concat(F.coalesce(col(description), F.lit("")), F.lit(" "),
                     F.coalesce(col(benefits), F.lit("")))
-    return F.substring(both, 1, max_chars)
+    return both if max_chars is None else F.substring(both, 1, max_chars)
 
 
 def class_prompts(plans: DataFrame, name: str = "plan_name", description: str = "description",
@@ -100,7 +105,8 @@ def join_page_texts(pages: DataFrame, key: str = "doc_id", order: str = "page_no
 
     The pages of one document must fit one value, as the text itself does.
     """
-    kept = pages.filter(F.length(F.col(text)) > 0)
+    # Pages without a document belong together no more than to any other.
+    kept = pages.filter((F.length(F.col(text)) > 0) & F.col(key).isNotNull())
     rows = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(text))))
     return (kept.groupBy(key).agg(rows.alias("_pages"))
             .select(key, F.array_join(F.transform("_pages", lambda p: p[text]), separator)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landsync.schemas import ENRICHMENT_COLUMNS, PLAN_COMPARE_FIELDS
+from landsync.schemas import PLAN_COMPARE_FIELDS
 
 TOLERANCE = 0.01
 
@@ -137,13 +137,6 @@ def sync_plans(existing: DataFrame, incoming: DataFrame, run_ts: Column | None =
     return tagged.select(*out, F.col("_status").alias("sync_status"))
 
 
-def small_side(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """``df`` marked for broadcast if a bounded count shows it is small, else as it
-    is, for a shuffle join with adaptive skew handling."""
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
-
-
 def missing_plans(existing: DataFrame, active: DataFrame,
                   providers: DataFrame | None = None) -> DataFrame:
     """Ids of active stored plans that the current id list of their provider lacks.
@@ -154,7 +147,7 @@ def missing_plans(existing: DataFrame, active: DataFrame,
     """
     scope = (active if providers is None else providers).select("provider_name").distinct()
     return (existing.filter(F.col("is_active"))
-            .join(small_side(scope), "provider_name", "left_semi")
+            .join(scope, "provider_name", "left_semi")
             .join(active.select("provider_name", "id"), ["id", "provider_name"], "left_anti")
             .select("id", "provider_name"))
 
@@ -175,8 +168,7 @@ def deactivate_missing(existing: DataFrame, active: DataFrame,
                  .select("provider_name"))
     joined = (existing
               .join(listed.withColumn("_listed", F.lit(True)), ["id", "provider_name"], "left")
-              .join(small_side(scope.withColumn("_scope", F.lit(True))),
-                    "provider_name", "left"))
+              .join(scope.withColumn("_scope", F.lit(True)), "provider_name", "left"))
     hit = (F.coalesce(F.col("is_active"), F.lit(False))
            & F.col("_scope").isNotNull() & F.col("_listed").isNull())
     marked = joined.withColumn("deactivated", hit)
@@ -249,11 +241,6 @@ def align(batch: DataFrame, schema: T.StructType) -> DataFrame:
     return full.select(*[f.name for f in schema])
 
 
-def without_enrichment(batch: DataFrame) -> DataFrame:
-    """A facility batch that cannot touch any looked-up column."""
-    return batch.drop(*[c for c in ENRICHMENT_COLUMNS if c in batch.columns])
-
-
 def direct_upsert_plans(existing: DataFrame, plans: DataFrame,
                         run_ts: Column | None = None) -> DataFrame:
     """Upsert plans without comparing. ``updated_at`` becomes the run time, and so

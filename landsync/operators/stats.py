@@ -109,3 +109,10 @@ def batch_accounting(records: DataFrame, seq: str = "seq", batch_size: int = 500
         "batch", "records",
         F.when(F.col("_bad"), F.lit(0)).otherwise(F.col("records")).alias("success"),
         F.when(F.col("_bad"), F.col("records")).otherwise(F.lit(0)).alias("errors"))
+
+
+def without_id_report(records: DataFrame, id_col: str = "id") -> DataFrame:
+    """Rows with and without an id, in one pass."""
+    has = F.coalesce(F.col(id_col) != "", F.lit(False))
+    return records.agg(F.coalesce(count_if(has), F.lit(0)).alias("kept"),
+                       F.coalesce(count_if(~has), F.lit(0)).alias("rejected"))

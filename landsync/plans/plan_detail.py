@@ -14,19 +14,23 @@ from landsync.operators.dedup import first_links, keep_first
 from landsync.operators.extract import product_links, product_page_facts
 from landsync.operators.filters import is_medical
 from landsync.operators.inference import analysis_input, class_prompts, prompts
-from landsync.operators.merge import small_side
 from landsync.operators.records import merge_facts, plan_records
 
 
-def detail_links(listing_pages: DataFrame) -> DataFrame:
-    """Product links of the detailed path, capped per provider."""
-    return first_links(product_links(listing_pages), rules.DETAIL_LINK_CAPS)
+def detail_links(listing_pages: DataFrame, providers: DataFrame | None = None,
+                 table: rules.RuleTable | None = None,
+                 caps: dict[str, int] | None = None) -> DataFrame:
+    """Product links of the detailed path; ``caps`` (``rules.DETAIL_LINK_CAPS``) keeps the
+    first ones of each provider."""
+    table = table or rules.RuleTable()
+    return first_links(product_links(listing_pages, table.detail_links, providers=providers), caps)
 
 
-def named_pages(product_pages: DataFrame) -> DataFrame:
+def named_pages(product_pages: DataFrame, providers: DataFrame | None = None,
+                table: rules.RuleTable | None = None) -> DataFrame:
     """Facts of product pages that carry a plan name. ``product_pages`` has
     ``link_rank``."""
-    return product_page_facts(product_pages)
+    return product_page_facts(product_pages, providers, table)
 
 
 def classification_prompts(named: DataFrame) -> DataFrame:
@@ -48,7 +52,7 @@ def analysis_prompts(accepted: DataFrame, brochures: DataFrame,
                      providers: DataFrame) -> DataFrame:
     """Prompts for accepted pages with something to analyse."""
     named = accepted.join(
-        small_side(providers.select("provider_key", F.col("name").alias("provider_name"))),
+        providers.select("provider_key", F.col("name").alias("provider_name")),
         "provider_key", "left")
     return prompts(analysis_input(named, brochures)).select("provider_key", "url", "prompt")
 

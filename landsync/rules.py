@@ -6,7 +6,7 @@ are fixed values: results depend on their wording and order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -318,6 +318,20 @@ CRITICAL_ILLNESS_NAMES = ["Critical Care", "Critical Relief", "Critical Illness"
 MEDICAL_NAMES = ["Medical", "MediCard", "MediValue", "Health Direct"]
 
 
+@dataclass(frozen=True)
+class RuleTable:
+    """The rules of all providers, by provider key. Replace a field to add a provider or to
+    change one; providers with equal rules share one branch of a plan."""
+
+    headings: dict[str, list[str]] = field(default_factory=lambda: HEADING_SELECTORS)
+    body_names: dict[str, list[str]] = field(default_factory=lambda: BODY_NAME_PATTERNS)
+    titles: dict[str, list[str]] = field(default_factory=lambda: TITLE_SELECTORS)
+    detail_links: dict[str, list[LinkRule]] = field(default_factory=lambda: DETAIL_LINK_RULES)
+    ages: dict[str, list[str]] = field(default_factory=lambda: AGE_PATTERNS)
+    brochures: dict[str, list[tuple[str, str]]] = field(default_factory=lambda: BROCHURE_RULES)
+    descriptions: dict[str, list[str]] = field(default_factory=lambda: DESCRIPTION_SELECTORS)
+
+
 def provider_table(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
     """The provider dimension as a DataFrame; ``rows`` replaces the built-in set.
 

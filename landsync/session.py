@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,23 +28,24 @@ def build_session(app_name: str = "landsync", master: str | None = None,
     return builder.getOrCreate()
 
 
-_LOCAL_DIRS: dict[str, str] = {}
+_local_dir: str | None = None
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors can reach, named by ``spark.checkpoint.dir``.
+def use_local_dir(path: str) -> None:
+    """Name the shared folder of sessions that run in one process and set none, such as tests."""
+    global _local_dir
+    _local_dir = path.rstrip("/")
 
-    Only a local session may fall back to a temporary folder of its own.
-    """
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder that all executors can reach, named by ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="landsync-")
-    return _LOCAL_DIRS[app]
+    master = spark.sparkContext.master
+    if _local_dir and (master == "local" or master.startswith("local[")):
+        return _local_dir
+    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,8 +16,19 @@ from landsync.schemas import SHEET_COLUMNS
 _SPLIT_ROW = (1 << 33) - 1  # low bits of monotonically_increasing_id: row within a partition
 
 
-def read_cells(spark: SparkSession, path: str, width: int = 26,
-               multi_line: bool = True) -> DataFrame:
+def top_rows(spark: SparkSession, path: str, rows: int) -> list[list[str]]:
+    """The first ``rows`` rows of a sheet export, cells of many lines included."""
+    lines = 64
+    while True:
+        text = [r[0] for r in spark.read.text(path).limit(lines).collect()]
+        found = list(csv.reader(io.StringIO("\n".join(text), newline="")))
+        # The last row seen may go on below; it counts once another one follows.
+        if len(found) > rows or len(text) < lines:
+            return found[:rows]
+        lines *= 8
+
+
+def read_cells(spark: SparkSession, path: str, width: int, multi_line: bool = True) -> DataFrame:
     """One sheet export as ``seq``, ``first_split`` and the array ``cells``.
 
     ``multi_line=False`` lets Spark split one large file; cells must then hold no
@@ -55,18 +68,20 @@ def sheet_rows(cells: DataFrame, columns: dict[str, int],
     return rows.filter(F.col(name) != "")
 
 
-def read_sheet(spark: SparkSession, path: str, skip_rows: int = 2, width: int = 26,
+def read_sheet(spark: SparkSession, path: str, skip_rows: int = 2,
                multi_line: bool = True) -> DataFrame:
-    """One sheet export as raw facility rows with ``seq``.
+    """One sheet export as raw facility rows with ``seq``, however wide it is.
 
-    Only the first ``skip_rows`` rows visit the driver, to find the columns.
+    Only the first ``skip_rows`` rows visit the driver, to find the columns. A file
+    whose cells may hold line breaks is one task; for a large one whose cells hold
+    none use ``multi_line=False``.
     """
-    cells = read_cells(spark, path, width, multi_line)
-    place = F.col("seq").bitwiseAND(F.lit(_SPLIT_ROW))
-    top = cells.limit(max(skip_rows, 1)).collect()
+    top = top_rows(spark, path, max(skip_rows, 1))
     if len(top) < max(skip_rows, 1):
-        return sheet_rows(cells.filter(F.lit(False)), header_columns([]))
-    header = top[max(skip_rows - 1, 0)]["cells"]
+        return sheet_rows(read_cells(spark, path, 1).filter(F.lit(False)), header_columns([]))
+    header = top[max(skip_rows - 1, 0)]
+    cells = read_cells(spark, path, max(len(header), 1), multi_line)
+    place = F.col("seq").bitwiseAND(F.lit(_SPLIT_ROW))
     data = cells.filter(~(F.col("first_split") & (place < skip_rows)))
     return sheet_rows(data, header_columns(header))
 

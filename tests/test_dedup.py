@@ -36,9 +36,9 @@ def test_unique_plans_drop_missing_ids(spark):
 
 def test_unique_names(spark):
     df = spark.createDataFrame([
-        ("k", "Plan A", 1, 0, 0), ("k", "PLAN A", 0, 2, 5), ("k", "plan a", 0, 2, 4),
-        ("j", "Plan A", 2, 0, 0)],
-        "provider_key string, name string, strategy int, rank int, pos int")
+        ("k", "Plan A", 1, 0, 0, "u"), ("k", "PLAN A", 0, 2, 5, "u"), ("k", "plan a", 0, 2, 4, "v"),
+        ("k", "PLAN a", 0, 2, 4, "w"), ("k", "Plan a", 0, 2, 4, "w"), ("j", "Plan A", 2, 0, 0, "u")],
+        "provider_key string, name string, strategy int, rank int, pos int, url string").repartition(5)
     got = {(r.provider_key, r.name) for r in dedup.unique_names(df).collect()}
     assert got == {("k", "plan a"), ("j", "Plan A")}
 
@@ -60,7 +60,7 @@ def test_report_and_positions(spark):
     empty = dedup.duplicate_report(df.filter("false")).first()
     assert tuple(empty) == (0, 0, 0)
     gaps = df.select((F.col("seq") * 7).alias("seq")).repartition(6)
-    got = dedup.global_position(gaps, "seq", block=1000).orderBy("seq").collect()
+    got = dedup.global_position(gaps, "seq", blocks=9).orderBy("seq").collect()
     assert [r.position for r in got] == list(range(9000))
 
 

@@ -85,7 +85,7 @@ def test_hours_and_services(spark):
         (1, [["abc"], [" abcd ", "abcd", "efgh"] + [f"item {k}" for k in range(20)]]),
         (2, [["a"]])], "i int, g array<array<string>>")
     rows = df.select("i", X.pick_services("g").alias("s")).orderBy("i").collect()
-    assert rows[0].s == ["abcd", "efgh"] + [f"item {k}" for k in range(8)]
+    assert rows[0].s == ["abcd", "efgh"] + [f"item {k}" for k in range(20)]
     assert rows[1].s is None
     df = spark.createDataFrame([(["", "x" * 100, "Clinic", "Other"],), ([],)], "c array<string>")
     assert [r.s for r in df.select(X.pick_specialties("c").alias("s")).collect()] == [["Clinic"], None]
@@ -145,6 +145,35 @@ def test_selectors(spark, css, want):
     assert values(spark, [PAGE], lambda c: H.all_texts(c, css)) == [want]
 
 
+def test_extent_of_elements(spark):
+    card = ("<div class='product-card'><div><div>x</div></div><h2>In</h2></div>"
+            "<div class='other'><h2>Customer Stories Galore</h2></div>")
+    assert values(spark, [card], lambda c: H.all_texts(c, ".product-card h2")) == [["In"]]
+    nested = ("<div class='product-description'><div>First part.</div> <div>Second part.</div></div> after"
+              "<ul class='benefits'>a<ul class='benefit-list'><li>b</li></ul>c</ul>")
+    assert values(spark, [nested], lambda c: H.first_text(c, ".product-description")) == [
+        "First part. Second part."]
+    assert values(spark, [nested], lambda c: H.first_text(c, "[class*='benefit']")) == ["abc"]
+    bare = "<!-- <h2>no</h2> --><script>'<h2>no</h2>'</script><div class=product-card><h2>Yes</h2></div>"
+    assert values(spark, [bare], lambda c: H.all_texts(H.markup(c), ".product-card h2")) == [["Yes"]]
+    assert values(spark, [bare], lambda c: H.all_texts(H.markup(c), "h2")) == [["Yes"]]
+    link = "<a href=/p/health class=x>A</a>"
+    assert values(spark, [link], lambda c: H.all_hrefs(c, "a[href*='health']")) == [["/p/health"]]
+
+
+def test_unescape(spark):
+    assert values(spark, ["Caf&eacute; &#8211;&#x41;&rsquo;&amp;lt; & &bogus; &amp", "plain", None], H.unescape) == [
+        "Caf\u00e9 \u2013A\u2019&lt; & &bogus; &amp", "plain", None]
+
+
+def test_long_digits(spark):
+    digits = "1" * 1_000_000
+    assert values(spark, [digits, "RM " + digits, digits + "x"], X.parse_money) == [float("inf"), float("inf"), None]
+    assert values(spark, ["4." + digits], X.parse_rating)[0] > 4
+    assert values(spark, ["1_000", "_1", "1__0", "1_", "1e1_0", "1_000.5"], X.to_double) == [
+        1000.0, None, None, None, 1e10, 1000.5]
+
+
 def test_hrefs_and_text(spark):
     assert values(spark, [PAGE], lambda c: H.all_hrefs(c, ".product-card a")) == [["/p/one.html"]]
     assert values(spark, [PAGE], lambda c: H.all_hrefs(c, "a[href*='health']")) == [
