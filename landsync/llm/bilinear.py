@@ -44,8 +44,8 @@ WIDTH, CONTEXT = 24, 2
 NOISE, BATCH, SAMPLE, SAMPLE_CHARS = 64, 4_096, 3_000, 10_000
 #: Step sizes of the first sample and of all texts, and passes over the first sample.
 FIRST_RATE, RATE, FIRST_PASSES = 0.05, 0.03, 2
-#: Tokens that are scored at once, and contexts multiplied at once.
-AT_ONCE, PRODUCTS = 1_000_000, 4_096
+#: Characters of text that are read at once, and contexts multiplied at once.
+AT_ONCE, PRODUCTS = 2_000_000, 2_048
 LOG10 = float(np.log(10))
 
 
@@ -226,14 +226,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about AT_ONCE tokens."""
-    lo = 0
-    while lo < len(ends):
-        begin = ends[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(ends, begin + AT_ONCE, side="right")))
-        yield lo, hi
-        lo = hi
+def _pieces(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about AT_ONCE characters."""
+    lo = size = 0
+    for k, t in enumerate(texts):
+        n = len(t or "")
+        if k > lo and size + n > AT_ONCE:
+            yield lo, k
+            lo, size = k, 0
+        size += n
+    if lo < len(texts):
+        yield lo, len(texts)
 
 
 def train(texts: DataFrame, words: Words) -> Model:
@@ -255,11 +258,10 @@ def train(texts: DataFrame, words: Words) -> Model:
         known, own, draw, seen = shared.value, Model(prior).load(start), np.random.default_rng(6), 0
         own.past = [x.copy() for x in past]
         for batch in batches:
-            _, symbol, ends, _ = known.read(batch.column(0).to_pylist())
-            for lo, hi in _slices(ends):
-                a = ends[lo - 1] if lo else 0
-                own.learn(symbol[a:ends[hi - 1]], ends[lo:hi] - a, RATE, draw)
-            seen += len(symbol)
+            for lo, hi in _pieces(own_texts := batch.column(0).to_pylist()):
+                _, symbol, ends, _ = known.read(own_texts[lo:hi])
+                own.learn(symbol, ends, RATE, draw)
+                seen += len(symbol)
         if seen:
             values = own.values().astype(float)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values * seen),
@@ -284,23 +286,21 @@ def score(docs: DataFrame, model: Model, words: Words, counts: DataFrame, text:
         weight = np.log10(of.count + 1.0)
         inside = np.where(of.symbol >= of.symbols, weight - of.log_class[np.maximum(of.symbol - of.symbols, 0)], 0.0)
         for batch in batches:
-            index, symbol, ends, rare = of.read(batch.column(2).to_pylist())
-            n = np.diff(np.append(0, ends))
-            base, full, seen = (np.zeros(len(ends)) for _ in range(3))
-            for lo, hi in _slices(ends):
-                a, b = ends[lo - 1] if lo else 0, ends[hi - 1]
-                k, s = index[a:b], symbol[a:b]
-                doc = np.repeat(np.arange(lo, hi), n[lo:hi])
-                frequent = k >= 0
-                base += np.bincount(doc, np.where(frequent, weight[k], 0.0), len(ends))
-                seen += np.bincount(doc, frequent & (of.count[k] > 0), len(ends))
+            own = batch.column(2).to_pylist()
+            for lo, hi in _pieces(own):
+                index, symbol, ends, rare = of.read(own[lo:hi])
+                n = np.diff(np.append(0, ends))
+                doc = np.repeat(np.arange(len(n)), n)
+                frequent = index >= 0
+                base = np.bincount(doc, np.where(frequent, weight[index], 0.0), len(n))
+                seen = np.bincount(doc, frequent & (of.count[index] > 0), len(n)).astype(np.int64)
                 # of other words the class's part is known here, the word's count is not
-                within = np.where(frequent, inside[k], -of.log_class[np.maximum(s - of.symbols, 0)])
-                full += np.bincount(doc, lbl.log10(s, ends[lo:hi] - a) + within, len(ends))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n), pa.array(seen.astype(np.int64)),
-                 pa.array(base - n * log_base), pa.array(full), pa.array(rare, pa.list_(pa.binary()))],
-                ["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare"])
+                within = np.where(frequent, inside[index], -of.log_class[np.maximum(symbol - of.symbols, 0)])
+                full = np.bincount(doc, lbl.log10(symbol, ends) + within, len(n))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array(n), pa.array(seen),
+                     pa.array(base - n * log_base), pa.array(full), pa.array(rare, pa.list_(pa.binary()))],
+                    ["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare"])
 
     # the row's number is made once, as it is stored with the row's results
     scored = settled(docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"),
