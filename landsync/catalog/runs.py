@@ -97,8 +97,7 @@ def str2_stream_results(spark: SparkSession, sf: str) -> DataFrame:
     root = new_dir(spark, "enrichment-stream")
     write_snapshot(facility.stored(spark, sf), root)
     results = facility.results_of(stream_of(spark, sf, "events"))
-    jobs.stream_results(results, root, f"{root}/checkpoint", time="ts", dedup="seq",
-                        delay="1 day").awaitTermination()
+    jobs.stream_results(results, root, f"{root}/checkpoint", dedup="seq").awaitTermination()
     return read_snapshot(spark, root).select("id", "latitude", "phone", "website", "google_rating")
 
 

@@ -92,9 +92,19 @@ def _candidates(pages: DataFrame, found: Column) -> DataFrame:
     return spread(pages, found, ["provider_key", "url"]).select("provider_key", "url", "_one.*")
 
 
+def _joined(arrays: list[Column], fields: str) -> Column:
+    """The arrays of structs one after the other; an empty one where there is none."""
+    return F.concat(F.array().cast(f"array<struct<{fields}>>"), *arrays)
+
+
+_NAME_FIELDS = "strategy:int,rank:int,pos:int,name:string"
+_LINK_FIELDS = "rank:int,pos:int,link:string,complete:string"
+
+
 def _headings(table: dict[str, list[str]], html: str = "_markup") -> Column:
-    return per_provider("provider_key", lambda key: F.concat(
-        *[_numbered(all_texts(html, css), 0, rank) for rank, css in enumerate(table[key])]), table)
+    return per_provider("provider_key", lambda key: _joined(
+        [_numbered(all_texts(html, css), 0, rank) for rank, css in enumerate(table[key])],
+        _NAME_FIELDS), table)
 
 
 def cleaned(pages: DataFrame) -> DataFrame:
@@ -106,8 +116,8 @@ def _body_names(table: dict[str, list[str]]) -> Column:
     def matches(pattern: str) -> Column:
         return F.transform(F.regexp_extract_all("html", F.lit(pattern), F.lit(0)), utrim)
 
-    return per_provider("provider_key", lambda key: F.concat(
-        *[_numbered(matches(p), 1, rank) for rank, p in enumerate(table[key])]), table)
+    return per_provider("provider_key", lambda key: _joined(
+        [_numbered(matches(p), 1, rank) for rank, p in enumerate(table[key])], _NAME_FIELDS), table)
 
 
 def heading_candidates(pages: DataFrame,
@@ -125,11 +135,10 @@ def body_candidates(pages: DataFrame,
 def listing_candidates(pages: DataFrame, selectors: dict[str, list[str]] | None = None,
                        patterns: dict[str, list[str]] | None = None) -> DataFrame:
     """Both kinds of candidate in one pass over the pages."""
-    none = F.array().cast("array<struct<strategy:int,rank:int,pos:int,name:string>>")
-    both = [F.coalesce(found, none)
+    both = [F.coalesce(found, _joined([], _NAME_FIELDS))
             for found in (_headings(selectors or rules.HEADING_SELECTORS),
                           _body_names(patterns or rules.BODY_NAME_PATTERNS))]
-    return _candidates(cleaned(pages), F.concat(*both))
+    return _candidates(cleaned(pages), _joined(both, _NAME_FIELDS))
 
 
 def page_title(html: Column | str = "html", provider: Column | str = "provider_key",
@@ -199,8 +208,8 @@ def product_links(pages: DataFrame, table: dict[str, list[rules.LinkRule]] | Non
     Duplicates stay in; ``first_links`` removes them.
     """
     table = rules.DETAIL_LINK_RULES if table is None else table
-    found = per_provider("provider_key", lambda key: F.concat(
-        *[_rule_links(rule, rank) for rank, rule in enumerate(table[key])]), table)
+    found = per_provider("provider_key", lambda key: _joined(
+        [_rule_links(rule, rank) for rank, rule in enumerate(table[key])], _LINK_FIELDS), table)
     rows = spread(cleaned(pages), found, ["provider_key", F.col("url").alias("page_url")])
     narrow = rows.select("provider_key", "page_url", "_one.rank", "_one.pos", "_one.complete", "_one.link")
     based = with_base(narrow, providers) if base is None else narrow.withColumn("_base", base)

@@ -211,6 +211,47 @@ def fold_results(results: DataFrame, seq: Sequence[str] = ("seq",)) -> DataFrame
     return known.groupBy("clinic_id").agg(*aggs)
 
 
+def fold_state(results: DataFrame, seq: Sequence[str] = ("seq",)) -> DataFrame:
+    """As ``fold_results``, with the order value that decided each field, so that states of
+    several batches merge to the same in any order. ``id`` is the facility."""
+    order = F.struct(*[F.col(c) for c in seq])
+    good = F.coalesce(F.col("scrape_success"), F.lit(False))
+    point = F.struct(order.alias("o"), *[F.when(good, F.col(c)).otherwise(F.lit(0.0)).alias(c)
+                                         for c in ("latitude", "longitude")],
+                     good.alias("scrape_success"))
+    aggs = [F.max_by(point, order).alias("_point")]
+    for c in LOOKUP_FIELDS + LOOKUP_LISTS:
+        if c not in results.columns:
+            continue
+        present = good & F.col(c).isNotNull()
+        if c in LOOKUP_LISTS:
+            present = present & (F.size(F.col(c)) > 0)
+        value = F.struct(order.alias("o"), F.col(c).alias("v"))
+        aggs.append(F.max_by(F.when(present, value), F.when(present, order)).alias(c))
+    known = results.filter(F.col("clinic_id").isNotNull() & (F.col("clinic_id") != ""))
+    return known.groupBy(F.col("clinic_id").alias("id")).agg(*aggs)
+
+
+def merge_states(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """One state per facility; of equal order values the stored one stays."""
+    old, new = stored.alias("old"), fresh.alias("new")
+    joined = old.join(new, F.col("old.id") == F.col("new.id"), "full_outer")
+    out = [F.coalesce(F.col("old.id"), F.col("new.id")).alias("id")]
+    for c in stored.columns:
+        if c != "id":
+            was, now = F.col(f"old.{c}"), F.col(f"new.{c}")
+            later = was.isNull() | (now.isNotNull() & (now["o"] > was["o"]))
+            out.append(F.when(later, now).otherwise(was).alias(c))
+    return joined.select(*out)
+
+
+def folded_of(state: DataFrame) -> DataFrame:
+    """The folded results that a state stands for."""
+    fields = [c for c in state.columns if c not in ("id", "_point")]
+    return state.select(F.col("id").alias("clinic_id"), "_point.latitude", "_point.longitude",
+                        *[F.col(f"{c}.v").alias(c) for c in fields], "_point.scrape_success")
+
+
 def apply_results(facilities: DataFrame, folded: DataFrame,
                   run_ts: Column | None = None) -> DataFrame:
     """The facility table after lookup results (one row per facility, see

@@ -11,7 +11,8 @@ from landsync.operators.dedup import work_batch
 from landsync.operators.filters import blocked_page, pending
 from landsync.operators.merge import apply_results, fold_results
 from landsync.operators.records import completeness, search_query
-from landsync.sources.store import PREFIX, replace_partitions, touched, with_prefix
+from landsync.session import settle
+from landsync.sources.store import prefixes_of, read_folders, replace_folders
 
 
 def next_batch(facilities: DataFrame, n: int = 50) -> DataFrame:
@@ -57,12 +58,16 @@ def enrich(facilities: DataFrame, results: DataFrame, run_ts: Column | None = No
     return apply_results(facilities, fold_results(results, seq), run_ts)
 
 
-def enrich_in_place(results: DataFrame, path: str, run_ts: Column | None = None,
+def enrich_in_place(results: DataFrame, root: str, run_ts: Column | None = None,
                     seq: tuple[str, ...] = ("seq",), digits: int = 2) -> None:
     """As above for a table kept in id-prefix folders: a run of 50 results reads
     and writes at most 50 folders, whatever the size of the table."""
-    spark = results.sparkSession
-    folded = fold_results(results, seq)
-    part = touched(spark.read.parquet(path), folded.withColumnRenamed("clinic_id", "id"), digits)
-    out = apply_results(part.drop(PREFIX), folded, run_ts)
-    replace_partitions(with_prefix(out, digits), path)
+    apply_in_place(settle(fold_results(results, seq)), root, run_ts, digits)
+
+
+def apply_in_place(folded: DataFrame, root: str, run_ts: Column | None = None,
+                   digits: int = 2) -> None:
+    """Folded results (a stored table) onto the folders they fall into."""
+    hit = prefixes_of(folded.withColumnRenamed("clinic_id", "id"), digits)
+    part = read_folders(folded.sparkSession, root, hit, digits)
+    replace_folders(apply_results(part, folded, run_ts), root, digits, hit)

@@ -9,17 +9,18 @@ from landsync import schemas
 from landsync.operators.dedup import unique_facilities
 from landsync.operators.merge import align, upsert
 from landsync.operators.records import facility_records, rename_sheet
-from landsync.sources.store import (PREFIX, read_snapshot, replace_partitions, touched,
-                                    with_prefix, write_snapshot)
+from landsync.session import settle
+from landsync.sources.store import (prefixes_of, read_folders, read_snapshot, replace_folders,
+                                    write_snapshot)
 
 
 def facility_batch(rows: DataFrame, run_ts: Column | None = None,
-                   protect_enrichment: bool = False) -> DataFrame:
+                   protect_enrichment: bool = False, keep_seq: bool = False) -> DataFrame:
     """Renamed rows (with ``seq``) to unique facility records. Rows that cannot have
     an id go first, which spares computing the id twice."""
     whole = rows.filter(F.col("name").isNotNull() & F.col("address").isNotNull())
-    records = facility_records(whole, run_ts, protect_enrichment)
-    return unique_facilities(records).drop("seq")
+    records = unique_facilities(facility_records(whole, run_ts, protect_enrichment))
+    return records if keep_seq else records.drop("seq")
 
 
 def sync_facilities(sheet: DataFrame, root: str, run_ts: Column | None = None,
@@ -37,12 +38,13 @@ def sync_facilities(sheet: DataFrame, root: str, run_ts: Column | None = None,
     })
 
 
-def sync_facilities_in_place(sheet: DataFrame, path: str, run_ts: Column | None = None,
+def sync_facilities_in_place(sheet: DataFrame, root: str, run_ts: Column | None = None,
                              protect_enrichment: bool = False, digits: int = 2) -> None:
     """As above for a table kept in id-prefix folders: reads and writes only the
     folders the batch falls into. For small batches into a large table."""
     spark = sheet.sparkSession
-    batch = facility_batch(rename_sheet(sheet), run_ts, protect_enrichment)
-    part = touched(spark.read.parquet(path), batch, digits).drop(PREFIX)
-    stored = align(part, schemas.FACILITY)
-    replace_partitions(with_prefix(upsert(stored, batch), digits), path)
+    # Stored once: it tells the folders, and is then written into them.
+    batch = settle(facility_batch(rename_sheet(sheet), run_ts, protect_enrichment))
+    hit = prefixes_of(batch, digits)
+    part = align(read_folders(spark, root, hit, digits, schemas.FACILITY), schemas.FACILITY)
+    replace_folders(upsert(part, batch), root, digits, hit)

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from landsync import schemas
 from landsync.operators.dedup import unique_plans
-from landsync.operators.merge import align, sync_plans
-from landsync.sources.store import read_snapshot, write_snapshot
+from landsync.operators.merge import align, missing_plans, sync_plans
+from landsync.session import settle
+from landsync.sources.store import (prefixes_of, read_folders, read_snapshot, replace_folders,
+                                    write_snapshot)
 
 
 def union_providers(parts: list[DataFrame]) -> DataFrame:
@@ -32,13 +34,51 @@ def sync_stored_plans(plans: DataFrame, root: str, order: tuple[str, ...],
     stored = align(read_snapshot(spark, root, schemas.PLAN, buckets), schemas.PLAN)
     incoming = unique_plans(plans, order)
     nexts = sync_plans(stored, incoming, run_ts, null_policy, reactivate)
+    return _report(write_snapshot(nexts, root, buckets=buckets, observe=_hits()))
 
+
+def sync_plans_in_place(plans: DataFrame, root: str, order: tuple[str, ...],
+                        run_ts: Column | None = None, null_policy: str = "overwrite",
+                        reactivate: bool = False, digits: int = 2) -> dict[str, int]:
+    """As above for a table kept in id-prefix folders: a day's change of a few thousand plans
+    reads and writes only the folders these fall into."""
+    spark = plans.sparkSession
+    incoming = settle(unique_plans(plans, order))
+    hit = prefixes_of(incoming, digits)
+    part = align(read_folders(spark, root, hit, digits, schemas.PLAN), schemas.PLAN)
+    nexts = sync_plans(part, incoming, run_ts, null_policy, reactivate)
+    return _report(replace_folders(nexts, root, digits, hit, _hits()))
+
+
+def deactivate_in_place(root: str, active: DataFrame, providers: DataFrame | None = None,
+                        run_ts: Column | None = None, digits: int = 2) -> int:
+    """Soft delete in a table kept in id-prefix folders: id, provider and state of all plans are
+    read, and only folders that hold a plan to deactivate are written. Returns the number of
+    plans."""
+    spark = active.sparkSession
+    gone = settle(missing_plans(read_folders(spark, root, digits=digits), active, providers))
+    hit = prefixes_of(gone, digits)
+    if not hit:
+        return 0
+    part = read_folders(spark, root, hit, digits)
+    marked = part.join(gone.select("id", F.lit(True).alias("_gone")), "id", "left")
+    changed = {"is_active": F.col("is_active") & F.col("_gone").isNull()}
+    if "updated_at" in part.columns:
+        now = F.current_timestamp() if run_ts is None else run_ts
+        changed["updated_at"] = F.when(F.col("_gone"), now).otherwise(F.col("updated_at"))
+    replace_folders(marked.withColumns(changed).select(*part.columns), root, digits, hit)
+    return gone.count()
+
+
+def _hits() -> dict[str, Column]:
     def hits(status: str) -> Column:
         return F.sum(F.when(F.col("sync_status") == status, 1).otherwise(0))
 
-    counts = write_snapshot(nexts, root, buckets=buckets, observe={
-        "new": hits("new"), "updated": hits("updated"), "unchanged": hits("unchanged"),
-        "errors": hits("conflict")})
+    return {"new": hits("new"), "updated": hits("updated"), "unchanged": hits("unchanged"),
+            "errors": hits("conflict")}
+
+
+def _report(counts: dict[str, int]) -> dict[str, int]:
     counts = {k: v or 0 for k, v in counts.items()}
     counts["processed"] = counts["new"] + counts["updated"] + counts["unchanged"]
     counts["success"] = counts["new"] + counts["updated"]

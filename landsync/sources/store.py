@@ -9,17 +9,23 @@ next run then reads the stored side without a shuffle, and its result is written
 as it lies. With as many buckets as shuffle partitions the input is shuffled once,
 for its de-duplication.
 
-For a large table with a small batch, partition the table by a prefix of its id
-and use ``replace_partitions``: only partitions the batch falls into are read
-and written.
+For a large table with a small batch, keep the table in folders by a prefix of its
+id: only folders the batch falls into are read and written. A manifest, itself a
+versioned snapshot, tells which folder holds a prefix and how long prefixes are. New
+folders are written beside the old ones and count once the next manifest does, so a
+write that is cut off loses nothing, and old folders stay until they are expired.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PREFIX = "id_prefix"
 
@@ -113,22 +119,83 @@ def expire(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
     return old
 
 
-def with_prefix(df: DataFrame, length: int = 2) -> DataFrame:
-    """Add the partition column: the first hex digits of the id, evenly filled."""
-    return df.withColumn(PREFIX, F.substring("id", 1, length))
-
+_MANIFEST = "prefix string, path string, digits int, columns string"
 
-def touched(table: DataFrame, batch: DataFrame, length: int = 2, most: int = 4096) -> DataFrame:
-    """The folders of ``table`` a batch falls into.
 
-    As literals the prefixes prune the folders that are read. The list is cut off
-    at ``most``; a batch that hits more gets the whole table, which is as right.
+def with_prefix(df: DataFrame, digits: int = 2) -> DataFrame:
+    """Add the partition column: the first hex digits of the id, evenly filled."""
+    return df.withColumn(PREFIX, F.substring("id", 1, digits))
+
+
+def _manifest(spark: SparkSession, root: str, digits: int | None) -> tuple[dict[str, str], str | None]:
+    """Folder by prefix, at most 16 to the power of the digits, and the columns."""
+    rows = read_snapshot(spark, f"{root}/manifest", _MANIFEST).collect()
+    for row in rows:
+        if digits is not None and row["digits"] != digits:
+            raise ValueError(f"{root} is kept by {row['digits']} digits of the id, not {digits}")
+    return ({r["prefix"]: r["path"] for r in rows if r["path"]},
+            next((r["columns"] for r in rows if r["columns"]), None))
+
+
+def prefixes_of(batch: DataFrame, digits: int = 2) -> list[str]:
+    """The prefixes that a batch falls into; ids are hex, which bounds their number."""
+    most = 16 ** digits
+    found = batch.select(F.substring("id", 1, digits).alias("p")).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError("ids must begin with hex digits")
+    return sorted(r["p"] for r in found if r["p"] is not None)
+
+
+def read_folders(spark: SparkSession, root: str, prefixes: Sequence[str] | None = None,
+                 digits: int | None = None, schema=None) -> DataFrame:
+    """A table in folders, or the part of it in some prefixes; an empty table of ``schema``
+    where nothing is stored."""
+    have, columns = _manifest(spark, root, digits)
+    paths = [have[p] for p in (sorted(have) if prefixes is None else prefixes) if p in have]
+    if columns is None and schema is None:
+        raise FileNotFoundError(f"no table in folders under {root}")
+    kind = T.StructType.fromJson(json.loads(columns)) if columns else schema
+    if not paths:
+        return spark.createDataFrame([], kind)
+    return spark.read.schema(kind).parquet(*[f"{root}/{p}" for p in paths])
+
+
+def replace_folders(df: DataFrame, root: str, digits: int = 2, prefixes: Sequence[str] = (),
+                    observe: dict[str, Column] | None = None) -> dict[str, int]:
+    """Put ``df`` in place of the folders it falls into, and of those in ``prefixes``.
+
+    ``df`` may read from the table. Readers see all of the old folders or all of the new ones.
     """
-    prefixes = batch.select(F.substring("id", 1, length)).distinct()
-    hit = [r[0] for r in prefixes.limit(most + 1).collect()]
-    if len(hit) > most:
-        return table
-    return table.filter(F.col(PREFIX).isin(hit)) if hit else table.filter(F.lit(False))
+    spark = df.sparkSession
+    have, _ = _manifest(spark, root, digits)
+    run, watch = f"data/u={uuid.uuid4().hex}", None
+    columns = json.dumps(df.schema.jsonValue())
+    if observe:
+        watch = Observation("folders")
+        df = df.observe(watch, *[v.alias(k) for k, v in observe.items()])
+    (_per_folder(with_prefix(df, digits), [PREFIX]).write.partitionBy(PREFIX).parquet(f"{root}/{run}"))
+    path, fs = _folder(spark, f"{root}/{run}")
+    names = [f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()]
+    fresh = {n.split("=", 1)[1]: f"{run}/{n}" for n in names if n.startswith(f"{PREFIX}=")}
+    kept = {p: f for p, f in have.items() if p not in set(prefixes)} | fresh
+    rows = [(None, None, digits, columns), *((p, f, digits, None) for p, f in sorted(kept.items()))]
+    write_snapshot(spark.createDataFrame(rows, _MANIFEST).coalesce(1), f"{root}/manifest")
+    return dict(watch.get) if watch else {}
+
+
+def expire_folders(spark: SparkSession, root: str) -> int:
+    """Delete folders and manifests that the newest manifest does not need; returns the number of
+    folders deleted. Not while another job reads or writes the table."""
+    have, _ = _manifest(spark, root, None)
+    path, fs = _folder(spark, f"{root}/data")
+    gone, used = 0, set(have.values())
+    for run in fs.listStatus(path):
+        for part in fs.listStatus(run.getPath()):
+            name = f"data/{run.getPath().getName()}/{part.getPath().getName()}"
+            if part.isDirectory() and name not in used:
+                gone += fs.delete(part.getPath(), True)
+    expire(spark, f"{root}/manifest", 1)
+    return gone
 
 
 def _per_folder(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -138,17 +205,6 @@ def _per_folder(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def replace_partitions(df: DataFrame, path: str) -> None:
-    """Overwrite only the id-prefix partitions that ``df`` holds.
-
-    The new files are staged before the old ones go, so ``df`` may read from
-    ``path``. The final renames are not one atomic step; readers that must never
-    see a mix use ``write_snapshot``.
-    """
-    (_per_folder(df, [PREFIX]).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(PREFIX).parquet(path))
-
-
 def write_batches(df: DataFrame, url: str, table: str, batch_size: int = 500,
                   properties: dict[str, str] | None = None) -> None:
     """Append rows to a database table in batches; upserting from there is the

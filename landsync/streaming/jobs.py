@@ -12,15 +12,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from landsync import schemas
 from landsync.operators.dedup import keep_first
-from landsync.operators.merge import align, apply_results, fold_results, upsert
+from landsync.operators.merge import (align, apply_results, fold_state, folded_of, merge_states,
+                                      upsert)
 from landsync.operators.stats import count_if
-from landsync.plans.enrichment import enrich_in_place
+from landsync.plans.enrichment import apply_in_place
 from landsync.plans.facility_sync import facility_batch
-from landsync.sources.store import expire, read_snapshot, write_snapshot
+from landsync.session import settle
+from landsync.sources.store import (prefixes_of, read_folders, read_snapshot, replace_folders,
+                                    write_snapshot)
 
 
 def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str,
@@ -39,54 +43,88 @@ def landed(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     return reader.load(path)
 
 
-def stream_facilities(rows: DataFrame, root: str, checkpoint: str,
-                      protect_enrichment: bool = False, keep: int = 3,
-                      trigger: dict | None = None) -> StreamingQuery:
-    """Upsert facility rows (renamed, with ``seq``) into the stored table, of which
-    the newest ``keep`` versions stay."""
+def stream_facilities(rows: DataFrame, root: str, checkpoint: str, load: str | None = None,
+                      protect_enrichment: bool = False, in_place: bool = False,
+                      digits: int = 2, trigger: dict | None = None) -> StreamingQuery:
+    """Upsert facility rows (renamed, with ``seq``) into the stored table.
+
+    Of rows with one id the latest ``load`` (a whole-number column; without it all rows
+    are one load) counts, and in a load the first ``seq``. The table keeps both values,
+    so files give the same table however they fall into batches. ``in_place`` is for a
+    table in id-prefix folders; else every batch writes a version (see ``expire``).
+    """
+    fields = T.StructType([*schemas.FACILITY.fields, T.StructField("_load", T.LongType()),
+                           T.StructField("_seq", T.LongType())])
+
     def each(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
-        stored = align(read_snapshot(spark, root, schemas.FACILITY), schemas.FACILITY)
-        records = facility_batch(batch, protect_enrichment=protect_enrichment)
-        write_snapshot(upsert(stored, records), root)
-        expire(spark, root, keep)
+        number = F.col(load).cast("long") if load else F.lit(0).cast("long")
+        # The first "seq" is kept: that of the latest load, and in it of the first row.
+        place = F.struct((-number).alias("load"), F.col("seq").cast("long").alias("row"))
+        records = settle(
+            facility_batch(batch.withColumn("seq", place), protect_enrichment=protect_enrichment,
+                           keep_seq=True)
+            .withColumns({"_load": -F.col("seq.load"), "_seq": F.col("seq.row")}).drop("seq"))
+        hit = prefixes_of(records, digits) if in_place else None
+        stored = (read_folders(spark, root, hit, digits, fields) if in_place
+                  else read_snapshot(spark, root, fields))
+        stored = align(stored, fields)
+        known = stored.select("id", F.col("_load").alias("_l"), F.col("_seq").alias("_s"))
+        later = (F.col("_l").isNull() | (F.col("_load") > F.col("_l"))
+                 | ((F.col("_load") == F.col("_l")) & (F.col("_seq") < F.col("_s"))))
+        fresh = records.join(known, "id", "left").filter(later).drop("_l", "_s")
+        out = upsert(stored, fresh)
+        if in_place:
+            replace_folders(out, root, digits, hit)
+        else:
+            write_snapshot(out, root)
 
     return _start(rows, each, checkpoint, trigger=trigger)
 
 
 def stream_results(results: DataFrame, root: str, checkpoint: str,
-                   seq: tuple[str, ...] = ("seq",), time: str | None = None,
-                   dedup: str | None = None, delay: str = "2 hours",
-                   in_place: bool = False, keep: int = 3,
+                   seq: tuple[str, ...] = ("seq",), dedup: str | None = None,
+                   in_place: bool = False, digits: int = 2,
                    trigger: dict | None = None) -> StreamingQuery:
     """Apply lookup results to the stored facility table as they arrive.
 
-    With ``dedup`` (a result id) and ``time``, replays within ``delay`` are dropped.
-    ``in_place`` is for a table in id-prefix folders: each batch then touches only
-    the folders it falls into; else every batch writes a version of which the
-    newest ``keep`` stay.
+    A state per facility, under ``root``, holds what decided each field, so results give
+    the same table in any order and however late. With ``dedup`` (a result id) the ids seen
+    are kept too, and a result counts once. ``in_place`` is for a table in id-prefix folders;
+    else every batch writes a version (see ``expire``).
     """
-    if dedup:
-        results = results.withWatermark(time, delay).dropDuplicatesWithinWatermark([dedup])
+    state, seen = f"{root}/_state", f"{root}/_seen"
 
     def each(batch: DataFrame, _batch_id: int) -> None:
+        spark = batch.sparkSession
+        ids = None
+        if dedup:
+            first = keep_first(batch, [dedup], list(seq))
+            keyed = settle(first.withColumn("_id", F.sha2(F.col(dedup).cast("string"), 256)))
+            ids = keyed.select(F.col("_id").alias("id")).filter(F.col("id").isNotNull())
+            old = read_folders(spark, seen, prefixes_of(ids, digits), digits, ids.schema)
+            batch = keyed.join(old.withColumnRenamed("id", "_id"), "_id", "left_anti").drop("_id")
+        fresh = settle(fold_state(batch, seq))
+        hit = prefixes_of(fresh, digits)
+        merged = settle(merge_states(read_folders(spark, state, hit, digits, fresh.schema), fresh))
+        folded = folded_of(merged.join(fresh.select("id"), "id", "left_semi"))
         if in_place:
-            batch.persist()  # used twice: to find the folders and to fill them
-            enrich_in_place(batch, root, seq=seq)
-            batch.unpersist()
-            return
-        stored = read_snapshot(batch.sparkSession, root)
-        write_snapshot(apply_results(stored, fold_results(batch, seq)), root)
-        expire(batch.sparkSession, root, keep)
+            apply_in_place(folded, root, digits=digits)
+        else:
+            write_snapshot(apply_results(read_snapshot(spark, root), folded), root)
+        # The table first: a batch that is repeated finds the state of before, or one that
+        # already holds it, and either gives the same table.
+        replace_folders(merged, state, digits, hit)
+        if ids is not None:
+            both = old.union(ids).distinct()
+            replace_folders(both, seen, digits, prefixes_of(ids, digits))
 
     return _start(results, each, checkpoint, trigger=trigger)
 
 
-def hourly_counts(results: DataFrame, time: str = "ts", delay: str = "2 hours") -> DataFrame:
-    """Success and failure per hour; works on a stream and on a table."""
+def hourly_counts(results: DataFrame, time: str = "ts") -> DataFrame:
+    """Success and failure per hour."""
     good = F.coalesce(F.col("scrape_success"), F.lit(False))
-    if results.isStreaming:
-        results = results.withWatermark(time, delay)
     return (results.groupBy(F.window(time, "1 hour").alias("hour"))
             .agg(F.count(F.lit(1)).alias("total"), count_if(good).alias("success"),
                  count_if(~good).alias("failed"))
@@ -94,16 +132,16 @@ def hourly_counts(results: DataFrame, time: str = "ts", delay: str = "2 hours")
 
 
 def stream_counts(results: DataFrame, out: str, checkpoint: str, time: str = "ts",
-                  delay: str = "2 hours", trigger: dict | None = None) -> StreamingQuery:
-    """Keep hourly counts under ``out``: every batch writes the hours it changed
-    into a folder of its own, so repeating a batch replaces its folder."""
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Keep hourly counts under ``out``: every batch writes what it adds to each hour into a
+    folder of its own, so repeating a batch replaces its folder, and no row is too late."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        hourly_counts(batch, time).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    return _start(hourly_counts(results, time, delay), each, checkpoint, "update", trigger)
+    return _start(results, each, checkpoint, trigger=trigger)
 
 
 def read_counts(spark: SparkSession, out: str) -> DataFrame:
-    """The latest count of each hour."""
+    """The count of each hour over all batches."""
     rows = spark.read.option("basePath", out).parquet(out)
-    return keep_first(rows, ["hour"], [F.col("batch").desc()]).drop("batch")
+    return rows.groupBy("hour").agg(*[F.sum(c).alias(c) for c in ("total", "success", "failed")])

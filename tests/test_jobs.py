@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from landsync import rules, schemas
@@ -71,7 +72,7 @@ def test_in_place_jobs(spark, tmp_path):
     root, path = str(tmp_path / "v"), str(tmp_path / "p")
     rows = [(i, f"Klinik {i}", "x", "K") for i in range(300)]
     facility_sync.sync_facilities(sheet(spark, rows), root, run_ts())
-    store.replace_partitions(store.with_prefix(store.read_snapshot(spark, root)), path)
+    store.replace_folders(store.read_snapshot(spark, root), path)
     more = sheet(spark, [(0, "Klinik 5", "x", "New"), (1, "Klinik 900", "x", "K")])
     facility_sync.sync_facilities(more, root, run_ts())
     facility_sync.sync_facilities_in_place(more, path, run_ts())
@@ -83,7 +84,7 @@ def test_in_place_jobs(spark, tmp_path):
     store.write_snapshot(enrichment.enrich(store.read_snapshot(spark, root), some, run_ts()), root)
     enrichment.enrich_in_place(some, path, run_ts())
     want = store.read_snapshot(spark, root).drop("operating_hours")
-    got = spark.read.parquet(path).select(*want.columns)
+    got = store.read_folders(spark, path).select(*want.columns)
     assert want.count() == 301
     assert want.exceptAll(got).count() == got.exceptAll(want).count() == 0
 
@@ -240,3 +241,49 @@ def test_union_and_report(spark):
     assert [(r.id, r.plan_name, r.provider_rank) for r in rows] == [("1", None, 0), ("2", "x", 1)]
     empty = spark.createDataFrame([], "status string")
     assert tuple(sync_report(empty).first()) == (0, 0, 0, 0, 0, 0)
+
+
+def test_plans_in_place(spark, tmp_path):
+    root, path = str(tmp_path / "v"), str(tmp_path / "p")
+    plans = spark.range(120).select(
+        F.col("id").alias("seq"), F.md5(F.col("id").cast("string")).alias("id"),
+        F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("provider_name"),
+        F.col("id").cast("double").alias("annual_limit"), F.lit(True).alias("is_active"))
+    change = plans.filter("seq < 4").withColumn("annual_limit", F.col("annual_limit") + 9)
+    for batch in (plans, change):
+        a = plan_sync.sync_stored_plans(batch, root, ("seq",), run_ts())
+        b = plan_sync.sync_plans_in_place(batch, path, ("seq",), run_ts())
+        assert a == b
+    assert (b["updated"], b["new"]) == (4, 0)
+    one, two = (df.select("id", "annual_limit", "is_active") for df in (
+        store.read_snapshot(spark, root), store.read_folders(spark, path)))
+    assert one.exceptAll(two).count() == two.exceptAll(one).count() == 0
+    before, _ = store._manifest(spark, path, 2)
+    active = plans.filter("seq > 5").select("id", "provider_name")
+    only_a = spark.createDataFrame([("A",)], "provider_name string")
+    assert plan_sync.deactivate_in_place(path, active, only_a, run_ts()) == 3
+    gone = {r.id for r in store.read_folders(spark, path).filter("not is_active").collect()}
+    assert gone == {r.id for r in plans.filter("seq in (0, 2, 4)").collect()}
+    after, _ = store._manifest(spark, path, 2)
+    assert {p for p in before if before[p] != after[p]} == {i[:2] for i in gone}
+    assert plan_sync.deactivate_in_place(path, active, only_a, run_ts()) == 0
+
+
+def test_an_added_provider_is_rows_alone(spark):
+    page = "<div class='product-card'><h2>Nova Medical Plan</h2><a href='/product/a'>x</a></div>"
+    providers = rules.provider_table(spark, [*rules.PROVIDERS, (
+        "Nova", "Nova Health", "https://nova.test", "https://nova.test/all", "1", "https://nova.test")])
+    table = rules.RuleTable(
+        headings={**rules.HEADING_SELECTORS, "Nova": [".product-card h2"]},
+        body_names={**rules.BODY_NAME_PATTERNS, "Nova": []},
+        detail_links={**rules.DETAIL_LINK_RULES, "Nova": [rules.LinkRule(css=".product-card a")]})
+    pages = spark.createDataFrame([("Nova", "https://nova.test/all", page)], "provider_key string, url string, html string")
+    links = plan_detail.detail_links(pages, providers, table)
+    assert [r.url for r in links.collect()] == ["https://nova.test/product/a"]
+    landed = landed_products(links, spark.createDataFrame(
+        [("https://nova.test/product/a", "<h1>Nova Medical Gold</h1>")], "url string, html string"))
+    got = plan_listing.listing_plans(pages, landed, providers, table)
+    assert {(r.provider_name, r.plan_name) for r in got.collect()} == {
+        ("Nova Health", "Nova Medical Plan"), ("Nova Health", "Nova Medical Gold")}
+    with pytest.raises(Exception, match="no base URL"):
+        plan_detail.detail_links(pages, None, table).collect()

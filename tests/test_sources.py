@@ -33,6 +33,14 @@ def test_sheet(spark, tmp_path, multi_line):
     assert "bandar" not in rows[0]
 
 
+def test_wide_sheet(spark, tmp_path):
+    header = [f"c{i}" for i in range(28)] + ["NAMA_PENUH_FASILITI", "x"]
+    path = write(tmp_path, "w.csv", "title\n" + ",".join(header) + "\n" + ",".join(["v"] * 28 + ["Klinik W", ""]) + "\n")
+    assert [r.nama_penuh_fasiliti for r in sheet.read_sheet(spark, path).collect()] == ["Klinik W"]
+    long = write(tmp_path, "l.csv", '"title\nof many\nlines",\nNAMA_PENUH_FASILITI,"a\nb"\nKlinik L,1\n')
+    assert [r.nama_penuh_fasiliti for r in sheet.read_sheet(spark, long).collect()] == ["Klinik L"]
+
+
 def test_sheet_line_breaks_and_many(spark, tmp_path):
     one = write(tmp_path, "a.csv", f't,,,,,,\n{HEADER}\n1,K,,Klinik A,"line 1\nline 2",,1\n')
     two = write(tmp_path, "b.csv", "t,\nNAMA_PENUH_FASILITI,NEGERI\nKlinik B,Johor\n")
@@ -123,27 +131,56 @@ def test_versions(spark, tmp_path):
     assert store.versions(spark, root) == [2]
 
 
-def test_partition_overwrite(spark, tmp_path):
+def test_folders(spark, tmp_path):
     path = str(tmp_path / "p")
     base = spark.range(2000).select(F.md5(F.col("id").cast("string")).alias("id"),
                                     F.col("id").alias("v"))
-    store.replace_partitions(store.with_prefix(base), path)
-    before = {f: os.listdir(f"{path}/{f}") for f in os.listdir(path) if f.startswith(store.PREFIX)}
+    assert store.read_folders(spark, path, schema=base.schema).count() == 0
+    with pytest.raises(FileNotFoundError):
+        store.read_folders(spark, path)
+    assert store.replace_folders(base, path, observe={"n": F.count(F.lit(1))}) == {"n": 2000}
+    before, _ = store._manifest(spark, path, 2)
+    assert len(before) == 256
     batch = base.filter("v < 3").withColumn("v", -F.col("v") - 1)
-    part = store.touched(spark.read.parquet(path), batch)
-    plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [id_prefix" in plan.replace("isnotnull(", "").replace(
-        "PartitionFilters: [(id_prefix", "PartitionFilters: [id_prefix")
-    assert store.touched(spark.read.parquet(path), base, most=10).count() == 2000
-    merged = (part.drop(store.PREFIX).alias("o").join(batch.alias("n"), "id", "left")
+    hit = store.prefixes_of(batch)
+    part = store.read_folders(spark, path, hit, 2)
+    assert 3 <= part.count() < 60
+    merged = (part.alias("o").join(batch.alias("n"), "id", "left")
               .select("id", F.coalesce("n.v", "o.v").alias("v")))
-    store.replace_partitions(store.with_prefix(merged), path)
-    after = {f: os.listdir(f"{path}/{f}") for f in before}
-    hit = {f"{store.PREFIX}={r.id[:2]}" for r in batch.collect()}
-    assert {f for f in before if before[f] != after[f]} == hit
-    now = spark.read.parquet(path)
+    store.replace_folders(merged, path, 2, hit)
+    after, _ = store._manifest(spark, path, 2)
+    assert {p for p in before if before[p] != after[p]} == set(hit)
+    now = store.read_folders(spark, path)
     assert now.count() == 2000
     assert sorted(r.v for r in now.filter("v < 0").collect()) == [-3, -2, -1]
+    # Another prefix length is refused; a folder whose rows are all gone goes too.
+    for wrong in (lambda: store.replace_folders(base, path, 3), lambda: store.read_folders(spark, path, digits=1)):
+        with pytest.raises(ValueError):
+            wrong()
+    with pytest.raises(ValueError):
+        store.prefixes_of(spark.range(300).select(F.char(F.col("id") + 1).alias("id")), 1)
+    store.replace_folders(now.filter(F.lit(False)), path, 2, hit[:1])
+    left = store.read_folders(spark, path)
+    assert left.filter(F.substring("id", 1, 2) == hit[0]).count() == 0 and left.count() > 1900
+    count = left.count()
+    assert store.expire_folders(spark, path) > 0 and store.read_folders(spark, path).count() == count
+
+
+def test_a_write_cut_off_loses_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "p")
+    base = spark.range(50).select(F.md5(F.col("id").cast("string")).alias("id"), F.col("id").alias("v"))
+    store.replace_folders(base, path, 1)
+
+    def fail(*_args, **_options):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(store, "write_snapshot", fail)
+    with pytest.raises(RuntimeError):
+        store.replace_folders(base.withColumn("v", F.lit(-1)), path, 1)
+    monkeypatch.undo()
+    assert sorted(r.v for r in store.read_folders(spark, path).collect()) == list(range(50))
+    store.replace_folders(base.withColumn("v", F.lit(-1)), path, 1)
+    assert {r.v for r in store.read_folders(spark, path).collect()} == {-1}
 
 
 def test_state(spark, tmp_path):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landsync.operators.merge import apply_results, fold_results
-from landsync.sources.store import (read_snapshot, replace_partitions, with_prefix,
+from landsync.sources.store import (read_folders, read_snapshot, replace_folders,
                                     write_snapshot)
 from landsync.streaming import jobs
 
@@ -25,10 +25,10 @@ def results(spark):
         F.when(n % 4 == 0, n.cast("string")).alias("phone"))
 
 
-def land(df, path, parts):
-    """Write ``parts`` files in order of ``seq``, each newer than the one before."""
+def land(df, path, parts, backwards=False):
+    """Write ``parts`` files in order of ``seq``, or the last first, each newer than the one before."""
     size = 600 // parts
-    for i in range(parts):
+    for i in (reversed(range(parts)) if backwards else range(parts)):
         (df.filter(F.floor(F.col("seq") / size) == i).coalesce(1)
          .write.mode("append").parquet(path))
         time.sleep(1.1)
@@ -38,11 +38,11 @@ def facilities(spark):
     return spark.createDataFrame([(str(k), None, None, "old", True) for k in range(9)], TABLE)
 
 
-@pytest.mark.parametrize("parts", [1, 4])
-def test_results_stream(spark, results, tmp_path, parts):
+@pytest.mark.parametrize("parts,backwards", [(1, False), (3, False), (3, True)])
+def test_results_stream(spark, results, tmp_path, parts, backwards):
     root, inbox = str(tmp_path / "t"), str(tmp_path / "in")
     write_snapshot(facilities(spark), root)
-    land(results, inbox, parts)
+    land(results, inbox, parts, backwards)
     jobs.stream_results(jobs.landed(spark, inbox, results.schema, files_per_batch=1), root,
                         str(tmp_path / "c")).awaitTermination()
     want = apply_results(facilities(spark), fold_results(results))
@@ -52,12 +52,12 @@ def test_results_stream(spark, results, tmp_path, parts):
 
 def test_results_stream_in_place(spark, results, tmp_path):
     path, inbox = str(tmp_path / "t"), str(tmp_path / "in")
-    replace_partitions(with_prefix(facilities(spark)), path)
+    replace_folders(facilities(spark), path)
     land(results, inbox, 3)
     jobs.stream_results(jobs.landed(spark, inbox, results.schema, files_per_batch=1), path,
                         str(tmp_path / "c"), in_place=True).awaitTermination()
     want = apply_results(facilities(spark), fold_results(results))
-    got = spark.read.parquet(path).select(*want.columns)
+    got = read_folders(spark, path).select(*want.columns)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
@@ -67,8 +67,7 @@ def test_restart_and_replay(spark, results, tmp_path):
 
     def run():
         stream = jobs.landed(spark, inbox, results.schema)
-        jobs.stream_results(stream, root, mark, time="ts", dedup="seq",
-                            delay="2 days").awaitTermination()
+        jobs.stream_results(stream, root, mark, dedup="seq").awaitTermination()
 
     results.filter("seq < 300").coalesce(1).write.parquet(inbox)
     run()
@@ -83,10 +82,10 @@ def test_restart_and_replay(spark, results, tmp_path):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
-@pytest.mark.parametrize("parts", [1, 3])
-def test_counts_stream(spark, results, tmp_path, parts):
+@pytest.mark.parametrize("parts,backwards", [(1, False), (3, True)])
+def test_counts_stream(spark, results, tmp_path, parts, backwards):
     inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
-    land(results, inbox, parts)
+    land(results, inbox, parts, backwards)
     stream = jobs.landed(spark, inbox, results.schema, files_per_batch=1)
     jobs.stream_counts(stream, out, str(tmp_path / "c")).awaitTermination()
     got = jobs.read_counts(spark, out)
@@ -104,3 +103,22 @@ def test_facility_stream(spark, tmp_path):
         jobs.stream_facilities(jobs.landed(spark, inbox, rows.schema), root,
                                str(tmp_path / "c")).awaitTermination()
     assert sorted(r.name for r in read_snapshot(spark, root).collect()) == ["A", "B"]
+
+
+@pytest.mark.parametrize("in_place", [False, True])
+def test_facility_stream_in_any_order(spark, tmp_path, in_place):
+    rows = [(1, 0, "A", "x", "first"), (2, 0, "a", "x", "later row"), (3, 1, "B", "y", "old"),
+            (0, 2, "b", "y", "newer load"), (1, 2, "b", "Y", "its second row"), (9, 0, "C", "z", "alone")]
+    made = spark.createDataFrame(rows, "seq long, load long, name string, address string, facility_type string")
+    tables = []
+    for n, order in enumerate(([0, 1, 2, 3, 4, 5], [5, 4, 3, 2, 1, 0], [[0, 1, 2, 3, 4, 5]])):
+        inbox, root = str(tmp_path / f"in{n}"), str(tmp_path / f"t{n}")
+        for k in order:
+            part = [rows[i] for i in (k if isinstance(k, list) else [k])]
+            spark.createDataFrame(part, made.schema).coalesce(1).write.mode("append").parquet(inbox)
+            time.sleep(1.1)
+        jobs.stream_facilities(jobs.landed(spark, inbox, made.schema, files_per_batch=1), root, str(tmp_path / f"c{n}"),
+                               load="load", in_place=in_place).awaitTermination()
+        table = read_folders(spark, root) if in_place else read_snapshot(spark, root)
+        tables.append(sorted((r.name, r.facility_type) for r in table.collect()))
+    assert tables == [[("A", "first"), ("C", "alone"), ("b", "newer load")]] * 3
