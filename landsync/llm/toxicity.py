@@ -47,8 +47,10 @@ EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pond scum", "idiot proof"
 STEMS, LEAST_TEXTS, LEAST_SHARE, PURE = range(3, 11), 3, 0.02, 0.9
 #: A stem gives way to a longer one, or to the word, that keeps this share of its toxic texts.
 KEEPS = 0.9
-#: Power of a text's word count by which the sum of weights is divided, and labelled texts the logistic is fitted to.
-LENGTH_POWER, FITTED = 0.1, 50_000
+#: Power of a text's word count by which the sum of weights is divided.
+LENGTH_POWER = 0.1
+#: Labelled texts that are learned from, and of these the ones the logistic is fitted to; chosen by hashed id.
+LABELLED, FITTED = 200_000, 50_000
 TOXIC_FROM = 0.7
 
 _FOLD = str.maketrans({c: k for k, v in HOMOGLYPHS.items() for c in v + v.upper() if len(c) == 1})
@@ -187,9 +189,19 @@ def choose(bad: dict[str, int], good: dict[str, int], n_bad: int, n_good: int) -
     return out
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, text: str = "text", toxic: str = "toxic", key: str = "doc_id"
+                   ) -> DataFrame:
+    """(doc_id, text, toxic) of at most about LABELLED documents. Their labels are few enough to be
+    broadcast, so no text is shuffled."""
+    once = settled(labels.where(F.col(toxic).isNotNull() & F.col(key).isNotNull())
+                   .groupBy(F.col(key).alias("doc_id")).agg(F.max(toxic).alias("toxic")), "labels")
+    few = hashed_sample(once, once.count(), LABELLED, "doc_id")
+    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(few), "doc_id")
+
+
 def learn(labelled: DataFrame, text: str = "text", toxic: str = "toxic", key: str = "doc_id",
           exceptions: Sequence[str] = EXCEPTIONS) -> Lexicon:
-    """The lexicon from all labelled texts; the logistic from a bounded number, by hashed id."""
+    """The lexicon from all texts of ``labelled``; the logistic from a bounded number of them."""
     rows = settled(labelled.where(F.col(toxic).isNotNull()).select(
         F.col(key).alias("doc_id"), F.col(text).alias("text"), (F.col(toxic) > 0).cast("int").alias("toxic")), "labelled")
     total, n_bad = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
@@ -226,7 +238,6 @@ def strengths(docs: DataFrame, lexicon: Lexicon, text: str, *keep: str) -> DataF
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
-    once = labels.where(~held_out).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    lexicon = learn(docs.select("doc_id", "text").join(once, "doc_id"))
+    lexicon = learn(labelled_texts(docs, labels.where(~held_out)))
     return strengths(docs, lexicon, "text", "doc_id").select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))

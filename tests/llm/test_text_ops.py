@@ -79,6 +79,8 @@ def test_toxicity_learns_words_and_stems(spark):
     assert {w for w, _ in lex.weights} == {"vermin$", "schlimme", "badone$"}
     got = {r.doc_id: r.score for r in toxicity.strengths(docs, lex, "text", "doc_id").collect()}
     assert all((got[i] >= toxicity.TOXIC_FROM) == (t == 1) for i, _, t in rows)
+    labels = docs.select("doc_id", "toxic").union(docs.select("doc_id", "toxic"))
+    assert toxicity.learn(toxicity.labelled_texts(docs.drop("toxic"), labels)) == lex
     assert not toxicity.learn(docs.where("toxic = 0")).weights and not toxicity.learn(docs.limit(0)).weights
 
 
