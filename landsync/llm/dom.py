@@ -10,10 +10,16 @@ import numpy as np
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|title|svg|iframe|object|head(?=\s|>))\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][\w:-]*)(?P<attrs2>[^>]*)>", re.S | re.I)
+#: Elements that are dropped with what is in them; where the end tag is missing the tag alone is, but for code, which
+#: runs to the end of the page as it does in a browser.
+RAW = frozenset("script style noscript template title svg iframe object".split())
+CODE = frozenset("script style".split())
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
+#: Start tags that leave a head open; any other, or text, ends it.
+HEAD_ONLY = frozenset("head html base basefont bgsound link meta noframes noscript script style template title".split())
 _NAMES = re.compile(r"(?<![\w-])(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 
@@ -72,21 +78,41 @@ class Page:
             del stack[depth:]
 
         source, at = source or "", 0
-        for m in _TOKEN.finditer(source):
+        head, unclosed = False, set()
+        while m := _TOKEN.search(source, at):
             if m.start() > at:
                 put(source[at:m.start()])
+                head = head and not source[at:m.start()].strip()
             at = m.end()
             tag = (m["tag"] or m["tag2"] or "").lower()
             if not tag:
                 continue
-            if m["close"] or m["close2"]:
+            closes, attrs = m["close"] or m["close2"], m["attrs"] or m["attrs2"] or ""
+            if tag == "head":
+                head = not closes
+                continue
+            head = head and (tag not in ("body", "html") if closes else tag in HEAD_ONLY)
+            if tag in RAW and not closes:
+                if tag == "svg" and attrs.endswith("/"):
+                    continue
+                end = None if tag in unclosed else _END[tag].search(source, at)
+                if end:
+                    at = end.end()
+                elif tag in CODE:
+                    at = len(source)
+                else:
+                    unclosed.add(tag)
+                continue
+            if head:
+                continue
+            if closes:
                 depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
                 if depth:
                     pop_to(depth)
                 elif tag not in INLINE:
                     end_leaf()
                 continue
-            found = [w for g in _NAMES.findall(m["attrs"] or m["attrs2"] or "") for w in _NAME.findall("".join(g).lower())]
+            found = [w for g in _NAMES.findall(attrs) for w in _NAME.findall("".join(g).lower())]
             if tag in INLINE:
                 if tag == "br":
                     put(" ")

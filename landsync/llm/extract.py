@@ -12,7 +12,9 @@ sample what stands in an ``article`` or ``main`` element counts as main text, an
 blocks are also set into random layouts whose main text is known (see ``layouts``).
 
 Cases: null or empty html, and pages where nothing is kept, give an empty text. Tags
-that are not closed, closed twice or cut off don't stop a page. Repeated rows are
+that are not closed, closed twice or cut off don't stop a page, but for a script, a
+style sheet or a comment without its end, which runs to the end of the page. A head
+ends at its end tag or at the first tag or text that can't stand in it. Repeated rows are
 read each for itself. With no page to train on, all text is kept.
 """
 
