@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +43,9 @@ DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
 #: Phrases in which an entry is harmless, given in folded form.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pond scum", "idiot proof", "stupid simple", "sore loser")
 
-#: Letters of a stem. An entry must be in so many toxic texts and in this share of them, which bounds the
-#: candidates, and so large a share of the texts that hold it must be toxic.
-STEMS, LEAST_TEXTS, LEAST_SHARE, PURE = range(3, 11), 3, 0.02, 0.9
+#: Letters of a stem. An entry must be in so many toxic texts, and so large a share of the texts that hold it
+#: must be toxic.
+STEMS, LEAST_TEXTS, PURE = range(3, 11), 3, 0.9
 #: A stem gives way to a longer one, or to the word, that keeps this share of its toxic texts.
 KEEPS = 0.9
 #: Power of a text's word count by which the sum of weights is divided.
@@ -149,26 +150,31 @@ def entries_of(text: str | None) -> set[str]:
     return {w[:n] for w in found for n in STEMS if n <= len(w)} | {w + "$" for w in found if len(w) >= STEMS[0]}
 
 
-def count_entries(texts: DataFrame, among: frozenset[str] | None = None) -> DataFrame:
-    """(entry, n): in how many texts it stands. Counts are summed in each task first."""
+def count_entries(rows: DataFrame) -> DataFrame:
+    """(entry, bad, good): in how many toxic and other texts it stands, if in LEAST_TEXTS toxic ones or more.
+    Counts are summed in each task first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
+        counts: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
-                                             ["entry", "n"])
-            counts.clear()
+            entries = list(counts[1] | counts[0])
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(entries, pa.string()), *(pa.array([counts[k][e] for e in entries], pa.int64()) for k in (1, 0))],
+                ["entry", "bad", "good"])
+            for c in counts:
+                c.clear()
             return out
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                found = entries_of(t)
-                counts.update(found if among is None else found & among)
-                if len(counts) > 500_000:
+            for t, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts[toxic].update(entries_of(t))
+                if len(counts[0]) + len(counts[1]) > 500_000:
                     yield flush()
         yield flush()
 
-    return texts.select("text").mapInArrow(run, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+    summed = rows.select("text", "toxic").mapInArrow(run, "entry string, bad long, good long")
+    return summed.groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(
+        F.col("bad") >= LEAST_TEXTS)
 
 
 def choose(bad: dict[str, int], good: dict[str, int], n_bad: int, n_good: int) -> list[tuple[str, float]]:
@@ -189,6 +195,21 @@ def choose(bad: dict[str, int], good: dict[str, int], n_bad: int, n_good: int) -
     return out
 
 
+def chosen(rows: DataFrame, n_bad: int, n_good: int) -> list[tuple[str, float]]:
+    """What ``choose`` takes. Entries with the same beginning are chosen among in one task, so that only
+    what enters the lexicon is collected."""
+    # a pure entry's longer forms lose KEEPS of its toxic texts a letter at most, and gain no other texts
+    purest = PURE * KEEPS ** (len(STEMS) + 1) / (1 - PURE)
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        bad, good = (dict(zip(part["entry"], part[c].tolist())) for c in ("bad", "good"))
+        return pd.DataFrame(choose(bad, good, n_bad, n_good), columns=["entry", "weight"]).astype({"weight": float})
+
+    counted = count_entries(rows).where(F.col("bad") >= F.col("good") * F.lit(purest))
+    kept = counted.groupBy(F.substring("entry", 1, STEMS[0]).alias("begin")).applyInPandas(run, "entry string, weight double")
+    return sorted((r["entry"], r["weight"]) for r in kept.collect())
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame, text: str = "text", toxic: str = "toxic", key: str = "doc_id"
                    ) -> DataFrame:
     """(doc_id, text, toxic) of at most about LABELLED documents. Their labels are few enough to be
@@ -207,10 +228,7 @@ def learn(labelled: DataFrame, text: str = "text", toxic: str = "toxic", key: st
     total, n_bad = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n_bad or n_bad == total:
         return Lexicon((), tuple(exceptions))
-    least = max(LEAST_TEXTS, math.ceil(LEAST_SHARE * n_bad))
-    bad = {r["entry"]: r["n"] for r in count_entries(rows.where("toxic = 1")).where(F.col("n") >= least).collect()}
-    good = {r["entry"]: r["n"] for r in count_entries(rows.where("toxic = 0"), frozenset(bad)).collect()}
-    lexicon = Lexicon(tuple(choose(bad, good, n_bad, total - n_bad)), tuple(exceptions))
+    lexicon = Lexicon(tuple(chosen(rows, n_bad, total - n_bad)), tuple(exceptions))
     sample = hashed_sample(rows, total, FITTED, "doc_id")
     seen = strengths(sample, lexicon, "text", "toxic").select("toxic", "strength").toPandas()
     slope, offset = fit_logistic(seen["strength"].to_numpy(float), seen["toxic"].to_numpy(float))
