@@ -166,6 +166,15 @@ def dup4_first_links(spark: SparkSession, sf: str) -> DataFrame:
             .select("page_url", "url", "link_rank"))
 
 
+@query(f"""
+WITH firsts AS (SELECT url, min((rank, pos)) AS place FROM ({_SQL_LINKS}) GROUP BY url)
+SELECT 'k' AS provider_key, url,
+  CAST(row_number() OVER (ORDER BY place, url) AS INTEGER) AS link_rank FROM firsts""")
+def dup4_provider_links(spark: SparkSession, sf: str) -> DataFrame:
+    """The distinct links of one provider that has all pages, by first place."""
+    return first_links(_links(spark, sf)).select("provider_key", "url", "link_rank")
+
+
 @query(rf"""
 WITH a AS (SELECT page_id, i, regexp_extract(m, '(?is)^<a\b[^>]*?\shref="([^"]*)"', 1) AS href,
     {sql_text_of('m')} AS text

@@ -57,12 +57,14 @@ def first_links(links: DataFrame, caps: dict[str, int] | int | None = None,
     often; a group missing from a table of caps keeps all.
     """
     firsts = keep_first(links, [group, url], list(order))
-    window = Window.partitionBy(group).orderBy(*order, url)
-    ranked = firsts.withColumn("link_rank", F.row_number().over(window))
+    if isinstance(caps, int):
+        window = Window.partitionBy(group).orderBy(*order, url)
+        return firsts.withColumn("link_rank", F.row_number().over(window)).filter(F.col("link_rank") <= caps)
+    # without a cap on each group the rank can't be bounded, so a large group is ranked in pieces
+    ranked = running_total(firsts, [group], [*order, url], out="_before")
+    ranked = ranked.withColumn("link_rank", (F.col("_before") + 1).cast("int")).drop("_before")
     if caps is None:
         return ranked
-    if isinstance(caps, int):
-        return ranked.filter(F.col("link_rank") <= caps)
     capped = [F.when(F.col(group) == k, F.col("link_rank") <= v) for k, v in caps.items()]
     return ranked.filter(F.coalesce(*capped, F.lit(True)))
 
@@ -85,6 +87,32 @@ def duplicate_report(records: DataFrame, key: str = "id") -> DataFrame:
     ).withColumn("removed", F.col("rows_in") - F.col("unique_rows"))
 
 
+def running_total(df: DataFrame, group: Sequence[str], order: Sequence[str], value: Column | None = None,
+                  out: str = "before", blocks: int | None = None) -> DataFrame:
+    """With the sum of ``value`` (default: the count of rows) over the rows of the same group that come
+    before, by an order that should be total within a group. A group of any size is spread over tasks.
+
+    Rows are dealt to ``blocks`` (default: the shuffle partitions) by ranges of group and order, summed per
+    group and block, and each block's start is joined back. A null group is a group of its own.
+    """
+    blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value = F.lit(1) if value is None else value
+    # Stored, because the ranges come from a sample and must be the same for both uses.
+    tagged = settle(df.withColumn("_value", value.cast("long")).repartitionByRange(blocks, *group, *order)
+                    .withColumn("_block", F.spark_partition_id()))
+    sums = tagged.groupBy("_block", *group).agg(F.sum("_value").alias("_sum"))
+    earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(F.col("_block").alias("_of"), *[F.col(g).alias(f"_of_{g}") for g in group],
+                         F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_block", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    same = F.col("_block") == F.col("_of")
+    for g in group:
+        same &= F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    return (tagged.withColumn("_inside", F.coalesce(F.sum("_value").over(within), F.lit(0)))
+            .join(starts, same).withColumn(out, F.col("_start") + F.col("_inside"))
+            .select(*df.columns, out))
+
+
 def global_position(df: DataFrame, seq: str, blocks: int | None = None,
                     out: str = "position") -> DataFrame:
     """Zero-based place of each row in the order of a unique column, dense or sparse,

@@ -84,3 +84,27 @@ def test_provider_counts(spark):
 def test_work_batch(spark):
     df = spark.createDataFrame([(str(i),) for i in range(30)], "id string").repartition(5)
     assert [r.id for r in dedup.work_batch(df, 3).collect()] == ["0", "1", "10"]
+
+
+def test_running_total_of_a_hot_group_is_spread(spark):
+    rows = [("hot" if i % 3 else None if i % 2 else f"g{i % 11}", i, i % 5, "x") for i in range(6000)]
+    df = spark.createDataFrame(rows, "g string, seq int, v int, before string").drop("before")
+    got = dedup.running_total(df.repartition(7), ["g"], ["seq"], F.col("v"), blocks=16)
+    total, want = {}, {}
+    for g, seq, v, _ in rows:
+        want[seq] = total.get(g, 0)
+        total[g] = want[seq] + v
+    assert {r["seq"]: r["before"] for r in got.collect()} == want
+    places = dedup.running_total(df, [], ["seq"], blocks=8).collect()
+    assert all(r["before"] == r["seq"] for r in places)
+    assert dedup.running_total(df.filter("false"), ["g"], ["seq"]).count() == 0
+
+
+def test_no_task_ranks_a_whole_provider(spark):
+    links = spark.range(4000).select(
+        F.when(F.col("id") % 40 == 0, "small").otherwise("hot").alias("provider_key"),
+        F.concat(F.lit("u"), F.col("id")).alias("url"), F.lit(0).alias("rank"), F.col("id").alias("pos"))
+    ranked = dedup.first_links(links)
+    assert "_block" in ranked._jdf.queryExecution().optimizedPlan().toString()
+    got = ranked.filter("provider_key = 'hot'").orderBy("pos").collect()
+    assert [r["link_rank"] for r in got] == list(range(1, 3901))
