@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landsync.llm import decontaminate, jaccard, language, packing, substring
+from landsync.llm import decontaminate, language, packing, simhash, substring
 from landsync.llm.common import settled, small, table
 
 
@@ -32,8 +32,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles with Jaccard similarity 0.8 or more, the one with the smallest id."""
-    found = jaccard.near_copies(docs)
+    """Of documents whose fingerprints link them, the one with the smallest id."""
+    found = settled(simhash.near_duplicates(docs), "near-duplicates")
     return _without(docs, found.where("doc_id <> component_id"), "copies")
 
 
