@@ -27,8 +27,9 @@ from pyspark.sql import types as T
 from landsync.llm.common import id_remainder, table
 from landsync.llm.registry import query
 
-#: Bounds of the labelled sample: texts of a language, characters of a text, bytes of a dictionary.
-SAMPLE_TEXTS, SAMPLE_CHARS, DICT_BYTES = 2_000, 300, 32 * 1024
+#: Bounds of the labelled sample: texts of a language, characters of a text, bytes of a dictionary. Up to 1,000
+#: texts Spark cuts each language inside every task (its window group limit), so that no language meets in one task.
+SAMPLE_TEXTS, SAMPLE_CHARS, DICT_BYTES = 1_000, 300, 32 * 1024
 #: A text is compressed in pieces of so many bytes at a level; if the margin stays below
 #: SURE_MARGIN, it is compressed anew in finer pieces at a higher level, which decides.
 QUICK_LEVEL, QUICK_PIECE = 5, 8_192
@@ -41,16 +42,21 @@ _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def letters_of(text: str | None) -> bytes:
-    return _NO_LETTERS.sub(" ", text.lower()).strip().encode("utf-8", "replace") if text else b""
+    """Letters and spaces; nothing if no character is a letter (number characters such as ½ are none)."""
+    if not text or not any(map(str.isalpha, text)):
+        return b""
+    return _NO_LETTERS.sub(" ", text.lower()).strip().encode("utf-8", "replace")
 
 
 def language_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang",
                           key: str = "doc_id") -> dict[str, bytes]:
-    """A dictionary per language, from a bounded sample: the texts whose hashed id is
-    smallest. Each language's rows are cut inside every task before they meet."""
+    """A dictionary per language, from a bounded sample: a piece, from a hashed place, of each of the
+    texts whose hashed id is smallest."""
+    order = F.xxhash64(F.col(key).cast("string"))
+    place = F.pmod(order, F.greatest(F.length(text) - SAMPLE_CHARS + 1, F.lit(1))) + 1
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
-        F.col(lang).alias("lang"), F.substring(text, 1, SAMPLE_CHARS).alias("text"),
-        F.xxhash64(F.col(key).cast("string")).alias("order"))
+        F.col(lang).alias("lang"), F.substring(F.col(text), place.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"),
+        order.alias("order"))
     first = Window.partitionBy("lang").orderBy("order", "text")
     sample = (rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_TEXTS)
               .select("lang", "n", "text").collect())

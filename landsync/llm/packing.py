@@ -16,6 +16,7 @@ special token is ordinary text.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from array import array
@@ -27,6 +28,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from landsync.llm.common import settled, table
 from landsync.llm.registry import query
@@ -58,9 +60,13 @@ class Words(dict):
 class Ids:
     """A space after anything but white space begins a new piece of the tokenizer's
     pattern, so a text can be cut there and its words encoded one by one. A text
-    with a space after other white space is encoded whole."""
+    with a space after other white space is encoded whole, and one that holds an added
+    token of the tokenizer's file by the tokenizer itself."""
 
-    def __init__(self, ranks: str) -> None:
+    def __init__(self, ranks: str, tokenizer: str) -> None:
+        self.tokenizer, self.loaded = tokenizer, None
+        with open(tokenizer, encoding="utf-8") as f:
+            self.added = [t["content"] for t in json.load(f)["added_tokens"]]
         with open(ranks, "rb") as f:
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encode = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges,
@@ -70,19 +76,24 @@ class Ids:
     def of(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(t in text for t in self.added):
+            self.loaded = self.loaded or Tokenizer.from_file(self.tokenizer)
+            return array("I", self.loaded.encode(text, add_special_tokens=False).ids).tobytes()
         if _SPACE_IN_SPACE.search(text):
             return array("I", self.encode(text)).tobytes()
         first, *rest = text.split(" ")
         return array("I", self.encode(first)).tobytes() + b"".join(map(self.spaced.__getitem__, rest))
 
 
-def cut(docs: DataFrame, text: str = "text", key: str = "doc_id", ranks: str | None = None) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens) per piece. ``ranks`` is the vocabulary's file."""
+def cut(docs: DataFrame, text: str = "text", key: str = "doc_id", ranks: str | None = None,
+        tokenizer: str | None = None) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens) per piece. ``ranks`` and ``tokenizer`` are the vocabulary's files."""
     ranks = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Ids(ranks)
+        tokens = Ids(ranks, tokenizer)
         for batch in batches:
             rows: list[tuple] = []
             for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

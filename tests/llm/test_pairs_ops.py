@@ -237,10 +237,9 @@ def test_plan_uses_up_the_histogram():
 
 
 def test_packing(spark):
-    texts = [*corpus(150), "a  b", "  a ", "a \n b\t c", "x<|endoftext|> y", "don't  we're", "a 　 b", "word " * 3000]
+    texts = [*corpus(150), "a  b", "  a ", "a \n b\t c", "x<|endoftext|> y", "<|endoftext|><|endoftext|>  z", "<|endoftext", "don't  we're", "a 　 b", "word " * 3000]
     docs = documents(spark, texts, ODD)
     reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    reference.encode_special_tokens = True
     want = Counter()
     for r in docs.collect():
         ids = [*reference.encode(r.text or "", add_special_tokens=False).ids, 0]
@@ -346,6 +345,19 @@ def test_pipeline_stages(spark, tmp_path):
     assert [k for k in range(120) if passage in swept[k]] == [11] and swept[31] and "n_removed" not in swept
 
 
+def test_near_duplicate_stage_keeps_the_smallest_id_of_a_component(spark):
+    rng = Random(4)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(rng.randint(200, 400))) for _ in range(30)]
+    texts += [t + " w1 w2" for t in texts[:20]] + [texts[3], texts[3].upper(), None, ""]
+    prints = [simhash.fingerprint(t) for t in texts]
+    want = set(roots_of(len(texts), [(i, j) for i in range(len(texts)) for j in range(i)
+                                     if (prints[i] ^ prints[j]).bit_count() <= simhash.BITS]))
+    assert len(want) < len(texts) - 4
+    docs = documents(spark, texts, [(None, texts[0], None, None, None, None, None, None)] * 2)
+    kept = [r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()]
+    assert sorted(k for k in kept if k is not None) == sorted(want) and kept.count(None) == 2
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     docs = documents(spark, ["a"]).limit(0)
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")

@@ -39,6 +39,9 @@ def test_language(spark):
     assert all(0 <= g[3] <= 1 for g in got)
     assert language.identify(docs, {}).where("lang_pred <> 'und'").count() == 0
     assert language.identify(docs.limit(0), learned).count() == 0
+    for text in ("½ ²", "①②", "Ⅷ", "12 _ !", "", None):
+        assert language.Classifier(learned).classify(text) == ("und", 0.0, False)
+    assert language.Classifier(learned).classify("½ ab")[0] != "und"
     assert language.language_dictionaries(docs.limit(0)) == {}
 
 
