@@ -11,12 +11,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landsync import schemas
 from landsync.catalog import facility, plan
 from landsync.catalog.registry import query, run_time, sql_id, table
+from landsync.operators.filters import active_plans
+from landsync.operators.merge import align
 from landsync.operators.records import rename_sheet
-from landsync.plans.facility_sync import sync_facilities
-from landsync.plans.plan_sync import sync_stored_plans
+from landsync.plans.facility_sync import sync_facilities, sync_facilities_log
+from landsync.plans.plan_sync import active_in_log, deactivate_log, sync_plans_log, sync_stored_plans
 from landsync.session import shared_dir
+from landsync.sources import log_table as log
 from landsync.sources import state as S
 from landsync.sources.store import read_snapshot, write_snapshot
 from landsync.streaming import jobs
@@ -65,6 +69,74 @@ def snk2_plan_store(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("plans")))
 
 
+@query(_FACILITIES)
+def snk1_facility_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The facility load into a table kept as a log, whole and then every fifth row again."""
+    root, sheet = new_dir(spark, "facility-log"), facility.sheet(spark, sf)
+    for part in (sheet, sheet.where(F.col("seq") % 5 == 0)):
+        sync_facilities_log(part, root, run_time())
+    return log.read_log(spark, root).select("id", "name", "is_24_hours")
+
+
+def plan_log(spark: SparkSession, sf: str) -> str:
+    """The stored plans as the first segment of a log by provider."""
+    root = new_dir(spark, "plan-log")
+    rows = align(plan.stored(spark, sf), schemas.PLAN)
+    log.append_log(rows.select("*", log.changed_live(F.col("is_active"), F.lit(False))), root, "provider_name")
+    return root
+
+
+def synced_log(spark: SparkSession, sf: str) -> str:
+    """Today's plans synced on top in three batches."""
+    root = plan_log(spark, sf)
+    for k in range(3):
+        sync_plans_log(plan.incoming(spark, sf).where(F.col("seq") % 3 == k), root, ("seq",), run_time())
+    return root
+
+
+@query(f"""SELECT coalesce(o.id, n.id) AS id,
+  CASE WHEN d.status IN ('new', 'updated') THEN n.annual_limit ELSE o.annual_limit END AS annual_limit,
+  array_to_string(CASE WHEN d.status IN ('new', 'updated') THEN n.covered_conditions
+    ELSE o.covered_conditions END, '|') AS covered, o.claim_process AS claim_process,
+  CASE WHEN d.status IN ('new', 'updated') THEN 2026 ELSE 2020 END AS updated_year
+FROM ({plan.STORED}) o FULL JOIN ({plan.INCOMING}) n ON n.id = o.id LEFT JOIN ({plan.DIFF}) d ON d.id = n.id""")
+def snk2_plan_log(spark: SparkSession, sf: str) -> DataFrame:
+    """A first segment and three segments of changed plans, merged into one."""
+    root = synced_log(spark, sf)
+    log.compact(spark, root, fanout=4)
+    return log.read_log(spark, root).select(
+        "id", "annual_limit", F.array_join("covered_conditions", "|").alias("covered"), "claim_process",
+        F.year("updated_at").alias("updated_year"))
+
+
+@query(f"""SELECT s.id, s.is_active AND g.id IS NULL AS is_active,
+  CASE WHEN g.id IS NOT NULL THEN 2026 ELSE 2020 END AS updated_year
+FROM ({plan.STORED}) s LEFT JOIN ({plan.GONE}) g ON s.id = g.id""")
+def ant1_deactivate_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The soft delete as a segment of its own."""
+    root = plan_log(spark, sf)
+    called = [r["provider_name"] for r in plan.called(spark, sf).collect()]
+    deactivate_log(root, plan.listed(spark, sf), called, run_time())
+    return log.read_log(spark, root).select("id", "is_active", F.year("updated_at").alias("updated_year"))
+
+
+@query(f"""SELECT id, annual_limit FROM ({plan.STORED}) WHERE is_active AND provider_name = '1-URGENT'""")
+def src6_provider_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Active plans of one provider: only the provider's files are listed."""
+    root = plan_log(spark, sf)
+    return active_plans(log.read_log(spark, root, ["1-URGENT"]), "1-URGENT").select("id", "annual_limit")
+
+
+@query(f"""SELECT s.provider_name, count(*) FILTER (WHERE s.is_active AND g.id IS NULL) AS plans
+FROM ({plan.STORED}) s LEFT JOIN ({plan.GONE}) g ON s.id = g.id GROUP BY ALL""")
+def agg6_manifest_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Active plans of each provider after a soft delete, counted from the manifest."""
+    root = plan_log(spark, sf)
+    called = [r["provider_name"] for r in plan.called(spark, sf).collect()]
+    deactivate_log(root, plan.listed(spark, sf), called, run_time())
+    return active_in_log(spark, root)
+
+
 @query(f"""SELECT coalesce(s.source_id, t.source_id) AS source_id,
   strftime(coalesce(greatest(modified_time, last_modified), modified_time, last_modified),
     '%Y-%m-%dT%H:%M:%S') AS last_modified

@@ -137,41 +137,60 @@ def sync_plans(existing: DataFrame, incoming: DataFrame, run_ts: Column | None =
     return tagged.select(*out, F.col("_status").alias("sync_status"))
 
 
+#: Providers up to which a scope becomes a plain condition on the stored rows.
+SCOPE = 10_000
+
+
+def in_scope(existing: DataFrame, scope: DataFrame | Sequence[str]) -> DataFrame:
+    """Stored plans of some providers. A scope that was counted, or is given as names, becomes a condition,
+    which reaches the scan; the stored side is not shuffled by its few provider names."""
+    if isinstance(scope, DataFrame):
+        names = [r[0] for r in scope.select("provider_name").distinct().limit(SCOPE + 1).collect()]
+        if len(names) > SCOPE:
+            return existing.join(scope.select("provider_name").distinct(), "provider_name", "left_semi")
+    else:
+        names = list(scope)
+    return existing.filter(F.col("provider_name").isin([n for n in names if n is not None]))
+
+
+def _unlisted() -> Column:
+    """Of a row of ``_with_listed``: its own provider does not list it."""
+    return ~F.coalesce(F.array_contains("_listed", F.col("provider_name")), F.lit(False))
+
+
+def _with_listed(existing: DataFrame, active: DataFrame) -> DataFrame:
+    """``existing`` with ``_listed``, the providers that list its id; joined on the id alone."""
+    listed = active.filter(F.col("id").isNotNull()).groupBy("id").agg(F.collect_set("provider_name").alias("_listed"))
+    return existing.join(listed, "id", "left")
+
+
 def missing_plans(existing: DataFrame, active: DataFrame,
-                  providers: DataFrame | None = None) -> DataFrame:
+                  providers: DataFrame | Sequence[str] | None = None) -> DataFrame:
     """Ids of active stored plans that the current id list of their provider lacks.
 
     ``active`` has ``provider_name`` and ``id``. Only providers in ``providers``
     (default: those in ``active``) are looked at; naming one with no active id
     gives all its plans. Pass ``providers`` where ``active`` is costly to compute.
     """
-    scope = (active if providers is None else providers).select("provider_name").distinct()
-    return (existing.filter(F.col("is_active"))
-            .join(scope, "provider_name", "left_semi")
-            .join(active.select("provider_name", "id"), ["id", "provider_name"], "left_anti")
-            .select("id", "provider_name"))
+    stored = in_scope(existing.filter(F.col("is_active")), active if providers is None else providers)
+    return (_with_listed(stored.select("id", "provider_name"), active)
+            .filter(_unlisted()).select("id", "provider_name"))
 
 
 def deactivate_missing(existing: DataFrame, active: DataFrame,
-                       providers: DataFrame | None = None, run_ts: Column | None = None,
+                       providers: DataFrame | Sequence[str] | None = None, run_ts: Column | None = None,
                        min_active: int = 0) -> DataFrame:
     """The plan table after the soft delete; ``deactivated`` marks the rows hit.
 
     With ``min_active`` a provider whose list is shorter than that is left alone.
     """
-    scope = (active if providers is None else providers).select("provider_name").distinct()
-    listed = active.select("provider_name", "id").distinct()
+    scope = active if providers is None else providers
     if min_active > 0:
-        sizes = listed.groupBy("provider_name").agg(F.count(F.lit(1)).alias("_n"))
-        scope = (scope.join(sizes, "provider_name", "left")
-                 .filter(F.coalesce(F.col("_n"), F.lit(0)) >= min_active)
-                 .select("provider_name"))
-    joined = (existing
-              .join(listed.withColumn("_listed", F.lit(True)), ["id", "provider_name"], "left")
-              .join(scope.withColumn("_scope", F.lit(True)), "provider_name", "left"))
-    hit = (F.coalesce(F.col("is_active"), F.lit(False))
-           & F.col("_scope").isNotNull() & F.col("_listed").isNull())
-    marked = joined.withColumn("deactivated", hit)
+        scope = long_enough(active, scope, min_active)
+    hit = in_scope(existing.filter(F.col("is_active")), scope)
+    hit = (_with_listed(hit.select("id", "provider_name"), active).filter(_unlisted())
+           .select("id", F.lit(True).alias("_hit")))
+    marked = existing.join(hit, "id", "left").withColumn("deactivated", F.coalesce("_hit", F.lit(False)))
     changed = {"is_active": F.when(F.col("deactivated"), F.lit(False))
                .otherwise(F.col("is_active"))}
     if "updated_at" in existing.columns:
@@ -181,6 +200,12 @@ def deactivate_missing(existing: DataFrame, active: DataFrame,
             .select(*existing.columns, "deactivated"))
 
 
+def long_enough(active: DataFrame, scope: DataFrame | Sequence[str], min_active: int) -> DataFrame:
+    """The providers of a scope that list ``min_active`` ids or more."""
+    sizes = active.select("provider_name", "id").distinct().groupBy("provider_name").agg(F.count(F.lit(1)).alias("_n"))
+    return in_scope(sizes.filter(F.col("_n") >= min_active), scope).select("provider_name")
+
+
 LOOKUP_FIELDS = ["phone", "website", "operating_hours", "google_place_id", "google_rating"]
 LOOKUP_LISTS = ["services", "specialties"]
 

@@ -12,6 +12,7 @@ from landsync.operators.filters import blocked_page, pending
 from landsync.operators.merge import apply_results, fold_results
 from landsync.operators.records import completeness, search_query
 from landsync.session import settle
+from landsync.sources.log_table import append_log, read_ids
 from landsync.sources.store import prefixes_of, read_folders, replace_folders
 
 
@@ -71,3 +72,10 @@ def apply_in_place(folded: DataFrame, root: str, run_ts: Column | None = None,
     hit = prefixes_of(folded.withColumnRenamed("clinic_id", "id"), digits)
     part = read_folders(folded.sparkSession, root, hit, digits)
     replace_folders(apply_results(part, folded, run_ts), root, digits, hit)
+
+
+def apply_log(folded: DataFrame, root: str, run_ts: Column | None = None) -> int:
+    """Folded results (a stored table) onto a facility table kept as a log; returns the rows written."""
+    ids = folded.select(F.col("clinic_id").alias("id"))
+    part = read_ids(folded.sparkSession, root, ids, folded.count())
+    return append_log(apply_results(part, folded, run_ts).withColumn("_net", F.lit(0)), root)

@@ -10,6 +10,7 @@ from landsync.operators.dedup import unique_facilities
 from landsync.operators.merge import align, upsert
 from landsync.operators.records import facility_records, rename_sheet
 from landsync.session import settle
+from landsync.sources.log_table import append_log, changed_live, read_ids
 from landsync.sources.store import (prefixes_of, read_folders, read_snapshot, replace_folders,
                                     write_snapshot)
 
@@ -48,3 +49,14 @@ def sync_facilities_in_place(sheet: DataFrame, root: str, run_ts: Column | None
     hit = prefixes_of(batch, digits)
     part = align(read_folders(spark, root, hit, digits, schemas.FACILITY), schemas.FACILITY)
     replace_folders(upsert(part, batch), root, digits, hit)
+
+
+def sync_facilities_log(sheet: DataFrame, root: str, run_ts: Column | None = None,
+                        protect_enrichment: bool = False) -> int:
+    """As above for a table kept as a log: writes the batch's rows and nothing else. Returns their number."""
+    spark = sheet.sparkSession
+    batch = settle(facility_batch(rename_sheet(sheet), run_ts, protect_enrichment))
+    part = settle(align(read_ids(spark, root, batch, batch.count(), schemas.FACILITY), schemas.FACILITY))
+    was = part.select("id", F.col("is_active").alias("_was"))
+    rows = upsert(part, batch).join(was, "id", "left")
+    return append_log(rows.select(*schemas.FACILITY.names, changed_live(F.col("is_active"), F.col("_was"))), root)

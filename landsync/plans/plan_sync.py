@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landsync import schemas
 from landsync.operators.dedup import unique_plans
-from landsync.operators.merge import align, missing_plans, sync_plans
+from landsync.operators.merge import align, long_enough, missing_plans, sync_plans
 from landsync.session import settle
+from landsync.sources.log_table import append_log, changed_live, live_counts, read_ids, read_log
 from landsync.sources.store import (prefixes_of, read_folders, read_snapshot, replace_folders,
                                     write_snapshot)
 
@@ -70,6 +72,44 @@ def deactivate_in_place(root: str, active: DataFrame, providers: DataFrame | Non
     return gone.count()
 
 
+def sync_plans_log(plans: DataFrame, root: str, order: tuple[str, ...], run_ts: Column | None = None,
+                   null_policy: str = "overwrite", reactivate: bool = False) -> dict[str, int]:
+    """As above for a table kept as a log by provider: only new and changed plans are written. The stored side
+    is scanned for the ids at hand, those being broadcast, and never shuffled or rewritten."""
+    spark = plans.sparkSession
+    incoming = settle(unique_plans(plans, order))
+    part = settle(align(read_ids(spark, root, incoming, incoming.count(), schemas.PLAN), schemas.PLAN))
+    was = part.select("id", F.col("is_active").alias("_was"))
+    nexts = settle(sync_plans(part, incoming, run_ts, null_policy, reactivate).join(was, "id", "left"))
+    counts = nexts.agg(*[v.alias(k) for k, v in _hits().items()]).first().asDict()
+    taken = nexts.filter(F.col("sync_status").isin("new", "updated"))
+    append_log(taken.select(*schemas.PLAN.names, changed_live(F.col("is_active"), F.col("_was"))), root, "provider_name")
+    return _report(counts)
+
+
+def deactivate_log(root: str, active: DataFrame, providers: Sequence[str], run_ts: Column | None = None,
+                   min_active: int = 0) -> int:
+    """Soft delete in a table kept as a log by provider: reads the files of the named providers, and writes the
+    plans it deactivates. Returns their number."""
+    spark = active.sparkSession
+    if min_active > 0:
+        providers = [r["provider_name"] for r in long_enough(active, list(providers), min_active).collect()]
+    stored = read_log(spark, root, list(providers), schemas.PLAN)
+    gone = settle(missing_plans(stored, active, list(providers)))
+    n = gone.count()
+    if n:
+        now = F.current_timestamp() if run_ts is None else run_ts
+        rows = read_ids(spark, root, gone, n, groups=list(providers)).withColumns(
+            {"is_active": F.lit(False), "updated_at": now.cast("timestamp")})
+        append_log(rows.select("*", changed_live(F.lit(False), F.lit(True))), root, "provider_name")
+    return n
+
+
+def active_in_log(spark: SparkSession, root: str) -> DataFrame:
+    """Active plans of each provider, counted from the manifest without reading a row."""
+    return spark.createDataFrame(sorted(live_counts(spark, root).items(), key=str), "provider_name string, plans long")
+
+
 def _hits() -> dict[str, Column]:
     def hits(status: str) -> Column:
         return F.sum(F.when(F.col("sync_status") == status, 1).otherwise(0))

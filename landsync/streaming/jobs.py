@@ -20,9 +20,10 @@ from landsync.operators.dedup import keep_first
 from landsync.operators.merge import (align, apply_results, fold_state, folded_of, merge_states,
                                       upsert)
 from landsync.operators.stats import count_if
-from landsync.plans.enrichment import apply_in_place
+from landsync.plans.enrichment import apply_in_place, apply_log
 from landsync.plans.facility_sync import facility_batch
 from landsync.session import settle
+from landsync.sources.log_table import (DELETED, FANOUT, NET, append_log, compact, read_all, read_ids)
 from landsync.sources.store import (prefixes_of, read_folders, read_snapshot, replace_folders,
                                     write_snapshot)
 
@@ -34,6 +35,11 @@ def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def _this_batch(spark: SparkSession, checkpoint: str, batch_id: int) -> tuple[str, int]:
+    """The batch's name: the stream's id, which its checkpoint holds, and its number."""
+    return spark.read.text(f"{checkpoint}/metadata").first()[0], batch_id
+
+
 def landed(spark: SparkSession, path: str, schema, fmt: str = "parquet",
            files_per_batch: int | None = None) -> DataFrame:
     """A stream over files as they land."""
@@ -84,40 +90,44 @@ def stream_facilities(rows: DataFrame, root: str, checkpoint: str, load: str | N
 
 def stream_results(results: DataFrame, root: str, checkpoint: str,
                    seq: tuple[str, ...] = ("seq",), dedup: str | None = None,
-                   in_place: bool = False, digits: int = 2,
-                   trigger: dict | None = None) -> StreamingQuery:
+                   in_place: bool = False, digits: int = 2, as_log: bool = False,
+                   fanout: int = FANOUT, trigger: dict | None = None) -> StreamingQuery:
     """Apply lookup results to the stored facility table as they arrive.
 
     A state per facility, under ``root``, holds what decided each field, so results give
     the same table in any order and however late. With ``dedup`` (a result id) the ids seen
-    are kept too, and a result counts once. ``in_place`` is for a table in id-prefix folders;
-    else every batch writes a version (see ``expire``).
+    are kept too, and a result counts once. Both are logs: a batch appends its own facilities and ids,
+    and segments are merged level by level. The facility table is a log too with ``as_log``; ``in_place``
+    is for a table in id-prefix folders; else every batch writes a version (see ``expire``).
     """
     state, seen = f"{root}/_state", f"{root}/_seen"
 
-    def each(batch: DataFrame, _batch_id: int) -> None:
+    def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ids = None
+        ids, this = None, _this_batch(spark, checkpoint, batch_id)
         if dedup:
             first = keep_first(batch, [dedup], list(seq))
             keyed = settle(first.withColumn("_id", F.sha2(F.col(dedup).cast("string"), 256)))
             ids = keyed.select(F.col("_id").alias("id")).filter(F.col("id").isNotNull())
-            old = read_folders(spark, seen, prefixes_of(ids, digits), digits, ids.schema)
-            batch = keyed.join(old.withColumnRenamed("id", "_id"), "_id", "left_anti").drop("_id")
+            old = read_ids(spark, seen, ids, ids.count(), ids.schema).withColumnRenamed("id", "_id")
+            batch = keyed.join(old, "_id", "left_anti").drop("_id")
+            ids = settle(ids.join(old.withColumnRenamed("_id", "id"), "id", "left_anti"))
         fresh = settle(fold_state(batch, seq))
-        hit = prefixes_of(fresh, digits)
-        merged = settle(merge_states(read_folders(spark, state, hit, digits, fresh.schema), fresh))
-        folded = folded_of(merged.join(fresh.select("id"), "id", "left_semi"))
-        if in_place:
+        merged = settle(merge_states(read_ids(spark, state, fresh, fresh.count(), fresh.schema), fresh))
+        folded = folded_of(merged)
+        if as_log:
+            apply_log(settle(folded), root)
+        elif in_place:
             apply_in_place(folded, root, digits=digits)
         else:
             write_snapshot(apply_results(read_snapshot(spark, root), folded), root)
         # The table first: a batch that is repeated finds the state of before, or one that
         # already holds it, and either gives the same table.
-        replace_folders(merged, state, digits, hit)
+        append_log(merged, state, batch=this)
+        compact(spark, state, fanout)
         if ids is not None:
-            both = old.union(ids).distinct()
-            replace_folders(both, seen, digits, prefixes_of(ids, digits))
+            append_log(ids, seen, batch=this)
+            compact(spark, seen, fanout)
 
     return _start(results, each, checkpoint, trigger=trigger)
 
@@ -131,17 +141,28 @@ def hourly_counts(results: DataFrame, time: str = "ts") -> DataFrame:
             .select(F.col("hour.start").alias("hour"), "total", "success", "failed"))
 
 
+_COUNTED = ("total", "success", "failed")
+
+
+def _added(rows: DataFrame) -> DataFrame:
+    sums = rows.groupBy("hour").agg(*[F.sum(c).cast("long").alias(c) for c in _COUNTED])
+    return sums.withColumns({DELETED: F.lit(False), NET: F.lit(1)})
+
+
 def stream_counts(results: DataFrame, out: str, checkpoint: str, time: str = "ts",
-                  trigger: dict | None = None) -> StreamingQuery:
-    """Keep hourly counts under ``out``: every batch writes what it adds to each hour into a
-    folder of its own, so repeating a batch replaces its folder, and no row is too late."""
+                  fanout: int = FANOUT, trigger: dict | None = None) -> StreamingQuery:
+    """Keep hourly counts under ``out``: every batch appends what it adds to each hour to a log, whose segments
+    are summed level by level, so that any number of batches leaves few files. A batch that is repeated counts
+    once, and no row is too late."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        hourly_counts(batch, time).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        spark = batch.sparkSession
+        append_log(hourly_counts(batch, time).select("hour", *_COUNTED), out,
+                   batch=_this_batch(spark, checkpoint, batch_id))
+        compact(spark, out, fanout, combine=_added)
 
     return _start(results, each, checkpoint, trigger=trigger)
 
 
 def read_counts(spark: SparkSession, out: str) -> DataFrame:
     """The count of each hour over all batches."""
-    rows = spark.read.option("basePath", out).parquet(out)
-    return rows.groupBy("hour").agg(*[F.sum(c).alias(c) for c in ("total", "success", "failed")])
+    return _added(read_all(spark, out)).select("hour", *_COUNTED)
