@@ -4,7 +4,8 @@ A page row is read once and turned into narrow columns in the same stage; no
 HTML goes through a shuffle. A selector such as ``.product-card h2`` is turned
 into regular expressions: the page is split at each opening tag of the outer
 part, each piece is cut where a counter of open tags comes to zero, and inner tags
-are looked up in the pieces. Pass ``markup(html)`` where comments and scripts may
+are looked up in the pieces. Elements that may hold others are found as intervals of the
+page's tags, in a time that hardly grows faster than the page. Pass ``markup(html)`` where comments and scripts may
 hold tags; it is worth a column of its own, so that a page is cleaned once.
 """
 
@@ -50,6 +51,7 @@ class Selector:
     element: str | None
     href: str
     needs: tuple[str, ...]
+    tag: str | None = None
 
 
 def _attr_test(name: str, op: str | None, value: str | None) -> str:
@@ -92,7 +94,7 @@ def selector(css: str) -> Selector:
         scope, _, scope_needs = _opening(outer[-1])
         needs = scope_needs + needs
     href = rf"{opening}[^>]*?\s(?i:href)\s*=\s*[\"']?((?<=[\"'])[^\"']*|[^\"'\s>]+)"
-    return Selector(scope, opening, element, href, tuple(needs))
+    return Selector(scope, opening, element, href, tuple(needs), tag)
 
 
 def markup(html: Column | str) -> Column:
@@ -126,34 +128,115 @@ def _until_closed(inner: Column, tag: Column) -> Column:
     return bind(F.split(F.concat(F.lit(" "), inner), pattern), cut)
 
 
-def _elements(html: Column, opening: str, whole: bool) -> Column:
-    """Inner HTML of every element with this opening tag, in page order.
+def _inner(part: Column) -> Column:
+    """What follows the opening tag that the part begins with."""
+    return F.regexp_replace(part, r"(?s)^<[^>]*>", "")
 
-    One that holds another of its kind reaches to its own end if ``whole``, else to
-    where the other begins, so that nothing is found twice. One that is never closed
-    reaches to the next opening, or to the end.
-    """
-    def inner(part: Column) -> Column:
-        return F.regexp_replace(part, r"(?s)^<[^>]*>", "")
 
+def _tag_of(part: Column) -> Column:
+    return F.regexp_extract(part, r"^</?([a-zA-Z][^\s/>]*)", 1)
+
+
+def _pieces(html: Column, opening: str) -> Column:
+    """Inner HTML of every element with this opening tag, in page order. One that holds another of its kind
+    reaches to where that begins, so that nothing is found twice; so does one that is never closed."""
     def each(parts: Column) -> Column:
-        def read(part: Column, i: Column) -> Column:
-            tag = F.regexp_extract(part, r"^<([a-zA-Z][a-zA-Z0-9]*)", 1)
-            ends = [_until_closed(inner(part), tag)]
-            if whole:  # looked at only where another one stands inside
-                rest = F.array_join(F.slice(parts, i + 1, F.size(parts)), "")
-                ends.append(_until_closed(inner(rest), tag))
-            return F.coalesce(*ends, inner(part))
-
-        found = F.transform(parts, lambda part, i: F.when(i > 0, read(part, i)))
+        found = F.transform(parts, lambda part, i: F.when(
+            i > 0, F.coalesce(_until_closed(_inner(part), _tag_of(part)), _inner(part))))
         return F.filter(found, lambda x: x.isNotNull())
 
     return bind(F.split(F.concat(F.lit(" "), html), rf"(?={opening})", -1), each)
 
 
+def _depths(events: Column) -> Column:
+    """How many elements are open after each tag; a closing tag without an open element counts for nothing.
+
+    The tags up to some place turn a depth d into max(m, d + s), so tags are taken in blocks of the root of their
+    number: (s, m) of each tag within its block, then the depth at which each block begins. No array longer than
+    a block or the list of blocks is copied from tag to tag.
+    """
+    step = "struct<s:int,m:int>"
+    size = F.ceil(F.sqrt(F.size(events))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), ((F.size(events) - 1) / size).cast("int")),
+                         lambda b: F.slice(events, b * size + 1, size))
+
+    def after(last: Column, tag: Column) -> Column:
+        s, m = F.coalesce(last["s"], F.lit(0)), F.coalesce(last["m"], F.lit(0))
+        return F.when(tag["shut"], F.struct((s - 1).alias("s"), F.greatest(m - 1, F.lit(0)).alias("m"))).otherwise(
+            F.struct((s + 1).alias("s"), (m + 1).alias("m")))
+
+    def within(block: Column) -> Column:
+        return F.aggregate(block, F.array().cast(f"array<{step}>"), lambda acc, tag: F.concat(
+            acc, F.array(after(F.get(acc, F.size(acc) - 1), tag))))
+
+    def depths(steps: Column) -> Column:
+        starts = F.aggregate(steps, F.array(F.lit(0)), lambda acc, block: F.concat(acc, F.array(F.greatest(
+            F.element_at(block, -1)["m"], F.element_at(acc, -1) + F.element_at(block, -1)["s"]))))
+        return bind(starts, lambda at: F.flatten(F.transform(steps, lambda block, b: F.transform(
+            block, lambda x: F.greatest(x["m"], F.get(at, b) + x["s"])))))
+
+    return bind(F.transform(blocks, within), depths)
+
+
+def _intervals(tags: Column) -> Column:
+    """(at, end) of the wanted elements among the tags of one name, in no order; ``end`` is null for those never closed.
+
+    An element's tags are the neighbours among the tags of its depth.
+    """
+    def paired(depths: Column) -> Column:
+        placed = F.transform(tags, lambda t, i: F.struct(
+            (F.get(depths, i) + t["shut"].cast("int")).alias("depth"), t["at"].alias("at"), t["shut"].alias("shut"),
+            t["hit"].alias("hit"),
+            (t["shut"] & (F.coalesce(F.get(depths, i - 1), F.lit(0)) == 0)).alias("stray")))
+        ordered = F.sort_array(F.filter(placed, lambda t: ~t["stray"]))
+        return bind(ordered, lambda all_: F.filter(F.transform(all_, lambda t, i: F.when(t["hit"], F.struct(
+            t["at"].alias("at"), F.when(
+                (F.get(all_, i + 1)["depth"] == t["depth"]) & F.get(all_, i + 1)["shut"],
+                F.get(all_, i + 1)["at"]).alias("end")))), lambda x: x.isNotNull()))
+
+    return bind(_depths(tags), paired)
+
+
+def _elements(html: Column, opening: str, tag: str | None) -> Column:
+    """Inner HTML of every element with this opening tag, in page order, each whole.
+
+    The page's tags are read once, each element's interval is found by the depth of its tags, and the inner
+    HTML is what stands between. One that is never closed reaches to the next opening, or to the end.
+    """
+    name = rf"(?i:{tag})" if tag else r"[a-zA-Z][^\s/>]*"
+
+    def read(parts: Column) -> Column:
+        tags = F.slice(F.transform(parts, lambda part, i: F.struct(
+            i.alias("at"), F.lower(_tag_of(part)).alias("name"), part.startswith("</").alias("shut"),
+            part.rlike(rf"^{opening}").alias("hit"))), 2, F.size(parts))
+
+        def spans(tags: Column) -> Column:
+            wanted = F.array_distinct(F.transform(F.filter(tags, lambda t: t["hit"]), lambda t: t["name"]))
+            return F.sort_array(F.flatten(F.transform(wanted, lambda w: bind(
+                F.filter(tags, lambda t: t["name"] == w), _intervals))))
+
+        def inner(found: Column) -> Column:
+            return F.transform(found, lambda x, i: _inner(F.array_join(F.slice(
+                parts, x["at"] + 1, F.coalesce(x["end"], F.get(found, i + 1)["at"], F.size(parts)) - x["at"]), "")))
+
+        return bind(bind(tags, spans), inner)
+
+    return bind(F.split(F.concat(F.lit(" "), html), rf"(?=</?{name}(?=[\s/>]))", -1), read)
+
+
+def _first_element(html: Column, opening: str) -> Column:
+    """The first of ``_elements``, null if there is none; tags before it are not looked at."""
+    def read(rest: Column) -> Column:
+        return F.when(rest.isNotNull(), F.coalesce(
+            _until_closed(_inner(rest), _tag_of(rest)),
+            _inner(F.get(F.split(F.concat(F.lit(" "), rest), rf"(?={opening})", 3), F.lit(1)))))
+
+    return bind(F.get(F.split(F.concat(F.lit(" "), html), rf"(?={opening})", 2), F.lit(1)), read)
+
+
 def _in_scope(html: Column, sel: Selector, find: Callable[[Column], Column]) -> Column:
     found = (find(html) if sel.scope is None
-             else F.flatten(F.transform(_elements(html, sel.scope, False), find)))
+             else F.flatten(F.transform(_pieces(html, sel.scope), find)))
     if not sel.needs:
         return found
     return F.when(_holds(html, sel), found).otherwise(F.array().cast("array<string>"))
@@ -161,15 +244,19 @@ def _in_scope(html: Column, sel: Selector, find: Callable[[Column], Column]) ->
 
 def _all_inner(html: Column, sel: Selector) -> Column:
     if sel.element is None:
-        return _in_scope(html, sel, lambda part: _elements(part, sel.opening, True))
+        return _in_scope(html, sel, lambda part: _elements(part, sel.opening, sel.tag))
     return _in_scope(html, sel, lambda part: F.regexp_extract_all(part, F.lit(sel.element), F.lit(2)))
 
 
 def _first_inner(html: Column, sel: Selector) -> Column:
     """Inner HTML of the first element, looking no further than needed."""
-    if sel.scope is None and sel.element is not None:
-        return F.when(_holds(html, sel), F.regexp_extract(html, sel.element, 2))
-    return F.get(_all_inner(html, sel), F.lit(0))
+    if sel.scope is None:
+        return F.when(_holds(html, sel), F.regexp_extract(html, sel.element, 2) if sel.element is not None
+                      else _first_element(html, sel.opening))
+    if sel.element is not None:
+        return F.get(_all_inner(html, sel), F.lit(0))
+    firsts = F.transform(_pieces(html, sel.scope), lambda part: _first_element(part, sel.opening))
+    return F.when(_holds(html, sel), F.get(F.filter(firsts, lambda x: x.isNotNull()), F.lit(0)))
 
 
 def unescape(c: Column | str) -> Column:

@@ -145,6 +145,29 @@ def test_selectors(spark, css, want):
     assert values(spark, [PAGE], lambda c: H.all_texts(c, css)) == [want]
 
 
+def test_elements_as_intervals(spark):
+    cases = {
+        "<div class=c>a<div class=c>b</div>c</div>d<div class=c>e": ["abc", "b", "e"],
+        "</div></div><div class=c>x<div>y</div>z</div></div><p class=c>p<b>q</b></p>t": ["xyz", "pq"],
+        "<DIV class='c d'>x<br>y</DIV></div><my-card class=c>k</my-card>l": ["xy", "k"],
+        "<div class=c>open <span class=c>in</span> <div class=c>late</div>": ["open", "in", "late"],
+        "<p>none</p>": [],
+    }
+    got = values(spark, list(cases), lambda c: H.all_texts(c, ".c"))
+    assert got == list(cases.values())
+    assert values(spark, list(cases), lambda c: H.first_text(c, ".c")) == [v[0] if v else None for v in cases.values()]
+
+
+def test_deeply_nested_elements_take_no_longer_than_flat_ones(spark):
+    n = 20_000
+    page = "<div>x" * n + "<div class=c>hit<i>y</i></div>" + "</div>" * n
+    begun = time.perf_counter()
+    assert values(spark, [page], lambda c: H.all_texts(c, ".c")) == [["hity"]]
+    deep = "<div class=c>a" * n + "</div>" * n
+    assert values(spark, [deep], lambda c: F.length(H.first_text(c, ".c"))) == [n]
+    assert time.perf_counter() - begun < 60  # the square of the tags would take many minutes
+
+
 def test_extent_of_elements(spark):
     card = ("<div class='product-card'><div><div>x</div></div><h2>In</h2></div>"
             "<div class='other'><h2>Customer Stories Galore</h2></div>")
