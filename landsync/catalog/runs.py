@@ -21,6 +21,7 @@ from landsync.plans.facility_sync import sync_facilities, sync_facilities_log
 from landsync.plans.plan_sync import active_in_log, deactivate_log, sync_plans_log, sync_stored_plans
 from landsync.session import shared_dir
 from landsync.sources import log_table as log
+from landsync.sources import sheet as sheets
 from landsync.sources import state as S
 from landsync.sources.store import read_snapshot, write_snapshot
 from landsync.streaming import jobs
@@ -69,6 +70,27 @@ def snk2_plan_store(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("plans")))
 
 
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS bil, c_name AS nama_penuh_fasiliti,
+  'Lot ' || c_nationkey || chr(10) || '"' || c_mktsegment || '", Road' AS alamat,
+  c_mktsegment AS jenis_fasiliti FROM customer WHERE c_acctbal >= 0""")
+def src1_sheet_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers exported as one sheet a segment, with quotes and line breaks in cells, title, header, blank rows
+    and rows without a name, read back by the reader of sheets."""
+    c, root = table(spark, sf, "customer"), new_dir(spark, "sheets")
+    cell = lambda v: F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))
+    address = F.concat(F.lit("Lot "), F.col("c_nationkey").cast("string"), F.lit('\n"'), "c_mktsegment", F.lit('", Road'))
+    row = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_mktsegment", cell(address),
+                      F.when(F.col("c_acctbal") >= 0, cell(F.concat(F.lit(" "), "c_name"))).otherwise(""))
+    rows = c.select("c_mktsegment", F.col("c_custkey").alias("place"), row.alias("value"))
+    top = c.select("c_mktsegment").distinct().select("c_mktsegment", F.posexplode(F.array(
+        F.lit('"A sheet,\nupdated",,,'), F.lit(" bil ,Jenis_Fasiliti,ALAMAT,NAMA_PENUH_FASILITI"), F.lit(",,,"))).alias("place", "value"))
+    top = top.withColumn("place", F.col("place").cast("long") - 10)
+    (top.unionByName(rows).repartition("c_mktsegment").sortWithinPartitions("c_mktsegment", "place")
+     .select("c_mktsegment", "value").write.partitionBy("c_mktsegment").text(root))
+    files = [r[0] for r in spark.read.text(root).select("_metadata.file_path").distinct().orderBy("file_path").collect()]
+    return sheets.read_sheets(spark, files).select("bil", "nama_penuh_fasiliti", "alamat", "jenis_fasiliti")
+
+
 @query(_FACILITIES)
 def snk1_facility_log(spark: SparkSession, sf: str) -> DataFrame:
     """The facility load into a table kept as a log, whole and then every fifth row again."""

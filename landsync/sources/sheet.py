@@ -7,7 +7,7 @@ import io
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from landsync.functions.text import utrim
@@ -16,18 +16,71 @@ from landsync.schemas import SHEET_COLUMNS
 _SPLIT_ROW = (1 << 33) - 1  # low bits of monotonically_increasing_id: row within a partition
 
 
+#: Lines looked at for the rows above the data.
+TOP_LINES = 65_536
+#: A record whose quotes all belong to quoted cells.
+_CELL = r'(?:"(?:[^"]++|"")*+"|[^",]*+)'
+_WELL_FORMED = rf"^{_CELL}(?:,{_CELL})*+$"
+
+
 def top_rows(spark: SparkSession, path: str, rows: int) -> list[list[str]]:
     """The first ``rows`` rows of a sheet export, cells of many lines included."""
     lines = 64
     while True:
         text = [r[0] for r in spark.read.text(path).limit(lines).collect()]
-        found = list(csv.reader(io.StringIO("\n".join(text), newline="")))
+        found = list(csv.reader(io.StringIO("\n".join(text).removeprefix("\ufeff"), newline="")))
         # The last row seen may go on below; it counts once another one follows.
         if len(found) > rows or len(text) < lines:
             return found[:rows]
+        if lines >= TOP_LINES:
+            raise ValueError(f"{path}: no end of the first {rows} rows within {lines} lines; is a quote left open?")
         lines *= 8
 
 
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of one CSV file as ``seq`` and ``value``, read in many tasks though cells hold line breaks.
+
+    A line is inside a cell if an odd number of quotes stands before it. Quotes are counted line by line in
+    every split, and a running total over the splits tells whether one begins inside a cell, and with which
+    line the record began that it goes on with. Only records of several lines are gathered. ``seq`` follows
+    the file; line breaks in cells become newlines. A quote that is never closed, or that stands inside a cell
+    without quotes, fails the job: such a file needs ``multi_line=True``.
+    """
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("seq"), F.regexp_replace(
+        "value", "^\ufeff", "").alias("value")).withColumns({"quotes": quotes, "split": F.shiftright("seq", 33)})
+    in_split = Window.partitionBy("split").orderBy("seq")
+    before = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("odd", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    splits = lines.groupBy("split").agg(
+        F.sum("quotes").alias("quotes"), *[F.max(F.when(F.col("odd") == k, F.col("seq"))).alias(f"last_{k}") for k in (0, 1)])
+    earlier = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    all_splits = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    closed = F.when(F.sum("quotes").over(all_splits) % 2 == 1, F.raise_error(F.lit(f"{path}: a quote is never closed")))
+    splits = splits.select("split", F.coalesce(closed, F.sum("quotes").over(earlier), F.lit(0)).alias("begun"), "last_0", "last_1")
+    splits = splits.withColumn("begun", F.col("begun") % 2)
+    began = F.when(F.col("begun") == 0, F.col("last_0")).otherwise(F.col("last_1"))
+    splits = splits.select("split", "begun", F.last(began, True).over(earlier).alias("open"))
+    placed = lines.join(splits, "split").withColumn("starts", (F.col("odd") + F.col("begun")) % 2 == 0)
+    own = F.last(F.when(F.col("starts"), F.col("seq")), True).over(
+        in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = placed.withColumn("record", F.coalesce(own, F.col("open")))
+    alone = F.col("starts") & (F.col("quotes") % 2 == 0)
+    gathered = placed.filter(~alone).groupBy("record").agg(F.sort_array(F.collect_list(F.struct("seq", "value"))).alias("of"))
+    gathered = gathered.select(F.col("record").alias("seq"), F.array_join(
+        F.transform("of", lambda x: x["value"]), "\n").alias("value"), F.lit(True).alias("whole"))
+
+    # Spark may test a row before it filters it, so the test asks for whole records itself.
+    def checked(rows: DataFrame) -> DataFrame:
+        odd = F.col("whole") & F.contains(value, F.lit('"')) & ~value.rlike(_WELL_FORMED)
+        return rows.filter(value != "").select("seq", F.when(odd, F.raise_error(F.concat(
+            F.lit(f"{path}: a quote inside a cell without quotes: "), F.substring("value", 1, 80))))
+            .otherwise(value).alias("value"))
+
+    return checked(placed.withColumn("whole", alone).filter("whole")).union(checked(gathered))
+
+
 def read_cells(spark: SparkSession, path: str, width: int, multi_line: bool = True) -> DataFrame:
     """One sheet export as ``seq``, ``first_split`` and the array ``cells``.
 
@@ -46,6 +99,13 @@ def read_cells(spark: SparkSession, path: str, width: int, multi_line: bool = Tr
         cells.alias("cells"))
 
 
+def record_cells(found: DataFrame, width: int) -> DataFrame:
+    """``records`` as ``seq`` and the array ``cells``."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    parsed = found.select("seq", F.from_csv("value", F.lit(schema), {"escape": '"', "mode": "PERMISSIVE"}).alias("p"))
+    return parsed.select("seq", F.array(*[F.col(f"p.c{i}") for i in range(width)]).alias("cells"))
+
+
 def header_columns(header: Sequence[str | None],
                    wanted: dict[str, str] | None = None) -> dict[str, int]:
     """Column index per wanted name; names match trimmed and upper-cased, and of a
@@ -69,20 +129,26 @@ def sheet_rows(cells: DataFrame, columns: dict[str, int],
 
 
 def read_sheet(spark: SparkSession, path: str, skip_rows: int = 2,
-               multi_line: bool = True) -> DataFrame:
+               multi_line: bool | None = None) -> DataFrame:
     """One sheet export as raw facility rows with ``seq``, however wide it is.
 
-    Only the first ``skip_rows`` rows visit the driver, to find the columns. A file
-    whose cells may hold line breaks is one task; for a large one whose cells hold
-    none use ``multi_line=False``.
+    Only the first ``skip_rows`` rows visit the driver, to find the columns. Cells may hold line
+    breaks and the file is still read in many tasks (see ``records``). ``multi_line=True`` reads
+    it in one task by Spark's own reader, ``False`` in many by it, if no cell holds a line break.
     """
     top = top_rows(spark, path, max(skip_rows, 1))
     if len(top) < max(skip_rows, 1):
         return sheet_rows(read_cells(spark, path, 1).filter(F.lit(False)), header_columns([]))
     header = top[max(skip_rows - 1, 0)]
-    cells = read_cells(spark, path, max(len(header), 1), multi_line)
-    place = F.col("seq").bitwiseAND(F.lit(_SPLIT_ROW))
-    data = cells.filter(~(F.col("first_split") & (place < skip_rows)))
+    width = max(len(header), 1)
+    if multi_line is None:
+        found = records(spark, path)
+        above = found.select("seq").orderBy("seq").limit(skip_rows).agg(F.max("seq")).first()[0] if skip_rows else None
+        data = record_cells(found if above is None else found.filter(F.col("seq") > above), width)
+    else:
+        cells = read_cells(spark, path, width, multi_line)
+        place = F.col("seq").bitwiseAND(F.lit(_SPLIT_ROW))
+        data = cells.filter(~(F.col("first_split") & (place < skip_rows)))
     return sheet_rows(data, header_columns(header))
 
 

@@ -1,7 +1,10 @@
 """Sheet exports, landed readers, versioned store and source state."""
 
+import csv
+import io
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,7 +23,7 @@ def write(tmp_path, name, text):
     return str(path)
 
 
-@pytest.mark.parametrize("multi_line", [True, False])
+@pytest.mark.parametrize("multi_line", [None, True, False])
 def test_sheet(spark, tmp_path, multi_line):
     path = write(tmp_path, "s.csv", "\n".join([
         "TARIKH KEMASKINI: 1/1/2025,,,,,,", HEADER,
@@ -50,6 +53,46 @@ def test_sheet_line_breaks_and_many(spark, tmp_path):
         (0, "Klinik A", None), (1, "Klinik B", "Johor")]
 
 
+@pytest.mark.parametrize("size", ["64", "300", "4k", "128m"])
+def test_cells_with_line_breaks_at_the_borders_of_splits(spark, tmp_path, size):
+    rng = random.Random(6)
+    rows = [["Title, \"quoted\"", ""], ["BIL", "NAMA_PENUH_FASILITI", "ALAMAT"]]
+    for k in range(150):
+        address = "".join(rng.choice(["\n", "Road", ", ", '"', "é", "\n\n", "x" * 30]) for _ in range(rng.randint(0, 9)))
+        rows.append([str(k), f"Klinik {k}", address])
+    text = io.StringIO()
+    csv.writer(text, lineterminator="\n").writerows(rows)
+    path = write(tmp_path, "b.csv", "\ufeff" + text.getvalue())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        found = sheet.read_sheet(spark, path)
+        if size == "300":
+            assert spark.read.text(path).rdd.getNumPartitions() > 20
+        got = [(r["bil"], r["nama_penuh_fasiliti"], r["alamat"]) for r in found.orderBy("seq").collect()]
+    finally:
+        for key, value in zip(("maxPartitionBytes", "openCostInBytes"), before):
+            spark.conf.set(f"spark.sql.files.{key}", value)
+    assert got == [(a, b, c.strip()) for a, b, c in rows[2:]]
+    whole = sheet.read_sheet(spark, path, multi_line=True).orderBy("seq").collect()
+    assert [(r["bil"], r["nama_penuh_fasiliti"], r["alamat"]) for r in whole] == got
+
+
+@pytest.mark.parametrize("last, said", [('1,"never closed', "never closed"), ('1,5" pipe,"a"",",2" x', "without quotes")])
+def test_quotes_out_of_place_fail_the_job(spark, tmp_path, last, said):
+    path = write(tmp_path, "q.csv", "t\nBIL,NAMA_PENUH_FASILITI\n0,a\n" + last + "\n")
+    with pytest.raises(Exception, match=said):
+        sheet.read_sheet(spark, path).collect()
+
+
+def test_an_open_quote_at_the_top_does_not_bring_the_file_to_the_driver(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sheet, "TOP_LINES", 512)
+    path = write(tmp_path, "o.csv", 't,"\n' + "a,b\n" * 2000)
+    with pytest.raises(ValueError, match="quote"):
+        sheet.read_sheet(spark, path)
+
+
 def test_sheet_without_data_or_name(spark, tmp_path):
     assert sheet.read_sheet(spark, write(tmp_path, "e.csv", "title\n")).count() == 0
     assert sheet.read_sheet(spark, write(tmp_path, "n.csv", "t,\nALAMAT,\nx,\n")).count() == 0
