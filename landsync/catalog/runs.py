@@ -11,9 +11,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landsync import schemas
-from landsync.catalog import facility, plan
-from landsync.catalog.registry import query, run_time, sql_id, table
+from landsync import rules, schemas
+from landsync.catalog import facility, plan, web
+from landsync.catalog.registry import ORACLES, query, run_time, sql_id, table
 from landsync.operators.filters import active_plans
 from landsync.operators.merge import align
 from landsync.operators.records import rename_sheet
@@ -70,6 +70,15 @@ def snk2_plan_store(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("plans")))
 
 
+@query(ORACLES["ext1_rule_table"])
+def ext1_rule_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Headings, body names and links by rules that are rows of a stored table."""
+    root = new_dir(spark, "rules")
+    rules.rule_rows(spark, rules.RuleTable(headings=web._EXT_HEADINGS, body_names=web._EXT_BODY,
+                                           detail_links=web._EXT_LINKS)).write.parquet(root)
+    return web.by_rules(spark, sf, rules.read_rules(spark.read.parquet(root)))
+
+
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS bil, c_name AS nama_penuh_fasiliti,
   'Lot ' || c_nationkey || chr(10) || '"' || c_mktsegment || '", Road' AS alamat,
   c_mktsegment AS jenis_fasiliti FROM customer WHERE c_acctbal >= 0""")

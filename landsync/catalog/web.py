@@ -11,7 +11,7 @@ from landsync.catalog.registry import (query, sql_quote, sql_squeeze, sql_text_o
 from landsync.functions.html import anchors, body_text
 from landsync.operators import extract, filters, inference, records
 from landsync.operators.dedup import first_links, unique_names
-from landsync.rules import LinkRule
+from landsync.rules import LinkRule, RuleTable
 
 
 def pages(spark: SparkSession, sf: str, key: str | None = "k") -> DataFrame:
@@ -247,13 +247,18 @@ def _ext_body(source: str, key: str) -> str:
 ]))
 def ext1_rule_table(spark: SparkSession, sf: str) -> DataFrame:
     """Headings, body names and links of two host classes, each with its own rules."""
+    return by_rules(spark, sf, RuleTable(headings=_EXT_HEADINGS, body_names=_EXT_BODY, detail_links=_EXT_LINKS))
+
+
+def by_rules(spark: SparkSession, sf: str, table: RuleTable) -> DataFrame:
+    """What the rules of two host classes find."""
     p = pages(spark, sf, None).withColumn("provider_key", F.when(
         F.contains("url", F.lit("//blog.")), "blog").otherwise("other"))
-    links = extract.product_links(p, _EXT_LINKS, F.lit("https://h")).select(
+    links = extract.product_links(p, table.detail_links, F.lit("https://h")).select(
         "provider_key", F.col("page_url").alias("url"), F.lit(2).alias("strategy"), "rank", "pos",
         F.col("url").alias("name"))
-    return (extract.heading_candidates(p, _EXT_HEADINGS)
-            .unionByName(extract.body_candidates(p, _EXT_BODY))
+    return (extract.heading_candidates(p, table.headings)
+            .unionByName(extract.body_candidates(p, table.body_names))
             .unionByName(links).drop("provider_key"))
 
 

@@ -142,7 +142,8 @@ def listing_candidates(pages: DataFrame, selectors: dict[str, list[str]] | None
 
 
 def page_title(html: Column | str = "html", provider: Column | str = "provider_key",
-               selectors: dict[str, list[str]] | None = None) -> Column:
+               selectors: dict[str, list[str]] | None = None,
+               bars: list[str] | None = None) -> Column:
     """Plan title of a product page: the first valid text of the provider's title
     selectors, or the plain ``h1``; of a title with bars the first part."""
     table = rules.TITLE_SELECTORS if selectors is None else selectors
@@ -153,7 +154,8 @@ def page_title(html: Column | str = "html", provider: Column | str = "provider_k
 
     plain = F.coalesce(*[first_text(html, css) for css in rules.DEFAULT_TITLE_SELECTORS])
     title = per_provider(provider, chosen, table, plain)
-    return F.when(col(provider).isin(rules.BAR_TITLES), first_bar_part(title)).otherwise(title)
+    bars = rules.BAR_TITLES if bars is None else bars
+    return F.when(col(provider).isin(bars), first_bar_part(title)).otherwise(title)
 
 
 def first_bar_part(title: Column) -> Column:
@@ -170,11 +172,12 @@ def slug_name(url: Column | str) -> Column:
 
 def plan_title(html: Column | str = "html", url: Column | str = "url",
                provider: Column | str = "provider_key",
-               selectors: dict[str, list[str]] | None = None) -> Column:
+               selectors: dict[str, list[str]] | None = None, bars: list[str] | None = None,
+               by_url: list[str] | None = None) -> Column:
     """Valid page title, or for some providers the URL name, else null."""
-    title = page_title(html, provider, selectors)
-    return F.coalesce(only_if(title, is_plan_name),
-                      F.when(col(provider).isin(rules.URL_TITLES), slug_name(url)))
+    title = page_title(html, provider, selectors, bars)
+    by_url = rules.URL_TITLES if by_url is None else by_url
+    return F.coalesce(only_if(title, is_plan_name), F.when(col(provider).isin(by_url), slug_name(url)))
 
 
 def title_candidates(pages: DataFrame, order: str = "link_rank",
@@ -219,9 +222,11 @@ def product_links(pages: DataFrame, table: dict[str, list[rules.LinkRule]] | Non
     return based.select("provider_key", "page_url", "rank", "pos", link.alias("url"))
 
 
-def listing_links(pages: DataFrame, providers: DataFrame | None = None) -> DataFrame:
+def listing_links(pages: DataFrame, providers: DataFrame | None = None,
+                  links: list[rules.LinkRule] | None = None) -> DataFrame:
     """Product links by the rules common to all listing pages."""
-    found = F.concat(*[_rule_links(rule, rank) for rank, rule in enumerate(rules.LISTING_LINK_RULES)])
+    links = rules.LISTING_LINK_RULES if links is None else links
+    found = _joined([_rule_links(rule, rank) for rank, rule in enumerate(links)], _LINK_FIELDS)
     rows = spread(cleaned(pages), found, ["provider_key", F.col("url").alias("page_url")])
     based = with_base(rows.select("provider_key", "page_url", "_one.rank", "_one.pos", "_one.link"), providers)
     return based.select("provider_key", "page_url", "rank", "pos",
@@ -362,13 +367,14 @@ def product_page_facts(pages: DataFrame, providers: DataFrame | None = None,
     link, as nothing else needs it."""
     table = table or rules.RuleTable()
     prepared = cleaned(pages).withColumn("_links", anchors("_markup"))
-    title = plan_title("_markup", selectors=table.titles)
+    title = plan_title("_markup", selectors=table.titles, bars=table.bar_titles, by_url=table.url_titles)
     named = spread(prepared, F.array(title), ["*"], "plan_name")
     read = named.withColumns({
-        "description": description("_markup", selectors=table.descriptions),
+        "description": description("_markup", selectors=table.descriptions, min_length=table.least_descriptions),
         "benefits": benefits("_markup"),
         "page_text": body_text("html"),
-        "brochure_url": brochure_href(table=table.brochures, links=F.col("_links")),
+        "brochure_url": brochure_href(table=table.brochures, links=F.col("_links"), any_link=table.any_brochure,
+                                      page_patterns=table.page_brochures),
     })
     aged = with_page_facts(read.withColumn("eligible_age", eligible_age("page_text", patterns=table.ages)))
     narrow = aged.drop("html", "_markup", "_links")

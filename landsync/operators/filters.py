@@ -22,11 +22,12 @@ def is_plan_name(name: Column | str) -> Column:
     return F.coalesce(good, F.lit(False))
 
 
-def false_name(provider_key: Column | str, name: Column | str) -> Column:
+def false_name(provider_key: Column | str, name: Column | str,
+               table: dict[str, list[tuple[str, int | None]]] | None = None) -> Column:
     """Is a name found in running text a known false hit of its provider?"""
     provider_key, name = col(provider_key), col(name)
     hit = F.lit(False)
-    for key, parts in rules.FALSE_NAMES.items():
+    for key, parts in (rules.FALSE_NAMES if table is None else table).items():
         for part, below in parts:
             test = F.contains(name, F.lit(part))
             if below is not None:

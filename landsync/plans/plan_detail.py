@@ -33,17 +33,20 @@ def named_pages(product_pages: DataFrame, providers: DataFrame | None = None,
     return product_page_facts(product_pages, providers, table)
 
 
-def classification_prompts(named: DataFrame) -> DataFrame:
+def classification_prompts(named: DataFrame, table: rules.RuleTable | None = None) -> DataFrame:
     """Prompts for the providers whose plans are classified first."""
-    return class_prompts(named.filter(F.col("provider_key").isin(rules.CLASSIFIED))).select(
+    table = table or rules.RuleTable()
+    return class_prompts(named.filter(F.col("provider_key").isin(table.classified))).select(
         "provider_key", "url", "prompt")
 
 
-def accepted_pages(named: DataFrame, class_replies: DataFrame) -> DataFrame:
+def accepted_pages(named: DataFrame, class_replies: DataFrame,
+                   table: rules.RuleTable | None = None) -> DataFrame:
     """Drop critical-illness plans, then keep one page per name. The drop comes
     first, so a rejected page does not use up its name."""
+    table = table or rules.RuleTable()
     judged = named.join(class_replies.select("url", F.col("reply").alias("_class")), "url", "left")
-    kept = judged.filter(~F.col("provider_key").isin(rules.CLASSIFIED) | is_medical("_class"))
+    kept = judged.filter(~F.col("provider_key").isin(table.classified) | is_medical("_class"))
     keyed = kept.drop("_class").withColumn("_name", F.lower("plan_name"))
     return keep_first(keyed, ["provider_key", "_name"], ["link_rank", "url"]).drop("_name")
 
@@ -57,11 +60,12 @@ def analysis_prompts(accepted: DataFrame, brochures: DataFrame,
     return prompts(analysis_input(named, brochures)).select("provider_key", "url", "prompt")
 
 
-def detailed_plans(accepted: DataFrame, replies: DataFrame, providers: DataFrame) -> DataFrame:
+def detailed_plans(accepted: DataFrame, replies: DataFrame, providers: DataFrame,
+                   table: rules.RuleTable | None = None) -> DataFrame:
     """Normalised plans; ``replies`` has the typed fields of ``parse_replies``."""
     pages = accepted.drop("page_text", "description", "benefits", "brochure_url", "eligible_age")
     merged = merge_facts(pages, replies).withColumn("website", F.col("url"))
-    order = {k: i for i, k in enumerate(rules.DETAIL_ORDER)}
+    order = {k: i for i, k in enumerate((table or rules.RuleTable()).visited)}
     rank = F.coalesce(*[F.when(F.col("provider_key") == k, F.lit(i)) for k, i in order.items()],
                       F.lit(len(order)))
     ranked = merged.withColumn("provider_rank", rank)

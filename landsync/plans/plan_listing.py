@@ -13,10 +13,10 @@ from landsync.operators.records import DEFAULT_COVERAGE, DEFAULT_PLAN_TYPE, plan
 
 
 def visited_links(listing_pages: DataFrame, providers: DataFrame | None = None,
-                  cap: int | None = None) -> DataFrame:
+                  cap: int | None = None, table: rules.RuleTable | None = None) -> DataFrame:
     """Product links of the fast path. Landed pages cost no visit, so all are taken;
     ``cap`` (``rules.LISTING_VISIT_CAP``) keeps the first ones of each provider."""
-    return first_links(listing_links(listing_pages, providers), cap)
+    return first_links(listing_links(listing_pages, providers, (table or rules.RuleTable()).listing_links), cap)
 
 
 def name_candidates(listing_pages: DataFrame, product_pages: DataFrame,
@@ -25,7 +25,7 @@ def name_candidates(listing_pages: DataFrame, product_pages: DataFrame,
     Names from product pages bring the facts of their page along."""
     table = table or rules.RuleTable()
     listed = listing_candidates(listing_pages, table.headings, table.body_names)
-    false_hit = (F.col("strategy") == 1) & false_name("provider_key", "name")
+    false_hit = (F.col("strategy") == 1) & false_name("provider_key", "name", table.false_names)
     good = listed.filter(~false_hit & is_plan_name("name"))
     return good.unionByName(title_candidates(product_pages, facts=True),
                             allowMissingColumns=True)

@@ -6,7 +6,8 @@ are fixed values: results depend on their wording and order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +22,10 @@ PROVIDERS = [
      "https://www.prudential.com.my/en/products-health-insurance/medical-plans/",
      "1300-88-7288", "https://www.prudential.com.my"),
     ("Allianz", "Allianz Malaysia", "https://www.allianz.com.my",
-     "https://www.allianz.com.my/personal/life-health-and-savings/"
-     "medical-and-hospitalisation.html",
+     "https://www.allianz.com.my/personal/life-health-and-savings/medical-and-hospitalisation.html",
      "1300-22-5542", "https://www.allianz.com.my"),
     ("GreatEastern", "Great Eastern Life", "https://www.greateasternlife.com",
-     "https://www.greateasternlife.com/my/en/personal-insurance/our-products.html"
-     "?category=corp-site%3Amy%2Fproduct-category%2Flife-and-health%2Fhealth-insurance"
-     "&online=&gift=&keyword=",
+     "https://www.greateasternlife.com/my/en/personal-insurance/our-products.html?category=corp-site%3Amy%2Fproduct-category%2Flife-and-health%2Fhealth-insurance&online=&gift=&keyword=",
      "1300-13-8338", "https://www.greateasternlife.com/my"),
     ("Etiqa", "Etiqa Insurance", "https://www.etiqa.com.my",
      "https://www.etiqa.com.my/health",
@@ -150,7 +148,6 @@ LIMIT_PATTERNS = {
 }
 
 # --- Fixed values: eligible-age phrases, in order of trust -----------------
-_AGE_NUMBER = r"(?iU)(?:entry|eligible|age)[:\s]+(\d+[^\.]+)"
 AGE_PATTERNS = {
     "AIA": [
         r"(?iU)Eligible\s+Age[:\s]+([^\n]+)",
@@ -158,9 +155,9 @@ AGE_PATTERNS = {
         r"(?iU)(\d+\s*(?:days?|months?|years?)\s*[-–]\s*\d+\s*(?:days?|months?|years?)\s*old)",
     ],
     "Allianz": [r"(?iU)(?:entry|eligible)\s+age[:\s]+([^\n]+)"],
-    "GreatEastern": [_AGE_NUMBER],
-    "Etiqa": [_AGE_NUMBER],
-    "Prudential": [_AGE_NUMBER],
+    "GreatEastern": [r"(?iU)(?:entry|eligible|age)[:\s]+(\d+[^\.]+)"],
+    "Etiqa": [r"(?iU)(?:entry|eligible|age)[:\s]+(\d+[^\.]+)"],
+    "Prudential": [r"(?iU)(?:entry|eligible|age)[:\s]+(\d+[^\.]+)"],
 }
 
 # --- Fixed values: plan title and description on product pages -------------
@@ -242,25 +239,22 @@ LISTING_VISIT_CAP = 5
 
 DETAIL_LINK_RULES = {
     "AIA": [
-        LinkRule(pattern=rf'href="(/en/our-products/{part}/[^"]+\.html)"',
-                 skip=_AIA_SKIP, query="drop")
-        for part in ("health-protection", "life-protection", "medical-protection",
-                     "critical-illness-protection")
+        LinkRule(pattern=r'href="(/en/our-products/health-protection/[^"]+\.html)"', skip=_AIA_SKIP, query="drop"),
+        LinkRule(pattern=r'href="(/en/our-products/life-protection/[^"]+\.html)"', skip=_AIA_SKIP, query="drop"),
+        LinkRule(pattern=r'href="(/en/our-products/medical-protection/[^"]+\.html)"', skip=_AIA_SKIP, query="drop"),
+        LinkRule(pattern=r'href="(/en/our-products/critical-illness-protection/[^"]+\.html)"', skip=_AIA_SKIP, query="drop"),
     ],
     "Allianz": [
-        LinkRule(pattern=r'href="(/personal/life-health-and-savings/'
-                         r'medical-and-hospitalisation/[^"]+\.html)"',
+        LinkRule(pattern=r'href="(/personal/life-health-and-savings/medical-and-hospitalisation/[^"]+\.html)"',
                  skip=_ALLIANZ_SKIP + _ALLIANZ_OTHER_SECTIONS, query="drop"),
         *[LinkRule(css=css, needs=("/medical-and-hospitalisation/",), skip=_ALLIANZ_SKIP)
           for css in (".product-card a", ".product-tile a", "[class*='product'] a",
                       ".card-body a")],
     ],
     "GreatEastern": [
-        LinkRule(pattern=r'href="(https://www\.greateasternlife\.com/my/en/personal-insurance/'
-                         r'our-products/health-insurance/[^"]+)"',
+        LinkRule(pattern=r'href="(https://www\.greateasternlife\.com/my/en/personal-insurance/our-products/health-insurance/[^"]+)"',
                  skip=_GREAT_SKIP, query="category"),
-        LinkRule(pattern=r'href="(/my/en/personal-insurance/our-products/'
-                         r'health-insurance/[^"]+)"',
+        LinkRule(pattern=r'href="(/my/en/personal-insurance/our-products/health-insurance/[^"]+)"',
                  skip=_GREAT_SKIP, query="category"),
         *[LinkRule(css=css, needs=("/health-insurance/",), skip=_GREAT_SKIP) for css in (
             "a[href*='great-health-direct']", "a[href*='great-medivalue']",
@@ -320,8 +314,11 @@ MEDICAL_NAMES = ["Medical", "MediCard", "MediValue", "Health Direct"]
 
 @dataclass(frozen=True)
 class RuleTable:
-    """The rules of all providers, by provider key. Replace a field to add a provider or to
-    change one; providers with equal rules share one branch of a plan."""
+    """The rules of all providers, by provider key; providers with equal rules share one branch of a plan.
+
+    ``rule_rows`` writes a table of rules as rows and ``read_rules`` reads it, so that a provider can be added
+    by rows alone.
+    """
 
     headings: dict[str, list[str]] = field(default_factory=lambda: HEADING_SELECTORS)
     body_names: dict[str, list[str]] = field(default_factory=lambda: BODY_NAME_PATTERNS)
@@ -330,6 +327,78 @@ class RuleTable:
     ages: dict[str, list[str]] = field(default_factory=lambda: AGE_PATTERNS)
     brochures: dict[str, list[tuple[str, str]]] = field(default_factory=lambda: BROCHURE_RULES)
     descriptions: dict[str, list[str]] = field(default_factory=lambda: DESCRIPTION_SELECTORS)
+    page_brochures: dict[str, list[str]] = field(default_factory=lambda: BROCHURE_PAGE_PATTERNS)
+    false_names: dict[str, list[tuple[str, int | None]]] = field(default_factory=lambda: FALSE_NAMES)
+    least_descriptions: dict[str, int] = field(default_factory=lambda: DESCRIPTION_MIN_LENGTH)
+    listing_links: list[LinkRule] = field(default_factory=lambda: LISTING_LINK_RULES)
+    any_brochure: list[str] = field(default_factory=lambda: BROCHURE_ANY_LINK)
+    bar_titles: list[str] = field(default_factory=lambda: BAR_TITLES)
+    url_titles: list[str] = field(default_factory=lambda: URL_TITLES)
+    classified: list[str] = field(default_factory=lambda: CLASSIFIED)
+    visited: list[str] = field(default_factory=lambda: DETAIL_ORDER)
+
+
+#: A rule as a row: ``kind`` is a field of ``RuleTable``, ``rank`` the place among the provider's rules of the
+#: kind (or of the provider among those of a list), ``value`` the text looked for, ``flags`` the rest as JSON.
+RULE_COLUMNS = "provider_key string, kind string, rank int, value string, flags string"
+#: Rules that a table may have; they are read by the driver, as they become part of a plan.
+MOST_RULES = 100_000
+_TEXTS = ("headings", "body_names", "titles", "ages", "descriptions", "page_brochures")
+_LISTS = ("any_brochure", "bar_titles", "url_titles", "classified", "visited")
+
+
+def rows_of(table: RuleTable) -> list[tuple]:
+    """The rules as tuples of ``RULE_COLUMNS``."""
+    def link(rule: LinkRule) -> tuple[str, str]:
+        flags = {k: v for k, v in asdict(rule).items() if k not in ("pattern", "css")}
+        return rule.pattern or rule.css, json.dumps(flags | {"by": "pattern" if rule.pattern else "css"})
+
+    out: list[tuple] = []
+    for kind in _TEXTS:
+        out += [(key, kind, i, v, None) for key, values in getattr(table, kind).items() for i, v in enumerate(values)]
+    out += [(key, "detail_links", i, *link(r)) for key, links in table.detail_links.items() for i, r in enumerate(links)]
+    out += [(None, "listing_links", i, *link(r)) for i, r in enumerate(table.listing_links)]
+    out += [(key, "brochures", i, v, json.dumps({"in": where}))
+            for key, values in table.brochures.items() for i, (where, v) in enumerate(values)]
+    out += [(key, "false_names", i, v, json.dumps({"below": below}))
+            for key, values in table.false_names.items() for i, (v, below) in enumerate(values)]
+    out += [(key, "least_descriptions", 0, str(n), None) for key, n in table.least_descriptions.items()]
+    for kind in _LISTS:
+        out += [(key, kind, i, None, None) for i, key in enumerate(getattr(table, kind))]
+    return out
+
+
+def rule_rows(spark: SparkSession, table: RuleTable | None = None) -> DataFrame:
+    return spark.createDataFrame(rows_of(table or RuleTable()), RULE_COLUMNS)
+
+
+def read_rules(rows: DataFrame) -> RuleTable:
+    """The rules that rows (see ``RULE_COLUMNS``) stand for."""
+    found = rows.select("provider_key", "kind", "rank", "value", "flags").limit(MOST_RULES + 1).collect()
+    if len(found) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
+    by_key: dict[str, dict[str, list]] = {f.name: {} for f in fields(RuleTable)}
+    for r in sorted(found, key=lambda r: (r["kind"], r["rank"], r["provider_key"] or "")):
+        if r["kind"] not in by_key:
+            raise ValueError(f"unknown kind of rule: {r['kind']}")
+        flags = json.loads(r["flags"] or "{}")
+        value = r["value"]
+        if r["kind"].endswith("_links"):
+            by = flags.pop("by")
+            value = LinkRule(**{by: value}, **{k: tuple(v) if isinstance(v, list) else v for k, v in flags.items()})
+        elif r["kind"] == "brochures":
+            value = (flags["in"], value)
+        elif r["kind"] == "false_names":
+            value = (value, flags.get("below"))
+        elif r["kind"] == "least_descriptions":
+            value = int(value)
+        by_key[r["kind"]].setdefault(r["provider_key"], []).append(value)
+    out: dict[str, object] = dict(by_key)
+    out["listing_links"] = by_key["listing_links"].get(None, [])
+    out["least_descriptions"] = {k: v[0] for k, v in by_key["least_descriptions"].items()}
+    for kind in _LISTS:
+        out[kind] = list(by_key[kind])
+    return RuleTable(**out)
 
 
 def provider_table(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:

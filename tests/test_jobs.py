@@ -287,3 +287,41 @@ def test_an_added_provider_is_rows_alone(spark):
         ("Nova Health", "Nova Medical Plan"), ("Nova Health", "Nova Medical Gold")}
     with pytest.raises(Exception, match="no base URL"):
         plan_detail.detail_links(pages, None, table).collect()
+
+
+def test_rules_as_rows_read_back_as_they_were(spark, tmp_path):
+    rules.rule_rows(spark).repartition(3).write.parquet(str(tmp_path / "r"))
+    assert rules.read_rules(spark.read.parquet(str(tmp_path / "r"))) == rules.RuleTable()
+    odd = spark.createDataFrame([("x", "no such kind", 0, "", None)], rules.RULE_COLUMNS)
+    with pytest.raises(ValueError):
+        rules.read_rules(odd)
+
+
+def test_a_sixth_provider_by_rows_passes_both_paths(spark):
+    more = [("Nova", "headings", 0, ".product-card h2", None), ("Nova", "body_names", 0, "Nova Extra [A-Z][a-z]+", None),
+            ("Nova", "false_names", 0, "Nova Extra Help", '{"below": 40}'),
+            ("Nova", "detail_links", 0, ".product-card a", '{"by": "css", "skip": ["/contact"], "complete": "all"}'),
+            ("Nova", "titles", 0, ".name", None), ("Nova", "bar_titles", 9, None, None), ("Nova", "classified", 9, None, None),
+            ("Nova", "visited", 0, None, None), ("Nova", "descriptions", 0, ".about", None),
+            ("Nova", "brochures", 0, "leaflet", '{"in": "text"}'), ("Nova", "any_brochure", 9, None, None),
+            ("Nova", "ages", 0, "ages ([0-9]+ to [0-9]+)", None)]
+    table = rules.read_rules(rules.rule_rows(spark).union(spark.createDataFrame(more, rules.RULE_COLUMNS)))
+    providers = rules.provider_table(spark, [*rules.PROVIDERS, (
+        "Nova", "Nova Health", "https://nova.test", "https://nova.test/all", "1", "https://nova.test")])
+    listing = ("<div class='product-card'><h2>Nova Medical Plan</h2><a href='product/a'>x</a><a href='/contact'>c</a></div>"
+               "Nova Extra Care and Nova Extra Help")
+    pages = spark.createDataFrame([("Nova", "https://nova.test/all", listing)], "provider_key string, url string, html string")
+    links = plan_detail.detail_links(pages, providers, table)
+    assert [r.url for r in links.collect()] == ["https://nova.test/product/a"]
+    product = ("<h1>Home</h1><p class=name>Nova Medical Gold | Health</p><div class=about>Good <b>cover</b></div>"
+               "<a href='/l/1'>The Leaflet</a> for ages 1 to 70")
+    landed = landed_products(links, spark.createDataFrame([("https://nova.test/product/a", product)], "url string, html string"))
+    fast = plan_listing.listing_plans(pages, landed, providers, table)
+    assert {r.plan_name for r in fast.collect()} == {"Nova Medical Plan", "Nova Extra Care"}
+    named = plan_detail.named_pages(landed, providers, table)
+    row = named.first()
+    assert (row.plan_name, row.description, row.brochure_url, row.eligible_age) == (
+        "Nova Medical Gold", "Good cover", "https://nova.test/l/1", "1 to 70")
+    assert plan_detail.classification_prompts(named, table).count() == 1
+    replies = spark.createDataFrame([("https://nova.test/product/a", "MEDICAL")], "url string, reply string")
+    assert plan_detail.accepted_pages(named, replies, table).count() == 1
