@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Mapping
 
 import numpy as np
@@ -11,7 +12,7 @@ import numpy as np
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>"  # a quote counts after = alone
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][\w:-]*)(?P<attrs2>[^>]*)>", re.S | re.I)
 #: Elements that are dropped with what is in them; where the end tag is missing the tag alone is, but for code, which
 #: runs to the end of the page as it does in a browser.
@@ -46,6 +47,7 @@ class Page:
         stack: list[tuple[str, int]] = [("#root", 0)]  # open elements; inline ones have the node they stand in
         pieces: list[str] = []
         state = {"leaf": -1, "links": 0}
+        opened: Counter = Counter()  # open elements by name, so that no stack is walked in vain
 
         def end_leaf() -> None:
             if state["leaf"] >= 0:
@@ -72,14 +74,15 @@ class Page:
 
         def pop_to(depth: int) -> None:
             for name, _ in stack[depth:]:
+                opened[name] -= 1
                 state["links"] -= name == "a"
                 if name not in INLINE:
                     end_leaf()
             del stack[depth:]
 
         source, at = source or "", 0
-        head, unclosed = False, set()
-        while m := _TOKEN.search(source, at):
+        head, unclosed, last = False, set(), source.rfind(">")
+        while at <= last and (m := _TOKEN.search(source, at)):
             if m.start() > at:
                 put(source[at:m.start()])
                 head = head and not source[at:m.start()].strip()
@@ -106,9 +109,8 @@ class Page:
             if head:
                 continue
             if closes:
-                depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-                if depth:
-                    pop_to(depth)
+                if opened[tag] > 0:
+                    pop_to(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag))
                 elif tag not in INLINE:
                     end_leaf()
                 continue
@@ -118,20 +120,21 @@ class Page:
                     put(" ")
                 elif tag not in VOID:
                     state["links"] += tag == "a"
+                    opened[tag] += 1
                     stack.append((tag, stack[-1][1]))
                 continue
             end_leaf()
-            if tag in ENDS_P:
-                depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == "p"), 0)
-                if depth:
-                    pop_to(depth)
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in ENDS_OWN.get(tag, ()):
-                    pop_to(k)
-                    break
-                if stack[k][0] in SCOPES:
-                    break
+            if tag in ENDS_P and opened["p"] > 0:
+                pop_to(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == "p"))
+            if any(opened[t] > 0 for t in ENDS_OWN.get(tag, ())):
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k][0] in ENDS_OWN[tag]:
+                        pop_to(k)
+                        break
+                    if stack[k][0] in SCOPES:
+                        break
             if tag not in VOID:
+                opened[tag] += 1
                 stack.append((tag, add(tag, found)))
         if at < len(source):
             put(source[at:])

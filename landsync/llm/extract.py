@@ -8,14 +8,17 @@ it holds main text; decoding takes the most likely choice in which nothing is ke
 below a dropped node.
 
 Trained on a bounded sample of the pages at hand. Pages bear no labels, so in the
-sample what stands in an ``article`` or ``main`` element counts as main text, and its
-blocks are also set into random layouts whose main text is known (see ``layouts``).
+sample what stands in an ``article`` or ``main`` element counts as main text, but for forms,
+asides, menus, lists of links and parts that bear a name of such. Its blocks are also set into
+random layouts whose main text is known (see ``layouts``); pages without such elements give
+their long blocks with few links to these layouts, so there is a model wherever there is text.
 
 Cases: null or empty html, and pages where nothing is kept, give an empty text. Tags
 that are not closed, closed twice or cut off don't stop a page, but for a script, a
 style sheet or a comment without its end, which runs to the end of the page. A head
 ends at its end tag or at the first tag or text that can't stand in it. Repeated rows are
-read each for itself. With no page to train on, all text is kept.
+read each for itself. With no text to train on, all text is kept. The time for a page grows with
+its length, however its tags nest.
 """
 
 from __future__ import annotations
@@ -32,12 +35,14 @@ from pyspark.sql import functions as F
 
 from landsync.llm.common import hashed_sample, table
 from landsync.llm.dom import Page
-from landsync.llm.layouts import MARK, Layout
+from landsync.llm.layouts import MARK, NOISE, Layout
 from landsync.llm.registry import query
 from landsync.llm.trees import Forest, boost
 
-#: Bounds of training: pages, characters of a page's html, layouts made of each page, blocks of a layout.
-PAGES, PAGE_CHARS, LAYOUTS, BLOCKS = 300, 40_000, 3, 25
+#: Bounds of training: pages, bytes of the html of a page that is taken, layouts made of each page, blocks of a layout.
+PAGES, PAGE_BYTES, LAYOUTS, BLOCKS = 300, 200_000, 3, 25
+#: Characters that a block needs, and the share of them in links that it may have, to pass for main text where no element tells.
+LONG, LINKED = 60, 0.3
 SEED = 2
 
 
@@ -60,12 +65,36 @@ class Model:
         return out
 
 
-def _above(page: Page, tags: frozenset[str]) -> np.ndarray:
-    """Whether each node stands in an element with one of the tags."""
+_MAIN, _ASIDE = frozenset({"article", "main"}), frozenset("aside nav form footer menu button select".split())
+
+
+def _noise(page: Page) -> np.ndarray:
+    """Whether each node stands in a part that tag, name or links mark as something else than main text."""
+    n = len(page.tag)
+    chars, links, many = [float(len(t)) for t in page.text], [float(x) for x in page.link], [float(bool(t)) for t in page.text]
+    for k in range(n - 1, 0, -1):
+        for sums in (chars, links, many):
+            sums[page.parent[k]] += sums[k]
+    out = np.zeros(n, bool)
+    for k in range(1, n):
+        named = page.tag[k] in _ASIDE or page.tag[k] not in _MAIN and not NOISE.isdisjoint(page.names[k])
+        listed = page.tag[k] in ("ul", "ol", "div", "section", "p") and many[k] >= 3 and links[k] > 0.8 * chars[k]
+        out[k] = out[page.parent[k]] or named or listed
+    return out
+
+
+def _main(page: Page) -> np.ndarray:
+    """Whether each node stands in an ``article`` or ``main`` element, and in no part of it that is something else."""
     inside = np.zeros(len(page.tag), bool)
     for k in range(1, len(page.tag)):
-        inside[k] = inside[page.parent[k]] or page.tag[k] in tags
-    return inside
+        inside[k] = inside[page.parent[k]] or page.tag[k] in _MAIN
+    return inside & ~_noise(page)
+
+
+def _passing(page: Page) -> np.ndarray:
+    """Blocks that pass for main text on a page without such an element."""
+    own = np.array([len(t) for t in page.text])
+    return (own >= LONG) & (np.array(page.link) <= LINKED * own) & ~_noise(page)
 
 
 def _holding(page: Page, main: np.ndarray) -> np.ndarray:
@@ -87,11 +116,14 @@ def train(sources: list[str]) -> Model:
     texts: list[list[str]] = []
     for s in sources:
         page = Page(s)
-        main = _above(page, frozenset({"article", "main"}))
-        if not main.any():
-            continue
-        labelled.append((page, _holding(page, main)))
-        texts.append([t for m, t in zip(main, page.text) if m and t][:BLOCKS])
+        main = _main(page)
+        if main.any():
+            labelled.append((page, _holding(page, main)))
+        else:
+            main = _passing(page)
+        blocks = [t for m, t in zip(main, page.text) if m and t]
+        at = rng.randrange(max(1, len(blocks) - BLOCKS + 1))
+        texts.append(blocks[at:at + BLOCKS])
     other = [t for blocks in texts for t in blocks]
     for blocks in texts:
         for _ in range(LAYOUTS if blocks else 0):
@@ -115,9 +147,10 @@ def train(sources: list[str]) -> Model:
 
 
 def learn(pages: DataFrame, source: str = "html", key: str = "page_id") -> Model:
-    """A model from a bounded number of pages, chosen by hashed id."""
-    rows = (hashed_sample(pages, pages.count(), PAGES, key).where(F.col(source).isNotNull())
-            .select(F.xxhash64(F.col(source)), F.substring(source, 1, PAGE_CHARS)).limit(2 * PAGES).collect())
+    """A model from a bounded number of pages, chosen by a hash of id and html; copies count once."""
+    some = pages.where(F.octet_length(source) <= PAGE_BYTES).select(key, source)
+    rows = (hashed_sample(some, some.count(), PAGES, key, source)
+            .select(F.xxhash64(F.col(source)).alias("h"), F.col(source).alias("html")).distinct().collect())
     return train([h for _, h in sorted(tuple(r) for r in rows)])
 
 

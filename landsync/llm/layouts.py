@@ -8,6 +8,7 @@ such parts, under names that say nothing, or under none.
 from __future__ import annotations
 
 import html
+import re
 from random import Random
 
 #: Mark put before what belongs to the main text; it is taken off before a page is read.
@@ -31,6 +32,9 @@ HEADERS = [("header", ""), ("div", "header"), ("header", "site-header"), ("div",
 FOOTERS = [("footer", ""), ("div", "footer"), ("footer", "site-footer"), ("div", "copyright"), ("div", "bottom legal")]
 COMMENTS = [("section", "comments"), ("div", "comments"), ("div", "comment-list"), ("div", "disqus thread"),
             ("ol", "commentlist"), ("div", "responses"), ("div", "reviews")]
+#: Names of parts that are no main text, wherever they stand.
+NOISE = frozenset(w for kind in (MENUS, LISTS, BOXES, FORMS, FOOTERS, COMMENTS) for _, names in kind
+                  for w in re.findall("[a-z]+", names)) - frozenset("links list box tags form site bottom legal".split())
 
 
 class Layout:
