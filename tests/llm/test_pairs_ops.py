@@ -209,6 +209,14 @@ def test_decontamination(spark):
     con.register("benchmark", bench.toPandas())
     df = decontaminate.find_items(docs, bench)
     assert df.count() > 12 and compare("op9", df, con, decontaminate._SQL) is None
+    leaks = ["前文。我们今天去北京，看长城，吃烤鸭，很高兴，真的。后文", "x A, b c y", "not a b", "กขค งจ", "a c b", "w" * 100_000 + " a b c"]
+    said = spark.createDataFrame([(7, "我们今天去北京，看长城，吃烤鸭，很高兴，真的。"), (8, "a b c"), (9, "alone"), (10, "กข"), (11, "w1 w2")],
+                                 "item_id long, text string")
+    short = decontaminate.find_items(documents(spark, [*leaks, "alone"]), said)
+    assert {(r.doc_id, r.item_id) for r in short.collect()} == {(0, 7), (1, 8), (3, 10), (5, 8)}
+    con.register("documents", documents(spark, leaks).toPandas())
+    con.register("benchmark", said.toPandas())
+    assert compare("op9", decontaminate.find_items(documents(spark, leaks), said), con, decontaminate._SQL) is None
     twice = decontaminate.find_items(docs.union(docs), bench)
     assert {tuple(r) for r in twice.collect()} == {tuple(r) for r in df.collect()}
     odd = spark.createDataFrame([(None, " ".join(items[9]), *[None] * 6)], DOCS)
