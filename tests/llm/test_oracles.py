@@ -19,4 +19,4 @@ def test_query(spark, name):
 
 def test_every_operator_has_one_query():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
