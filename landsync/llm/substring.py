@@ -10,7 +10,7 @@ buckets, and suffixes of one bucket stand in runs, so a run of windows (its
 2. Documents are dealt over blocks by id. Each block sends the keys of its buckets,
    each key once, and learns which of them other texts have too.
 3. For these, each block sends each of its contexts once with the least id that has
-   it. A task takes one bucket after the other, sorts its suffixes (see ``suffixes``;
+   it, compressed; the hash is worked out again from the bytes. A task takes one bucket after the other, sorts its suffixes (see ``suffixes``;
    long ties are settled by ranks of a difference cover), and returns for every
    window the least id with the same bytes.
 4. A block marks what is covered by windows with an earlier owner.
@@ -19,7 +19,8 @@ A key that very many blocks have would gather contexts without bound. Its window
 one by one, each to the bucket of its own bytes, where equal ones count once a block.
 
 Cases: a null text counts as empty. A document with a null id is left whole, and none
-counts as later than it. Rows that repeat an id don't remove from each other.
+counts as later than it; such rows are in no block. Rows that repeat an id don't remove
+from each other; they are dealt by id and text, so one id's texts spread over blocks.
 """
 
 from __future__ import annotations
@@ -238,47 +239,65 @@ def send_contexts(left: pa.Table, right: pa.Table, text: str, key: str, buckets:
     if len(left) and len(right):
         block = Block(left, right, text, key, buckets)
         for (h, c), i in block.distinct(block.contexts(right)).items():
-            by[block.bucket(h)].append((h, i, c))
-    rows = [(name, b, np.array([h for h, _, _ in x], np.uint64).tobytes(),
-             np.array([len(c) for _, _, c in x], np.int32).tobytes(), np.array([i for _, i, _ in x], np.int64).tobytes(),
-             b"".join(c for _, _, c in x)) for b, x in by.items()]
-    return _table(rows, "block bucket hashes lengths ids bytes", pa.int32(), pa.int32(), *[pa.binary()] * 4)
+            by[block.bucket(h)].append((i, c))
+    rows = [(name, b, len(x), pack_contexts(x)) for b, x in by.items()]
+    return _table(rows, "block bucket count contexts", pa.int32(), pa.int32(), pa.int32(), pa.binary())
 
 
-def _anchors(contexts: list[bytes], hashes: np.ndarray) -> np.ndarray:
-    """Where in each context its bucket's hash first stands; 0 where it is of a single window."""
-    out = np.zeros(len(contexts), np.int64)
+def pack_contexts(contexts: list[tuple[int, bytes]]) -> bytes:
+    """One compressed value of (id, bytes): lengths, steps between ids (which rise in a block), bytes."""
+    ids = np.array([i for i, _ in contexts], np.int64)
+    lengths = np.array([len(c) - DEPTH for _, c in contexts], np.uint8)
+    steps = np.diff(ids, prepend=np.int64(0)).view(np.uint8).reshape(-1, 8).T  # by byte: the high ones are zeros
+    return zstandard.compress(lengths.tobytes() + steps.tobytes() + b"".join(c for _, c in contexts), 3)
+
+
+def unpack_contexts(packed: bytes, count: int) -> Iterator[tuple[int, bytes]]:
+    data = zstandard.decompress(packed)
+    ends = np.cumsum(np.frombuffer(data, np.uint8, count).astype(np.int64) + DEPTH) + 9 * count
+    steps = np.frombuffer(data, np.uint8, 8 * count, count).reshape(8, count).T
+    at = 9 * count
+    for i, end in zip(np.cumsum(np.ascontiguousarray(steps).view(np.int64).ravel()).tolist(), ends.tolist()):
+        yield i, data[at:end]
+        at = end
+
+
+def _anchors(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The least hash of the GRAM-byte strings of each context, and where it first stands."""
+    anchors, hashes = np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.uint64)
     sizes = np.array([len(c) for c in contexts])
     for lo in range(0, len(contexts), 10_000):
-        ends = np.cumsum(sizes[lo:lo + 10_000])
+        n = sizes[lo:lo + 10_000]
+        ends = np.cumsum(n)
         h = _hashes(np.frombuffer(b"".join(contexts[lo:lo + 10_000]), np.uint8))
-        of = np.searchsorted(ends, np.arange(len(h)), side="right")
-        places = np.flatnonzero(h == hashes[lo + of])
+        of = np.repeat(np.arange(len(n)), n)[:len(h)]
+        h[np.arange(len(h)) + GRAM > ends[of]] = np.iinfo(np.uint64).max  # runs over the end of its context
+        least = np.minimum.reduceat(h, ends - n)
+        places = np.flatnonzero(h == least[of])
         which, first = np.unique(of[places], return_index=True)
-        out[lo + which] = places[first] - np.append(0, ends)[which]
-    return out
+        anchors[lo + which] = places[first] - (ends - n)[which]
+        hashes[lo:lo + len(n)] = least
+    return anchors, hashes
 
 
 def sort_bucket(part: pa.Table) -> pa.Table:
     """For each block and window of its contexts in this bucket, the least id with the same bytes."""
-    index: dict[tuple[int, bytes], int] = {}
+    index: dict[bytes, int] = {}
     owner: list[int] = []
     places: list[np.ndarray] = []
-    for hashes, lengths, ids, data in zip(*(part.column(c).to_pylist() for c in ("hashes", "lengths", "ids", "bytes"))):
-        at, own = 0, []
-        for h, n, i in zip(np.frombuffer(hashes, np.uint64).tolist(), np.frombuffer(lengths, np.int32).tolist(),
-                           np.frombuffer(ids, np.int64).tolist()):
-            k = index.setdefault((h, data[at:at + n]), len(owner))
-            at += n
+    for packed, count in zip(part.column("contexts").to_pylist(), part.column("count").to_pylist()):
+        own = []
+        for i, c in unpack_contexts(packed, count):
+            k = index.setdefault(c, len(owner))
             if k == len(owner):
                 owner.append(i)
             elif i < owner[k]:
                 owner[k] = i
             own.append(k)
         places.append(np.array(own))
-    contexts = [c for _, c in index]
-    hashes = np.array([h for h, _ in index], np.uint64)
-    least = least_owner(contexts, _anchors(contexts, hashes), hashes, np.array(owner), DEPTH)
+    contexts = list(index)
+    anchors, hashes = _anchors(contexts)
+    least = least_owner(contexts, anchors, hashes, np.array(owner), DEPTH)
     windows = np.array([len(c) - DEPTH + 1 for c in contexts])
     ends = np.cumsum(windows)
     owners = []
@@ -342,25 +361,31 @@ def sweep(docs: DataFrame, text: str = "text", key: str = "doc_id", whole_charac
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     blocks, buckets = max(1, -(-size // BLOCK)), max(1, -(-size // BUCKET_TEXT))
     of = {"text": text, "key": key, "buckets": buckets}
-    of_block = docs.withColumn("__block", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")).groupBy("__block")
+    dealt = lambda i, h: F.pmod(F.xxhash64(i, h), F.lit(blocks)).cast("int")
+    digest = F.xxhash64(F.col(text).cast("binary"))
+    of_block = (docs.where(F.col(key).isNotNull())
+                .withColumn("__block", dealt(F.col(key).cast("long"), digest)).groupBy("__block"))
     about = "block int, bucket int, doc long, flags binary, owners binary"
     firsts = (docs.where(F.col(key).isNotNull() & (F.octet_length(text) >= DEPTH))
-              .groupBy(F.sha2(F.col(text).cast("binary"), 256).alias("digest"))
+              .groupBy(F.sha2(F.col(text).cast("binary"), 256).alias("digest"), digest.alias("h"))
               .agg(F.min(key).cast("long").alias("doc"))
-              .select(F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int").alias("block"), F.lit(-1).alias("bucket"),
-                      "doc", F.lit(None).cast("binary").alias("flags"), F.lit(None).cast("binary").alias("owners")))
+              .select(dealt(F.col("doc"), F.col("h")).alias("block"), F.lit(-1).alias("bucket"), "doc", F.lit(None).cast("binary").alias("flags"), F.lit(None).cast("binary").alias("owners")))
     flags = (of_block.cogroup(firsts.groupBy("block"))
              .applyInArrow(lambda a, b: send_keys(a, b, **of), "block int, bucket int, keys binary, twice binary")
              .groupBy("bucket").applyInArrow(compare_keys, about))
     known = firsts.union(flags)
     owners = (of_block.cogroup(known.groupBy("block"))
               .applyInArrow(lambda a, b: send_contexts(a, b, **of),
-                            "block int, bucket int, hashes binary, lengths binary, ids binary, bytes binary")
+                            "block int, bucket int, count int, contexts binary")
               .groupBy("bucket").applyInArrow(sort_bucket, about))
     schema = T.StructType([*docs.schema.fields, T.StructField("kept", T.BinaryType()),
                            *(T.StructField(n, T.LongType()) for n in ADDED[1:])])
-    return of_block.cogroup(known.union(owners).groupBy("block")).applyInArrow(
+    swept = of_block.cogroup(known.union(owners).groupBy("block")).applyInArrow(
         lambda a, b: remove(a, b, **of, whole_characters=whole_characters), schema)
+    whole = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
+    return swept.union(docs.where(F.col(key).isNull()).withColumns(
+        {"kept": whole, "n_bytes": F.octet_length(whole).cast("long"), "n_removed": F.lit(0).cast("long"),
+         "n_spans": F.lit(0).cast("long")}))
 
 
 @query()

@@ -180,6 +180,28 @@ def test_substrings(spark, monkeypatch, hot):
     assert substring.sweep(docs.limit(0)).count() == 0
 
 
+def test_substrings_of_rows_without_an_id_and_of_a_repeated_id(spark, monkeypatch):
+    monkeypatch.setattr(substring, "BLOCK", 2_000)
+    texts = corpus(30)
+    rows = [(None, t) for t in texts] + [(7, t) for t in texts] + [(k + 20, t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows + [(7, None), (None, None), (7, texts[0])], "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest())
+                  for r in substring.sweep(docs).collect())
+    assert got == brute_sweep([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_contexts_travel_whole():
+    rng = Random(5)
+    for _ in range(20):
+        ids = np.cumsum([rng.choice([0, 1, 1 << 40]) for _ in range(rng.randint(1, 30))]) - (1 << 39)
+        contexts = [(int(i), rng.randbytes(rng.randint(50, 113))) for i in ids]
+        assert list(substring.unpack_contexts(substring.pack_contexts(contexts), len(contexts))) == contexts
+        anchors, hashes = substring._anchors([c for _, c in contexts])
+        for (_, c), a, h in zip(contexts, anchors.tolist(), hashes.tolist()):
+            own = substring._hashes(np.frombuffer(c, np.uint8))
+            assert (h, a) == (int(own.min()), int(own.argmin()))
+
+
 def test_masks_fit_every_pattern_of_substitutions():
     for n in range(decontaminate.SHORTEST_INEXACT, decontaminate.WINDOW + 1):
         differ = int(n * (1 - decontaminate.SHARE) + 1e-9)
