@@ -46,6 +46,8 @@ DEPTH, GRAM = 50, 24
 BLOCK, STEP, BUCKET_TEXT = 4 << 20, 1 << 17, 12 << 20
 #: Windows of a context at most; blocks from which on a key's windows go one by one.
 LONGEST, HOT_BLOCKS = 64, 64
+#: In place of a length: a single window of such a key.
+ALONE = 255
 
 ADDED = ("kept", "n_bytes", "n_removed", "n_spans")
 
@@ -239,26 +241,30 @@ def send_contexts(left: pa.Table, right: pa.Table, text: str, key: str, buckets:
     if len(left) and len(right):
         block = Block(left, right, text, key, buckets)
         for (h, c), i in block.distinct(block.contexts(right)).items():
-            by[block.bucket(h)].append((i, c))
+            by[block.bucket(h)].append((i, c, len(c) == DEPTH and h == xxhash.xxh64_intdigest(c)))
     rows = [(name, b, len(x), pack_contexts(x)) for b, x in by.items()]
     return _table(rows, "block bucket count contexts", pa.int32(), pa.int32(), pa.int32(), pa.binary())
 
 
-def pack_contexts(contexts: list[tuple[int, bytes]]) -> bytes:
-    """One compressed value of (id, bytes): lengths, steps between ids (which rise in a block), bytes."""
-    ids = np.array([i for i, _ in contexts], np.int64)
-    lengths = np.array([len(c) - DEPTH for _, c in contexts], np.uint8)
+def pack_contexts(contexts: list[tuple[int, bytes, bool]]) -> bytes:
+    """One compressed value of (id, bytes, whether a single window of a very common key): lengths,
+    steps between ids (which rise in a block), bytes."""
+    ids = np.array([i for i, _, _ in contexts], np.int64)
+    lengths = np.array([ALONE if alone else len(c) - DEPTH for _, c, alone in contexts], np.uint8)
     steps = np.diff(ids, prepend=np.int64(0)).view(np.uint8).reshape(-1, 8).T  # by byte: the high ones are zeros
-    return zstandard.compress(lengths.tobytes() + steps.tobytes() + b"".join(c for _, c in contexts), 3)
+    return zstandard.compress(lengths.tobytes() + steps.tobytes() + b"".join(c for _, c, _ in contexts), 3)
 
 
-def unpack_contexts(packed: bytes, count: int) -> Iterator[tuple[int, bytes]]:
+def unpack_contexts(packed: bytes, count: int) -> Iterator[tuple[int, bytes, bool]]:
     data = zstandard.decompress(packed)
-    ends = np.cumsum(np.frombuffer(data, np.uint8, count).astype(np.int64) + DEPTH) + 9 * count
+    lengths = np.frombuffer(data, np.uint8, count).astype(np.int64)
+    alone = lengths == ALONE
+    ends = np.cumsum(np.where(alone, 0, lengths) + DEPTH) + 9 * count
     steps = np.frombuffer(data, np.uint8, 8 * count, count).reshape(8, count).T
     at = 9 * count
-    for i, end in zip(np.cumsum(np.ascontiguousarray(steps).view(np.int64).ravel()).tolist(), ends.tolist()):
-        yield i, data[at:end]
+    ids = np.cumsum(np.ascontiguousarray(steps).view(np.int64).ravel())
+    for i, end, one in zip(ids.tolist(), ends.tolist(), alone.tolist()):
+        yield i, data[at:end], one
         at = end
 
 
@@ -284,21 +290,25 @@ def sort_bucket(part: pa.Table) -> pa.Table:
     """For each block and window of its contexts in this bucket, the least id with the same bytes."""
     index: dict[bytes, int] = {}
     owner: list[int] = []
+    alone: list[bool] = []
     places: list[np.ndarray] = []
     for packed, count in zip(part.column("contexts").to_pylist(), part.column("count").to_pylist()):
         own = []
-        for i, c in unpack_contexts(packed, count):
+        for i, c, one in unpack_contexts(packed, count):
             k = index.setdefault(c, len(owner))
             if k == len(owner):
                 owner.append(i)
+                alone.append(one)
             elif i < owner[k]:
                 owner[k] = i
             own.append(k)
         places.append(np.array(own))
-    contexts = list(index)
-    anchors, hashes = _anchors(contexts)
-    least = least_owner(contexts, anchors, hashes, np.array(owner), DEPTH)
-    windows = np.array([len(c) - DEPTH + 1 for c in contexts])
+    windows = np.array([len(c) - DEPTH + 1 for c in index])
+    least, sorts = np.repeat(owner, windows), ~np.array(alone)
+    contexts = [c for c, one in zip(index, alone) if not one]  # single windows are settled: equal ones met in the index
+    if contexts:
+        anchors, hashes = _anchors(contexts)
+        least[np.repeat(sorts, windows)] = least_owner(contexts, anchors, hashes, np.array(owner)[sorts], DEPTH)
     ends = np.cumsum(windows)
     owners = []
     for own in places:

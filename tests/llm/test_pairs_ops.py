@@ -194,10 +194,11 @@ def test_contexts_travel_whole():
     rng = Random(5)
     for _ in range(20):
         ids = np.cumsum([rng.choice([0, 1, 1 << 40]) for _ in range(rng.randint(1, 30))]) - (1 << 39)
-        contexts = [(int(i), rng.randbytes(rng.randint(50, 113))) for i in ids]
+        contexts = [(int(i), rng.randbytes(rng.randint(50, 113)), False) for i in ids]
+        contexts += [(contexts[-1][0], rng.randbytes(50), True)]
         assert list(substring.unpack_contexts(substring.pack_contexts(contexts), len(contexts))) == contexts
-        anchors, hashes = substring._anchors([c for _, c in contexts])
-        for (_, c), a, h in zip(contexts, anchors.tolist(), hashes.tolist()):
+        anchors, hashes = substring._anchors([c for _, c, _ in contexts])
+        for (_, c, _), a, h in zip(contexts, anchors.tolist(), hashes.tolist()):
             own = substring._hashes(np.frombuffer(c, np.uint8))
             assert (h, a) == (int(own.min()), int(own.argmin()))
 
