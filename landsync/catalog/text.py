@@ -379,6 +379,52 @@ def prj10_prompts(spark: SparkSession, sf: str) -> DataFrame:
                       F.md5("prompt").alias("digest"))
 
 
+_PART, _OVERLAP = 4_000, 400
+_SQL_PARTS = f"""(SELECT * EXCLUDE (whole), substr(whole, part * {_PART - _OVERLAP} + 1, {_PART}) AS text
+  FROM (SELECT *, unnest(range(n_parts)) AS part FROM (SELECT doc_id, lang, source, text AS whole,
+    greatest(ceil((length(text) - {_OVERLAP}) / {_PART - _OVERLAP}), 1)::INTEGER AS n_parts
+    FROM documents WHERE length({sql_trim('text')}) >= 100)))"""
+
+
+@query(f"""SELECT doc_id, part::INTEGER AS part, n_parts, length(prompt) AS chars, md5(prompt) AS digest
+FROM (SELECT *, {_SQL_PROMPT} AS prompt FROM {_SQL_PARTS})""")
+def prj10_part_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    """Prompts over overlapping parts of whole documents."""
+    d = table(spark, sf, "documents").select(
+        "doc_id", "text", F.concat(F.lit("Doc "), F.col("doc_id").cast("string")).alias("plan_name"),
+        F.when(F.col("lang") != "fr", F.col("source")).alias("description"),
+        F.col("lang").alias("provider_name"))
+    return inference.part_prompts(d, part_chars=_PART, overlap=_OVERLAP).select(
+        "doc_id", "part", "n_parts", F.length("prompt").cast("long").alias("chars"),
+        F.md5("prompt").alias("digest"))
+
+
+@query(f"""WITH p AS {_SQL_PARTS}, e AS (
+  SELECT doc_id, substr(text, 1, 1) AS entry, min(part) AS place FROM p GROUP BY ALL)
+SELECT doc_id, count(*) AS n_replies,
+  min_by(substr(text, 1, 12), part) FILTER (WHERE part % 2 = 1) AS plan_name,
+  min_by(length(text), part)::DOUBLE AS annual_limit, max(n_parts) AS min_age,
+  bool_or(contains(text, 'q')) AS dental_covered, NULL::BOOLEAN AS maternity_covered,
+  (SELECT 'part|' || string_agg(entry, '|' ORDER BY place) FROM e WHERE e.doc_id = p.doc_id) AS conditions
+FROM p GROUP BY doc_id""")
+def jsn1_folded_replies(spark: SparkSession, sf: str) -> DataFrame:
+    """Replies to every part, folded to one record a document. Odd parts name the plan, the
+    last one the age."""
+    parts = inference.document_parts(
+        table(spark, sf, "documents").filter(filters.document_long_enough("text")),
+        part_chars=_PART, overlap=_OVERLAP)
+    reply = F.to_json(F.struct(
+        F.when(F.col("part") % 2 == 1, F.substring("text", 1, 12)).alias("plan_name"),
+        F.length("text").alias("annual_limit"),
+        F.when(F.col("part") == F.col("n_parts") - 1, F.col("n_parts")).alias("min_age"),
+        F.contains("text", F.lit("q")).alias("dental_covered"),
+        F.array(F.lit("part"), F.substring("text", 1, 1)).alias("covered_conditions")))
+    parsed = inference.parse_replies(parts.select("doc_id", "part", reply.alias("reply")))
+    return inference.fold_replies(parsed).select(
+        "doc_id", "n_replies", "plan_name", "annual_limit", "min_age", "dental_covered",
+        "maternity_covered", F.array_join("covered_conditions", "|").alias("conditions"))
+
+
 @query("""SELECT doc_id, md5(coalesce(CASE WHEN lang <> 'fr' THEN text END, '') || ' '
   || source) AS digest FROM documents""")
 def prj11_class_text(spark: SparkSession, sf: str) -> DataFrame:

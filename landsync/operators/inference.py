@@ -24,6 +24,8 @@ CONTEXT_DEFAULTS = {
     "provider_name": "Unknown",
 }
 CLASS_TEXT_CHARS = 1000
+#: Characters of a part of a long document, and how many of them the next part repeats.
+PART_CHARS, PART_OVERLAP = MAX_CHARS, 1_000
 
 _FIELD_LINES = [(f, "text or null") for f in schemas.TEXT_FIELDS]
 _FIELD_LINES += [(f, "amount in RM as a number, or null") for f in schemas.MONEY_FIELDS]
@@ -72,6 +74,58 @@ def prompts(documents: DataFrame, text: str = "text", max_chars: int | None = No
             .withColumn("prompt", F.concat(*pieces)))
 
 
+def document_parts(documents: DataFrame, text: str = "text", part_chars: int = PART_CHARS,
+                   overlap: int = PART_OVERLAP) -> DataFrame:
+    """One row per part of a document: ``part`` from 0, ``n_parts``, and the part in ``text``.
+
+    Parts overlap, so what stands across a border (up to ``overlap`` characters) is
+    whole in one of them; nothing is cut. An empty text is one empty part, a null text
+    one null part. Columns ``part`` and ``n_parts`` are replaced.
+    """
+    if not 0 <= overlap < part_chars:
+        raise ValueError("overlap must be less than a part")
+    step = part_chars - overlap
+    n = F.greatest(F.ceil((F.length(text) - overlap) / step), F.lit(1)).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), F.col("n_parts") - 1),
+                        lambda i: F.substring(F.col(text), i * step + 1, F.lit(part_chars)))
+    others = [c for c in documents.columns if c not in (text, "part", "n_parts")]
+    # the outer form, as the plain one makes Spark work out the parts twice for its filter
+    return (documents.drop("part", "n_parts").withColumn("n_parts", F.coalesce(n, F.lit(1)))
+            .select(*others, "n_parts", F.posexplode_outer(parts).alias("part", text)))
+
+
+def part_prompts(documents: DataFrame, text: str = "text", part_chars: int = PART_CHARS,
+                 overlap: int = PART_OVERLAP, min_chars: int = 100) -> DataFrame:
+    """A prompt for every part of each document that is long enough as a whole."""
+    long = documents.filter(document_long_enough(text, min_chars))
+    return prompts(document_parts(long, text, part_chars, overlap), text, min_chars=0)
+
+
+def fold_replies(parsed: DataFrame, key: str = "doc_id", part: str = "part") -> DataFrame:
+    """One record per document from the parsed replies to its parts.
+
+    Texts, amounts, the percentage and ages: the value of the first part that states one.
+    Coverage flags: true if any part says so, else false if any does. Lists: entries of
+    all parts in order, each once; null if no part has a list. ``n_replies`` counts the
+    rows, those with nothing in them too. Two replies to one part count as one after the
+    other, in the order of their values. Rows without a document form no record.
+    """
+    def first(name: str) -> Column:
+        return F.min(F.when(F.col(name).isNotNull(), F.struct(part, name)))[name]
+
+    def entries(name: str) -> Column:
+        rows = F.array_sort(F.collect_list(F.when(F.col(name).isNotNull(), F.struct(part, name))))
+        merged = F.array_distinct(F.flatten(F.transform(rows, lambda r: r[name])))
+        return F.when(F.count(name) > 0, merged)
+
+    scalars = [*schemas.TEXT_FIELDS, *schemas.MONEY_FIELDS, "co_payment_percentage", *schemas.AGE_FIELDS]
+    return parsed.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_replies"),
+        *(first(f).alias(f) for f in scalars),
+        *(F.max(f).alias(f) for f in schemas.COVERAGE_FIELDS),
+        *(entries(f).alias(f) for f in schemas.LIST_FIELDS))
+
+
 def class_text(description: Column | str, benefits: Column | str,
                max_chars: int | None = None) -> Column:
     """Description and benefits joined by a space, for classification; cut only if

@@ -325,3 +325,35 @@ def test_a_sixth_provider_by_rows_passes_both_paths(spark):
     assert plan_detail.classification_prompts(named, table).count() == 1
     replies = spark.createDataFrame([("https://nova.test/product/a", "MEDICAL")], "url string, reply string")
     assert plan_detail.accepted_pages(named, replies, table).count() == 1
+
+
+def test_parts_cover_a_document_and_borders_are_whole(spark):
+    texts = ["", None, "a", "abcdefgh", "abcdefghi", "".join(chr(0x4E00 + k) for k in range(100))]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, part string")
+    parts = inference.document_parts(docs, part_chars=8, overlap=3).collect()
+    for k, t in enumerate(texts):
+        own = sorted((r.part, r.text) for r in parts if r.doc_id == k)
+        assert {r.n_parts for r in parts if r.doc_id == k} == {len(own)} and [p for p, _ in own] == list(range(len(own)))
+        if not t:
+            assert own == [(0, t)]
+            continue
+        assert own[0][1] + "".join(p[3:] for _, p in own[1:]) == t and all(0 < len(p) <= 8 for _, p in own)
+        assert all(any(t[i:i + 4] in p for _, p in own) for i in range(len(t) - 3))
+    with pytest.raises(ValueError):
+        inference.document_parts(docs, part_chars=3, overlap=3)
+
+
+def test_folded_replies_in_any_order(spark):
+    replies = [(1, 2, '{"plan_name": "Late", "annual_limit": 5, "dental_covered": true, "covered_conditions": ["b", "a"]}'),
+               (1, 0, '{"plan_name": "", "min_age": 0, "dental_covered": false, "maternity_covered": "no"}'),
+               (1, 1, '{"plan_name": "First", "covered_conditions": ["a", "c"], "min_age": 7}'),
+               (1, 1, '{"plan_name": "First"}'), (2, 0, "no json"), (3, 0, '{"covered_conditions": []}'),
+               (None, 0, '{"plan_name": "x"}')]
+    want = {1: (4, "First", 5.0, 0, True, False, ["a", "c", "b"]), 2: (1, None, None, None, None, None, None),
+            3: (1, None, None, None, None, None, [])}
+    for rows in (replies, replies[::-1]):
+        parsed = inference.parse_replies(spark.createDataFrame(rows, "doc_id long, part int, reply string").repartition(3))
+        got = {r.doc_id: (r.n_replies, r.plan_name, r.annual_limit, r.min_age, r.dental_covered, r.maternity_covered,
+                          r.covered_conditions) for r in inference.fold_replies(parsed).collect()}
+        assert got == want
+    assert inference.fold_replies(parsed.limit(0)).count() == 0
