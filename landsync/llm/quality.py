@@ -2,17 +2,20 @@
 
 A text's counts become a vector of transformed statistics. For each language and
 source the location and scatter of the vectors are estimated by the minimum
-covariance determinant: from a start at the medians, C-steps take the HALF share of
-rows that lie nearest by Mahalanobis distance and work out mean and covariance from
-these alone, so that junk can't hide by moving the estimate. A row is rejected if its
-distance is beyond the CUT quantile that a normal distribution would have.
+covariance determinant: C-steps take the HALF share of rows that lie nearest by
+Mahalanobis distance and work out mean and covariance from these alone, so that junk
+can't hide by moving the estimate. Each group sets out from three starts (medians with
+the floors as scatter, medians with the quartiles' distance, mean and covariance of all
+rows); a start goes on until its determinant falls no more, and the least determinant
+of the group's starts wins. A row is rejected if its distance is beyond the CUT
+quantile that a normal distribution would have.
 
 A group with fewer than LEAST rows takes the estimate of its language, a language
 with fewer that of all rows. The scatter's diagonal gets a floor for each statistic:
 in clean text most shares are zero, and a scatter of zero would reject all else.
 
-Nothing but DataFrame functions is used. A C-step is one pass: moments are summed by
-group and by bin of distance, and running totals over the bins give the moments of
+Nothing but DataFrame functions is used. A C-step is one pass for all groups and starts
+that still fall: moments are summed by group, start and bin of distance, and running totals over the bins give the moments of
 the nearest share. So a group of any size is summed in every task before a shuffle.
 
 Cases: a null or empty text has no words and fails the base rules. Null language or
@@ -37,11 +40,15 @@ SYMBOLS = "#*$%&|<>"
 #: Statistics in order, and the floor of each one's standard deviation.
 FLOORS = {"length": 0.08, "symbols": 0.06, "lines": 0.25, "repeats": 0.2, "capitals": 0.08}
 P = len(FLOORS)
-HALF, STEPS, LEAST = 0.75, 4, 50
+HALF, LEAST = 0.75, 50
+#: Fall of a determinant's logarithm below which a start is at its end. The floors bound determinants from below.
+FALL = 1e-3
 #: Bins of log2(1 + squared distance) to the unit; steps to which statistics are rounded, so that sums are exact.
 BINS, GRID = 64, 1024
 #: Standard normal quantile of 0.999, for the chi-square quantile by Wilson and Hilferty.
 Z_CUT, Z_HALF = 3.0902, 0.6745
+#: Distance of the quartiles of a normal distribution, in standard deviations.
+QUARTILES = 1.349
 
 
 def _chi2_quantile(z: float) -> float:
@@ -136,6 +143,7 @@ def _groups(good: DataFrame) -> DataFrame:
 
 
 _PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
+_ESTIMATE = [*(f"m{i}" for i in range(P)), *(f"w{i}{j}" for i, j in _PAIRS)]
 
 
 def _distance() -> Column:
@@ -146,9 +154,9 @@ def _distance() -> Column:
 
 
 def _factor(moments: DataFrame) -> DataFrame:
-    """Mean and inverse Cholesky factor by group, from counts, sums s_i and sums of products s_ij."""
-    df = moments.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in range(P)})
+    """Mean, inverse Cholesky factor and determinant by group and start, from counts, sums s_i and sums of products s_ij."""
     floors = list(FLOORS.values())
+    df = moments.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in range(P)})
     df = df.withColumns({f"c{i}{j}": CONSISTENT * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
                          + (floors[i] ** 2 if i == j else 0.0) for i, j in _PAIRS})
     for i, j in _PAIRS:
@@ -163,31 +171,53 @@ def _factor(moments: DataFrame) -> DataFrame:
             else:
                 total = reduce(add, (F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)))
                 df = df.withColumn(f"w{i}{j}", -total / F.col(f"l{i}{i}"))
-    return df.select("group", *(f"m{i}" for i in range(P)), *(f"w{i}{j}" for i, j in _PAIRS))
+    log_det = -2 * reduce(add, (F.ln(f"w{i}{i}") for i in range(P)))
+    return df.select("group", "start", *_ESTIMATE, log_det.alias("log_det"))
 
 
-def estimates(members: DataFrame) -> DataFrame:
-    """(group, m_i, w_ij) by C-steps. ``members`` holds the statistics by group."""
+def _starts(members: DataFrame, moments: list[Column]) -> DataFrame:
+    """(group, start, m_i, w_ij, log_det) from which C-steps set out; no determinant is known yet."""
+    quartiles = [F.percentile_approx(name, [0.25, 0.5, 0.75], 10_000).alias(f"q{i}") for i, name in enumerate(FLOORS)]
+    of_all = settled(members.groupBy("group").agg(*quartiles, *moments), "quality-starts")
+
+    def by_median(start: int, scale) -> DataFrame:
+        return of_all.select("group", F.lit(start).alias("start"), *(F.col(f"q{i}")[1].alias(f"m{i}") for i in range(P)),
+                             *((1 / scale(i) if i == j else F.lit(0.0)).alias(f"w{i}{j}") for i, j in _PAIRS))
+
     floors = list(FLOORS.values())
-    start = members.groupBy("group").agg(*(F.percentile_approx(name, 0.5, 10_000).alias(f"m{i}")
-                                           for i, name in enumerate(FLOORS)))
-    now = settled(start.withColumns({f"w{i}{j}": F.lit(1 / floors[i] if i == j else 0.0) for i, j in _PAIRS}), "mcd")
+    starts = (by_median(0, lambda i: F.lit(floors[i]))
+              .union(by_median(1, lambda i: F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / QUARTILES, F.lit(floors[i]))))
+              .union(_factor(of_all.withColumn("start", F.lit(2))).drop("log_det")))
+    return starts.withColumn("log_det", F.lit(float("inf")))
+
+
+def estimates(members: DataFrame) -> DataFrame:
+    """(group, m_i, w_ij) of the least determinant by C-steps. ``members`` holds the statistics by group."""
     names = list(FLOORS)
     moments = [F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(f"s{i}") for i, c in enumerate(names)),
                *(F.sum(F.col(names[i]) * F.col(names[j])).alias(f"s{i}{j}") for i, j in _PAIRS)]
-    upto = Window.partitionBy("group").orderBy("bin")
-    every = Window.partitionBy("group")
-    for _ in range(STEPS):
+    summed = ["n", *(f"s{i}" for i in range(P)), *(f"s{i}{j}" for i, j in _PAIRS)]
+    of = ["group", "start"]
+    every = Window.partitionBy(*of)
+    upto = every.orderBy("bin")
+    now, ended = settled(_starts(members, moments), "mcd"), []
+    while not now.isEmpty():
         bins = (members.join(small(now), "group")
                 .withColumn("bin", F.floor(F.log2(1 + _distance()) * BINS))
-                .groupBy("group", "bin").agg(*moments))
-        summed = ["n", *(f"s{i}" for i in range(P)), *(f"s{i}{j}" for i, j in _PAIRS)]
-        running = bins.select("group", "bin", F.sum("n").over(every).alias("all"),
+                .groupBy(*of, "bin").agg(*moments))
+        running = bins.select(*of, "bin", F.sum("n").over(every).alias("all"),
                               *(F.sum(c).over(upto).alias(c) for c in summed))
-        nearest = running.where(F.col("n") >= HALF * F.col("all")).groupBy("group").agg(
-            F.min_by(F.struct(*summed), "bin").alias("x")).select("group", "x.*")
-        now = settled(_factor(nearest), "mcd")
-    return now
+        nearest = running.where(F.col("n") >= HALF * F.col("all")).groupBy(*of).agg(
+            F.min_by(F.struct(*summed), "bin").alias("x")).select(*of, "x.*")
+        before = now.select(*of, F.col("log_det").alias("before"))
+        step = settled(_factor(nearest).join(small(before), of), "mcd")
+        falls = F.col("log_det") < F.col("before") - FALL
+        ended.append(now.join(small(step.where(~falls).select(*of)), of, "left_semi"))
+        now = step.where(falls).drop("before")
+    if not ended:
+        return now.drop("start", "log_det")
+    return reduce(DataFrame.union, ended).groupBy("group").agg(
+        F.min_by(F.struct(*_ESTIMATE), F.struct("log_det", "start")).alias("x")).select("group", "x.*")
 
 
 def judge(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang", source: str = "source"

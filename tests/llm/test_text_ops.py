@@ -202,16 +202,28 @@ def test_quality_counts(spark):
 
 
 def brute_estimate(x):
-    """The same C-steps over plain arrays."""
+    """The same starts and C-steps over plain arrays."""
     floors = np.array(list(quality.FLOORS.values()))
-    mean, inverse = np.array([np.sort(c)[max(0, math.ceil(len(c) / 2) - 1)] for c in x.T]), np.diag(floors ** -2.0)
-    for _ in range(quality.STEPS):
-        d = np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean)
-        bins = np.floor(np.log2(1 + d) * quality.BINS)
-        near = x[bins <= np.sort(bins)[math.ceil(quality.HALF * len(x)) - 1]]
+    quantile = lambda q: np.array([np.sort(c)[max(0, math.ceil(len(c) * q) - 1)] for c in x.T])
+
+    def moments(near):
         mean = near.mean(axis=0)
-        cov = quality.CONSISTENT * (near.T @ near / len(near) - np.outer(mean, mean)) + np.diag(floors ** 2)
-        inverse = np.linalg.inv(cov)
+        return mean, quality.CONSISTENT * (near.T @ near / len(near) - np.outer(mean, mean)) + np.diag(floors ** 2)
+
+    wide = np.maximum(floors, (quantile(0.75) - quantile(0.25)) / quality.QUARTILES)
+    best = math.inf, None, None
+    for mean, cov in ((quantile(0.5), np.diag(floors ** 2)), (quantile(0.5), np.diag(wide ** 2)), moments(x)):
+        least = math.inf
+        while True:
+            away = x - mean
+            bins = np.floor(np.log2(1 + np.einsum("ij,jk,ik->i", away, np.linalg.inv(cov), away)) * quality.BINS)
+            step = moments(x[bins <= np.sort(bins)[math.ceil(quality.HALF * len(x)) - 1]])
+            log_det = np.linalg.slogdet(step[1])[1]
+            if log_det >= least - quality.FALL:
+                break
+            (mean, cov), least = step, log_det
+        best = min(best, (least, mean, cov), key=lambda b: b[0])
+    mean, inverse = best[1], np.linalg.inv(best[2])
     return lambda y: np.sqrt(np.einsum("ij,jk,ik->i", y - mean, inverse, y - mean))
 
 
