@@ -294,10 +294,14 @@ def body_text(html: Column | str) -> Column:
     return utrim(F.regexp_replace(text, r"[ \t]*\n[ \t\r\n]*", "\n"))
 
 
+def every_text(html: Column | str, css: str) -> Column:
+    """Texts of every element a selector finds, in page order, empty ones too."""
+    return F.transform(_all_inner(col(html), selector(css)), text_of)
+
+
 def all_texts(html: Column | str, css: str) -> Column:
     """Non-empty texts of every element a selector finds, in page order."""
-    found = _all_inner(col(html), selector(css))
-    return F.filter(F.transform(found, text_of), lambda t: F.length(t) > 0)
+    return F.filter(every_text(html, css), lambda t: F.length(t) > 0)
 
 
 def first_text(html: Column | str, css: str) -> Column:
