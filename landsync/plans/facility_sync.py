@@ -56,7 +56,6 @@ def sync_facilities_log(sheet: DataFrame, root: str, run_ts: Column | None = Non
     """As above for a table kept as a log: writes the batch's rows and nothing else. Returns their number."""
     spark = sheet.sparkSession
     batch = settle(facility_batch(rename_sheet(sheet), run_ts, protect_enrichment))
-    part = settle(align(read_ids(spark, root, batch, batch.count(), schemas.FACILITY), schemas.FACILITY))
-    was = part.select("id", F.col("is_active").alias("_was"))
-    rows = upsert(part, batch).join(was, "id", "left")
+    part = align(read_ids(spark, root, batch, batch.count(), schemas.FACILITY), schemas.FACILITY)
+    rows = upsert(part.withColumn("_was", F.col("is_active")), batch)
     return append_log(rows.select(*schemas.FACILITY.names, changed_live(F.col("is_active"), F.col("_was"))), root)

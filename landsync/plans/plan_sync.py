@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from landsync import schemas
 from landsync.operators.dedup import unique_plans
 from landsync.operators.merge import align, long_enough, missing_plans, sync_plans
-from landsync.session import settle
+from landsync.session import as_files, settle
 from landsync.sources.log_table import append_log, changed_live, live_counts, read_ids, read_log
 from landsync.sources.store import (prefixes_of, read_folders, read_snapshot, replace_folders,
                                     write_snapshot)
@@ -78,9 +78,10 @@ def sync_plans_log(plans: DataFrame, root: str, order: tuple[str, ...], run_ts:
     is scanned for the ids at hand, those being broadcast, and never shuffled or rewritten."""
     spark = plans.sparkSession
     incoming = settle(unique_plans(plans, order))
-    part = settle(align(read_ids(spark, root, incoming, incoming.count(), schemas.PLAN), schemas.PLAN))
-    was = part.select("id", F.col("is_active").alias("_was"))
-    nexts = settle(sync_plans(part, incoming, run_ts, null_policy, reactivate).join(was, "id", "left"))
+    part = align(read_ids(spark, root, incoming, incoming.count(), schemas.PLAN), schemas.PLAN)
+    # what is stored now rides along, so that the table is scanned once and its rows meet the batch once
+    part = part.withColumn("_was", F.col("is_active"))
+    nexts = as_files(sync_plans(part, incoming, run_ts, null_policy, reactivate))
     counts = nexts.agg(*[v.alias(k) for k, v in _hits().items()]).first().asDict()
     taken = nexts.filter(F.col("sync_status").isin("new", "updated"))
     append_log(taken.select(*schemas.PLAN.names, changed_live(F.col("is_active"), F.col("_was"))), root, "provider_name")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -55,3 +57,11 @@ def settle(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def as_files(df: DataFrame) -> DataFrame:
+    """As ``settle`` for wide tables of which later steps read some columns or rows: Parquet files in the
+    shared folder, which take a fraction of a checkpoint's bytes."""
+    path = f"{shared_dir(df.sparkSession)}/stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
