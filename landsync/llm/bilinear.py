@@ -10,8 +10,11 @@ the next symbol.
 Noise-contrastive estimation learns the vectors: each symbol is told from noise drawn
 by frequency, so no sum over all symbols is needed. After a start on a bounded sample
 every task trains on all texts of its own, and the tasks' vectors are averaged by
-their numbers of tokens. Scores are normalised: contexts of a batch are multiplied
-with all symbols at once.
+their numbers of tokens. Scores are normalised. A context's odds are products of one
+factor for each of its two symbols, so the sums over all symbols, for every pair of
+symbols as context, are one matrix product; a token's score is looked up.
+
+Words are split and told apart by Arrow; Python looks at each distinct one of a piece once.
 
 Counts of the FREQUENT most frequent words travel to the tasks; words beyond these
 are joined with the count table, by a shuffle.
@@ -24,12 +27,13 @@ and all symbols are equally likely.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +48,8 @@ WIDTH, CONTEXT = 24, 2
 NOISE, BATCH, SAMPLE, SAMPLE_CHARS = 64, 4_096, 3_000, 10_000
 #: Step sizes of the first sample and of all texts, and passes over the first sample.
 FIRST_RATE, RATE, FIRST_PASSES = 0.05, 0.03, 2
-#: Characters of text that are read at once, and contexts multiplied at once.
-AT_ONCE, PRODUCTS = 2_000_000, 2_048
+#: Characters of text that are read at once.
+AT_ONCE = 2_000_000
 LOG10 = float(np.log(10))
 
 
@@ -54,27 +58,48 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "replace").lower().split(), END]
 
 
+def read_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(place of each token among the distinct ones, end of each text, distinct tokens), the tokens being
+    those of ``tokens``. White space at a text's ends leaves an empty word, which no place names."""
+    own = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    found = own.flatten()
+    coded, full = found.dictionary_encode(), pc.binary_length(found).to_numpy() > 0
+    cuts = np.cumsum(pc.list_value_length(own).to_numpy())
+    ends = np.append(0, np.cumsum(full))[cuts] + np.arange(1, len(texts) + 1)
+    place = np.full(int(full.sum()) + len(texts), len(coded.dictionary), np.int64)
+    inside = np.ones(len(place), bool)
+    inside[ends - 1] = False
+    place[inside] = coded.indices.to_numpy()[full]
+    return place, ends, pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END], pa.binary())])
+
+
 def count_tokens(texts: DataFrame) -> DataFrame:
     """(token, c) over all texts, the end counted as a token. Counts are summed in each task first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())],
-                                             ["token", "c"])
-            counts.clear()
-            return out
-
+        counts, rows = [], 0
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                counts.update(tokens(t))
-                if len(counts) > 400_000:
-                    yield flush()
-        yield flush()
+            for texts in _pieces(batch.column(0)):
+                place, _, distinct = read_tokens(texts)
+                n = np.bincount(place, minlength=len(distinct))
+                counts.append(pa.table([distinct.filter(pa.array(n > 0)), pa.array(n[n > 0])], ["token", "c"]))
+                rows += len(distinct)
+                if rows > 800_000:
+                    summed = _summed(counts)
+                    counts, rows = [summed], len(summed)
+                    if rows > 400_000:
+                        yield from summed.to_batches()
+                        counts, rows = [], 0
+        if counts:
+            yield from _summed(counts).to_batches()
 
     return texts.mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def _summed(counts: list[pa.Table]) -> pa.Table:
+    by = pa.concat_tables(counts).group_by("token", use_threads=False).aggregate([("c", "sum")])
+    return by.select(["token", "c_sum"]).rename_columns(["token", "c"])
+
+
 def _class_of(token: bytes) -> int:
     return zlib.crc32(token[-ENDING:]) % CLASSES
 
@@ -95,19 +120,19 @@ class Words:
     def size(self) -> int:
         return self.symbols + CLASSES
 
-    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
-        """(index or -1, symbol, end of each text, words of each text that are not frequent)"""
-        found, ends, rare = [], [], []
-        for t in texts:
-            own = tokens(t)
-            at = list(map(self.index.get, own))
-            rare.append([w for w, k in zip(own, at) if k is None])
-            found.append(at)
-            ends.append(len(own))
-        flat = np.array([-1 if k is None else k for at in found for k in at], np.int64)
-        symbol = self.symbol[flat]
-        symbol[flat < 0] = [self.symbols + _class_of(w) for own in rare for w in own]
-        return flat, symbol, np.cumsum(ends), rare
+    @cached_property
+    def ranked(self) -> pa.Array:
+        return pa.array(list(self.index), pa.binary())
+
+    def look_up(self, place: np.ndarray, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(index or -1, symbol) of each token"""
+        index = pc.index_in(distinct, self.ranked).fill_null(-1).to_numpy().astype(np.int64)
+        symbol = self.symbol[index]
+        rare = index < 0
+        endings = pc.binary_slice(distinct.filter(pa.array(rare)), -ENDING).dictionary_encode()
+        classes = np.array([_class_of(w) for w in endings.dictionary.to_pylist()], np.int64)
+        symbol[rare] = self.symbols + classes[endings.indices.to_numpy()]
+        return index[place], symbol[place]
 
 
 def gather(counts: DataFrame) -> Words:
@@ -151,6 +176,7 @@ class Model:
         self.scale = np.full((CONTEXT, WIDTH), 0.5, np.float32)
         self.bias = np.log(self.noise).astype(np.float32)
         self.past = [np.zeros(x.shape) for x in self.parts()]
+        self.tables: tuple[np.ndarray, np.ndarray] | None = None  # of the vectors as they are
 
     def parts(self) -> tuple[np.ndarray, ...]:
         return self.out, self.into, self.scale, self.bias
@@ -163,80 +189,105 @@ class Model:
         for x in self.parts():
             x[...] = values[at:at + x.size].reshape(x.shape)
             at += x.size
+        self.tables = None
         return self
 
     def contexts(self, symbol: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The CONTEXT symbols before each one, the nearest first; the start before a text begins."""
-        begin = np.repeat(np.append(0, ends[:-1]), np.diff(np.append(0, ends)))
-        place = np.arange(len(symbol)) - begin
-        out = np.full((len(symbol), CONTEXT), len(self.out), np.int64)
+        """The CONTEXT symbols before each one, a row each, the nearest first; the start before a text begins."""
+        begin = np.append(0, ends[:-1])
+        out = np.full((CONTEXT, len(symbol)), len(self.out), np.int64)
         for k in range(CONTEXT):
-            far = np.flatnonzero(place > k)
-            out[far, k] = symbol[far - k - 1]
+            out[k, k + 1:] = symbol[:-k - 1]
+            for first in (begin + j for j in range(k + 1)):
+                out[k, first[first < ends]] = len(self.out)
         return out
 
     def learn(self, symbol: np.ndarray, ends: np.ndarray, rate: float, rng: np.random.Generator) -> None:
         """One pass of noise-contrastive estimation; a batch shares its noise."""
-        before = self.contexts(symbol, ends)
         shuffled = rng.permutation(len(symbol))
+        # symbols are few: as short numbers they stay in the cache while they are mixed
+        w_all = symbol.astype(np.int32)[shuffled]
+        c_all = self.contexts(symbol, ends).astype(np.int32)[:, shuffled]
         log_noise = np.log(NOISE * self.noise).astype(np.float32)
         draw = self.noise.cumsum()
+        n = len(self.out)
+        self.tables = None
         for lo in range(0, len(symbol), BATCH):
-            take = shuffled[lo:lo + BATCH]
-            w, c = symbol[take], before[take]
+            w, c = w_all[lo:lo + BATCH].astype(np.int64), c_all[:, lo:lo + BATCH].astype(np.int64)
             noise = np.minimum(draw.searchsorted(rng.random(NOISE)), len(draw) - 1)
-            near = self.into[c]  # token, position, width
-            q = (near * self.scale).sum(axis=1)
-            r, rn = self.out[w], self.out[noise]
-            up = 1 - _sigmoid((q * r).sum(axis=1) + self.bias[w] - log_noise[w])
-            down = -_sigmoid(q @ rn.T + self.bias[noise] - log_noise[noise])
-            dq = up[:, None] * r + down @ rn
-            rows = np.concatenate([w, noise])
-            self._step(0, rows, np.concatenate([up[:, None] * q, down.T @ q]), rate)
-            self._step(1, c.T.ravel(), np.concatenate([dq * s for s in self.scale]), rate)
-            self._step(2, np.arange(CONTEXT), (dq[:, None] * near).sum(axis=0), rate)
-            self._step(3, rows, np.concatenate([up, down.sum(axis=0)])[:, None], rate)
-
-    def _step(self, k: int, rows: np.ndarray, change: np.ndarray, rate: float) -> None:
+            offset = self.bias - log_noise
+            # the last column, of ones, carries the bias
+            q = np.ones((len(w), WIDTH + 1), np.float32)
+            q[:, :WIDTH] = sum(np.take(self.into * s, at, axis=0) for s, at in zip(self.scale, c))
+            r, rn = np.take(self.out, w, axis=0), self.out[noise]
+            up = _sigmoid_of_minus(np.einsum("ij,ij->i", q[:, :WIDTH], r) + offset[w])
+            down = _sigmoid_of_minus(q @ -np.column_stack([rn, offset[noise]]).T)
+            dq = up[:, None] * r
+            dq -= down @ rn
+            out = _sums(w, up[:, None] * q, n) - _sums(noise, down.T @ q, n)
+            # a vector of context moves by the same change in each position, but for the position's scale
+            into = [_sums(at, dq, n + 1) for at in c]
+            scale = np.stack([np.einsum("ij,ij->j", x, self.into) for x in into])
+            self._step(0, out[:, :WIDTH], rate)
+            self._step(1, sum(x * s for x, s in zip(into, self.scale)), rate)
+            self._step(2, scale, rate)
+            self._step(3, out[:, WIDTH], rate)
+
+    def _step(self, k: int, total: np.ndarray, rate: float) -> None:
         """Adaptive steps: each value moves by its sum of changes over the root of all squared ones so far."""
         to, past = self.parts()[k], self.past[k]
-        width = change.shape[1]
-        flat = (rows[:, None] * width + np.arange(width)).ravel()
-        total = np.bincount(flat, change.ravel(), to.size).reshape(to.shape)
         past += total * total
         to += (rate * total / np.sqrt(past + 1e-8)).astype(np.float32)
 
+    def _tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """(odds of the next symbol by position, symbol there and next one; log of a context's sum over all next ones)"""
+        if self.tables is None:
+            odds = np.stack([(self.into * s) @ self.out.T for s in self.scale])
+            first, second = odds[0].astype(float) + self.bias, odds[1].astype(float)
+            tops = first.max(axis=1), second.max(axis=1)
+            whole = np.exp(first - tops[0][:, None]) @ np.exp(second - tops[1][:, None]).T
+            # where no symbol is likely after both, all products may be too small
+            small = np.argwhere(whole < 1e-200)
+            with np.errstate(divide="ignore"):
+                whole = np.log(whole) + tops[0][:, None] + tops[1]
+            for a, b in small:
+                both = first[a] + second[b]
+                whole[a, b] = both.max() + np.log(np.exp(both - both.max()).sum())
+            self.tables = odds, whole.astype(np.float32)
+        return self.tables
+
     def log10(self, symbol: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """log10 of each symbol's normalised probability. Equal contexts are multiplied once."""
-        before = self.contexts(symbol, ends)
-        code = before[:, 0] * (len(self.out) + 1) + before[:, 1]
-        distinct, inverse = np.unique(code, return_inverse=True)
-        near = np.stack([distinct // (len(self.out) + 1), distinct % (len(self.out) + 1)], axis=1)
-        q = (self.into[near] * self.scale).sum(axis=1)
-        whole = np.empty(len(q), np.float32)
-        for lo in range(0, len(q), PRODUCTS):
-            odds = q[lo:lo + PRODUCTS] @ self.out.T + self.bias
-            top = odds.max(axis=1)
-            whole[lo:lo + PRODUCTS] = top + np.log(np.exp(odds - top[:, None]).sum(axis=1))
-        q = q[inverse]
-        return ((q * self.out[symbol]).sum(axis=1) + self.bias[symbol] - whole[inverse]).astype(float) / LOG10
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
-def _pieces(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about AT_ONCE characters."""
+        """log10 of each symbol's normalised probability."""
+        odds, whole = self._tables()
+        near, far = self.contexts(symbol, ends)
+        return (odds[0][near, symbol] + odds[1][far, symbol] + self.bias[symbol] - whole[near, far]).astype(float) / LOG10
+
+
+def _sigmoid_of_minus(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)), in the argument's place."""
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _sums(rows: np.ndarray, change: np.ndarray, size: int) -> np.ndarray:
+    """Changes summed by row."""
+    width = change.shape[1]
+    flat = np.take(np.arange(size * width).reshape(size, width), rows, axis=0)
+    return np.bincount(flat.ravel(), change.ravel(), size * width).reshape(size, width)
+
+
+def _pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of about AT_ONCE characters."""
     lo = size = 0
-    for k, t in enumerate(texts):
-        n = len(t or "")
+    for k, n in enumerate(pc.utf8_length(texts).fill_null(0).to_pylist()):
         if k > lo and size + n > AT_ONCE:
-            yield lo, k
+            yield texts[lo:k]
             lo, size = k, 0
         size += n
     if lo < len(texts):
-        yield lo, len(texts)
+        yield texts[lo:]
 
 
 def train(texts: DataFrame, words: Words) -> Model:
@@ -248,7 +299,8 @@ def train(texts: DataFrame, words: Words) -> Model:
     model = Model(prior)
     sample = hashed_sample(texts.select(F.substring("text", 1, SAMPLE_CHARS).alias("text")), int(words.count[0]), SAMPLE, "text")
     first = sorted(r[0] for r in sample.where(F.col("text").isNotNull()).distinct().limit(2 * SAMPLE).collect())
-    _, symbol, ends, _ = words.read(first)
+    place, ends, distinct = read_tokens(pa.array(first, pa.string()))
+    _, symbol = words.look_up(place, distinct)
     rng = np.random.default_rng(5)
     for _ in range(FIRST_PASSES if first else 0):
         model.learn(symbol, ends, FIRST_RATE, rng)
@@ -258,8 +310,9 @@ def train(texts: DataFrame, words: Words) -> Model:
         known, own, draw, seen = shared.value, Model(prior).load(start), np.random.default_rng(6), 0
         own.past = [x.copy() for x in past]
         for batch in batches:
-            for lo, hi in _pieces(own_texts := batch.column(0).to_pylist()):
-                _, symbol, ends, _ = known.read(own_texts[lo:hi])
+            for piece in _pieces(batch.column(0)):
+                place, ends, distinct = read_tokens(piece)
+                _, symbol = known.look_up(place, distinct)
                 own.learn(symbol, ends, RATE, draw)
                 seen += len(symbol)
         if seen:
@@ -286,21 +339,26 @@ def score(docs: DataFrame, model: Model, words: Words, counts: DataFrame, text:
         weight = np.log10(of.count + 1.0)
         inside = np.where(of.symbol >= of.symbols, weight - of.log_class[np.maximum(of.symbol - of.symbols, 0)], 0.0)
         for batch in batches:
-            own = batch.column(2).to_pylist()
-            for lo, hi in _pieces(own):
-                index, symbol, ends, rare = of.read(own[lo:hi])
+            lo = 0
+            for piece in _pieces(batch.column(2)):
+                place, ends, distinct = read_tokens(piece)
+                index, symbol = of.look_up(place, distinct)
                 n = np.diff(np.append(0, ends))
                 doc = np.repeat(np.arange(len(n)), n)
                 frequent = index >= 0
+                rare = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(~frequent)[ends - 1]), pa.int32()),
+                    distinct.take(pa.array(place[~frequent])))
                 base = np.bincount(doc, np.where(frequent, weight[index], 0.0), len(n))
                 seen = np.bincount(doc, frequent & (of.count[index] > 0), len(n)).astype(np.int64)
                 # of other words the class's part is known here, the word's count is not
                 within = np.where(frequent, inside[index], -of.log_class[np.maximum(symbol - of.symbols, 0)])
                 full = np.bincount(doc, lbl.log10(symbol, ends) + within, len(n))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array(n), pa.array(seen),
-                     pa.array(base - n * log_base), pa.array(full), pa.array(rare, pa.list_(pa.binary()))],
+                    [*(batch.column(k)[lo:lo + len(piece)] for k in (0, 1)), pa.array(n), pa.array(seen),
+                     pa.array(base - n * log_base), pa.array(full), rare],
                     ["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare"])
+                lo += len(piece)
 
     # the row's number is made once, as it is stored with the row's results
     scored = settled(docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"),
