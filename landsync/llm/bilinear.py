@@ -29,7 +29,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +47,8 @@ WIDTH, CONTEXT = 24, 2
 NOISE, BATCH, SAMPLE, SAMPLE_CHARS = 64, 4_096, 3_000, 10_000
 #: Step sizes of the first sample and of all texts, and passes over the first sample.
 FIRST_RATE, RATE, FIRST_PASSES = 0.05, 0.03, 2
-#: Characters of text that are read at once.
-AT_ONCE = 2_000_000
+#: Characters of text that are read at once, and symbols whose contexts are multiplied at once.
+AT_ONCE, PRODUCTS = 2_000_000, 128
 LOG10 = float(np.log(10))
 
 
@@ -108,7 +107,7 @@ def _class_of(token: bytes) -> int:
 class Words:
     """The frequent words with their counts, and what holds for all others."""
 
-    index: dict[bytes, int]
+    ranked: pa.Array  # binary, by index
     count: np.ndarray  # by index
     symbol: np.ndarray  # by index
     symbols: int  # words that are symbols of their own; the classes come after them
@@ -120,9 +119,9 @@ class Words:
     def size(self) -> int:
         return self.symbols + CLASSES
 
-    @cached_property
-    def ranked(self) -> pa.Array:
-        return pa.array(list(self.index), pa.binary())
+    @property
+    def index(self) -> dict[bytes, int]:
+        return {w: k for k, w in enumerate(self.ranked.to_pylist())}
 
     def look_up(self, place: np.ndarray, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(index or -1, symbol) of each token"""
@@ -161,7 +160,7 @@ def gather(counts: DataFrame) -> Words:
         if w in by:
             mass[_class_of(w)] -= by[w] + 1
     symbol = np.array([k if k < symbols else symbols + _class_of(w) for k, w in enumerate(ranked)], np.int64)
-    return Words({w: k for k, w in enumerate(ranked)}, count, symbol, symbols, np.log10(mass + 1), total, distinct)
+    return Words(pa.array(ranked, pa.binary()), count, symbol, symbols, np.log10(mass + 1), total, distinct)
 
 
 class Model:
@@ -243,17 +242,23 @@ class Model:
         """(odds of the next symbol by position, symbol there and next one; log of a context's sum over all next ones)"""
         if self.tables is None:
             odds = np.stack([(self.into * s) @ self.out.T for s in self.scale])
-            first, second = odds[0].astype(float) + self.bias, odds[1].astype(float)
-            tops = first.max(axis=1), second.max(axis=1)
-            whole = np.exp(first - tops[0][:, None]) @ np.exp(second - tops[1][:, None]).T
-            # where no symbol is likely after both, all products may be too small
-            small = np.argwhere(whole < 1e-200)
-            with np.errstate(divide="ignore"):
-                whole = np.log(whole) + tops[0][:, None] + tops[1]
-            for a, b in small:
-                both = first[a] + second[b]
-                whole[a, b] = both.max() + np.log(np.exp(both - both.max()).sum())
-            self.tables = odds, whole.astype(np.float32)
+            second = odds[1].astype(float)
+            top = second.max(axis=1)
+            factor = np.exp(second - top[:, None]).T
+            whole = np.empty((len(self.into), len(self.into)), np.float32)
+            for lo in range(0, len(whole), PRODUCTS):
+                first = odds[0][lo:lo + PRODUCTS].astype(float) + self.bias
+                own = first.max(axis=1)[:, None]
+                sums = np.exp(first - own) @ factor
+                # where no symbol is likely after both, all products may be too small
+                small = np.argwhere(sums < 1e-200)
+                sums[small[:, 0], small[:, 1]] = 1
+                sums = np.log(sums) + own + top
+                for a, b in small:
+                    both = first[a] + second[b]
+                    sums[a, b] = both.max() + np.log(np.exp(both - both.max()).sum())
+                whole[lo:lo + PRODUCTS] = sums
+            self.tables = odds, whole
         return self.tables
 
     def log10(self, symbol: np.ndarray, ends: np.ndarray) -> np.ndarray:

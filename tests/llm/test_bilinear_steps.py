@@ -73,7 +73,7 @@ def test_tokens_read_at_once_are_the_plain_ones(lo, hi):
 
 def test_looked_up_words_have_their_index_and_class():
     names = [bilinear.END, b"a", b"x", "é".encode(), b"seldom"]
-    words = bilinear.Words({w: k for k, w in enumerate(names)}, np.array([9, 8, 7, 6, 5]),
+    words = bilinear.Words(pa.array(names, pa.binary()), np.array([9, 8, 7, 6, 5]),
                            np.array([0, 1, 2, 3, 4 + bilinear._class_of(b"seldom")]), 4, np.zeros(bilinear.CLASSES), 35, 5)
     rng = Random(2)
     texts = [" ".join(rng.choice(["a", "X", "É", "é", "seldom", "b", "unseen", "ö", "ﬁ"]) for _ in range(40)) for _ in range(9)]
@@ -109,6 +109,15 @@ def test_scores_are_the_plain_ones_also_after_further_steps_and_far_apart():
     assert np.allclose(model.log10(symbol, ends), want, rtol=1e-3, atol=1e-2)
 
 
+def test_odds_too_far_apart_for_products_are_summed_as_they_are():
+    model = bilinear.Model(np.ones(4))
+    model.out[:], model.into[:], model.scale[:], model.bias[:] = 0, 0, 1, 0
+    # after symbol 0 only symbol 0 is likely, after symbol 1 only symbol 1
+    model.out[0, 0] = model.out[1, 1] = model.into[0, 0] = model.into[1, 1] = 40
+    symbol, ends = np.array([0, 1, 2, 1, 0, 0]), np.array([3, 6])
+    assert np.allclose(model.log10(symbol, ends), plain_log10(model, symbol, ends), atol=1e-3)
+
+
 def test_scoring_multiplies_no_context_anew():
     symbol, ends = some_symbols(1000, [500] * 400)
     symbol = np.random.default_rng(4).permutation(np.arange(len(symbol)) % 1000)  # nearly all contexts differ
